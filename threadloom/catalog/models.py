@@ -273,7 +273,6 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     dated = sinks.with_forum_date(events, "ts")
     sinks.write_partitioned(dated, path, ["event_type", "date"])
-    sinks.write_partitioned(dated, path, ["event_type", "date"])
     return files.read_parquet(spark, path)
 
 

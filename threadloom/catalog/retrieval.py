@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from threadloom.catalog.models import mart
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import STAGED_CTES, sql_clean, sql_strip
-from threadloom.functions.text import clean_text
 from threadloom.functions.vectors import cosine
 from threadloom.operators import chunking, context, embedding, similarity
+from threadloom.operators.cleaning import with_clean_text
 from threadloom.plans.index import update_index
 from threadloom.session import work_dir
 
@@ -208,7 +208,7 @@ def retrieval_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     texts = docs.select(F.col("doc_id").alias("match_id"), "text")
     found = topic_hits(spark, sf_dir).join(texts, "match_id")
-    cleaned = found.withColumn("chunk_text", clean_text(F.col("text")))
+    cleaned = with_clean_text(found, "text", "chunk_text")
     return context.assemble(cleaned, "question_id", "chunk_text", separator="\n\n")
 
 
@@ -234,8 +234,8 @@ def question_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item asks for the documents most like it, by the default embedding."""
 
     def embedded(name: str, key: str) -> DataFrame:
-        rows = table(spark, sf_dir, name).select(key, clean_text(F.col("text")).alias("text"))
-        return embedding.embed_chunks(rows, text="text")
+        rows = with_clean_text(table(spark, sf_dir, name), "text", "chunk_text")
+        return embedding.embed_chunks(rows.select(key, "chunk_text"))
 
     return similarity.top_k(
         embedded("documents", "doc_id"),

@@ -20,6 +20,7 @@ from threadloom.catalog.roles import (
 from threadloom.functions import text as X
 from threadloom.functions import times
 from threadloom.operators import filters
+from threadloom.operators.cleaning import with_clean_text
 from threadloom.operators.dedupe import dedupe_records
 
 AS_OF = datetime(2024, 1, 31)
@@ -29,19 +30,19 @@ MIDDLE = datetime(2024, 1, 16, 12)
 @query(f"select doc_id, {sql_clean('text')} as clean_text from documents")
 def clean_text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", X.clean_text(F.col("text")).alias("clean_text"))
+    return with_clean_text(docs, "text", "clean_text").select("doc_id", "clean_text")
 
 
 @query(f"select conv_id, turn, {sql_clean('text')} as clean_text from conversations")
 def clean_text_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    return turns.select("conv_id", "turn", X.clean_text(F.col("text")).alias("clean_text"))
+    return with_clean_text(turns, "text", "clean_text").select("conv_id", "turn", "clean_text")
 
 
 @query(f"select page_id, {sql_clean('html')} as clean_text from pages")
 def clean_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", X.clean_text(F.col("html")).alias("clean_text"))
+    return with_clean_text(pages, "html", "clean_text").select("page_id", "clean_text")
 
 
 @query(

@@ -50,7 +50,7 @@ def _decode_entities(texts: pa.Array) -> pa.Array:
 
 
 def html_unescape(text: Column) -> Column:
-    """Decode HTML entities once. Rows without ``&`` do not cross to Python."""
+    """Decode HTML entities once. The text of rows without ``&`` does not cross to Python."""
     return F.coalesce(_decode_entities(F.when(text.contains("&"), text)), text)
 
 
@@ -60,9 +60,12 @@ def strip(text: Column) -> Column:
 
 
 def unwrap_markup(text: Column) -> Column:
+    """Replace inline markup by its text; texts without any marker skip the patterns."""
+    unwrapped = text
     for pattern in INLINE_MARKUP:
-        text = F.regexp_replace(text, pattern, "$1")
-    return text
+        unwrapped = F.regexp_replace(unwrapped, pattern, "$1")
+    marked = text.contains("*") | text.contains("~~") | text.contains("`") | text.contains("](")
+    return F.when(marked, unwrapped).otherwise(text)
 
 
 def drop_urls(text: Column) -> Column:
@@ -71,7 +74,8 @@ def drop_urls(text: Column) -> Column:
 
 def squeeze_spaces(text: Column) -> Column:
     """Newlines become spaces and runs of spaces become one; other whitespace stays."""
-    return F.regexp_replace(text, "[ \n]+", " ")
+    flat = F.replace(text, F.lit("\n"), F.lit(" "))
+    return F.when(flat.contains("  "), F.regexp_replace(flat, " {2,}", " ")).otherwise(flat)
 
 
 def clean_markup(text: Column) -> Column:

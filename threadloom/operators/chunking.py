@@ -76,7 +76,10 @@ def split_text(
 def split_column(
     text: Column, size: int = defaults.CHUNK_SIZE, overlap: int = defaults.CHUNK_OVERLAP
 ) -> Column:
-    """Column form of :func:`split_text`; texts pass to Python in Arrow batches."""
+    """Column form of :func:`split_text`; texts pass to Python in Arrow batches.
+
+    Declared nondeterministic so that filters on the chunks do not repeat the split.
+    """
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array) -> pa.Array:
@@ -85,7 +88,7 @@ def split_column(
             pa.list_(pa.string()),
         )
 
-    return split(text)
+    return split.asNondeterministic()(text)
 
 
 def chunk_posts(

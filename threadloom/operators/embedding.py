@@ -1,7 +1,7 @@
 """Embeddings. A provider turns a batch of texts into a matrix, one row per text."""
 
 import hashlib
-import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -33,9 +33,11 @@ def hashing_provider(dims: int = HASHING_DIMS) -> Provider:
     def embed(texts: list[str]) -> np.ndarray:
         vectors = np.zeros((len(texts), dims))
         for row, text in enumerate(texts):
-            words = [w for w in re.split(" +", text.lower()) if w]
+            words = Counter(text.lower().split(" "))
+            words.pop("", None)
             if words:
-                counts = np.bincount([dimension(w) for w in words], minlength=dims)
+                places = [dimension(w) for w in words]
+                counts = np.bincount(places, list(words.values()), minlength=dims)
                 vectors[row] = counts / np.linalg.norm(counts)
         return vectors
 
@@ -49,23 +51,24 @@ def embed_column(
 
     ``provider`` is a factory. Each task calls it once, so clients and models are
     set up per task and not per row, and hands it at most ``batch`` texts at a time.
+    Declared nondeterministic so that a filter on the vectors does not embed twice.
     """
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = provider()
         for texts in batches:
-            values = texts.to_pylist()
-            filled = [i for i, t in enumerate(values) if t is not None]
-            vectors: list = [None] * len(values)
+            filled = texts.drop_null().to_pylist()
+            rows: list = []
             for at in range(0, len(filled), batch):
-                part = filled[at : at + batch]
-                rows = np.asarray(run([values[i] for i in part]), dtype=np.float32)
-                for i, row in zip(part, rows):
-                    vectors[i] = row
-            yield pa.array(vectors, pa.list_(pa.float32()))
-
-    return embed(text)
+                rows += list(np.asarray(run(filled[at : at + batch]), dtype=np.float32))
+            vectors = pa.array(rows, pa.list_(pa.float32()))
+            # Null texts take no vector: their index is null.
+            present = texts.is_valid().to_numpy(zero_copy_only=False)
+            places = pa.array(np.cumsum(present) - 1, pa.int64(), mask=~present)
+            yield vectors.take(places)
+
+    return embed.asNondeterministic()(text)
 
 
 def embed_chunks(

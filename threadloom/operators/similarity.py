@@ -113,30 +113,34 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def scan_top_k(
-    corpus: DataFrame, question_ids: list, question_vectors: list, schema: T.StructType,
-    k: int, min_score: float | None,
+    corpus: DataFrame, questions: pa.Table, schema: T.StructType, k: int, min_score: float | None
 ) -> DataFrame:
     """Partial top-k per task against a broadcast question set; columns are (id, vec)."""
     arrow = _arrow_schema(schema)
-    vectors = np.asarray(question_vectors, dtype=np.float64)
-    payload = corpus.sparkSession.sparkContext.broadcast((question_ids, vectors))
+    question_ids = questions["id"].combine_chunks().cast(arrow.field("question_id").type)
+    payload = corpus.sparkSession.sparkContext.broadcast(
+        (question_ids, _unit_rows(questions["vec"]))
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, raw = payload.value
-        norms = np.linalg.norm(raw, axis=1, keepdims=True)
-        units = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0)
+        ids, units = payload.value
         best = _Best(len(ids), k, min_score)
         for batch in batches:
             if batch.num_rows:
                 _score(best, units, _unit_rows(batch.column(1)), _ids(batch.column(0)))
-        yield _to_batch(best, pa.array(ids, arrow.field("question_id").type), arrow)
+        yield _to_batch(best, ids, arrow)
 
     return corpus.mapInArrow(scan, schema)
 
 
 def cell_top_k(
-    corpus: DataFrame, questions: DataFrame, schema: T.StructType,
-    k: int, min_score: float | None, block_rows: int = BLOCK_ROWS, cells: int = CELLS,
+    corpus: DataFrame,
+    questions: DataFrame,
+    schema: T.StructType,
+    k: int,
+    min_score: float | None,
+    block_rows: int = BLOCK_ROWS,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Partial top-k per pair of blocks, for question sets too large to broadcast.
 
@@ -151,13 +155,11 @@ def cell_top_k(
     centre_rows = corpus.orderBy(F.xxhash64("id"), "id").limit(cells).select("vec").collect()
     if not centre_rows:
         return spark.createDataFrame([], schema)
-    centres = spark.sparkContext.broadcast(np.asarray([r.vec for r in centre_rows], dtype=np.float64))
+    centre_units = _unit_rows(pa.array([r.vec for r in centre_rows], pa.list_(pa.float64())))
+    centres = spark.sparkContext.broadcast(centre_units)
 
     def angles(vectors: pa.Array) -> np.ndarray:
-        raw = centres.value
-        norms = np.linalg.norm(raw, axis=1, keepdims=True)
-        units = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0)
-        return np.arccos(np.clip(_unit_rows(vectors) @ units.T, -1.0, 1.0))
+        return np.arccos(np.clip(_unit_rows(vectors) @ centres.value.T, -1.0, 1.0))
 
     @F.arrow_udf("struct<cell: int, angle: double>")
     def nearest(vectors: pa.Array) -> pa.Array:
@@ -255,8 +257,7 @@ def top_k(
     if not size:
         partial = rows.sparkSession.createDataFrame([], schema)
     elif size <= max_broadcast_floats:
-        few = asked.collect()
-        partial = scan_top_k(rows, [r.id for r in few], [r.vec for r in few], schema, k, min_score)
+        partial = scan_top_k(rows, asked.toArrow(), schema, k, min_score)
     else:
         partial = cell_top_k(rows, asked, schema, k, min_score, **cell_options)
 

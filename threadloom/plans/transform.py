@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom import schemas
-from threadloom.functions.text import clean_text
 from threadloom.functions.times import epoch_to_ntz
 from threadloom.operators import filters
+from threadloom.operators.cleaning import with_clean_text
 from threadloom.operators.dedupe import dedupe_records
 from threadloom.operators.joins import HOT_ROWS, left_join_one_to_many
 from threadloom.sinks import tables as sinks
@@ -18,7 +18,7 @@ from threadloom.sources import files
 def transform_posts(raw: DataFrame) -> DataFrame:
     """One row per post, its text cleaned."""
     posts = dedupe_records(raw.select(*schemas.POST.names))
-    cleaned = posts.withColumn("clean_selftext", clean_text(F.col("selftext")))
+    cleaned = with_clean_text(posts, "selftext", "clean_selftext")
     return cleaned.select(*schemas.PROCESSED_POST.names)
 
 
@@ -28,7 +28,7 @@ def transform_comments(raw: DataFrame) -> DataFrame:
     Copies are resolved before the depth filter, as the surviving copy decides.
     """
     comments = filters.top_level_only(dedupe_records(raw.select(*schemas.COMMENT.names)))
-    cleaned = comments.withColumn("clean_body", clean_text(F.col("body")))
+    cleaned = with_clean_text(comments, "body", "clean_body")
     return cleaned.select(*schemas.PROCESSED_COMMENT.names)
 
 
