@@ -72,15 +72,20 @@ def drop_urls(text: Column) -> Column:
     return F.regexp_replace(text, f"http[^{WHITESPACE_CLASS}]+", "")
 
 
+def one_line(text: Column) -> Column:
+    return F.replace(text, F.lit("\n"), F.lit(" "))
+
+
 def squeeze_spaces(text: Column) -> Column:
-    """Newlines become spaces and runs of spaces become one; other whitespace stays."""
-    flat = F.replace(text, F.lit("\n"), F.lit(" "))
-    return F.when(flat.contains("  "), F.regexp_replace(flat, " {2,}", " ")).otherwise(flat)
+    """Runs of spaces become one; other whitespace stays."""
+    squeezed = F.regexp_replace(text, " {2,}", " ")
+    return F.when(text.contains("  "), squeezed).otherwise(text)
 
 
 def clean_markup(text: Column) -> Column:
     """All cleaning steps except entity decoding; null becomes ''."""
-    return strip(squeeze_spaces(drop_urls(unwrap_markup(F.coalesce(text, F.lit(""))))))
+    plain = drop_urls(unwrap_markup(F.coalesce(text, F.lit(""))))
+    return strip(squeeze_spaces(one_line(plain)))
 
 
 def clean_text(text: Column) -> Column:

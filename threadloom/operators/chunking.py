@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from threadloom import defaults
 from threadloom.functions import metadata
 from threadloom.functions.text import is_non_empty, join_title_body
-from threadloom.operators.dedupe import latest_by_key
 
 # Tried in this order; the empty one cuts between characters.
 SEPARATORS = ("\n\n", "\n", " ", "")
@@ -98,7 +97,8 @@ def chunk_posts(
 ) -> DataFrame:
     """Post chunks: title and body split into overlapping chunks.
 
-    The mart repeats a post for each of its comments, so posts are made unique first.
+    The mart repeats a post, with the same columns, for each of its comments; one
+    row per post is kept, first within each task.
     """
     columns = [
         "post_id",
@@ -109,7 +109,7 @@ def chunk_posts(
         "subreddit",
         "post_url",
     ]
-    posts = latest_by_key(mart.select(*columns), ["post_id"], [F.col("post_title")])
+    posts = mart.select(*columns).dropDuplicates(["post_id"])
     text = join_title_body(F.col("post_title"), F.col("post_body"))
     return posts.select(
         F.col("post_id").alias("doc_id"),

@@ -3,16 +3,20 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import clean_markup, html_unescape
+from threadloom.functions import text as X
 
 
 def with_clean_text(df: DataFrame, source: str, target: str) -> DataFrame:
     """Adds the plain text of ``source`` as ``target``.
 
-    The value comes out of an explode of one element: a filter on it then stays
-    above, where a plain projection would be computed twice, once for the filter.
-    Filters on other columns still pass down to the scan.
+    Steps that look at their input twice (a guard and a pattern) are projections of
+    their own, so no step is repeated. The last one is an explode of one element: a
+    filter on the result stays above it, where it would otherwise be pushed below
+    and clean every text a second time. Filters on other columns still reach the scan.
     """
-    decoded = df.withColumn("_decoded", html_unescape(F.coalesce(F.col(source), F.lit(""))))
-    cleaned = F.explode(F.array(clean_markup(F.col("_decoded"))))
-    return decoded.select(*df.columns, cleaned.alias(target))
+    text = F.col("_text")
+    steps = df.withColumn("_text", X.html_unescape(F.coalesce(F.col(source), F.lit(""))))
+    steps = steps.withColumn("_text", X.unwrap_markup(text))
+    steps = steps.withColumn("_text", X.one_line(X.drop_urls(text)))
+    steps = steps.withColumn("_text", X.squeeze_spaces(text))
+    return steps.select(*df.columns, F.explode(F.array(X.strip(text))).alias(target))

@@ -10,6 +10,8 @@ from threadloom import defaults
 from threadloom.operators import chunking, context, embedding, filters, similarity
 from threadloom.sources import paths
 
+MAX_BROADCAST_HITS = 200_000
+
 
 def chunks_to_index(
     mart: DataFrame,
@@ -57,6 +59,8 @@ def retrieve(
     )
     hits = similarity.top_k(index, asked, k, min_score)
     texts = index.select(F.col("chunk_id").alias("match_id"), "chunk_text", "metadata")
+    if questions.count() * k <= MAX_BROADCAST_HITS:
+        hits = F.broadcast(hits)  # spares the shuffle of the index
     return hits.join(texts, "match_id")
 
 
