@@ -50,8 +50,9 @@ def _decode_entities(texts: pa.Array) -> pa.Array:
 
 
 def html_unescape(text: Column) -> Column:
-    """Decode HTML entities once. The text of rows without ``&`` does not cross to Python."""
-    return F.coalesce(_decode_entities(F.when(text.contains("&"), text)), text)
+    """Decode HTML entities once. The text of rows without any does not cross to Python."""
+    has_entity = text.contains("&") & text.rlike("&[#A-Za-z]")
+    return F.coalesce(_decode_entities(F.when(has_entity, text)), text)
 
 
 def strip(text: Column) -> Column:
