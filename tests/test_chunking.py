@@ -49,7 +49,7 @@ texts = st.text(alphabet="ab \n\té", max_size=400)
 @given(texts, st.integers(2, 40), st.integers(0, 10))
 def test_chunks_cover_the_text_in_order(text, size, overlap):
     overlap = min(overlap, size - 1)
-    spans = chunk_spans(text, 0, len(text), size, overlap)
+    spans = list(chunk_spans(text, 0, len(text), size, overlap))
     assert all(0 < b - a <= size for a, b in spans)
     covered = 0
     for a, b in spans:
@@ -65,7 +65,7 @@ def test_chunks_cover_the_text_in_order(text, size, overlap):
 def test_chunks_are_as_full_as_they_can_be(lengths, size):
     words = ["w" * n for n in lengths]
     text = " ".join(words)
-    spans = chunk_spans(text, 0, len(text), size, 5)
+    spans = list(chunk_spans(text, 0, len(text), size, 5))
     for a, b in spans[:-1]:
         following = text.find(" ", b + 1)
         assert (following if following >= 0 else len(text)) - a > size

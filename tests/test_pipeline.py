@@ -166,6 +166,28 @@ def test_partition_overwrite_leaves_other_forums(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(subreddit" in plan
 
 
+def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "curated")
+
+    def merge(*rows):
+        frame = spark.createDataFrame(rows, "id string, v int, subreddit string, date string")
+        sinks.merge_partitions(
+            frame, path, ["id"], ["subreddit", "date"], [F.col("v").desc()]
+        )
+
+    merge(("a", 1, "f", "d1"), ("b", 1, "f", "d1"), ("c", 1, "f", "d2"), ("a", 0, "f", "d1"))
+    untouched = {p.name for p in (tmp_path / "curated/subreddit=f/date=d2").iterdir()}
+    merge(("a", 2, "f", "d1"), ("d", 1, "g", "d1"))
+    rows = files.read_parquet(spark, path).collect()
+    assert {(r.id, r.v, r.subreddit) for r in rows} == {
+        ("a", 2, "f"),
+        ("b", 1, "f"),
+        ("c", 1, "f"),
+        ("d", 1, "g"),
+    }
+    assert {p.name for p in (tmp_path / "curated/subreddit=f/date=d2").iterdir()} == untouched
+
+
 def listing(posts, after=None):
     return json.dumps({"data": {"after": after, "children": [{"data": p} for p in posts]}})
 
@@ -300,8 +322,12 @@ def test_watermark_state(spark, tmp_path):
         ("g", early, early),
         ("h", seconds, seconds),
     }
+    for n in range(3):
+        state_sinks.upsert_watermarks(spark, path, marks(("f", late)), late, keep=2)
+    assert sorted(p.name for p in (tmp_path / "marks").iterdir()) == ["version=3", "version=4"]
+    assert state.read_watermarks(spark, path).count() == 3
     # A version that was not finished does not count.
-    (tmp_path / "marks/version=2").mkdir()
+    (tmp_path / "marks/version=5").mkdir()
     assert state.read_watermarks(spark, path).count() == 3
 
     write_json(

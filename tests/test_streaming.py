@@ -52,6 +52,20 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert ids(spark, table) == ["a", "b", "c"]
 
 
+def test_dedupe_compares_only_the_days_of_a_batch(spark, tmp_path):
+    table = str(tmp_path / "table")
+    write = dedupe.append_unseen(table, "id", day="day")
+
+    def batch(*rows):
+        frame = spark.createDataFrame(rows, SCHEMA)
+        return frame.withColumn("day", F.to_date(F.timestamp_seconds("created_utc")))
+
+    write(batch(("a", "f", 1.0), ("b", "f", 90000.0)), 0)
+    write(batch(("a", "f", 1.0), ("c", "f", 2.0), ("c", "f", 2.0)), 1)
+    write(batch(("b", "f", 90000.0), ("d", "f", 90001.0)), 2)
+    assert ids(spark, table) == ["a", "b", "c", "d"]
+
+
 def test_watermarks_drop_late_rows_and_repeats(spark, tmp_path):
     table, marks = str(tmp_path / "table"), str(tmp_path / "marks")
     created = F.timestamp_seconds("created_utc")

@@ -27,6 +27,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nodes = F.transform(children, lambda c: F.struct(c["data"].alias("data")))
     after = F.concat(F.lit("page_"), (F.col("page") + 1).cast("string"))
+    data = F.to_json(F.struct(after.alias("after"), "children"))
     return (
         raw.withColumn("page", number)
         .withColumn("forum", F.col("subreddit"))
@@ -35,9 +36,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "forum",
             "page",
-            F.to_json(
-                F.struct(F.struct(after.alias("after"), "children").alias("data"))
-            ).alias("body"),
+            F.concat(F.lit('{"kind": "Listing", "data": '), data, F.lit("}")).alias("body"),
         )
     )
 

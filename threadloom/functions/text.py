@@ -104,9 +104,12 @@ def preview(text: Column, chars: int = 50) -> Column:
 
 
 def is_low_quality(text: Column, min_chars: int = defaults.MIN_POST_CHARS) -> Column:
-    """True for posts without enough text. The removal markers are shorter than the limit."""
+    """True for posts without enough text, deleted ones and removed ones."""
     stripped = strip(F.coalesce(text, F.lit("")))
-    return stripped.isin(*defaults.REMOVED_MARKERS, "") | (F.length(stripped) < min_chars)
+    too_short = F.length(stripped) < min_chars
+    if min_chars > max(map(len, defaults.REMOVED_MARKERS)):
+        return too_short  # the markers are too short as well
+    return stripped.isin(*defaults.REMOVED_MARKERS, "") | too_short
 
 
 def is_removed(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Text chunks with metadata, the unit of retrieval."""
 
-import re
+from collections import deque
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 
 def chunk_spans(
     text: str, start: int, end: int, size: int, overlap: int, level: int = 0
-) -> list[tuple[int, int]]:
+) -> Iterator[tuple[int, int]]:
     """Offsets of the chunks of ``text[start:end]``.
 
     Pieces start at the occurrences of the first separator that is present and are
@@ -29,39 +30,40 @@ def chunk_spans(
     while SEPARATORS[level] and text.find(SEPARATORS[level], start, end) < 0:
         level += 1
     separator = SEPARATORS[level]
-    if separator:
-        hits = re.compile(re.escape(separator)).finditer(text, start, end)
-        bounds = [start, *(m.start() for m in hits if m.start() > start), end]
-    else:
-        bounds = list(range(start, end + 1))
-
-    spans: list[tuple[int, int]] = []
-    run = 0  # first piece of the run of small pieces not yet cut into chunks
-    last = len(bounds) - 1
-    for piece in range(last + 1):
-        if piece < last and (bounds[piece + 1] - bounds[piece] < size or not separator):
-            continue
-        spans += _pack(bounds[run : piece + 1], size, overlap)
-        run = piece + 1
-        if piece < last:
-            spans += chunk_spans(text, bounds[piece], bounds[run], size, overlap, level + 1)
-    return spans
-
-
-def _pack(bounds: list[int], size: int, overlap: int) -> list[tuple[int, int]]:
-    """Chunks over consecutive pieces; piece i covers bounds[i] to bounds[i + 1]."""
-    spans = []
-    head = 0
-    for piece in range(len(bounds) - 1):
-        lo, hi = bounds[piece], bounds[piece + 1]
-        if hi - bounds[head] <= size or piece == head:
-            continue
-        spans.append((bounds[head], lo))
-        while head < piece and (lo - bounds[head] > overlap or hi - bounds[head] > size):
-            head += 1
-    if len(bounds) > 1:
-        spans.append((bounds[head], bounds[-1]))
-    return spans
+    if not separator:
+        yield from _character_spans(start, end, size, overlap)
+        return
+
+    chunk: deque[int] = deque()  # where the pieces of the open chunk start
+    at = start
+    while at < end:
+        inside = at + len(separator) if text.startswith(separator, at, end) else at
+        following = text.find(separator, inside, end)
+        piece_end = end if following < 0 else following
+        if piece_end - at >= size:
+            if chunk:
+                yield chunk[0], at
+                chunk.clear()
+            yield from chunk_spans(text, at, piece_end, size, overlap, level + 1)
+        else:
+            if chunk and piece_end - chunk[0] > size:
+                yield chunk[0], at
+                while chunk and (at - chunk[0] > overlap or piece_end - chunk[0] > size):
+                    chunk.popleft()
+            chunk.append(at)
+        at = piece_end
+    if chunk:
+        yield chunk[0], end
+
+
+def _character_spans(start: int, end: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """The same where every character is a piece."""
+    step = size - min(overlap, size - 1)
+    while end - start > size:
+        yield start, start + size
+        start += step
+    if end > start:
+        yield start, end
 
 
 def split_text(

@@ -6,7 +6,7 @@ The rows come out of a top-n operator, so what is collected per key is bounded.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.operators.ranking import top_comments
+from threadloom.operators.ranking import best_comments_first, first_per_group
 
 
 def assemble(
@@ -20,17 +20,20 @@ def assemble(
 def post_context(mart: DataFrame, n: int, separator: str = "\n") -> DataFrame:
     """Title, body and best comments of every post as one document.
 
-    Post rows go through the grouping as rank 0, once per task and post, so the
-    posts need no second join.
+    One scan and one shuffle: the mart rows of a post are cut to the best ones, which
+    carry the post's own columns along.
     """
-    heads = (
-        mart.select("post_id", "post_title", "post_body")
-        .distinct()
-        .select(
-            "post_id",
-            F.lit(0).alias("rank"),
-            F.concat_ws(separator, "post_title", "post_body").alias("text"),
-        )
+    rows = mart.select(
+        "post_id", "post_title", "post_body", "comment_id", "comment_score", "comment_body"
     )
-    comments = top_comments(mart, n).select("post_id", "rank", F.col("comment_body").alias("text"))
-    return assemble(heads.unionByName(comments), "post_id", "text", separator=separator)
+    # A post without comments has one row, and n = 0 still needs one for the post.
+    best = first_per_group(rows, ["post_id"], best_comments_first(), max(n, 1))
+    text = F.when(F.col("rank") <= n, F.col("comment_body"))
+    parts = F.array_sort(F.collect_list(F.struct("rank", text.alias("text"))))
+    posts = best.groupBy("post_id").agg(
+        F.first("post_title").alias("post_title"),
+        F.first("post_body").alias("post_body"),
+        parts["text"].alias("_comments"),
+    )
+    context = F.concat_ws(separator, "post_title", "post_body", "_comments")
+    return posts.select("post_id", context.alias("context"))

@@ -46,13 +46,26 @@ def not_null(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     return rows.select(*_verdicts(F.col("test"), F.col("n")))
 
 
+def unique_and_not_null(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Both tests of a key from one grouping of it."""
+    groups = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    is_null = F.col("_key").isNull()
+    counts = groups.agg(
+        F.count_if(~is_null & (F.col("_n") > 1)).alias("_repeated"),
+        F.coalesce(F.sum(F.when(is_null, F.col("_n"))), F.lit(0)).alias("_null"),
+    )
+    tests = F.array(
+        F.struct(F.lit(f"unique_{name}_{key}").alias("test"), F.col("_repeated").alias("n")),
+        F.struct(F.lit(f"not_null_{name}_{key}").alias("test"), F.col("_null").alias("n")),
+    )
+    return counts.select(F.inline(tests)).select(*_verdicts(F.col("test"), F.col("n")))
+
+
 def model_tests(stg_posts: DataFrame, stg_comments: DataFrame, mart: DataFrame) -> DataFrame:
     """The tests declared on the staging models and the mart."""
     return (
-        unique(stg_posts, "id", "stg_posts")
-        .unionAll(not_null(stg_posts, ["id"], "stg_posts"))
-        .unionAll(unique(stg_comments, "id", "stg_comments"))
-        .unionAll(not_null(stg_comments, ["id"], "stg_comments"))
+        unique_and_not_null(stg_posts, "id", "stg_posts")
+        .unionAll(unique_and_not_null(stg_comments, "id", "stg_comments"))
         .unionAll(not_null(mart, ["post_id", "post_title"], "fct_posts"))
     )
 

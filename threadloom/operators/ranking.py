@@ -33,14 +33,15 @@ def first_posts(
     return first_per_group(posts, [forum], listing_order, max_posts, "_rank").drop("_rank")
 
 
+def best_comments_first() -> list[Column]:
+    """The order of a post's comments; unscored ones come last."""
+    return [F.col("comment_score").desc_nulls_last(), F.col("comment_id")]
+
+
 def top_comments(mart: DataFrame, n: int) -> DataFrame:
     """The best-scored comments of every post, from mart rows."""
-    return first_per_group(
-        mart.where(F.col("comment_id").isNotNull()),
-        ["post_id"],
-        [F.col("comment_score").desc(), F.col("comment_id")],
-        n,
-    )
+    commented = mart.where(F.col("comment_id").isNotNull())
+    return first_per_group(commented, ["post_id"], best_comments_first(), n)
 
 
 def last_turns(

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Texts can be long; smaller batches bound what a Python worker holds.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Keeps "first N per group" cut down before the shuffle for large N too.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }

@@ -10,6 +10,8 @@ from threadloom.operators.incremental import merge_watermarks
 from threadloom.sources import paths
 from threadloom.sources.state import read_watermarks
 
+KEEP_VERSIONS = 20
+
 
 def upsert_watermarks(
     spark: SparkSession,
@@ -17,11 +19,13 @@ def upsert_watermarks(
     new: DataFrame,
     as_of: datetime | Column | None = None,
     version: int | None = None,
+    keep: int = KEEP_VERSIONS,
 ) -> int:
     """Fold new per-forum watermarks into the state; returns the version written.
 
     Giving ``version`` (a streaming batch id) makes a repeated write produce the
     same state: it is computed from the versions below it and replaces its own.
+    Versions more than ``keep`` behind are deleted.
     """
     old = read_watermarks(spark, path, before=version)
     if version is None:
@@ -31,6 +35,8 @@ def upsert_watermarks(
         "subreddit", "last_ingested_utc", as_literal(as_of).cast("timestamp").alias("updated_at")
     )
     merge_watermarks(old, fresh).write.mode("overwrite").parquet(f"{path}/version={version}")
+    for outdated in paths.complete_versions(spark, path)[:-keep]:
+        paths.delete(spark, f"{path}/version={outdated}")
     return version
 
 

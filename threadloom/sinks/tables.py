@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.times import as_literal
-from threadloom.operators.dedupe import latest_by_key
+from threadloom.operators.dedupe import latest_by_key, merge_by_key
+from threadloom.sources import paths
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
@@ -21,6 +22,20 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     )
 
 
+def merge_partitions(
+    incoming: DataFrame, path: str, keys: list[str], by: list[str], order_by: list[Column]
+) -> None:
+    """Fold rows into a partitioned table, one row per key, rewriting only the partitions
+    they fall into. A key must not move between partitions."""
+    spark = incoming.sparkSession
+    merged = latest_by_key(incoming, keys, order_by)
+    if paths.exists(spark, f"{path}/{by[0]}=*"):
+        touched = incoming.select(*by).distinct()
+        current = spark.read.schema(incoming.schema).parquet(path).join(touched, by, "left_semi")
+        merged = merge_by_key(current, incoming, keys, order_by)
+    write_partitioned(merged, path, by)
+
+
 def with_forum_date(df: DataFrame, created_at: str = "created_at") -> DataFrame:
     """Adds ``date``, for tables partitioned by forum and day."""
     return df.withColumn("date", F.to_date(created_at))

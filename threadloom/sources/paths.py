@@ -14,6 +14,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return len(fs.globStatus(hadoop_path) or []) > 0
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def complete_versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the fully written ``version=N`` folders below a path, ascending."""
     fs, pattern = _resolve(spark, f"{path}/version=*/_SUCCESS")

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.operators.dedupe import latest_by_key
 from threadloom.operators.joins import not_known
@@ -23,20 +24,31 @@ def dedupe_within(stream: DataFrame, key: str, event_time: str, delay: str) -> D
     )
 
 
-def append_unseen(path: str, key: str) -> Callable[[DataFrame, int], None]:
+def append_unseen(
+    path: str, key: str, day: str | None = None
+) -> Callable[[DataFrame, int], None]:
     """Batch writer that adds the records whose key no earlier batch wrote.
 
     It compares with the table itself, so a replay is recognised however late it
-    comes, and a repeated batch replaces its own folder only.
+    comes, and a repeated batch replaces its own folder only. With ``day``, a column
+    that every copy of a record shares, the table is partitioned by it and only the
+    days of the batch are compared, instead of the whole history.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = latest_by_key(batch, [key], [])
         if paths.exists(spark, f"{path}/batch=*/_SUCCESS"):
-            seen = spark.read.schema(f"{key} {batch.schema[key].dataType.simpleString()}, batch bigint")
-            earlier = seen.parquet(path).where(F.col("batch") < batch_id)
+            known = [key, day] if day else [key]
+            fields = [batch.schema[c] for c in known] + [T.StructField("batch", T.LongType())]
+            table = spark.read.schema(T.StructType(fields)).option("basePath", path)
+            earlier = table.parquet(f"{path}/batch=*").where(F.col("batch") < batch_id)
+            if day:
+                # One row per day of the batch; the list prunes folders.
+                days = [r[0] for r in batch.select(day).distinct().collect()]
+                earlier = earlier.where(F.col(day).isin(days))
             fresh = not_known(fresh, earlier, key)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        out = fresh.write.mode("overwrite")
+        (out.partitionBy(day) if day else out).parquet(f"{path}/batch={batch_id}")
 
     return write
