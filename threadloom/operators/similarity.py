@@ -26,7 +26,8 @@ from threadloom import defaults
 
 SCORE_DECIMALS = 6
 MAX_BROADCAST_FLOATS = 8_000_000  # 64 MB as doubles
-SCORES_AT_ONCE = 4_000_000
+ROUNDING_MARGIN = 2 * 10.0**-SCORE_DECIMALS
+SCORES_AT_ONCE = 8_000_000
 BLOCK_ROWS = 50_000
 CELLS = 256
 ANGLE_MARGIN = 1e-6
@@ -55,35 +56,49 @@ class _Best:
 
     def __init__(self, n_questions: int, k: int, min_score: float | None):
         self.k = k
+        # No row below its question's floor can enter any more.
         self.floor = np.full(n_questions, -np.inf if min_score is None else min_score)
-        self.question = np.empty(0, dtype=np.int64)
-        self.score = np.empty(0)
-        self.id: np.ndarray | None = None
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """``scores`` is questions x rows. Rows below a question's floor cannot enter."""
-        floor = self.floor
-        if scores.shape[1] > self.k:
+        """Take in a block of unrounded scores, questions x rows."""
+        enough = self.k * len(self.floor)
+        near = scores >= (self.floor - ROUNDING_MARGIN)[:, None]
+        if scores.shape[1] > self.k and np.count_nonzero(near) > 4 * enough:
             kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
-            floor = np.maximum(floor, kth)
-        question, row = np.nonzero(scores >= floor[:, None])
-        question = np.concatenate([self.question, question])
-        score = np.concatenate([self.score, scores[question[len(self.question) :], row]])
-        all_ids = ids[row] if self.id is None else np.concatenate([self.id, ids[row]])
-        order = np.lexsort((all_ids, -score, question))
-        question, score, all_ids = question[order], score[order], all_ids[order]
+            near &= scores >= (kth - ROUNDING_MARGIN)[:, None]
+        question, row = np.nonzero(near)
+        score = np.round(scores[question, row], SCORE_DECIMALS) + 0.0
+        above = score >= self.floor[question]
+        self.parts.append((question[above], score[above], ids[row[above]]))
+        self.waiting += np.count_nonzero(above)
+        if self.waiting >= enough:
+            self._cut()
+
+    def _cut(self) -> None:
+        question, score, ids = (np.concatenate(column) for column in zip(*self.parts))
+        order = np.lexsort((ids, -score, question))
+        question, score, ids = question[order], score[order], ids[order]
         rank = np.arange(len(question)) - np.searchsorted(question, question)
         best = rank < self.k
-        self.question, self.score, self.id = question[best], score[best], all_ids[best]
         full = rank == self.k - 1
-        self.floor[question[full]] = np.maximum(self.floor[question[full]], score[full])
+        self.floor[question[full]] = score[full]
+        self.parts = [(question[best], score[best], ids[best])]
+        self.waiting = 0
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, list]:
+        if not self.parts:
+            return np.empty(0, dtype=np.int64), np.empty(0), []
+        self._cut()
+        question, score, ids = self.parts[0]
+        return question, score, ids.tolist()
 
 
 def _score(best: _Best, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
     step = max(1, SCORES_AT_ONCE // max(1, len(questions)))
     for at in range(0, len(vectors), step):
-        scores = np.round(questions @ vectors[at : at + step].T, SCORE_DECIMALS)
-        best.add(scores + 0.0, ids[at : at + step])
+        best.add(questions @ vectors[at : at + step].T, ids[at : at + step])
 
 
 def _result_schema(questions: T.StructField, corpus: T.StructField) -> T.StructType:
@@ -97,12 +112,12 @@ def _result_schema(questions: T.StructField, corpus: T.StructField) -> T.StructT
 
 
 def _to_batch(best: _Best, question_ids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
-    ids = [] if best.id is None else best.id.tolist()
+    question, score, ids = best.result()
     return pa.RecordBatch.from_arrays(
         [
-            question_ids.take(pa.array(best.question)),
+            question_ids.take(pa.array(question)),
             pa.array(ids, schema.field("match_id").type),
-            pa.array(best.score, pa.float64()),
+            pa.array(score, pa.float64()),
         ],
         schema=schema,
     )

@@ -48,7 +48,7 @@ def append_unseen(
                 days = [r[0] for r in batch.select(day).distinct().collect()]
                 earlier = earlier.where(F.col(day).isin(days))
             fresh = not_known(fresh, earlier, key)
-        out = fresh.write.mode("overwrite")
+        out = fresh.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (out.partitionBy(day) if day else out).parquet(f"{path}/batch={batch_id}")
 
     return write
