@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import context, incremental, quality, ranking
+from threadloom.operators import context, incremental, joins, quality, ranking
 from threadloom.operators.dedupe import dedupe_records, latest_by_key, merge_by_key
 from threadloom.operators.joins import hot_keys, left_join_one_to_many, not_known
 
@@ -48,11 +48,24 @@ def test_left_join_gives_the_same_rows_however_it_is_spread(spark, hot_rows):
         F.col("id").alias("r"),
     )
     plain = left.join(right, F.col("k") == F.col("rk"), "left")
-    spread = left_join_one_to_many(left, right, "k", "rk", ["r"], hot_rows)
+    spread = left_join_one_to_many(left, right, "k", "rk", ["r"], hot_rows, skew_bytes=0)
     assert spread.columns == ["k", "l", "rk", "r"]
     assert bag(spread) == bag(plain)
 
 
+def test_small_tables_are_not_counted(spark, monkeypatch):
+    def fail(*args):
+        raise AssertionError("counted")
+
+    monkeypatch.setattr(joins, "hot_keys", fail)
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    right = spark.createDataFrame([(1, "a")], "rk int, r string")
+    joined = left_join_one_to_many(left, right, "k", "rk", ["r"])
+    assert bag(joined) == Counter([(1, 1, "a"), (2, None, None)])
+    with pytest.raises(AssertionError, match="counted"):
+        left_join_one_to_many(left, right, "k", "rk", ["r"], skew_bytes=0)
+
+
 def test_hot_keys(spark):
     df = spark.createDataFrame([(1,)] * 5 + [(2,)] * 2 + [(None,)] * 9, "k int")
     assert [tuple(r) for r in hot_keys(df, "k", 2).collect()] == [(1, 3)]

@@ -95,6 +95,7 @@ def left_join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_nationkey",
         spread_on=["l_orderkey", "l_partkey"],
         hot_rows=500,
+        skew_bytes=0,
     ).select("n_nationkey", "n_name", "s_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
 
 

@@ -4,6 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
+# Spark's own threshold for a skewed partition; a smaller table cannot hold one.
+SKEW_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, from file sizes; very large where it has none."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -24,20 +31,23 @@ def left_join_one_to_many(
     right_key: str,
     spread_on: list[str],
     hot_rows: int | None = HOT_ROWS,
+    skew_bytes: int = SKEW_BYTES,
 ) -> DataFrame:
     """Left outer equi-join whose right side may be dominated by a few keys.
 
     Adaptive execution can split a hot partition of the preserved (left) side only.
-    So the right side is counted per key first, in a job that reads just the key.
-    Without hot keys this is the plain join. Otherwise the rows of a hot key are
+    So a right side of ``skew_bytes`` or more is counted per key first, in a job that
+    reads just the key. Without hot keys this is the plain join. Otherwise the rows of a hot key are
     spread over shares by a hash of ``spread_on`` and its left rows are repeated
     once per share; as a hot key always has a match, the shares that stay empty
     are recognised by their null right side and dropped.
 
-    Both sides must have distinct column names. ``hot_rows=None`` skips the count.
+    Both sides must have distinct column names. ``hot_rows=None`` never counts.
     """
     matches = F.col(left_key) == F.col(right_key)
-    hot = [] if hot_rows is None else hot_keys(right, right_key, hot_rows).collect()
+    hot = []
+    if hot_rows is not None and estimated_bytes(right) >= skew_bytes:
+        hot = hot_keys(right, right_key, hot_rows).collect()
     if not hot:
         return left.join(right, matches, "left")
 
