@@ -313,8 +313,10 @@ def test_watermark_state(spark, tmp_path):
         return frame.withColumn("last_ingested_utc", F.col("last_ingested_utc").cast("timestamp"))
 
     late, early = datetime(2024, 1, 2, 3, 4, 5, 600000), datetime(2024, 1, 1)
-    assert state_sinks.upsert_watermarks(spark, path, marks(("f", late), ("g", early)), early) == 0
-    assert state_sinks.upsert_watermarks(spark, path, marks(("f", early), ("h", late)), late) == 1
+    assert state_sinks.upsert_watermarks(spark, path, marks(("f", late), ("g", early)), "a", early) == 0
+    for _ in range(2):  # a repeat replaces its version
+        moved = marks(("f", early), ("h", late))
+        assert state_sinks.upsert_watermarks(spark, path, moved, "b", late) == 1
     got = state.read_watermarks(spark, path)
     seconds = late.replace(microsecond=0)
     assert {(r.subreddit, r.last_ingested_utc, r.updated_at) for r in got.collect()} == {
@@ -323,11 +325,14 @@ def test_watermark_state(spark, tmp_path):
         ("h", seconds, seconds),
     }
     for n in range(3):
-        state_sinks.upsert_watermarks(spark, path, marks(("f", late)), late, keep=2)
-    assert sorted(p.name for p in (tmp_path / "marks").iterdir()) == ["version=3", "version=4"]
+        state_sinks.upsert_watermarks(spark, path, marks(("f", late)), f"c-{n}", late, keep=2)
+    assert sorted(p.name for p in (tmp_path / "marks").iterdir()) == [
+        "version=000003-c-1",
+        "version=000004-c-2",
+    ]
     assert state.read_watermarks(spark, path).count() == 3
     # A version that was not finished does not count.
-    (tmp_path / "marks/version=5").mkdir()
+    (tmp_path / "marks/version=000005-d").mkdir()
     assert state.read_watermarks(spark, path).count() == 3
 
     write_json(

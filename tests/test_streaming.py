@@ -40,6 +40,15 @@ def test_files_are_read_once_and_replays_add_nothing(spark, tmp_path):
     assert ids(spark, table) == ["a", "b", "c", "d"]
 
 
+def test_a_new_checkpoint_keeps_the_table(spark, tmp_path):
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    write = dedupe.append_unseen(table, "id")
+    land(spark, landing, [("a", "f", 1.0), ("b", "f", 2.0)])
+    for checkpoint in ("one", "two"):
+        files.run_available(stream(spark, landing), str(tmp_path / checkpoint), write)
+    assert ids(spark, table) == ["a", "b"]
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     table = str(tmp_path / "table")
     write = dedupe.append_unseen(table, "id")
@@ -48,7 +57,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         spark.createDataFrame([("b", "f", 2.0), ("c", "f", 3.0)], SCHEMA),
     ]
     for n in (0, 1, 1):
-        write(batches[n], n)
+        write(batches[n], f"q-{n}")
     assert ids(spark, table) == ["a", "b", "c"]
 
 
@@ -60,9 +69,9 @@ def test_dedupe_compares_only_the_days_of_a_batch(spark, tmp_path):
         frame = spark.createDataFrame(rows, SCHEMA)
         return frame.withColumn("day", F.to_date(F.timestamp_seconds("created_utc")))
 
-    write(batch(("a", "f", 1.0), ("b", "f", 90000.0)), 0)
-    write(batch(("a", "f", 1.0), ("c", "f", 2.0), ("c", "f", 2.0)), 1)
-    write(batch(("b", "f", 90000.0), ("d", "f", 90001.0)), 2)
+    write(batch(("a", "f", 1.0), ("b", "f", 90000.0)), "q-0")
+    write(batch(("a", "f", 1.0), ("c", "f", 2.0), ("c", "f", 2.0)), "q-1")
+    write(batch(("b", "f", 90000.0), ("d", "f", 90001.0)), "q-2")
     assert ids(spark, table) == ["a", "b", "c", "d"]
 
 
@@ -75,7 +84,9 @@ def test_watermarks_drop_late_rows_and_repeats(spark, tmp_path):
         [("late", "f", 15.0), ("equal", "f", 20.0), ("c", "f", 21.0), ("d", "g", 1.0)], SCHEMA
     )
     for n, batch in ((0, first), (1, second), (1, second)):
-        write(batch, n)
+        write(batch, f"q-{n}")
+    # A new checkpoint numbers its batches from 0 again.
+    write(spark.createDataFrame([("b", "f", 20.0), ("c", "f", 21.0)], SCHEMA), "r-0")
     assert ids(spark, table) == ["a", "b", "c", "d"]
     got = {r.subreddit: r.last_ingested_utc for r in state.read_watermarks(spark, marks).collect()}
     assert got == {

@@ -159,9 +159,10 @@ def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "watermarks")
     events = table(spark, sf_dir, "events").withColumn("subreddit", F.col("event_type"))
     first_half = events.where(F.col("ts") < F.expr("timestamp_ntz'2024-01-15 00:00:00'"))
-    for rows, as_of in ((events, datetime(2024, 1, 31)), (first_half, datetime(2024, 2, 1))):
+    runs = (("a", events, datetime(2024, 1, 31)), ("b", first_half, datetime(2024, 2, 1)))
+    for run, rows, as_of in runs:
         marks = incremental.next_watermarks(rows, F.col("ts").cast("timestamp"))
-        state_sinks.upsert_watermarks(spark, path, marks, as_of)
+        state_sinks.upsert_watermarks(spark, path, marks, run, as_of)
     return state.read_watermarks(spark, path).select(
         "subreddit",
         F.col("last_ingested_utc").cast("timestamp_ntz").alias("last_ingested_utc"),

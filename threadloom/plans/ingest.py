@@ -66,7 +66,7 @@ def run_ingest(
     known_path = f"{root}/state/known"
     folder = f"{root}/posts/run={run}"
     if not paths.exists(spark, f"{known_path}/batch={run}/_SUCCESS"):
-        watermarks = state.read_watermarks(spark, watermark_path)
+        watermarks = state.read_watermarks(spark, watermark_path, run)
         known = state.read_completed_ids(spark, known_path, except_batch=run)
         posts = not_known(new_posts(pages, watermarks, max_posts), known, "id")
         sinks.write_raw(posts, f"{root}/posts", run)
@@ -83,5 +83,5 @@ def run_ingest(
         state_sinks.add_completed(known_path, posts.select("id"), run)
 
     latest = incremental.next_watermarks(files.read_posts(spark, folder))
-    state_sinks.upsert_watermarks(spark, watermark_path, latest, as_of)
+    state_sinks.upsert_watermarks(spark, watermark_path, latest, run, as_of)
     return True

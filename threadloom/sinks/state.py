@@ -17,27 +17,27 @@ def upsert_watermarks(
     spark: SparkSession,
     path: str,
     new: DataFrame,
+    writer: str,
     as_of: datetime | Column | None = None,
-    version: int | None = None,
     keep: int = KEEP_VERSIONS,
 ) -> int:
     """Fold new per-forum watermarks into the state; returns the version written.
 
-    Giving ``version`` (a streaming batch id) makes a repeated write produce the
-    same state: it is computed from the versions below it and replaces its own.
-    Versions more than ``keep`` behind are deleted.
+    ``writer`` names the run or streaming batch. If the newest version is its own, this
+    is a repeat and replaces it. Versions more than ``keep`` behind are deleted.
     """
-    old = read_watermarks(spark, path, before=version)
-    if version is None:
-        versions = paths.complete_versions(spark, path)
-        version = versions[-1] + 1 if versions else 0
+    versions = paths.complete_versions(spark, path)
+    number = versions[-1].number + 1 if versions else 0
+    if versions and versions[-1].writer == writer:
+        number = versions[-1].number
     fresh = new.select(
         "subreddit", "last_ingested_utc", as_literal(as_of).cast("timestamp").alias("updated_at")
     )
-    merge_watermarks(old, fresh).write.mode("overwrite").parquet(f"{path}/version={version}")
+    merged = merge_watermarks(read_watermarks(spark, path, writer), fresh)
+    merged.write.mode("overwrite").parquet(paths.version_folder(path, number, writer))
     for outdated in paths.complete_versions(spark, path)[:-keep]:
-        paths.delete(spark, f"{path}/version={outdated}")
-    return version
+        paths.delete(spark, outdated.folder)
+    return number
 
 
 def add_completed(path: str, ids: DataFrame, batch: str) -> None:

@@ -1,5 +1,7 @@
 """Path checks through the session's Hadoop file systems."""
 
+from typing import NamedTuple
+
 from pyspark.sql import SparkSession
 
 
@@ -19,8 +21,22 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def complete_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the fully written ``version=N`` folders below a path, ascending."""
+class Version(NamedTuple):
+    number: int
+    writer: str
+    folder: str
+
+
+def version_folder(path: str, number: int, writer: str) -> str:
+    return f"{path}/version={number:06d}-{writer}"
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[Version]:
+    """The fully written versions below a path, oldest first."""
     fs, pattern = _resolve(spark, f"{path}/version=*/_SUCCESS")
-    found = fs.globStatus(pattern) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+    versions = []
+    for marker in fs.globStatus(pattern) or []:
+        folder = marker.getPath().getParent()
+        number, writer = folder.getName().removeprefix("version=").split("-", 1)
+        versions.append(Version(int(number), writer, folder.toString()))
+    return sorted(versions)

@@ -8,16 +8,21 @@ from threadloom.functions.times import parse_utc
 from threadloom.sources import paths
 
 
-def read_watermarks(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Watermarks of the newest complete version, or of the newest one below ``before``."""
+def read_watermarks(spark: SparkSession, path: str, writer: str | None = None) -> DataFrame:
+    """Watermarks of the newest complete version.
+
+    A ``writer`` (a run or streaming batch) that is being repeated does not see the
+    version it wrote itself.
+    """
     versions = paths.complete_versions(spark, path)
-    if before is not None:
-        versions = [v for v in versions if v < before]
+    if versions and versions[-1].writer == writer:
+        versions.pop()
     if not versions:
         return spark.createDataFrame([], schemas.WATERMARK)
-    folder = f"{path}/version={versions[-1]}"
     return (
-        spark.read.schema(schemas.WATERMARK).option("ignoreCorruptFiles", True).parquet(folder)
+        spark.read.schema(schemas.WATERMARK)
+        .option("ignoreCorruptFiles", True)
+        .parquet(versions[-1].folder)
     )
 
 

@@ -26,29 +26,30 @@ def dedupe_within(stream: DataFrame, key: str, event_time: str, delay: str) -> D
 
 def append_unseen(
     path: str, key: str, day: str | None = None
-) -> Callable[[DataFrame, int], None]:
+) -> Callable[[DataFrame, str], None]:
     """Batch writer that adds the records whose key no earlier batch wrote.
 
     It compares with the table itself, so a replay is recognised however late it
-    comes, and a repeated batch replaces its own folder only. With ``day``, a column
+    comes, and a repeated batch replaces its own folder only. One stream at a time
+    may write to the table. With ``day``, a column
     that every copy of a record shares, the table is partitioned by it and only the
     days of the batch are compared, instead of the whole history.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, name: str) -> None:
         spark = batch.sparkSession
         fresh = latest_by_key(batch, [key], [])
         if paths.exists(spark, f"{path}/batch=*/_SUCCESS"):
             known = [key, day] if day else [key]
-            fields = [batch.schema[c] for c in known] + [T.StructField("batch", T.LongType())]
+            fields = [batch.schema[c] for c in known] + [T.StructField("batch", T.StringType())]
             table = spark.read.schema(T.StructType(fields)).option("basePath", path)
-            earlier = table.parquet(f"{path}/batch=*").where(F.col("batch") < batch_id)
+            earlier = table.parquet(f"{path}/batch=*").where(F.col("batch") != name)
             if day:
                 # One row per day of the batch; the list prunes folders.
                 days = [r[0] for r in batch.select(day).distinct().collect()]
                 earlier = earlier.where(F.col(day).isin(days))
             fresh = not_known(fresh, earlier, key)
         out = fresh.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (out.partitionBy(day) if day else out).parquet(f"{path}/batch={batch_id}")
+        (out.partitionBy(day) if day else out).parquet(f"{path}/batch={name}")
 
     return write

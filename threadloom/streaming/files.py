@@ -1,5 +1,6 @@
 """Incremental file ingest: each file is read once, progress lives in the checkpoint."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +26,21 @@ def stream_files(
 
 
 def run_available(
-    stream: DataFrame, checkpoint: str, write_batch: Callable[[DataFrame, int], None]
+    stream: DataFrame, checkpoint: str, write_batch: Callable[[DataFrame, str], None]
 ) -> StreamingQuery:
     """Process what has arrived, batch by batch, and stop. Running it again resumes.
 
-    A batch that was interrupted is repeated with the same id, so ``write_batch``
-    must replace what it wrote under that id.
+    An interrupted batch is repeated. ``write_batch`` gets a name with it that is the
+    same in the repeat and never given to another batch, also not after a start from
+    a new checkpoint, and must replace what it wrote under that name.
     """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        metadata = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
+        write_batch(batch, f"{json.loads(metadata[0])['id']}-{batch_id}")
+
     query = (
-        stream.writeStream.foreachBatch(write_batch)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
