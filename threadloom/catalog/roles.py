@@ -87,9 +87,12 @@ def sql_strip(expr: str) -> str:
 
 
 def sql_unescape(expr: str) -> str:
-    """Decodes the entities that occur in the tables; ``&amp;`` last."""
+    """Decodes the entities that occur in the tables, ``&amp;`` last.
+
+    These old names count without their semicolon as well.
+    """
     for entity, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        expr = f"replace({expr}, '&{entity};', '{char}')"
+        expr = f"regexp_replace({expr}, '&{entity};?', '{char}', 'g')"
     return expr
 
 
