@@ -52,6 +52,28 @@ def test_top_k_equals_brute_force(spark, options, min_score):
     assert rows == brute_force(corpus, questions, 3, min_score)
 
 
+@pytest.mark.parametrize("options", PATHS[:2])
+def test_copies_and_unusable_vectors(spark, options):
+    copies = [(n, [1.0, 1.0]) for n in range(40)]
+    odd = [(100, [float("nan"), 1.0]), (101, [0.0, 0.0]), (102, [float("inf"), 0.0])]
+    corpus = spark.createDataFrame(
+        [*copies, *odd, (103, None), (104, [1.0, 0.0])], "chunk_id long, embedding array<double>"
+    )
+    asked = spark.createDataFrame(
+        [("a", [2.0, 2.0]), ("b", [3.0, 0.0]), ("c", None)],
+        "question_id string, embedding array<float>",
+    )
+    got = similarity.top_k(corpus, asked, k=3, min_score=0.5, **options).collect()
+    assert sorted((r.question_id, r["rank"], r.match_id, r.score) for r in got) == [
+        ("a", 1, 0, 1.0),
+        ("a", 2, 1, 1.0),
+        ("a", 3, 2, 1.0),
+        ("b", 1, 104, 1.0),
+        ("b", 2, 0, 0.707107),
+        ("b", 3, 1, 0.707107),
+    ]
+
+
 @pytest.mark.parametrize("options", PATHS[:2])
 def test_empty_sides(spark, options):
     one = spark.createDataFrame([(1, [1.0])], "question_id long, embedding array<double>")

@@ -28,13 +28,13 @@ SCORE_DECIMALS = 6
 MAX_BROADCAST_FLOATS = 8_000_000  # 64 MB as doubles
 ROUNDING_MARGIN = 2 * 10.0**-SCORE_DECIMALS
 SCORES_AT_ONCE = 8_000_000
-BLOCK_ROWS = 50_000
+BLOCK_FLOATS = 4_000_000
 CELLS = 256
 ANGLE_MARGIN = 1e-6
 
 
 def _unit_rows(vectors: pa.Array) -> np.ndarray:
-    """A list column as a matrix of unit rows; rows of zeros stay zero."""
+    """A list column as a matrix of unit rows; rows without a finite length become zero."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if len(vectors) == 0:
@@ -42,7 +42,8 @@ def _unit_rows(vectors: pa.Array) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     matrix = flat.reshape(len(vectors), -1)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+    usable = np.isfinite(norms) & (norms > 0)
+    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=usable)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -51,6 +52,19 @@ def _ids(column: pa.Array) -> np.ndarray:
     return values.astype(str) if values.dtype == object else values
 
 
+def _first_copies(vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with the same vector, which tie for every question, the k smallest ids."""
+    width = vectors.itemsize * vectors.shape[1]
+    rows = np.ascontiguousarray(vectors).view(np.dtype((np.void, width))).ravel()
+    distinct, group = np.unique(rows, return_inverse=True)
+    if len(distinct) == len(rows):
+        return vectors, ids
+    order = np.lexsort((ids, group))
+    rank = np.arange(len(order)) - np.searchsorted(group[order], group[order])
+    kept = order[rank < k]
+    return vectors[kept], ids[kept]
+
+
 class _Best:
     """The k best rows per question seen so far, as flat arrays."""
 
@@ -96,6 +110,7 @@ class _Best:
 
 
 def _score(best: _Best, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
+    vectors, ids = _first_copies(vectors, ids, best.k)
     step = max(1, SCORES_AT_ONCE // max(1, len(questions)))
     for at in range(0, len(vectors), step):
         best.add(questions @ vectors[at : at + step].T, ids[at : at + step])
@@ -154,7 +169,7 @@ def cell_top_k(
     schema: T.StructType,
     k: int,
     min_score: float | None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     cells: int = CELLS,
 ) -> DataFrame:
     """Partial top-k per pair of blocks, for question sets too large to broadcast.
@@ -163,8 +178,9 @@ def cell_top_k(
     triangle inequality on angles, a cell of radius r holds nothing above the
     threshold for a question further from its centre than r plus the angle of the
     threshold, so leaving such cells out loses no row. Cells are cut into blocks of
-    about ``block_rows`` rows on both sides, and each pair of blocks is one group.
-    Columns are (id, vec) on both sides.
+    about ``block_rows`` rows on both sides (by default as many as make 32 MB of
+    doubles), and each pair of blocks is one group. Columns are (id, vec) on both
+    sides; ids are unique.
     """
     spark = corpus.sparkSession
     centre_rows = corpus.orderBy(F.xxhash64("id"), "id").limit(cells).select("vec").collect()
@@ -172,6 +188,8 @@ def cell_top_k(
         return spark.createDataFrame([], schema)
     centre_units = _unit_rows(pa.array([r.vec for r in centre_rows], pa.list_(pa.float64())))
     centres = spark.sparkContext.broadcast(centre_units)
+    if block_rows is None:
+        block_rows = max(1, BLOCK_FLOATS // max(1, centre_units.shape[1]))
 
     def angles(vectors: pa.Array) -> np.ndarray:
         return np.arccos(np.clip(_unit_rows(vectors) @ centres.value.T, -1.0, 1.0))
