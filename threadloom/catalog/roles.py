@@ -98,7 +98,7 @@ def sql_unescape(expr: str) -> str:
 
 def sql_clean(expr: str) -> str:
     expr = sql_unescape(f"coalesce({expr}, '')")
-    for pattern in INLINE_MARKUP:
+    for _, pattern in INLINE_MARKUP:
         expr = f"regexp_replace({expr}, '{pattern}', '\\1', 'g')"
     expr = f"regexp_replace({expr}, 'http[^{WHITESPACE_CLASS}]+', '', 'g')"
     expr = f"replace({expr}, chr(10), ' ')"

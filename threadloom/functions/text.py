@@ -7,6 +7,7 @@ Java's ``\\s`` is ASCII only.
 """
 
 import html
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -32,13 +33,14 @@ WHITESPACE_RANGES = (
 WHITESPACE_CLASS = "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in WHITESPACE_RANGES)
 WHITESPACE_CHARS = "".join(chr(c) for lo, hi in WHITESPACE_RANGES for c in range(lo, hi + 1))
 
-# Inline markup, each replaced by the text it wraps, in this order.
+# Inline markup as (what a text must contain, pattern). Each match is
+# replaced by the text it wraps, in this order.
 INLINE_MARKUP = (
-    r"\*\*([^\n]*?)\*\*",
-    r"\*([^\n]*?)\*",
-    r"~~([^\n]*?)~~",
-    r"`([^\n]*?)`",
-    r"\[([^\n]*?)\]\([^\n]*?\)",
+    ("**", r"\*\*([^\n]*?)\*\*"),
+    ("*", r"\*([^\n]*?)\*"),
+    ("~~", r"~~([^\n]*?)~~"),
+    ("`", r"`([^\n]*?)`"),
+    ("](", r"\[([^\n]*?)\]\([^\n]*?\)"),
 )
 
 
@@ -60,17 +62,29 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE_CHARS))
 
 
-def unwrap_markup(text: Column) -> Column:
-    """Replace inline markup by its text; texts without any marker skip the patterns."""
-    unwrapped = text
-    for pattern in INLINE_MARKUP:
-        unwrapped = F.regexp_replace(unwrapped, pattern, "$1")
-    marked = text.contains("*") | text.contains("~~") | text.contains("`") | text.contains("](")
-    return F.when(marked, unwrapped).otherwise(text)
+def replace_where(text: Column, marker: str, pattern: str, replacement: str) -> Column:
+    """Replace a pattern in the texts that contain ``marker``; a byte search spares the
+    others the pattern. ``text`` is evaluated more than once, so pass a plain column."""
+    replaced = F.regexp_replace(text, pattern, replacement)
+    return F.when(text.contains(marker), replaced).otherwise(text)
+
+
+def markup_steps() -> list[Callable[[Column], Column]]:
+    """The cleaning steps between entity decoding and the final strip, in order."""
+
+    def unwrap(marker: str, pattern: str) -> Callable[[Column], Column]:
+        return lambda text: replace_where(text, marker, pattern, "$1")
+
+    return [
+        *[unwrap(marker, pattern) for marker, pattern in INLINE_MARKUP],
+        drop_urls,
+        one_line,
+        squeeze_spaces,
+    ]
 
 
 def drop_urls(text: Column) -> Column:
-    return F.regexp_replace(text, f"http[^{WHITESPACE_CLASS}]+", "")
+    return replace_where(text, "http", f"http[^{WHITESPACE_CLASS}]+", "")
 
 
 def one_line(text: Column) -> Column:
@@ -79,19 +93,20 @@ def one_line(text: Column) -> Column:
 
 def squeeze_spaces(text: Column) -> Column:
     """Runs of spaces become one; other whitespace stays."""
-    squeezed = F.regexp_replace(text, " {2,}", " ")
-    return F.when(text.contains("  "), squeezed).otherwise(text)
-
-
-def clean_markup(text: Column) -> Column:
-    """All cleaning steps except entity decoding; null becomes ''."""
-    plain = drop_urls(unwrap_markup(F.coalesce(text, F.lit(""))))
-    return strip(squeeze_spaces(one_line(plain)))
+    return replace_where(text, "  ", " {2,}", " ")
 
 
 def clean_text(text: Column) -> Column:
-    """Plain text of a post or comment body; null becomes ''."""
-    return clean_markup(html_unescape(F.coalesce(text, F.lit(""))))
+    """Plain text of a post or comment body; null becomes ''.
+
+    For an expression inside another; :func:`threadloom.operators.cleaning.with_clean_text`
+    is faster for a column of a frame.
+    """
+    plain = html_unescape(F.coalesce(text, F.lit("")))
+    for _, pattern in INLINE_MARKUP:
+        plain = F.regexp_replace(plain, pattern, "$1")
+    plain = F.regexp_replace(plain, f"http[^{WHITESPACE_CLASS}]+", "")
+    return strip(F.regexp_replace(one_line(plain), " {2,}", " "))
 
 
 def stripped_length(text: Column) -> Column:

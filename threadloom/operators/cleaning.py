@@ -9,14 +9,13 @@ from threadloom.functions import text as X
 def with_clean_text(df: DataFrame, source: str, target: str) -> DataFrame:
     """Adds the plain text of ``source`` as ``target``.
 
-    Steps that look at their input twice (a guard and a pattern) are projections of
-    their own, so no step is repeated. The last one is an explode of one element: a
-    filter on the result stays above it, where it would otherwise be pushed below
-    and clean every text a second time. Filters on other columns still reach the scan.
+    Each step is a projection of its own, because its guard and its pattern both read
+    what the step before gave. The last one is an explode of one element: a filter on
+    the result stays above it, where it would otherwise be pushed below and clean
+    every text a second time. Filters on other columns still reach the scan.
     """
     text = F.col("_text")
     steps = df.withColumn("_text", X.html_unescape(F.coalesce(F.col(source), F.lit(""))))
-    steps = steps.withColumn("_text", X.unwrap_markup(text))
-    steps = steps.withColumn("_text", X.one_line(X.drop_urls(text)))
-    steps = steps.withColumn("_text", X.squeeze_spaces(text))
+    for step in X.markup_steps():
+        steps = steps.withColumn("_text", step(text))
     return steps.select(*df.columns, F.explode(F.array(X.strip(text))).alias(target))
