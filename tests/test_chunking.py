@@ -71,6 +71,15 @@ def test_chunks_are_as_full_as_they_can_be(lengths, size):
         assert (following if following >= 0 else len(text)) - a > size
 
 
+@settings(max_examples=1000, deadline=None)
+@given(st.text(alphabet="a \n", max_size=120), st.integers(2, 12), st.integers(0, 8))
+def test_jumping_cuts_like_going_piece_by_piece(text, size, overlap):
+    overlap = min(overlap, size - 1)
+    for separator in " \n":
+        args = (text, 0, len(text), size, overlap, separator)
+        assert list(chunking._cut_by_jumps(*args)) == list(chunking._cut_by_pieces(*args))
+
+
 def mart_rows(spark):
     schema = (
         "post_id string, post_title string, post_body string, post_author string, "

@@ -33,7 +33,18 @@ def chunk_spans(
     if not separator:
         yield from _character_spans(start, end, size, overlap)
         return
+    cut = _cut_by_pieces if len(separator) > 1 else _cut_by_jumps
+    for a, b, whole in cut(text, start, end, size, overlap, separator):
+        if whole:
+            yield a, b
+        else:
+            yield from chunk_spans(text, a, b, size, overlap, level + 1)
+
 
+def _cut_by_pieces(
+    text: str, start: int, end: int, size: int, overlap: int, separator: str
+) -> Iterator[tuple[int, int, bool]]:
+    """(from, to, True) per chunk and (from, to, False) per piece that is too long."""
     chunk: deque[int] = deque()  # where the pieces of the open chunk start
     at = start
     while at < end:
@@ -42,18 +53,44 @@ def chunk_spans(
         piece_end = end if following < 0 else following
         if piece_end - at >= size:
             if chunk:
-                yield chunk[0], at
+                yield chunk[0], at, True
                 chunk.clear()
-            yield from chunk_spans(text, at, piece_end, size, overlap, level + 1)
+            yield at, piece_end, False
         else:
             if chunk and piece_end - chunk[0] > size:
-                yield chunk[0], at
+                yield chunk[0], at, True
                 while chunk and (at - chunk[0] > overlap or piece_end - chunk[0] > size):
                     chunk.popleft()
             chunk.append(at)
         at = piece_end
     if chunk:
-        yield chunk[0], end
+        yield chunk[0], end, True
+
+
+def _cut_by_jumps(
+    text: str, start: int, end: int, size: int, overlap: int, separator: str
+) -> Iterator[tuple[int, int, bool]]:
+    """The same for a separator of one character, searched from chunk to chunk instead
+    of from piece to piece."""
+    head = at = start  # the open chunk covers head to at; a piece starts at at
+    while at < end:
+        # Take in all pieces that fit.
+        reach = end if end - head <= size else text.rfind(separator, at + 1, head + size + 1)
+        following = text.find(separator, at + 1, end)
+        piece_end = end if following < 0 else following
+        if piece_end - at >= size:
+            if head < at:
+                yield head, at, True
+            yield at, piece_end, False
+            head = at = piece_end
+        elif reach > at:
+            at = reach
+        else:
+            yield head, at, True
+            earliest = max(at - overlap, piece_end - size, head + 1)
+            head = text.find(separator, earliest, at + 1)
+    if head < end:
+        yield head, end, True
 
 
 def _character_spans(start: int, end: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
