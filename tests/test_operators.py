@@ -51,6 +51,12 @@ def test_left_join_gives_the_same_rows_however_it_is_spread(spark, hot_rows):
     spread = left_join_one_to_many(left, right, "k", "rk", ["r"], hot_rows, skew_bytes=0)
     assert spread.columns == ["k", "l", "rk", "r"]
     assert bag(spread) == bag(plain)
+    # Counted on rows that are not all on the right side: key 0 is hot there, gone here.
+    fewer = right.where("rk <> 0")
+    counted_raw = left_join_one_to_many(
+        left, fewer, "k", "rk", ["r"], hot_rows, skew_bytes=0, count_from=right
+    )
+    assert bag(counted_raw) == bag(left.join(fewer, F.col("k") == F.col("rk"), "left"))
 
 
 def test_small_tables_are_not_counted(spark, monkeypatch):

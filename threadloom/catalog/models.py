@@ -25,7 +25,11 @@ def staged_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transform.build_mart(staged_posts(spark, sf_dir), staged_comments(spark, sf_dir))
+    return transform.build_mart(
+        staged_posts(spark, sf_dir),
+        staged_comments(spark, sf_dir),
+        raw_comments=comments(spark, sf_dir),
+    )
 
 
 @query(f"with {STAGED_CTES} select * from fct_posts")

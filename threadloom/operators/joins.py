@@ -32,6 +32,7 @@ def left_join_one_to_many(
     spread_on: list[str],
     hot_rows: int | None = HOT_ROWS,
     skew_bytes: int = SKEW_BYTES,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer equi-join whose right side may be dominated by a few keys.
 
@@ -42,19 +43,32 @@ def left_join_one_to_many(
     once per share; as a hot key always has a match, the shares that stay empty
     are recognised by their null right side and dropped.
 
+    ``count_from`` may name a cheaper frame to count first, one with the same key
+    column and at least the rows of the right side, such as the raw records behind it;
+    the right side itself is then counted only for the keys that are hot there.
+
     Both sides must have distinct column names. ``hot_rows=None`` never counts.
     """
     matches = F.col(left_key) == F.col(right_key)
-    hot = []
-    if hot_rows is not None and estimated_bytes(right) >= skew_bytes:
-        hot = hot_keys(right, right_key, hot_rows).collect()
-    if not hot:
-        return left.join(right, matches, "left")
-
-    # One entry stands for more than hot_rows rows, so the list stays small.
     spark = left.sparkSession
     key_type = right.schema[right_key].dataType.simpleString()
-    shares = F.broadcast(spark.createDataFrame(hot, f"_key {key_type}, _shares int"))
+
+    def shares_of(df: DataFrame) -> DataFrame | None:
+        # One entry stands for more than hot_rows rows, so the list stays small.
+        hot = hot_keys(df, right_key, hot_rows).collect()
+        if not hot:
+            return None
+        return F.broadcast(spark.createDataFrame(hot, f"_key {key_type}, _shares int"))
+
+    shares = None
+    counted = right if count_from is None else count_from
+    if hot_rows is not None and estimated_bytes(counted) >= skew_bytes:
+        shares = shares_of(counted)
+        if shares is not None and count_from is not None:
+            is_candidate = F.col(right_key) == F.col("_key")
+            shares = shares_of(right.join(shares, is_candidate, "left_semi"))
+    if shares is None:
+        return left.join(right, matches, "left")
 
     def with_shares(df: DataFrame, key: str) -> DataFrame:
         return df.join(shares, F.col(key) == F.col("_key"), "left").drop("_key")

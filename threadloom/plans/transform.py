@@ -87,16 +87,31 @@ MART_COMMENT_COLUMNS = (
 
 
 def build_mart(
-    stg_posts: DataFrame, stg_comments: DataFrame, hot_rows: int | None = HOT_ROWS
+    stg_posts: DataFrame,
+    stg_comments: DataFrame,
+    hot_rows: int | None = HOT_ROWS,
+    raw_comments: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per comment with its post's columns; posts without comments stay."""
+    """One row per comment with its post's columns; posts without comments stay.
+
+    Where the staged comments are not stored but computed, the raw ones tell hot posts
+    without cleaning any text.
+    """
     posts = stg_posts.select(*[F.col(a).alias(b) for a, b in MART_POST_COLUMNS])
     comments = stg_comments.select(
         *[F.col(a).alias(b) for a, b in MART_COMMENT_COLUMNS],
         F.col("parent_post_id").alias("_parent"),
     )
+    if raw_comments is not None:
+        raw_comments = raw_comments.select(F.col("parent_post_id").alias("_parent"))
     joined = left_join_one_to_many(
-        posts, comments, "post_id", "_parent", spread_on=["comment_id"], hot_rows=hot_rows
+        posts,
+        comments,
+        "post_id",
+        "_parent",
+        spread_on=["comment_id"],
+        hot_rows=hot_rows,
+        count_from=raw_comments,
     )
     return joined.drop("_parent")
 
