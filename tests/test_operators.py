@@ -27,6 +27,14 @@ def test_dedupe_cuts_rows_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan
 
 
+def test_dedupe_with_a_map_column(spark):
+    df = spark.createDataFrame(
+        [("a", 1, {"k": "v"}), ("a", 2, {})], "id string, n int, m map<string,string>"
+    )
+    rows = latest_by_key(df, ["id"], [F.col("n").desc()]).collect()
+    assert [(r.id, r.n, r.m) for r in rows] == [("a", 2, {})]
+
+
 def test_merge_by_key(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "id string, t int, v string")
     new = spark.createDataFrame([("b", 2, "y"), ("c", 2, "y")], "id string, t int, v string")

@@ -155,6 +155,26 @@ def test_staging_appends_and_the_last_load_counts(spark, tmp_path):
     assert {(r.id, r.v) for r in sinks.current_rows(staged).collect()} == {("a", 2), ("b", 1)}
 
 
+def test_staging_as_table_and_tables_by_name(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "ID string, V int")
+    try:
+        for day in (1, 2):
+            sinks.append_table(rows, "staging_test", datetime(2024, 1, day))
+        staged = tables.read_query(spark, "select * from staging_test")
+        assert staged.count() == 2 and sinks.current_rows(staged).count() == 1
+    finally:
+        spark.sql("drop table if exists staging_test")
+
+    rows.write.parquet(str(tmp_path / "one.parquet"))
+    rows.union(rows).write.parquet(str(tmp_path / "two.parquet"))
+    named = tables.load_tables(spark, str(tmp_path), ["one", "two"])
+    tables.register_views(named)
+    joined = tables.read_query(
+        spark, "select count(*) as n from one join {other} using (ID)", other=named["two"]
+    )
+    assert joined.first().n == 2
+
+
 def test_partition_overwrite_leaves_other_forums(spark, tmp_path):
     path = str(tmp_path / "t")
     both = spark.createDataFrame([("f", 1), ("g", 1)], "subreddit string, v int")

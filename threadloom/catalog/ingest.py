@@ -53,7 +53,9 @@ def comment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         raw.withColumn("block", F.floor(turn / PAGE_SIZE))
         .groupBy(F.col("parent_post_id").alias("post_id"), "block")
-        .agg(F.concat(F.lit('[{"kind": "Listing"}, '), F.to_json(listing), F.lit("]")).alias("body"))
+        .agg(
+            F.concat(F.lit('[{"kind": "Listing"}, '), F.to_json(listing), F.lit("]")).alias("body")
+        )
     )
 
 

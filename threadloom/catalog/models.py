@@ -216,7 +216,10 @@ def first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.first_posts(docs, [F.col("doc_id")], 5, forum="source")
 
 
-@query(f"with {STAGED_CTES} select * from fct_posts order by post_id, comment_id nulls first limit 50")
+@query(
+    f"""with {STAGED_CTES} select * from fct_posts
+    order by post_id, comment_id nulls first limit 50"""
+)
 def ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col("post_id"), F.col("comment_id").asc_nulls_first()]
     return ranking.ordered_limit(mart(spark, sf_dir), order)

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 ) -> DataFrame:
-    """Keeps the first row per key in ``order_by``; remaining columns break ties.
+    """Keeps the first row per key in ``order_by``; remaining columns break ties, except
+    maps, which have no order.
 
     Each task cuts its own rows to one per key before the shuffle (a window group
     limit), so a key that holds much of the table sends one row per task.
     """
-    ties = [F.col(c) for c in df.columns if c not in keys]
+    ordered = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    ties = [F.col(c) for c in ordered if c not in keys]
     ranked = Window.partitionBy(*keys).orderBy(*order_by, *ties)
     return df.withColumn("_rn", F.row_number().over(ranked)).where("_rn = 1").drop("_rn")
 

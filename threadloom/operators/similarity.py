@@ -48,7 +48,9 @@ def _unit_rows(vectors: pa.Array) -> np.ndarray:
 
 def _ids(column: pa.Array) -> np.ndarray:
     """Ids in a form that sorts as Spark sorts them."""
-    values = column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    values = column.to_numpy(zero_copy_only=False)
     return values.astype(str) if values.dtype == object else values
 
 
@@ -212,7 +214,8 @@ def cell_top_k(
     radius = np.full(len(centre_rows), -np.inf)
     for row in stats:
         radius[row.cell] = row.r
-    reach = math.pi if min_score is None else math.acos(max(-1.0, min(1.0, min_score - ANGLE_MARGIN)))
+    lowest = -1.0 if min_score is None else min_score - ANGLE_MARGIN
+    reach = math.acos(min(1.0, max(-1.0, lowest)))
 
     @F.arrow_udf("array<int>")
     def candidate_cells(vectors: pa.Array) -> pa.Array:

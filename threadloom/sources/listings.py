@@ -23,7 +23,8 @@ def unnest_listing(pages: DataFrame, body: str = "body") -> DataFrame:
         F.posexplode("_page.data.children").alias("position", "_node"),
     )
     fields = [F.col(f"_node.data.{f.name}").alias(f.name) for f in schemas.POST]
-    return nodes.select(*[c for c in keep if c not in schemas.POST.names], "after", "position", *fields)
+    own = [c for c in keep if c not in schemas.POST.names]
+    return nodes.select(*own, "after", "position", *fields)
 
 
 def unnest_comments(
@@ -42,7 +43,9 @@ def unnest_comments(
     nodes = F.get(F.from_json(body, schemas.COMMENT_ENVELOPE), F.lit(1))["data"]["children"]
     if limit is not None:
         nodes = F.slice(nodes, 1, limit)
-    rows = envelopes.select(F.col(post_id).cast("string").alias("_post"), F.explode(nodes).alias("_node"))
+    rows = envelopes.select(
+        F.col(post_id).cast("string").alias("_post"), F.explode(nodes).alias("_node")
+    )
     fields = [
         F.col("_post").alias(f.name)
         if f.name == "parent_post_id"
