@@ -10,7 +10,7 @@ import sys
 import time
 
 from threadloom.catalog import QUERIES
-from threadloom.session import build_session
+from threadloom.session import build_session, ensure_work_folder
 
 HEADLINE = [
     "fct_posts",
@@ -60,6 +60,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_work_folder(spark)
     seconds = {}
     for name in only or HEADLINE:
         runs = []

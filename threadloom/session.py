@@ -35,15 +35,23 @@ def build_session(app: str = "threadloom", master: str | None = None, **conf: st
     return configure(builder.getOrCreate())
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one in ``spark.checkpoint.dir``.
+def ensure_work_folder(spark: SparkSession) -> str:
+    """The shared folder of the session; only a local session that names none gets a new one.
 
-    Only a local session without that setting falls back to a temporary folder.
+    For entry points, tests and benchmarks. Operators call ``work_dir``, which never makes one up.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="threadloom-")
         spark.conf.set("spark.checkpoint.dir", base)
+    return base
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one in ``spark.checkpoint.dir``, which must be set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/threadloom/{name}-{uuid.uuid4().hex}"
