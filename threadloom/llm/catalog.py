@@ -7,11 +7,86 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import simhash, substring
-from threadloom.llm.common import table
+from threadloom.llm import (
+    decontamination,
+    embedding_graph,
+    html_text,
+    language,
+    line_dedup,
+    pieces,
+    simhash,
+    substring,
+    toxicity,
+    url_filter,
+)
+from threadloom.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Verdicts by host and path.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
+TOXICITY_FOLDS, TOXICITY_HELD_OUT = 4, 2
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = html_text.extract(table(spark, sf_dir, "pages"))
+    return made.select(F.col("id").alias("page_id"), "url", "text", "n_chars")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs))
+    return both.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+        "piece_ids",
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, fold("doc_id", LANGUAGE_FOLDS) != LANGUAGE_HELD_OUT)
+    held_out = F.coalesce(fold("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT, F.lit(False))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = line_dedup.strip_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return made.select("doc_id", F.col("n_lines").cast("long"), F.col("n_removed").cast("long"), "text")
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_graph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score", "decided_by")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", TOXICITY_FOLDS) != TOXICITY_HELD_OUT)
+    scored = toxicity.score(docs, index).withColumnRenamed("id", "doc_id")
+    held_out = F.coalesce(fold("doc_id", TOXICITY_FOLDS) == TOXICITY_HELD_OUT, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence", "cosines")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "first_word", "changed")
+
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"), words=3)
@@ -28,9 +103,40 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
+        op1_html_extraction,
+        op2_sentencepiece,
+        op3_language_id,
+        op4_line_dedup,
+        op5_embedding_near_dedup,
+        op6_url_filter,
+        op7_toxicity,
+        op8_decontamination,
         op9_simhash_near_dedup,
         op10_substring_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": f"""
+with lines as (
+    select doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) as pos,
+           unnest(string_split(text, chr(10))) as line
+    from documents
+),
+shared as (
+    select trim(line) as k from lines where trim(line) <> '' group by 1
+    having count(distinct source) >= {line_dedup.MIN_SITES}
+),
+marked as (select l.doc_id, l.pos, l.line, s.k is not null as gone from lines l left join shared s on trim(l.line) = s.k),
+cut as (
+    select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_gone,
+           string_agg(line, chr(10) order by pos) filter (where not gone) as left_text,
+           coalesce(sum(length(line)) filter (where not gone), 0) as left_chars, sum(length(line)) as all_chars
+    from marked group by doc_id
+)
+select d.doc_id, coalesce(n_lines, 0) as n_lines,
+       case when left_chars < {1 - line_dedup.MAX_SHARE} * all_chars then 0 else coalesce(n_gone, 0) end as n_removed,
+       case when left_chars < {1 - line_dedup.MAX_SHARE} * all_chars or d.text is null then d.text else coalesce(left_text, '') end as text
+from documents d left join cut c on d.doc_id = c.doc_id
+""",
+}

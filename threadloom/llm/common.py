@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    out = np.ones(n, dtype=np.uint64)
+    if n > 1:
+        out[1:] = np.uint64(base)
+        np.multiply.accumulate(out, out=out)
+    return out
+
+
+class Rolling:
+    """Polynomial hashes of slices of an array, from prefix sums modulo 2**64."""
+
+    def __init__(self, base: int):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.up, self.down = _powers(base, 1), _powers(self.inverse, 1)
+
+    def __call__(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(values)
+        if len(self.up) < n + 1:
+            size = max(n + 1, 2 * len(self.up))
+            self.up, self.down = _powers(self.base, size), _powers(self.inverse, size)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values * self.up[:n], out=sums[1:])
+        return (sums[ends] - sums[starts]) * self.down[starts]
+
+
 def unite(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Join the classes of i[k] and j[k] in an array of class labels (smallest member's index)."""
     while True:
@@ -103,3 +130,20 @@ def components(edges: DataFrame) -> DataFrame:
                 pairs.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
             )
         seen = state
+
+
+#: Text bytes that one step in Python takes at once; a longer text is a step of its own.
+STEP_BYTES = 4 << 20
+
+
+def steps(batches, name: str, limit: int = STEP_BYTES):
+    """Cut Arrow batches into slices of bounded text size, at least one row each."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name)).cast("binary")), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, to - at)
+            at = to

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import components, stored, texts_of, unite
+from threadloom.llm.common import components, steps, stored, texts_of, unite
 
 BLOCK_BITS = 32
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches, "text"):
             prints = _majority([_shingle_hashes(x, words) for x in texts_of(batch, "text")])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["id", "fp"])
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import mix, stored, texts_of
+from threadloom.llm.common import Rolling, mix, steps, texts_of
 
 WINDOW = 13
 PART = 7
@@ -36,38 +36,12 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.ones(n, dtype=np.uint64)
-    if n > 1:
-        out[1:] = np.uint64(base)
-        np.multiply.accumulate(out, out=out)
-    return out
-
-
-class _Rolling:
-    """Polynomial hashes of slices of an array, from prefix sums modulo 2**64."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up, self.down = _powers(base, 1), _powers(self.inverse, 1)
-
-    def __call__(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        n = len(values)
-        if len(self.up) < n + 1:
-            size = max(n + 1, 2 * len(self.up))
-            self.up, self.down = _powers(self.base, size), _powers(self.inverse, size)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * self.up[:n], out=sums[1:])
-        return (sums[ends] - sums[starts]) * self.down[starts]
-
-
 class Windows:
     """Windows of a list of texts: document index, position, 96-bit hash and minimizer."""
 
     def __init__(self):
-        self.bytes, self.words = _Rolling(0x5851F42D4C957F2D), _Rolling(0xD1342543DE82EF95)
-        self.more = _Rolling(0x2545F4914F6CDD1D)
+        self.bytes, self.words = Rolling(0x5851F42D4C957F2D), Rolling(0xD1342543DE82EF95)
+        self.more = Rolling(0x2545F4914F6CDD1D)
 
     def word_hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Hash of every word and the index of its text."""
@@ -141,7 +115,7 @@ def _partition_sketch(bits: int):
             )
 
         held, n = [], 0
-        for batch in batches:
+        for batch in steps(batches, "text"):
             doc, _, _, _, key = windows(texts_of(batch, "text"))
             if not len(key):
                 continue
@@ -223,7 +197,7 @@ CANDIDATES = "h1 long, h2 int, id long, tag int, pos int, done binary"
 def _candidates(shared, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, flags = Windows(), shared.value
-        for batch in batches:
+        for batch in steps(batches, "text"):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tags = batch.column(1).to_numpy(zero_copy_only=False)
             doc, pos, h1, h2, key = windows(texts_of(batch, "text"))
@@ -280,7 +254,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in steps(batches, "text"):
         out = ([], [], [], [])
         rows = zip(texts_of(batch, "text"), batch.column("pos").to_pylist(), batch.column("done").to_pylist(), strict=True)
         for text, pos, done in rows:
