@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Records per Arrow batch sent to Python; texts can be long, so batches stay small.
 BATCH_ROWS = "1000"
@@ -37,6 +38,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where a column of df has the same one but for case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def plus(df: DataFrame, types: str) -> StructType:
+    """The schema of df with the nullable columns of a DDL string behind it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(types).fields])
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; null ids are in no fold."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(folds)

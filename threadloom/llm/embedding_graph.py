@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import components, stored, unite
+from threadloom.llm.common import components, plus, stored, unite
 
 THRESHOLD = 0.93
 #: Nodes per shard aimed at, and the most of a chunk; a task holds two chunks at most.
@@ -98,8 +98,7 @@ def _assign(nodes: DataFrame, centres: dict[int, np.ndarray], overlap: int) -> D
                     [*rows.columns, pa.array(order.ravel().astype(np.int32)), pa.array(home)], names=[*batch.schema.names, "shard", "home"]
                 )
 
-    schema = nodes.select("*", F.lit(0).alias("shard"), F.lit(True).alias("home")).schema
-    return nodes.mapInArrow(run, schema)
+    return nodes.mapInArrow(run, plus(nodes, "shard int, home boolean"))
 
 
 def _dealt(members: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import steps
+from threadloom.llm.common import plus, steps
 
 DIM = 1 << 12
 #: Labelled texts per language that the classifiers are fitted on.
@@ -181,12 +181,11 @@ def _decide(model: Model, margins: np.ndarray, known: np.ndarray) -> tuple[list[
     return lang.tolist(), np.where(known & (len(names) > 0), score, 0.0)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score (0 to 1) from the whole text alone.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the predicted language and its score (0 to 1) in two more columns, from the whole text alone.
 
-    lang_pred is a learned language, or und with score 0 where the text is null, has no letter
-    or nothing was learned. Columns lang_pred and score of docs are replaced; a column whose
-    name differs from these only in case would make later references ambiguous.
+    The language is a learned one, or und with score 0 where the text is null, has no letter or
+    nothing was learned. Columns of docs named as in into are replaced; all others stay.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -203,10 +202,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             margins = sums / np.maximum(counts, 1)[:, None] + model.bias
             lang, score = _decide(model, margins, counts > 0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lang, pa.string()), pa.array(score)],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*batch.schema.names, *into]
             )
 
-    rest = docs.drop("lang_pred", "score")
-    schema = rest.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rest.mapInArrow(run, schema)
+    rest = docs.drop(*into)
+    return rest.mapInArrow(run, plus(rest, f"`{into[0]}` string, `{into[1]}` double"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import stored
+from threadloom.llm.common import fresh, stored
 
 MIN_SITES = 10
 MAX_SHARE = 0.5
@@ -50,29 +50,32 @@ def strip_shared_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     site_col: str = "source",
+    into: tuple[str, str] | None = ("n_lines", "n_removed"),
 ) -> DataFrame:
-    """docs with text replaced and n_lines, n_removed added; every row stays.
+    """docs with text replaced and, unless into is None, two counts added; every row stays.
 
     Lines are separated by newlines. Blank lines are never shared and stay where they are. A null
     source is no site: its lines count for no one but are removed like others. Null text stays
-    null with no lines; rows that share an id lose the same lines. Columns of docs named n_lines
-    or n_removed are replaced.
+    null with no lines; rows that share an id lose the same lines. Columns of docs named as in
+    into are replaced; all others stay.
     """
     lines = docs.select(
         F.col(id_col).alias("id"), F.col(site_col).alias("site"), F.explode(F.split(text_col, "\n")).alias("line")
     ).select("id", "site", "line", line_key(F.col("line")).alias("key"))
-    shared = stored(shared_lines(lines.where("key is not null and site is not null").select("key", "site"), min_sites), "shared")
-    hits = lines.join(shared.select("key"), "key", "left_semi").groupBy("id").agg(F.collect_set("line").alias("gone"))
-    rest = docs.drop("n_lines", "n_removed")
-    joined = rest.join(hits, rest[id_col].eqNullSafe(hits["id"]), "left").drop("id") if id_col != "id" else rest.join(hits, "id", "left")
-    text = F.col(text_col)
-    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("gone", x))
-    cut = joined.withColumn("kept", F.when(F.col("gone").isNull(), F.split(text, "\n")).otherwise(kept))
-    left = F.array_join("kept", "\n")
-    own = F.length(F.replace(text, F.lit("\n"), F.lit("")))
-    much = F.length(F.replace(left, F.lit("\n"), F.lit(""))) < own * (1 - max_share)
-    size = F.coalesce(F.size(F.split(text, "\n")), F.lit(0))
-    cut = cut.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(size)).withColumn(
-        "n_removed", F.when(text.isNull() | much, 0).otherwise(size - F.size("kept"))
+    shared = shared_lines(lines.where("key is not null and site is not null").select("key", "site"), min_sites)
+    hits = lines.join(stored(shared.select("key"), "shared"), "key", "left_semi").groupBy("id").agg(F.collect_set("line").alias("gone"))
+    rest = docs.drop(*into) if into else docs
+    gone, own, kept, left, size = fresh(rest, "gone", "own", "kept", "left", "size")
+    hits = hits.select(F.col("id").alias(own), F.col("gone").alias(gone))
+    joined = rest.join(hits, rest[id_col].eqNullSafe(hits[own]), "left")
+    text, lines_of = F.col(text_col), F.split(F.col(text_col), "\n")
+    cut = joined.withColumn(
+        kept, F.when(F.col(gone).isNull(), lines_of).otherwise(F.filter(lines_of, lambda x: ~F.array_contains(gone, x)))
     )
-    return cut.withColumn(text_col, F.when(much, text).otherwise(left)).drop("kept", "gone")
+    cut = cut.withColumn(left, F.array_join(kept, "\n")).withColumn(size, F.coalesce(F.size(lines_of), F.lit(0)))
+    chars = lambda x: F.length(F.replace(x, F.lit("\n"), F.lit("")))
+    much = chars(F.col(left)) < chars(text) * (1 - max_share)
+    if into:
+        removed = F.when(text.isNull() | much, 0).otherwise(F.col(size) - F.size(kept))
+        cut = cut.withColumn(into[0], F.when(text.isNull(), 0).otherwise(F.col(size))).withColumn(into[1], removed)
+    return cut.withColumn(text_col, F.when(much, text).otherwise(F.col(left))).select(*rest.columns, *(into or ()))

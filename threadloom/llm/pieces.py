@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import mix, steps
+from threadloom.llm.common import fresh, mix, plus, steps
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -253,7 +253,8 @@ def encode(
     share id and text get the same pieces; a null id is an id of its own.
     """
     rest = docs.drop("piece_ids")
-    rows = rest.withColumn("_key", F.xxhash64(F.col(id_col)))
+    (key,) = fresh(rest, "key")
+    rows = rest.withColumn(key, F.xxhash64(F.col(id_col)))
     proto = rest.sparkSession.sparkContext.broadcast(_proto(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,8 +268,7 @@ def encode(
                 [*batch.columns[:-1], made], names=[*batch.schema.names[:-1], "piece_ids"]
             )
 
-    schema = rest.select("*", F.array(F.lit(0)).alias("piece_ids")).schema
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, plus(rest, "piece_ids array<int>"))
 
 
 def decode(rows: DataFrame, model_file: str = MODEL, ids_col: str = "piece_ids", into: str = "decoded") -> DataFrame:
@@ -287,4 +287,4 @@ def decode(rows: DataFrame, model_file: str = MODEL, ids_col: str = "piece_ids",
                 texts.append(b"".join([known[i] for i in values[a:b].tolist()])[1:].decode("utf-8", "replace") if valid else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return rest.mapInArrow(run, rest.select("*", F.lit("").alias(into)).schema)
+    return rest.mapInArrow(run, plus(rest, f"`{into}` string"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import components, steps, stored, texts_of, unite
+from threadloom.llm.common import components, mix, steps, stored, texts_of, unite
 
 BLOCK_BITS = 32
 BLOCK_MASK = (1 << BLOCK_BITS) - 1
@@ -46,11 +46,9 @@ def _shingle_hashes(text: bytes, words: int) -> list[int]:
     return [digest(joined[a : b - 1], 42) for a, b in zip(starts, starts[words:], strict=False)]
 
 
-def _majority(hashes: list[list[int]]) -> np.ndarray:
-    """One fingerprint per list: bit set where over half of the hashes have it."""
-    counts = np.fromiter(map(len, hashes), dtype=np.int64, count=len(hashes))
-    flat = np.fromiter((h for some in hashes for h in some), dtype=np.uint64, count=int(counts.sum()))
-    ones = np.zeros((len(hashes), 64), dtype=np.int64)
+def _majority(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One fingerprint per run of counts hashes: bit set where over half of them have it."""
+    ones = np.zeros((len(counts), 64), dtype=np.int64)
     if len(flat):
         ends = np.cumsum(counts)
         # Byte lanes hold sums of at most 255 hashes, so longer lists go in pieces.
@@ -59,27 +57,32 @@ def _majority(hashes: list[list[int]]) -> np.ndarray:
         for k in range(8):
             sums = np.add.reduceat((flat >> np.uint64(k)) & LANES, pieces.astype(np.int64))
             lanes = sums.view(np.uint8).reshape(-1, 8).astype(np.int64)
-            per = np.zeros((len(hashes), 8), dtype=np.int64)
+            per = np.zeros((len(counts), 8), dtype=np.int64)
             np.add.at(per, owner, lanes)
             ones[:, k::8] = per
     bits = (ones * 2 > counts[:, None]).astype(np.uint8)
     return np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
 
 
-def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, fp): the SimHash of the lower-cased (A-Z) shingles of every whole text.
+def fingerprints(docs: DataFrame, words: int, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, fp0, fp1, ...): SimHashes of the lower-cased (A-Z) shingles of every whole text.
 
-    fp is the 64-bit fingerprint as a signed long. A text with fewer words than a shingle is
-    one shingle; null, empty and blank texts have fingerprint zero. Ids may be null or repeat.
+    Each is a 64-bit fingerprint as a signed long, the first from the XXH64 (seed 42) of the
+    shingles, further ones from hashes derived from it. A text with fewer words than a shingle
+    is one shingle; null, empty and blank texts have fingerprint zero. Ids may be null or repeat.
     """
+    names = [f"fp{k}" for k in range(lanes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            prints = _majority([_shingle_hashes(x, words) for x in texts_of(batch, "text")])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["id", "fp"])
+            hashes = [_shingle_hashes(x, words) for x in texts_of(batch, "text")]
+            counts = np.fromiter(map(len, hashes), dtype=np.int64, count=len(hashes))
+            flat = np.fromiter((h for some in hashes for h in some), dtype=np.uint64, count=int(counts.sum()))
+            prints = [_majority(flat if k == 0 else mix(flat + np.uint64(k)), counts) for k in range(lanes)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, prints)], names=["id", *names])
 
     cut = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return cut.mapInArrow(run, "id long, fp long")
+    return cut.mapInArrow(run, ", ".join(["id long", *(f"{n} long" for n in names)]))
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
@@ -149,13 +152,13 @@ def _links(max_bits: int):
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame:
-    """Rows (a, b) of fingerprints that differ in at most max_bits (3 or fewer) bits.
+    """Rows (a, b) of fingerprints that differ in at most max_bits bits.
 
     nodes has distinct fingerprints (fp). The rows form a spanning forest per cell, so their
-    connected components are those of all such pairs.
+    connected components are those of all such pairs if max_bits is 3 or less. With a higher
+    max_bits, pairs of more than 3 differing bits are found only if their points are at most one
+    apart in one of the blocks.
     """
-    if not 0 <= max_bits <= MAX_BITS:
-        raise ValueError(f"two blocks serve 0 to {MAX_BITS} differing bits")
     rows = _cells(nodes)
     crowded = stored(rows.groupBy("cell").count().where(F.col("count") > chunk), "cells")
     share = F.coalesce(F.ceil(F.col("count") / chunk), F.lit(1)).cast("int")
@@ -181,7 +184,9 @@ def near_groups(
     Rows with equal fingerprints link, fingerprint zero (no words) among them. A null id never
     names a component unless all ids of the component are null.
     """
-    prints = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"two blocks find all pairs of up to {MAX_BITS} differing bits")
+    prints = stored(fingerprints(docs, words, 1, id_col, text_col).withColumnRenamed("fp0", "fp"), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
     roots = components(links(nodes.select("fp"), max_bits))
     classes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -195,3 +200,84 @@ def near_groups(
 def hex_of(fp):
     """A fingerprint as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def _similar(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, shingles = None, frozenset()
+        for batch in batches:
+            out = []
+            for mine, other in zip(texts_of(batch, "text"), texts_of(batch, "lead"), strict=True):
+                if mine == other:
+                    out.append(1.0)
+                    continue
+                if other != last:
+                    last, shingles = other, frozenset(_shingle_hashes(other, words))
+                own = frozenset(_shingle_hashes(mine, words))
+                both = len(own & shingles)
+                out.append(both / (len(own) + len(shingles) - both) if own or shingles else 1.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], names=["component", "id", "text", "of", "similarity"])
+
+    return run
+
+
+def wide_groups(docs: DataFrame, words: int, lanes: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, component) of groups linked in any of several independent fingerprints; ids not null.
+
+    One fingerprint misses many near copies of short texts; each further one is another chance.
+    """
+    names = [f"fp{k}" for k in range(lanes)]
+    prints = stored(fingerprints(docs, words, lanes, id_col, text_col), "fingerprints")
+    nodes = stored(prints.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
+    edges = None
+    for name in names:
+        # Each fingerprint is known by the smallest node that has it.
+        known = nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first"))
+        found = links(known.select("fp"), max_bits)
+        first = known.select(F.col("fp").alias("a"), F.col("first").alias("x"))
+        second = known.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+        far = found.join(first, "a").join(second, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        equal = nodes.join(known, nodes[name] == known["fp"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
+        own = stored(far.unionByName(equal.where("a <> b")), "links")
+        edges = own if edges is None else edges.unionByName(own)
+    named = nodes.join(components(edges), "node", "left").select(*names, F.coalesce("root", "node").alias("component"))
+    return prints.join(stored(named, "classes"), names).select("id", "component")
+
+
+def near_copies(
+    docs: DataFrame,
+    words: int = 5,
+    lanes: int = 4,
+    max_bits: int = 7,
+    min_similarity: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Rows (id, of): documents that are near copies of one with a smaller id, which stays.
+
+    Groups are linked in any of several fingerprints (lanes) of at most max_bits differing bits.
+    Within a group the smallest id leads; members whose shingle sets have
+    a Jaccard similarity of min_similarity or more with the leader's are its copies. The others
+    are judged again among themselves until none is left. Rows that share an id are one document,
+    of which some one text is compared; rows with a null id are never copies.
+    """
+    groups = wide_groups(docs.where(F.col(id_col).isNotNull()), words, lanes, max_bits, id_col, text_col)
+    several = groups.where("id <> component").select("component").distinct()
+    members = groups.join(several, "component", "left_semi").distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    open_ = stored(members.join(texts, "id").dropDuplicates(["id"]).select("component", "id", "text"), "members")
+    copies = None
+    while copies is None or not open_.isEmpty():
+        first = open_.groupBy("component").agg(F.min("id").alias("of"))
+        leaders = first.join(open_.select(F.col("id").alias("of"), F.col("text").alias("lead")), "of")
+        judged = (
+            open_.join(leaders, "component")
+            .where("id <> of")
+            .select("component", "id", "text", "of", "lead")
+            .mapInArrow(_similar(words), "component long, id long, text string, of long, similarity double")
+        )
+        judged = stored(judged, "judged")
+        near = judged.where(F.col("similarity") >= min_similarity).select("id", "of")
+        copies = near if copies is None else copies.unionByName(near)
+        open_ = judged.where(F.col("similarity") < min_similarity).select("component", "id", "text")
+    return copies

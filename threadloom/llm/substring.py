@@ -177,6 +177,7 @@ def repeated_slots(docs: DataFrame, slot_bits: int | None = None) -> tuple[np.nd
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         # A minimizer for about every 20 bytes, eight slots for each.
         slot_bits = min(MAX_SLOT_BITS, max(MIN_SLOT_BITS, int(size * 8 / 20).bit_length()))
+    slot_bits = max(slot_bits, 10)  # whole bytes of bits per slice
     merged = (
         docs.select("text")
         .mapInArrow(_partition_sketch(slot_bits), "slice int, once binary, twice binary")

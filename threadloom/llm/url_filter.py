@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import mix, steps, texts_of
+from threadloom.llm.common import mix, plus, steps, texts_of
 
 ORDER = 5
 #: Cells per table: two classes, each with counts of contexts and of contexts with the next byte.
@@ -113,7 +113,7 @@ def score(rows: DataFrame, table: np.ndarray) -> DataFrame:
             scores = _difference(shared.value, texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
-    return rows.mapInArrow(run, rows.select("*", F.lit(0.0).alias("score")).schema)
+    return rows.mapInArrow(run, plus(rows, "score double"))
 
 
 def threshold(scored: DataFrame) -> float:
