@@ -56,28 +56,39 @@ def test_left_join_gives_the_same_rows_however_it_is_spread(spark, hot_rows):
         F.col("id").alias("r"),
     )
     plain = left.join(right, F.col("k") == F.col("rk"), "left")
-    spread = left_join_one_to_many(left, right, "k", "rk", ["r"], hot_rows, skew_bytes=0)
+    spread = left_join_one_to_many(left, right, "k", "rk", ["r"], hot_rows)
     assert spread.columns == ["k", "l", "rk", "r"]
     assert bag(spread) == bag(plain)
     # Counted on rows that are not all on the right side: key 0 is hot there, gone here.
     fewer = right.where("rk <> 0")
     counted_raw = left_join_one_to_many(
-        left, fewer, "k", "rk", ["r"], hot_rows, skew_bytes=0, count_from=right
+        left, fewer, "k", "rk", ["r"], hot_rows, count_from=right
     )
     assert bag(counted_raw) == bag(left.join(fewer, F.col("k") == F.col("rk"), "left"))
 
 
-def test_small_tables_are_not_counted(spark, monkeypatch):
-    def fail(*args):
-        raise AssertionError("counted")
-
-    monkeypatch.setattr(joins, "hot_keys", fail)
-    left = spark.range(2).withColumnRenamed("id", "k")
-    right = spark.range(1).select(F.col("id").alias("rk"), F.lit("a").alias("r"))
+def test_a_hot_key_of_compressible_rows_is_spread_by_default(spark, tmp_path, monkeypatch):
+    """A third of the rows on one key, in files that say nothing of the rows' size."""
+    monkeypatch.setattr(left_join_one_to_many, "__defaults__", (1000, None))
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("rk"),
+        F.repeat(F.lit("x"), 500).alias("body"),
+        F.col("id").alias("r"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    left = spark.range(9000).select(F.col("id").alias("k"))
+    right = spark.read.parquet(str(tmp_path / "rows"))
     joined = left_join_one_to_many(left, right, "k", "rk", ["r"])
-    assert bag(joined) == Counter([(0, 0, "a"), (1, None, None)])
-    with pytest.raises(AssertionError, match="counted"):
-        left_join_one_to_many(left, right, "k", "rk", ["r"], skew_bytes=0)
+    assert "_share" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.where("k = 0").count() == 3000 and joined.count() == 9000 + 2999
+
+
+def test_a_long_list_of_hot_keys_stays_a_frame(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_LISTED_KEYS", 3)
+    left = spark.range(10).select(F.col("id").alias("k"))
+    right = spark.range(100).select((F.col("id") % 8).alias("rk"), F.col("id").alias("r"))
+    joined = left_join_one_to_many(left, right, "k", "rk", ["r"], 5)
+    assert bag(joined) == bag(left.join(right, F.col("k") == F.col("rk"), "left"))
 
 
 def test_hot_keys(spark):

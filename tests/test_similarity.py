@@ -29,9 +29,8 @@ def vectors(rng, n, dims):
 
 PATHS = [
     {},
-    {"max_broadcast_floats": 0, "block_rows": 7, "cells": 5},
-    {"max_broadcast_floats": 0, "block_rows": 1000, "cells": 1},
-    {"max_broadcast_floats": 0, "block_rows": 3, "cells": 64},
+    {"max_broadcast_floats": 7},
+    {"max_broadcast_floats": 40},
 ]
 
 
@@ -84,6 +83,43 @@ def test_empty_sides(spark, options):
     assert similarity.top_k(chunks, one, **options).count() == 1
 
 
+def test_vectors_of_other_sizes_fail_by_name(spark):
+    schema = "chunk_id long, embedding array<double>"
+    asked = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "question_id long, embedding array<double>")
+    mixed = spark.createDataFrame([(7, [1.0, 0.0, 0.0]), (8, [1.0, 0.0])], schema)
+    with pytest.raises(Exception, match="the vector of 8 has not 3 elements"):
+        similarity.top_k(mixed, asked).collect()
+    both = asked.unionByName(spark.createDataFrame([(2, [1.0])], asked.schema))
+    with pytest.raises(ValueError, match="1 to 3 elements"):
+        similarity.top_k(mixed, both)
+
+
+def test_null_ids_take_no_part_and_large_ids_stay(spark):
+    big = 2**53 + 1
+    corpus = spark.createDataFrame([(big, [1.0, 0.0]), (None, [1.0, 0.0])], "chunk_id long, embedding array<double>")
+    asked = spark.createDataFrame([(big, [1.0, 0.0]), (None, [1.0, 0.0])], "question_id long, embedding array<double>")
+    assert [(r.question_id, r.match_id) for r in similarity.top_k(corpus, asked).collect()] == [(big, big)]
+
+
+@pytest.mark.parametrize("options", PATHS)
+def test_every_text_is_embedded_once(spark, options):
+    calls = spark.sparkContext.accumulator(0)
+
+    def provider():
+        def embed(texts):
+            calls.add(len(texts))
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return embed
+
+    def embedded(n, key):
+        rows = spark.range(n).select(F.col("id").alias(key), F.repeat(F.lit("a"), F.col("id").cast("int")).alias("chunk_text"))
+        return embedding.embed_chunks(rows, provider)
+
+    assert similarity.top_k(embedded(30, "chunk_id"), embedded(8, "question_id"), k=2, min_score=None, **options).count() == 16
+    assert calls.value == 38
+
+
 def test_hashing_provider():
     embed = embedding.hashing_provider(16)
     a, b, empty = embed(["One two two", "two  one TWO", " "])

@@ -23,7 +23,7 @@ def stream(spark, path, **options):
 
 def test_files_are_read_once_and_replays_add_nothing(spark, tmp_path):
     landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
-    write = dedupe.append_unseen(table, "id")
+    write = dedupe.append_unseen(table, "id", "subreddit")
 
     def run():
         files.run_available(
@@ -42,7 +42,7 @@ def test_files_are_read_once_and_replays_add_nothing(spark, tmp_path):
 
 def test_a_new_checkpoint_keeps_the_table(spark, tmp_path):
     landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
-    write = dedupe.append_unseen(table, "id")
+    write = dedupe.append_unseen(table, "id", "subreddit")
     land(spark, landing, [("a", "f", 1.0), ("b", "f", 2.0)])
     for checkpoint in ("one", "two"):
         files.run_available(stream(spark, landing), str(tmp_path / checkpoint), write)
@@ -51,7 +51,7 @@ def test_a_new_checkpoint_keeps_the_table(spark, tmp_path):
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     table = str(tmp_path / "table")
-    write = dedupe.append_unseen(table, "id")
+    write = dedupe.append_unseen(table, "id", "subreddit")
     batches = [
         spark.createDataFrame([("a", "f", 1.0), ("b", "f", 2.0)], SCHEMA),
         spark.createDataFrame([("b", "f", 2.0), ("c", "f", 3.0)], SCHEMA),
@@ -75,6 +75,26 @@ def test_dedupe_compares_only_the_days_of_a_batch(spark, tmp_path):
     assert ids(spark, table) == ["a", "b", "c", "d"]
 
 
+def test_replays_without_a_day_add_nothing(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "table")
+    write = dedupe.append_unseen(table, "id", "subreddit")
+    rows = spark.createDataFrame([("a", None, 1.0), ("b", "f", 2.0), ("c", "g", 2.0)], SCHEMA)
+    write(rows, "q-0")
+    write(rows, "r-0")
+    monkeypatch.setattr(dedupe, "MAX_LISTED_DAYS", 1)
+    write(rows, "s-0")
+    assert ids(spark, table) == ["a", "b", "c"]
+
+
+def test_late_first_records_are_kept_by_the_table(spark, tmp_path):
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    write = dedupe.append_unseen(table, "id", "subreddit")
+    for rows in ([("a", "f", 0.0)], [("b", "f", 36000.0)], [("late", "f", 100.0), ("a", "f", 0.0)], [("c", "f", 36001.0)]):
+        land(spark, landing, rows)
+        files.run_available(stream(spark, landing), str(tmp_path / "checkpoint"), write)
+    assert ids(spark, table) == ["a", "b", "c", "late"]
+
+
 def test_watermarks_drop_late_rows_and_repeats(spark, tmp_path):
     table, marks = str(tmp_path / "table"), str(tmp_path / "marks")
     created = F.timestamp_seconds("created_utc")

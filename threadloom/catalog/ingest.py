@@ -11,7 +11,7 @@ from threadloom.operators import incremental
 from threadloom.plans import ingest
 from threadloom.session import work_dir
 from threadloom.sinks import state as state_sinks
-from threadloom.sources import listings, state
+from threadloom.sources import files, listings, state
 
 PAGE_SIZE = 100
 
@@ -95,6 +95,16 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.unnest_comments(comment_envelopes(spark, sf_dir), limit=5)
 
 
+@query(f"with {unnested_sql(100)} select * from unnested")
+def envelope_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes; beside every response stand copies that do not parse and give no rows."""
+    landed = comment_envelopes(spark, sf_dir)
+    broken = landed.withColumn(
+        "body", F.explode(F.array(F.concat(F.lit("{"), "body"), F.lit(""), F.lit(None), F.lit("[1]")))
+    )
+    return listings.unnest_comments(landed.unionByName(broken))
+
+
 @query(
     f"""with {unnested_sql(100)}, done as (select cast(doc_id as varchar) as id from labels)
     select id, body, parent_post_id from raw_comments
@@ -191,3 +201,54 @@ def ingest_new_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = F.floor((F.min("created_utc") + F.max("created_utc")) / 2)
     marks = raw.groupBy("subreddit").agg(F.timestamp_seconds(middle).alias("last_ingested_utc"))
     return ingest.new_posts(listing_pages(spark, sf_dir), marks, max_posts=10)
+
+
+@query(
+    f"""with {LISTED_CTE}
+    select * exclude (forum, page, after, position) from listed
+    where length({sql_strip("coalesce(selftext, '')")}) >= 30"""
+)
+def ingest_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capped run, then one without a cap: together they hold every post with enough text."""
+    root = work_dir(spark, "ingest")
+    pages, envelopes = listing_pages(spark, sf_dir), comment_envelopes(spark, sf_dir)
+    ingest.run_ingest(spark, pages, envelopes, root, "first", max_posts=10)
+    ingest.run_ingest(spark, pages, envelopes, root, "second")
+    return files.read_posts(spark, f"{root}/posts/run=*")
+
+
+@query("select distinct cast(doc_id as varchar) as id from labels where doc_id is not null")
+def progress_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished ids written by two batches, the second twice, and read back."""
+    path = work_dir(spark, "completed")
+    done = table(spark, sf_dir, "labels").where("doc_id is not null").select(F.col("doc_id").alias("id"))
+    state_sinks.add_completed(path, done.where("id % 3 = 0"), "first")
+    for _ in range(2):
+        state_sinks.add_completed(path, done, "second")
+    return state.read_completed_ids(spark, path)
+
+
+@query(
+    """select cast(doc_id as varchar) as id, 'done' as kind from labels where doc_id is not null
+      group by doc_id
+    union all
+    select concat(cast(conv_id as varchar), '_', cast(turn as varchar)), 'comment'
+      from conversations"""
+)
+def progress_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress files of an interrupted download, one per forum page: ids and comments."""
+    path = work_dir(spark, "progress")
+    done = table(spark, sf_dir, "labels").where("doc_id is not null")
+    done = done.groupBy(F.floor(F.col("doc_id") / PAGE_SIZE).alias("page")).agg(
+        F.collect_set(F.col("doc_id").cast("string")).alias("completed_post_ids")
+    )
+    fetched = comments(spark, sf_dir)
+    fetched = fetched.groupBy(F.col("parent_post_id").cast("bigint").alias("page")).agg(
+        F.collect_list(F.struct(*fetched.columns)).alias("comments")
+    )
+    both = done.join(fetched, "page", "full").withColumn("status", F.lit("in_progress"))
+    both.repartition("page").write.partitionBy("page").json(path)
+    ids, rows = state.read_progress(spark, path)
+    return ids.select("id", F.lit("done").alias("kind")).unionByName(
+        rows.select("id", F.lit("comment").alias("kind"))
+    )

@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom import schemas
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import COMMENTS_SQL, POSTS_SQL, STAGED_CTES, comments, posts
 from threadloom.operators import context, quality, ranking
@@ -71,6 +72,32 @@ def mart_sql_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""with {STAGED_CTES}
+    select 'stg_posts' as model, id, body, subreddit,
+      timestamp '2024-01-01 00:00:00' as ingested_at from stg_posts
+    union all select 'stg_comments', id, body, subreddit, timestamp '2024-01-01 00:00:00'
+      from stg_comments
+    union all select 'fct_posts', post_id, comment_body, subreddit, null from fct_posts"""
+)
+def models_as_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The models read by name: staging views with their load time, and the mart as a table."""
+    loaded = {
+        "stg_posts": transform.transform_posts(posts(spark, sf_dir)),
+        "stg_comments": transform.transform_comments(comments(spark, sf_dir)),
+    }
+    transform.build_models(
+        {k: sinks.with_ingested_at(v, datetime(2024, 1, 1)) for k, v in loaded.items()},
+        mart_table="threadloom_fct_posts",
+    )
+    return spark.sql(
+        """select 'stg_posts' as model, id, body, subreddit, ingested_at from stg_posts
+        union all select 'stg_comments', id, body, subreddit, ingested_at from stg_comments
+        union all select 'fct_posts', post_id, comment_body, subreddit, null
+          from threadloom_fct_posts"""
+    )
+
+
 @query("select * from orders left join lineitem on o_orderkey = l_orderkey")
 def left_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left_join_one_to_many(
@@ -99,7 +126,6 @@ def left_join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_nationkey",
         spread_on=["l_orderkey", "l_partkey"],
         hot_rows=500,
-        skew_bytes=0,
     ).select("n_nationkey", "n_name", "s_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
 
 
@@ -207,6 +233,48 @@ def output_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """select event_id, event_type, value + case when event_id % 3 = 0 then 1 else 0 end as value,
+      cast(ts as date) as date from events"""
+)
+def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, then a later copy of every third, folded in twice."""
+    path = work_dir(spark, "merged")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.to_date("ts").alias("date"))
+    changed = events.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1)
+    for rows in (events, changed, changed):
+        sinks.merge_partitions(rows, path, ["event_id"], ["event_type", "date"], [F.col("value").desc()])
+    return files.read_parquet(spark, path)
+
+
+def land_arrays(raw: DataFrame, path: str, size: int) -> None:
+    """One JSON array per forum and range of ids, a file each."""
+    block = F.floor(F.xxhash64("id") % F.lit(1 << 20) / F.lit(1 << 20) * F.lit(size))
+    arrays = raw.groupBy(F.col("subreddit").alias("forum"), block.alias("block")).agg(
+        F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value")
+    )
+    arrays.repartition("forum", "block").write.partitionBy("forum", "block").text(path)
+
+
+@query(
+    f"""with {STAGED_CTES} select {", ".join(schemas.PROCESSED_POST.names)} from clean_posts
+    where subreddit <> 'src7'"""
+)
+def transform_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON arrays of two runs folded in one after the other, the second twice.
+
+    The first run holds older copies of some posts; one forum has landed in neither.
+    """
+    root = work_dir(spark, "transform")
+    landed = posts(spark, sf_dir).where("subreddit <> 'src7'")
+    older = landed.where("num_comments % 2 = 0").withColumn("title", F.lit("old"))
+    land_arrays(older.withColumn("created_utc", F.col("created_utc") - 10), f"{root}/raw/posts/run=a", 1)
+    land_arrays(landed, f"{root}/raw/posts/run=b", 2)
+    for run in ("a", "b", "b"):
+        transform.transform_runs(spark, f"{root}/raw", f"{root}/processed", [run], multiline=True)
+    return files.read_parquet(spark, f"{root}/processed/posts")
+
+
 @query(
     """select * from documents
     qualify row_number() over (partition by source order by doc_id) <= 5"""

@@ -1,23 +1,22 @@
 """Chunk, embedding and similarity queries."""
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.catalog.models import mart
+from threadloom.catalog.models import TOP_COMMENTS_CTE, mart
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import STAGED_CTES, sql_clean, sql_strip
 from threadloom.functions.vectors import cosine
 from threadloom.operators import chunking, context, embedding, similarity
 from threadloom.operators.cleaning import with_clean_text
-from threadloom.plans.index import update_index
+from threadloom.plans.index import read_index, retrieve, update_index
 from threadloom.session import work_dir
 
 # Chunk boundaries are found piece by piece: s holds the offsets at which pieces
 # start and the length of the text, i and j number the first and last of a chunk.
-CHUNK_CTES = f"""{STAGED_CTES},
-texts as (select distinct post_id, subreddit, post_title || ' ' || post_body as text
-  from fct_posts),
-words as (
+CUT_CTES = f"""words as (
   select post_id, unnest(string_split(text, ' ')) as word,
     generate_subscripts(string_split(text, ' '), 1) as n from texts),
 starts as (
@@ -44,6 +43,10 @@ post_chunks as (
   select doc_id, row_number() over (partition by doc_id order by n) - 1 as chunk_no,
     chunk_text, subreddit from cut_texts where chunk_text <> '')
 """
+CHUNK_CTES = f"""{STAGED_CTES},
+texts as (select distinct post_id, subreddit, post_title || ' ' || post_body as text
+  from fct_posts),
+{CUT_CTES}"""
 
 
 @query(f"with recursive {CHUNK_CTES} select * from post_chunks")
@@ -66,6 +69,23 @@ def chunk_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CONTEXT_CTES = f"""{STAGED_CTES}, {TOP_COMMENTS_CTE},
+forums as (select distinct post_id, subreddit from fct_posts),
+parts as (
+  select distinct post_id, 0 as rank, post_title || ' ' || post_body as text from fct_posts
+  union all select post_id, rank, comment_body from top_comments),
+texts as (
+  select post_id, any_value(subreddit) as subreddit, string_agg(text, ' ' order by rank) as text
+  from parts join forums using (post_id) group by post_id),
+{CUT_CTES}"""
+
+
+@query(f"with recursive {CONTEXT_CTES} select doc_id, chunk_no, chunk_text from post_chunks")
+def chunk_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, body and best comments of every post as one document, in chunks."""
+    return chunking.chunk_contexts(context.post_context(mart(spark, sf_dir), 2, separator=" "))
+
+
 METADATA_KEYS = [
     "POST_AUTHOR",
     "LINK_FLAIR_TEXT",
@@ -154,7 +174,74 @@ def embed_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     update_index(spark, chunking.with_chunk_id(chunking.chunk_comments(some)), path, "first")
     chunks = chunking.with_chunk_id(chunking.chunk_comments(comments))
     update_index(spark, chunks, path, "second")
-    return spark.read.parquet(path).select("doc_id", "run")
+    return read_index(spark, path).select("doc_id", "run")
+
+
+INDEXED_SQL = """select comment_id as doc_id, comment_body as chunk_text, subreddit,
+  cast(post_created_at as date) as date from fct_posts
+  where comment_body is not null and comment_body <> ''"""
+
+
+@query(f"""with {STAGED_CTES} {INDEXED_SQL}""")
+def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of older texts, more of them and in other places, brought up to date twice."""
+    path = work_dir(spark, "index")
+    comments = chunking.chunk_comments(mart(spark, sf_dir))
+    third = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    old = comments.withColumn("chunk_no", F.explode(F.when(third, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    old = old.withColumn("chunk_text", F.when(third, F.lit("an older text")).otherwise(F.col("chunk_text")))
+    old = old.withColumn("subreddit", F.when(third, F.lit("elsewhere")).otherwise(F.col("subreddit")))
+    update_index(spark, chunking.with_chunk_id(old), path, "first")
+    for run in ("second", "third"):
+        update_index(spark, chunking.with_chunk_id(comments), path, run)
+    return read_index(spark, path).select("doc_id", "chunk_text", "subreddit", "date")
+
+
+WINDOW_START = datetime(2023, 11, 14, 22, 45)
+
+
+@query(
+    f"""with {STAGED_CTES}, rows as (
+      {INDEXED_SQL.replace("cast(post_created_at as date) as date", "post_created_at")})
+    select doc_id, chunk_text, subreddit from rows
+    where post_created_at >= timestamp '2023-11-14 22:45:00'"""
+)
+def index_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All comments indexed, then half of them again with a window: what is older leaves."""
+    path = work_dir(spark, "index")
+    chunks = chunking.with_chunk_id(chunking.chunk_comments(mart(spark, sf_dir)))
+    update_index(spark, chunks, path, "first")
+    some = chunks.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    update_index(spark, some, path, "second", oldest=WINDOW_START)
+    return read_index(spark, path).select("doc_id", "chunk_text", "subreddit")
+
+
+@query(
+    f"""with recursive {CHUNK_CTES},
+    forum_chunks as (select * from post_chunks where subreddit in ('src1', 'src2')),
+    items as (select item_id, {sql_clean("text")} as text from benchmark),
+    d as (select * from {weights_sql("forum_chunks", "doc_id, chunk_no", "chunk_text")}),
+    q as (select * from {weights_sql("items", "item_id", "text")}),
+    scores as (
+      select item_id as question_id, doc_id, chunk_no, round(sum(d.weight * q.weight)
+        / any_value(qn.norm) / any_value(dn.norm), 6) as score
+      from d join q using (dim)
+        join (select doc_id, chunk_no, sqrt(sum(weight * weight)) as norm from d
+          group by doc_id, chunk_no) dn using (doc_id, chunk_no)
+        join (select item_id, sqrt(sum(weight * weight)) as norm from q group by item_id) qn
+          using (item_id)
+      group by item_id, doc_id, chunk_no)
+    select question_id, max(score) as best, count(*) filter (where score >= 0.4) as n_hits
+    from scores group by question_id having max(score) >= 0.4"""
+)
+def retrieve_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hits of every benchmark item among the chunks of two forums of an index."""
+    path = work_dir(spark, "index")
+    update_index(spark, chunking.with_chunk_id(chunking.chunk_posts(mart(spark, sf_dir))), path, "first")
+    items = with_clean_text(table(spark, sf_dir, "benchmark"), "text", "question")
+    index = read_index(spark, path).where(F.col("subreddit").isin("src1", "src2"))
+    hits = retrieve(index, items.select(F.col("item_id").alias("question_id"), "question"), k=100_000, min_score=0.4)
+    return hits.groupBy("question_id").agg(F.max("score").alias("best"), F.count("*").alias("n_hits"))
 
 
 TOPIC_HITS_CTES = """positions as (
@@ -193,8 +280,28 @@ def similarity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {TOPIC_HITS_CTES} select * from hits")
 def similarity_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by the path for question sets too large to broadcast."""
-    return topic_hits(spark, sf_dir, max_broadcast_floats=0, block_rows=200, cells=16)
+    """The same with the questions in several blocks, as sets too large for one broadcast."""
+    return topic_hits(spark, sf_dir, max_broadcast_floats=200)
+
+
+@query(
+    """with pairs as (
+      select q.vec_id as question_id, c.vec_id as match_id,
+        round(list_cosine_similarity(cast(q.embedding as double[]), cast(c.embedding as double[])), 6)
+          as score
+      from embeddings q, embeddings c),
+    ranked as (
+      select *, row_number() over (partition by question_id order by score desc, match_id) as rank
+      from pairs where score >= 0.5)
+    select * from ranked where rank <= 3"""
+)
+def similarity_topk_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector asks for its nearest ones, in blocks of questions."""
+    vectors = table(spark, sf_dir, "embeddings")
+    questions = vectors.select(F.col("vec_id").alias("question_id"), "embedding")
+    return similarity.top_k(
+        vectors, questions, k=3, min_score=0.5, corpus_id="vec_id", max_broadcast_floats=20_000
+    )
 
 
 @query(

@@ -8,28 +8,45 @@ from threadloom.session import work_dir
 from threadloom.streaming import dedupe, files, watermarks
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return files.stream_files(spark, sf_dir, schema, "parquet", pattern="events.parquet")
+def land_out_of_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events in three files, the newest third of the time first, with their day."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    bounds = ("2024-01-11", "2024-01-21")
+    thirds = (
+        F.col("day") >= bounds[1],
+        F.col("day") < bounds[0],
+        (F.col("day") >= bounds[0]) & (F.col("day") < bounds[1]),
+    )
+    for third in thirds:
+        events.where(third).repartition(1).write.mode("append").parquet(folder)
+    return events
+
+
+def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
+    return files.stream_files(spark, folder, schema, "parquet", files_per_batch=1)
 
 
 @query("select * from events")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file streamed twice, the second time as a full replay, gives one copy."""
+    """Files out of time order, streamed twice in each of two runs, give one copy."""
     root = work_dir(spark, "stream-dedupe")
+    schema = land_out_of_order(spark, sf_dir, f"{root}/landing").schema
     for attempt in ("first", "replay"):
-        doubled = event_stream(spark, sf_dir).unionAll(event_stream(spark, sf_dir))
-        write = dedupe.append_unseen(f"{root}/table", "event_id")
+        rows = event_stream(spark, f"{root}/landing", schema)
+        doubled = rows.unionAll(event_stream(spark, f"{root}/landing", schema))
+        write = dedupe.append_unseen(f"{root}/table", "event_id", "day")
         files.run_available(doubled, f"{root}/checkpoint-{attempt}", write)
-    return spark.read.parquet(f"{root}/table").drop("batch")
+    return spark.read.parquet(f"{root}/table").drop("batch", "day")
 
 
 @query("select * from events")
 def stream_dedupe_within(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies that arrive together are dropped with bounded state."""
+    """The same files and copies with bounded state; the delay covers their disorder."""
     root = work_dir(spark, "stream-within")
-    doubled = event_stream(spark, sf_dir).unionAll(event_stream(spark, sf_dir))
-    unique = dedupe.dedupe_within(doubled, "event_id", "ts", "1 hour")
+    schema = land_out_of_order(spark, sf_dir, f"{root}/landing").schema
+    rows = event_stream(spark, f"{root}/landing", schema)
+    doubled = rows.unionAll(event_stream(spark, f"{root}/landing", schema))
+    unique = dedupe.dedupe_within(doubled, "event_id", "ts", "3650 days")
     stream = (
         unique.writeStream.format("parquet")
         .option("checkpointLocation", f"{root}/checkpoint")
@@ -38,7 +55,7 @@ def stream_dedupe_within(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start()
     )
     stream.awaitTermination()
-    rows = spark.read.parquet(f"{root}/table")
+    rows = spark.read.parquet(f"{root}/table").drop("day")
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

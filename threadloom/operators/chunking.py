@@ -147,25 +147,49 @@ def chunk_posts(
         "link_flair_text",
         "subreddit",
         "post_url",
+        "post_created_at",
     ]
     posts = mart.select(*columns).dropDuplicates(["post_id"])
     text = join_title_body(F.col("post_title"), F.col("post_body"))
     return posts.select(
         F.col("post_id").alias("doc_id"),
         metadata.post_metadata().alias("metadata"),
+        "subreddit",
+        F.col("post_created_at").alias("created_at"),
         split_column(text, size, overlap).alias("_chunks"),
     ).select(
-        "doc_id", F.posexplode("_chunks").alias("chunk_no", "chunk_text"), "metadata"
+        "doc_id",
+        F.posexplode("_chunks").alias("chunk_no", "chunk_text"),
+        "metadata",
+        "subreddit",
+        "created_at",
     )
 
 
+def chunk_contexts(
+    contexts: DataFrame,
+    size: int = defaults.CHUNK_SIZE,
+    overlap: int = defaults.CHUNK_OVERLAP,
+) -> DataFrame:
+    """Chunks of assembled post documents (post_id, context)."""
+    cut = contexts.select(
+        F.col("post_id").alias("doc_id"), split_column(F.col("context"), size, overlap).alias("_chunks")
+    )
+    return cut.select("doc_id", F.posexplode("_chunks").alias("chunk_no", "chunk_text"))
+
+
 def chunk_comments(mart: DataFrame) -> DataFrame:
-    """Comment chunks: one per comment that has text, never split."""
+    """Comment chunks: one per comment that has text, never split.
+
+    ``created_at`` is the post's, so a comment leaves an index window with its post.
+    """
     return mart.where(is_non_empty(F.col("comment_body"))).select(
         F.col("comment_id").alias("doc_id"),
         F.lit(0).alias("chunk_no"),
         F.col("comment_body").alias("chunk_text"),
         metadata.comment_metadata().alias("metadata"),
+        "subreddit",
+        F.col("post_created_at").alias("created_at"),
     )
 
 

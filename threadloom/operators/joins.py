@@ -4,13 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
-# Spark's own threshold for a skewed partition; a smaller table cannot hold one.
-SKEW_BYTES = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, from file sizes; very large where it has none."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+MAX_LISTED_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -31,14 +25,13 @@ def left_join_one_to_many(
     right_key: str,
     spread_on: list[str],
     hot_rows: int | None = HOT_ROWS,
-    skew_bytes: int = SKEW_BYTES,
     count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer equi-join whose right side may be dominated by a few keys.
 
     Adaptive execution can split a hot partition of the preserved (left) side only.
-    So a right side of ``skew_bytes`` or more is counted per key first, in a job that
-    reads just the key. Without hot keys this is the plain join. Otherwise the rows of a hot key are
+    So the right side is counted per key first, in a job that reads just the key and
+    combines counts before its shuffle. Without hot keys this is the plain join. Otherwise the rows of a hot key are
     spread over shares by a hash of ``spread_on`` and its left rows are repeated
     once per share; as a hot key always has a match, the shares that stay empty
     are recognised by their null right side and dropped.
@@ -54,15 +47,19 @@ def left_join_one_to_many(
     key_type = right.schema[right_key].dataType.simpleString()
 
     def shares_of(df: DataFrame) -> DataFrame | None:
-        # One entry stands for more than hot_rows rows, so the list stays small.
-        hot = hot_keys(df, right_key, hot_rows).collect()
+        # One entry stands for more than hot_rows rows; a list that is long all the same
+        # stays a frame for Spark to join as it sees fit.
+        frame = hot_keys(df, right_key, hot_rows)
+        hot = frame.limit(MAX_LISTED_KEYS + 1).collect()
         if not hot:
             return None
+        if len(hot) > MAX_LISTED_KEYS:
+            return frame
         return F.broadcast(spark.createDataFrame(hot, f"_key {key_type}, _shares int"))
 
     shares = None
     counted = right if count_from is None else count_from
-    if hot_rows is not None and estimated_bytes(counted) >= skew_bytes:
+    if hot_rows is not None:
         shares = shares_of(counted)
         if shares is not None and count_from is not None:
             is_candidate = F.col(right_key) == F.col("_key")

@@ -26,7 +26,7 @@ def first_per_group(
 def first_posts(
     posts: DataFrame,
     listing_order: Sequence[Column],
-    max_posts: int = defaults.MAX_POSTS,
+    max_posts: int,
     forum: str = "subreddit",
 ) -> DataFrame:
     """The first posts of every forum in listing order."""

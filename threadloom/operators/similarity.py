@@ -1,36 +1,32 @@
 """Exact top-k similarity search: for every question, its most similar chunks.
 
-A small question set (its size is checked) is broadcast, and each task scans its
-part of the corpus once, keeping k rows per question. A larger one is matched
-through cells: both sides are shuffled in blocks of bounded size, and a question
-visits only the cells that can hold a row above the relevance threshold. Either
-way k rows per question and block leave a task, never all pairs.
+The questions are sent to the corpus, which stays in place: each task scans its part of it
+once per block of questions and keeps k rows per question. A block is broadcast and holds
+a bounded number of floats, so a question set of any size takes more scans, never more
+memory. k rows per question and task leave a task, never all pairs.
 
 Scores are cosines rounded to six decimals, ties go to the smaller id, so the
 result does not depend on the order of summation.
 """
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from threadloom import defaults
+from threadloom.session import work_dir
 
 SCORE_DECIMALS = 6
 MAX_BROADCAST_FLOATS = 8_000_000  # 64 MB as doubles
 ROUNDING_MARGIN = 2 * 10.0**-SCORE_DECIMALS
 SCORES_AT_ONCE = 8_000_000
-BLOCK_FLOATS = 4_000_000
-CELLS = 256
-ANGLE_MARGIN = 1e-6
 
 
 def _unit_rows(vectors: pa.Array) -> np.ndarray:
@@ -165,109 +161,13 @@ def scan_top_k(
     return corpus.mapInArrow(scan, schema)
 
 
-def cell_top_k(
-    corpus: DataFrame,
-    questions: DataFrame,
-    schema: T.StructType,
-    k: int,
-    min_score: float | None,
-    block_rows: int | None = None,
-    cells: int = CELLS,
-) -> DataFrame:
-    """Partial top-k per pair of blocks, for question sets too large to broadcast.
-
-    Corpus rows belong to the cell of the nearest of a few centre rows. By the
-    triangle inequality on angles, a cell of radius r holds nothing above the
-    threshold for a question further from its centre than r plus the angle of the
-    threshold, so leaving such cells out loses no row. Cells are cut into blocks of
-    about ``block_rows`` rows on both sides (by default as many as make 32 MB of
-    doubles), and each pair of blocks is one group. Columns are (id, vec) on both
-    sides; ids are unique.
-    """
-    spark = corpus.sparkSession
-    centre_rows = corpus.orderBy(F.xxhash64("id"), "id").limit(cells).select("vec").collect()
-    if not centre_rows:
-        return spark.createDataFrame([], schema)
-    centre_units = _unit_rows(pa.array([r.vec for r in centre_rows], pa.list_(pa.float64())))
-    centres = spark.sparkContext.broadcast(centre_units)
-    if block_rows is None:
-        block_rows = max(1, BLOCK_FLOATS // max(1, centre_units.shape[1]))
-
-    def angles(vectors: pa.Array) -> np.ndarray:
-        return np.arccos(np.clip(_unit_rows(vectors) @ centres.value.T, -1.0, 1.0))
-
-    @F.arrow_udf("struct<cell: int, angle: double>")
-    def nearest(vectors: pa.Array) -> pa.Array:
-        if len(vectors) == 0:
-            return pa.array([], pa.struct([("cell", pa.int32()), ("angle", pa.float64())]))
-        angle = angles(vectors)
-        cell = angle.argmin(axis=1)
-        return pa.StructArray.from_arrays(
-            [pa.array(cell, pa.int32()), pa.array(angle[np.arange(len(cell)), cell])],
-            names=["cell", "angle"],
-        )
-
-    placed = corpus.select("id", "vec", nearest("vec").alias("_near")).select(
-        "id", "vec", "_near.cell", "_near.angle"
-    )
-    stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("r")).collect()
-    radius = np.full(len(centre_rows), -np.inf)
-    for row in stats:
-        radius[row.cell] = row.r
-    lowest = -1.0 if min_score is None else min_score - ANGLE_MARGIN
-    reach = math.acos(min(1.0, max(-1.0, lowest)))
-
-    @F.arrow_udf("array<int>")
-    def candidate_cells(vectors: pa.Array) -> pa.Array:
-        if len(vectors) == 0:
-            return pa.array([], pa.list_(pa.int32()))
-        near = angles(vectors) <= radius + reach + ANGLE_MARGIN
-        return pa.array([np.flatnonzero(row) for row in near], pa.list_(pa.int32()))
-
-    asked = questions.select(
-        F.col("id").alias("q_id"),
-        F.col("vec").alias("q_vec"),
-        F.explode(candidate_cells("vec")).alias("cell"),
-    )
-    asked_per_cell = {r.cell: r["count"] for r in asked.groupBy("cell").count().collect()}
-    blocks = [
-        (row.cell, math.ceil(row.n / block_rows), math.ceil(asked_per_cell[row.cell] / block_rows))
-        for row in stats
-        if row.cell in asked_per_cell
-    ]
-    # One row per cell.
-    layout = F.broadcast(spark.createDataFrame(blocks, "cell int, c_blocks int, q_blocks int"))
-
-    def block_of(key: str, blocks: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
-
-    def every(blocks: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-    left = (
-        placed.join(layout, "cell")
-        .withColumn("c_block", block_of("id", "c_blocks"))
-        .withColumn("q_block", every("q_blocks"))
-        .select("cell", "c_block", "q_block", "id", "vec")
-    )
-    right = (
-        asked.join(layout, "cell")
-        .withColumn("q_block", block_of("q_id", "q_blocks"))
-        .withColumn("c_block", every("c_blocks"))
-        .select("cell", "c_block", "q_block", "q_id", "q_vec")
+def _sized(rows: DataFrame, dims: int) -> DataFrame:
+    """Rows (id, vec) whose vectors must have dims elements; another size fails, naming the id."""
+    message = F.concat(
+        F.lit("the vector of "), F.col("id").cast("string"), F.lit(f" has not {dims} elements")
     )
-    keys = ["cell", "c_block", "q_block"]
-    arrow = _arrow_schema(schema)
-
-    def match(rows: pa.Table, asked_rows: pa.Table) -> pa.Table:
-        if not rows.num_rows or not asked_rows.num_rows:
-            return arrow.empty_table()
-        best = _Best(asked_rows.num_rows, k, min_score)
-        _score(best, _unit_rows(asked_rows["q_vec"]), _unit_rows(rows["vec"]), _ids(rows["id"]))
-        ids = asked_rows["q_id"].combine_chunks().cast(arrow.field("question_id").type)
-        return pa.Table.from_batches([_to_batch(best, ids, arrow)])
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(match, schema)
+    checked = F.when(F.size("vec") == dims, F.col("vec")).otherwise(F.raise_error(message))
+    return rows.select("id", checked.alias("vec"))
 
 
 def top_k(
@@ -280,27 +180,49 @@ def top_k(
     question_id: str = "question_id",
     question_vector: str = "embedding",
     max_broadcast_floats: int = MAX_BROADCAST_FLOATS,
-    **cell_options: int,
 ) -> DataFrame:
-    """(question_id, match_id, score, rank) of the k most similar chunks per question."""
+    """(question_id, match_id, score, rank) of the k most similar chunks per question.
+
+    The questions are stored before the search, and the corpus too if it is scanned more
+    than once, so that a vector that a provider computes is computed once. Rows without an
+    id or a vector take no part; vectors of different size are an error.
+    """
+    spark = corpus.sparkSession
     rows = corpus.select(F.col(corpus_id).alias("id"), F.col(corpus_vector).alias("vec"))
-    rows = rows.where(F.col("vec").isNotNull())
+    rows = rows.where(F.col("vec").isNotNull() & F.col("id").isNotNull())
     asked = questions.select(F.col(question_id).alias("id"), F.col(question_vector).alias("vec"))
-    asked = asked.where(F.col("vec").isNotNull())
+    asked = _stored(asked.where(F.col("vec").isNotNull() & F.col("id").isNotNull()), "questions")
     schema = _result_schema(asked.schema["id"], rows.schema["id"])
 
-    size = asked.agg(F.sum(F.size("vec"))).first()[0]
-    if not size:
-        partial = rows.sparkSession.createDataFrame([], schema)
-    elif size <= max_broadcast_floats:
-        partial = scan_top_k(rows, asked.toArrow(), schema, k, min_score)
-    else:
-        partial = cell_top_k(rows, asked, schema, k, min_score, **cell_options)
+    n, least, dims = asked.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec"))).first()
+    if n and least != dims:
+        raise ValueError(f"the questions' vectors have {least} to {dims} elements")
+    blocks = -(-n * dims // max_broadcast_floats) if n else 0
+    if blocks > 1:
+        rows = _stored(rows, "corpus")
+    partial = None
+    for block in range(blocks):
+        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block) if blocks > 1 else asked
+        batch = own.toArrow()
+        if not batch.num_rows:
+            continue
+        found = scan_top_k(_sized(rows, dims), batch, schema, k, min_score)
+        if blocks > 1:  # written, so that one block's questions are held at a time
+            found = _stored(found, f"hits-{block}")
+        partial = found if partial is None else partial.unionByName(found)
+    if partial is None:
+        partial = spark.createDataFrame([], schema)
 
     order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "match_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def label_centroids(vectors: DataFrame, label: str, vector: str) -> DataFrame:
     """Mean vector per label, combined per task before the shuffle."""
     mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))

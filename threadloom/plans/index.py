@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from threadloom import defaults
 from threadloom.operators import chunking, context, embedding, filters, similarity
+from threadloom.session import work_dir
+from threadloom.sinks import tables as sinks
 from threadloom.sources import paths
 
 MAX_BROADCAST_HITS = 200_000
@@ -16,30 +18,107 @@ MAX_BROADCAST_HITS = 200_000
 def chunks_to_index(
     mart: DataFrame,
     as_of: datetime | Column | None = None,
-    window_days: int | None = defaults.INDEX_WINDOW_DAYS,
+    window_days: int | None = None,
 ) -> DataFrame:
-    """Chunks of the posts of the last days and of their comments, with ids."""
+    """Chunks of the posts and their comments, with ids; of the last days only if a window is given."""
     if window_days is not None:
         mart = filters.rolling_window(mart, "post_created_at", as_of, window_days)
     return chunking.with_chunk_id(chunking.corpus(mart))
 
 
+PLACE = ["subreddit", "date"]
+INDEX_SCHEMA = (
+    "doc_id string, chunk_no int, chunk_text string, metadata map<string, string>, "
+    "created_at timestamp_ntz, chunk_id string, doc string, embedding array<float>, run string, "
+    "subreddit string, date date"
+)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of an index; filters on subreddit and date prune its folders."""
+    if not paths.exists(spark, f"{path}/subreddit=*"):
+        return spark.createDataFrame([], INDEX_SCHEMA)
+    return spark.read.schema(INDEX_SCHEMA).parquet(path)
+
+
+def _versions(rows: DataFrame) -> DataFrame:
+    """One row per document and place: a hash of the ids of its chunks."""
+    ids = F.array_sort(F.collect_set("chunk_id"))
+    return rows.groupBy("doc", *PLACE).agg(F.xxhash64(ids).alias("version"))
+
+
+def _same_place(a: str, b: str) -> list[Column]:
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in PLACE]
+
+
+def _folders(rows: DataFrame) -> DataFrame:
+    """The partition folders that rows of an index come from, listed before any is rewritten."""
+    return _stored(rows.select(F.regexp_replace("_file", "/[^/]*$", "").alias("d")).distinct(), "folders")
+
+
+def _drop(folders: DataFrame) -> None:
+    for row in folders.toLocalIterator():  # partitions that are left without a row
+        paths.delete(folders.sparkSession, row["d"])
+
+
 def update_index(
     spark: SparkSession,
     chunks: DataFrame,
     path: str,
     run: str,
     provider: Callable[[], embedding.Provider] = embedding.hashing_provider,
+    oldest: datetime | None = None,
 ) -> None:
-    """Embed the chunks the index does not hold yet and add them as one run.
+    """Bring the documents of ``chunks`` up to date in an index partitioned by forum and day.
 
-    Repeating a run replaces what it wrote; an empty path is a full build.
+    A document that is new or whose chunks differ replaces all it had, wherever that was;
+    only its chunks are embedded, and only the partitions it touches are rewritten. With
+    ``oldest``, rows created before it leave. ``run`` names what this call embeds;
+    repeating a run embeds that again.
     """
-    fresh = chunks
-    if paths.exists(spark, f"{path}/run=*/_SUCCESS"):
-        index = spark.read.parquet(path).where(F.col("run").cast("string") != run)
-        fresh = embedding.not_known(chunks, index, "chunk_id")
-    embedding.embed_chunks(fresh, provider).write.mode("overwrite").parquet(f"{path}/run={run}")
+    doc = F.concat_ws("\x1f", F.col("metadata")["type"], "doc_id")
+    incoming = chunks.withColumn("doc", doc).withColumn("date", F.to_date("created_at"))
+    if oldest is not None:
+        incoming = incoming.where(F.col("created_at").isNull() | (F.col("created_at") >= F.lit(oldest)))
+    if not paths.exists(spark, f"{path}/subreddit=*"):
+        made = embedding.embed_chunks(incoming, provider).withColumn("run", F.lit(run))
+        sinks.write_partitioned(made, path, PLACE)
+        return
+    index = read_index(spark, path).withColumn("_file", F.col("_metadata.file_path"))
+    stale = F.lit(False)
+    if oldest is not None:
+        stale = F.coalesce(F.col("created_at") < F.lit(oldest), F.lit(False))
+        _drop(_folders(index.where(F.col("date") < F.lit(oldest.date()))))
+        if not paths.exists(spark, f"{path}/subreddit=*"):
+            return update_index(spark, chunks, path, run, provider, oldest)
+        index = read_index(spark, path).withColumn("_file", F.col("_metadata.file_path"))
+    current = index.where(~stale & (F.col("run") != run))
+    here, there = _versions(incoming).alias("h"), _versions(current).alias("t")
+    same = [F.col("h.doc") == F.col("t.doc"), F.col("h.version") == F.col("t.version"), *_same_place("h", "t")]
+    changed = _stored(here.join(there, same, "left_anti"), "changed")
+    names = changed.select("doc").distinct()
+    leaving = index.where(stale | (F.col("run") == run)).select(*PLACE)
+    moved = index.join(names, "doc", "left_semi").select(*PLACE)
+    touched = _stored(changed.select(*PLACE).unionByName(moved).unionByName(leaving).distinct(), "touched")
+    fresh = embedding.embed_chunks(incoming.join(names, "doc", "left_semi"), provider)
+    kept = (
+        current.alias("h")
+        .join(touched.alias("t"), _same_place("h", "t"), "left_semi")
+        .join(names, "doc", "left_anti")
+        .drop("_file")
+    )
+    # Written aside first: the new rows are made from the partitions they replace.
+    rows = _stored(kept.unionByName(fresh.withColumn("run", F.lit(run))), "rows")
+    empty = touched.alias("h").join(rows.select(*PLACE).distinct().alias("t"), _same_place("h", "t"), "left_anti")
+    empty = _folders(index.alias("h").join(empty.alias("t"), _same_place("h", "t"), "left_semi"))
+    sinks.write_partitioned(rows, path, PLACE)
+    _drop(empty)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def retrieve(
@@ -51,8 +130,8 @@ def retrieve(
 ) -> DataFrame:
     """The best chunks per question, with text and metadata.
 
-    ``questions`` has (question_id, question). The index may be cut down by
-    metadata before.
+    ``questions`` has (question_id, question). The index may be cut down before, by
+    forum and date, which prune its scan, or by metadata.
     """
     asked = questions.select(
         "question_id", embedding.embed_column(F.col("question"), provider).alias("embedding")

@@ -1,6 +1,7 @@
 """Raw records -> processed records -> staging models -> mart."""
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,3 +146,25 @@ def run_transform(
     comments = files.read_comments(spark, f"{raw}/comments/*", multiline)
     sinks.write_partitioned(transform_posts(posts), f"{processed}/posts", ["subreddit"])
     sinks.write_partitioned(transform_comments(comments), f"{processed}/comments", ["subreddit"])
+
+
+def transform_runs(
+    spark: SparkSession, raw: str, processed: str, runs: list[str], multiline: bool = False
+) -> None:
+    """Fold the raw JSON of new runs into the processed tables.
+
+    Reads only ``raw``/posts/run=R and ``raw``/comments/run=R of the runs named, and
+    of the tables only the forums that occur in them. The newest record of an id
+    survives, so repeating a run changes nothing. Runs and forums without input are
+    left as they are.
+    """
+    for kind, read, clean, text in (
+        ("posts", files.read_posts, transform_posts, "clean_selftext"),
+        ("comments", files.read_comments, transform_comments, "clean_body"),
+    ):
+        landed = [read(spark, f"{raw}/{kind}/run={run}", multiline) for run in runs]
+        if landed:
+            fresh = clean(reduce(DataFrame.unionByName, landed))
+            sinks.merge_partitions(
+                fresh, f"{processed}/{kind}", ["id"], ["subreddit"], [F.col("created_utc").desc()]
+            )

@@ -10,6 +10,8 @@ from threadloom.functions.times import as_literal
 from threadloom.operators.dedupe import latest_by_key, merge_by_key
 from threadloom.sources import paths
 
+MAX_LISTED = 1000
+
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
     """Parquet partitioned by columns; an overwrite replaces only the partitions it writes."""
@@ -26,12 +28,22 @@ def merge_partitions(
     incoming: DataFrame, path: str, keys: list[str], by: list[str], order_by: list[Column]
 ) -> None:
     """Fold rows into a partitioned table, one row per key, rewriting only the partitions
-    they fall into. A key must not move between partitions."""
+    they fall into. A key must not move between partitions.
+
+    Only those partitions are read: their values of the first partition column prune the
+    scan, unless there are more of them than a filter should list.
+    """
     spark = incoming.sparkSession
     merged = latest_by_key(incoming, keys, order_by)
     if paths.exists(spark, f"{path}/{by[0]}=*"):
         touched = incoming.select(*by).distinct()
-        current = spark.read.schema(incoming.schema).parquet(path).join(touched, by, "left_semi")
+        current = spark.read.schema(incoming.schema).parquet(path)
+        values = [r[0] for r in touched.select(by[0]).distinct().limit(MAX_LISTED + 1).collect()]
+        if len(values) <= MAX_LISTED:
+            listed = F.col(by[0]).isin([v for v in values if v is not None])
+            current = current.where(listed | F.col(by[0]).isNull() if None in values else listed)
+        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
+        current = current.alias("c").join(touched.alias("t"), same, "left_semi")
         merged = merge_by_key(current, incoming, keys, order_by)
     write_partitioned(merged, path, by)
 

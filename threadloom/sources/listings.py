@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom import defaults, schemas
+from threadloom import schemas
 from threadloom.functions.text import is_removed
 
 
@@ -31,12 +31,12 @@ def unnest_comments(
     envelopes: DataFrame,
     post_id: str = "post_id",
     body: str = "body",
-    limit: int | None = defaults.COMMENT_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Comment responses -> one row per comment with text, its post's id attached.
 
-    The second element of a response holds the comment nodes; ``limit`` keeps the
-    first nodes of it, as the API does. Nodes that are not comments and comments
+    The second element of a response holds the comment nodes, all of which are read;
+    a ``limit`` keeps the first nodes of it. Nodes that are not comments and comments
     that are empty, deleted or removed are dropped. A response that does not parse
     gives no rows.
     """
