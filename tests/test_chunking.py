@@ -96,7 +96,7 @@ def mart_rows(spark):
             ("p2", "Other", "short", "cat", "flair", "g", "v", *[None] * 5),
         ],
         schema,
-    )
+    ).withColumn("post_created_at", F.expr("timestamp_ntz'2024-01-01 10:00:00'"))
 
 
 def test_posts_are_chunked_once(spark):

@@ -127,6 +127,17 @@ def test_hashing_provider():
     assert not empty.any()
 
 
+def test_built_in_vectors_are_those_of_the_provider(spark):
+    texts = ["One two two", "  two  one TWO ", " ", "", None, "Ünïcode wörds, and 日本 🙂", "a " * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, chunk_text string")
+    frame = embedding.embed_chunks(df)
+    assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+    got = {r.n: r.embedding for r in frame.collect()}
+    want = embedding.hashing_provider()([t or "" for t in texts])
+    assert got[4] is None
+    assert all(np.allclose(got[n], want[n], atol=1e-7) for n in got if n != 4)
+
+
 def test_provider_is_set_up_per_task_and_nulls_stay_null(spark):
     def provider():
         seen = []

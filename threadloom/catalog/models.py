@@ -12,7 +12,7 @@ from threadloom.operators import context, quality, ranking
 from threadloom.operators.dedupe import latest_by_key
 from threadloom.operators.joins import left_join_one_to_many, not_known
 from threadloom.plans import transform
-from threadloom.session import work_dir
+from threadloom.session import stored, work_dir
 from threadloom.sinks import tables as sinks
 from threadloom.sources import files, tables
 
@@ -33,6 +33,13 @@ def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged posts, staged comments and the mart, each text cleaned once."""
+    stg_posts = stored(staged_posts(spark, sf_dir), "stg-posts")
+    stg_comments = stored(staged_comments(spark, sf_dir), "stg-comments")
+    return stg_posts, stg_comments, transform.build_mart(stg_posts, stg_comments)
+
+
 @query(f"with {STAGED_CTES} select * from fct_posts")
 def fct_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart(spark, sf_dir)
@@ -214,9 +221,7 @@ def _dq_sql(test: str, failing: str) -> str:
     select test, failures, failures <> 0 as should_warn, failures <> 0 as should_error from f"""
 )
 def dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.model_tests(
-        staged_posts(spark, sf_dir), staged_comments(spark, sf_dir), mart(spark, sf_dir)
-    )
+    return quality.model_tests(*stored_models(spark, sf_dir))
 
 
 @query(
@@ -226,11 +231,8 @@ def dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     union all select 'fct_posts', (select count(*) from fct_posts)"""
 )
 def output_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_counts(
-        stg_posts=staged_posts(spark, sf_dir),
-        stg_comments=staged_comments(spark, sf_dir),
-        fct_posts=mart(spark, sf_dir),
-    )
+    names = ("stg_posts", "stg_comments", "fct_posts")
+    return quality.row_counts(**dict(zip(names, stored_models(spark, sf_dir), strict=True)))
 
 
 @query(

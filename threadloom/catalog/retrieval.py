@@ -12,7 +12,8 @@ from threadloom.functions.vectors import cosine
 from threadloom.operators import chunking, context, embedding, similarity
 from threadloom.operators.cleaning import with_clean_text
 from threadloom.plans.index import read_index, retrieve, update_index
-from threadloom.session import work_dir
+from threadloom.session import stored, work_dir
+from threadloom.sources.tables import spread
 
 # Chunk boundaries are found piece by piece: s holds the offsets at which pieces
 # start and the length of the text, i and j number the first and last of a chunk.
@@ -86,6 +87,7 @@ def chunk_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk_contexts(context.post_context(mart(spark, sf_dir), 2, separator=" "))
 
 
+# The keys of the metadata maps.
 METADATA_KEYS = [
     "POST_AUTHOR",
     "LINK_FLAIR_TEXT",
@@ -126,7 +128,7 @@ def metadata_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fct_posts where comment_body is not null and comment_body <> ''"""
 )
 def union_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = chunking.corpus(mart(spark, sf_dir))
+    chunks = chunking.corpus(stored(mart(spark, sf_dir), "mart"))
     return chunks.select(
         F.col("metadata")["type"].alias("type"),
         "doc_id",
@@ -169,7 +171,7 @@ def embed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index of the long comments, then of all: the second run adds the others only."""
     path = work_dir(spark, "index")
-    comments = mart(spark, sf_dir)
+    comments = stored(mart(spark, sf_dir), "mart")
     some = comments.where("comment_score > 300")
     update_index(spark, chunking.with_chunk_id(chunking.chunk_comments(some)), path, "first")
     chunks = chunking.with_chunk_id(chunking.chunk_comments(comments))
@@ -186,7 +188,7 @@ INDEXED_SQL = """select comment_id as doc_id, comment_body as chunk_text, subred
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index of older texts, more of them and in other places, brought up to date twice."""
     path = work_dir(spark, "index")
-    comments = chunking.chunk_comments(mart(spark, sf_dir))
+    comments = stored(chunking.chunk_comments(mart(spark, sf_dir)), "chunks")
     third = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
     old = comments.withColumn("chunk_no", F.explode(F.when(third, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     old = old.withColumn("chunk_text", F.when(third, F.lit("an older text")).otherwise(F.col("chunk_text")))
@@ -209,7 +211,7 @@ WINDOW_START = datetime(2023, 11, 14, 22, 45)
 def index_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All comments indexed, then half of them again with a window: what is older leaves."""
     path = work_dir(spark, "index")
-    chunks = chunking.with_chunk_id(chunking.chunk_comments(mart(spark, sf_dir)))
+    chunks = stored(chunking.with_chunk_id(chunking.chunk_comments(mart(spark, sf_dir))), "chunks")
     update_index(spark, chunks, path, "first")
     some = chunks.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
     update_index(spark, some, path, "second", oldest=WINDOW_START)
@@ -341,7 +343,7 @@ def question_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item asks for the documents most like it, by the default embedding."""
 
     def embedded(name: str, key: str) -> DataFrame:
-        rows = with_clean_text(table(spark, sf_dir, name), "text", "chunk_text")
+        rows = with_clean_text(spread(table(spark, sf_dir, name)), "text", "chunk_text")
         return embedding.embed_chunks(rows.select(key, "chunk_text"))
 
     return similarity.top_k(

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from threadloom import defaults
-from threadloom.session import work_dir
+from threadloom.session import stored
 
 SCORE_DECIMALS = 6
 MAX_BROADCAST_FLOATS = 8_000_000  # 64 MB as doubles
@@ -191,7 +191,7 @@ def top_k(
     rows = corpus.select(F.col(corpus_id).alias("id"), F.col(corpus_vector).alias("vec"))
     rows = rows.where(F.col("vec").isNotNull() & F.col("id").isNotNull())
     asked = questions.select(F.col(question_id).alias("id"), F.col(question_vector).alias("vec"))
-    asked = _stored(asked.where(F.col("vec").isNotNull() & F.col("id").isNotNull()), "questions")
+    asked = stored(asked.where(F.col("vec").isNotNull() & F.col("id").isNotNull()), "questions")
     schema = _result_schema(asked.schema["id"], rows.schema["id"])
 
     n, least, dims = asked.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec"))).first()
@@ -199,7 +199,7 @@ def top_k(
         raise ValueError(f"the questions' vectors have {least} to {dims} elements")
     blocks = -(-n * dims // max_broadcast_floats) if n else 0
     if blocks > 1:
-        rows = _stored(rows, "corpus")
+        rows = stored(rows, "corpus")
     partial = None
     for block in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block) if blocks > 1 else asked
@@ -208,7 +208,7 @@ def top_k(
             continue
         found = scan_top_k(_sized(rows, dims), batch, schema, k, min_score)
         if blocks > 1:  # written, so that one block's questions are held at a time
-            found = _stored(found, f"hits-{block}")
+            found = stored(found, f"hits-{block}")
         partial = found if partial is None else partial.unionByName(found)
     if partial is None:
         partial = spark.createDataFrame([], schema)
@@ -217,12 +217,6 @@ def top_k(
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def label_centroids(vectors: DataFrame, label: str, vector: str) -> DataFrame:
     """Mean vector per label, combined per task before the shuffle."""
     mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from threadloom import defaults
 from threadloom.operators import chunking, context, embedding, filters, similarity
-from threadloom.session import work_dir
+from threadloom.session import stored
 from threadloom.sinks import tables as sinks
 from threadloom.sources import paths
 
@@ -53,7 +53,7 @@ def _same_place(a: str, b: str) -> list[Column]:
 
 def _folders(rows: DataFrame) -> DataFrame:
     """The partition folders that rows of an index come from, listed before any is rewritten."""
-    return _stored(rows.select(F.regexp_replace("_file", "/[^/]*$", "").alias("d")).distinct(), "folders")
+    return stored(rows.select(F.regexp_replace("_file", "/[^/]*$", "").alias("d")).distinct(), "folders")
 
 
 def _drop(folders: DataFrame) -> None:
@@ -66,7 +66,7 @@ def update_index(
     chunks: DataFrame,
     path: str,
     run: str,
-    provider: Callable[[], embedding.Provider] = embedding.hashing_provider,
+    provider: Callable[[], embedding.Provider] | None = None,
     oldest: datetime | None = None,
 ) -> None:
     """Bring the documents of ``chunks`` up to date in an index partitioned by forum and day.
@@ -95,11 +95,11 @@ def update_index(
     current = index.where(~stale & (F.col("run") != run))
     here, there = _versions(incoming).alias("h"), _versions(current).alias("t")
     same = [F.col("h.doc") == F.col("t.doc"), F.col("h.version") == F.col("t.version"), *_same_place("h", "t")]
-    changed = _stored(here.join(there, same, "left_anti"), "changed")
+    changed = stored(here.join(there, same, "left_anti"), "changed")
     names = changed.select("doc").distinct()
     leaving = index.where(stale | (F.col("run") == run)).select(*PLACE)
     moved = index.join(names, "doc", "left_semi").select(*PLACE)
-    touched = _stored(changed.select(*PLACE).unionByName(moved).unionByName(leaving).distinct(), "touched")
+    touched = stored(changed.select(*PLACE).unionByName(moved).unionByName(leaving).distinct(), "touched")
     fresh = embedding.embed_chunks(incoming.join(names, "doc", "left_semi"), provider)
     kept = (
         current.alias("h")
@@ -108,34 +108,26 @@ def update_index(
         .drop("_file")
     )
     # Written aside first: the new rows are made from the partitions they replace.
-    rows = _stored(kept.unionByName(fresh.withColumn("run", F.lit(run))), "rows")
+    rows = stored(kept.unionByName(fresh.withColumn("run", F.lit(run))), "rows")
     empty = touched.alias("h").join(rows.select(*PLACE).distinct().alias("t"), _same_place("h", "t"), "left_anti")
     empty = _folders(index.alias("h").join(empty.alias("t"), _same_place("h", "t"), "left_semi"))
     sinks.write_partitioned(rows, path, PLACE)
     _drop(empty)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def retrieve(
     index: DataFrame,
     questions: DataFrame,
     k: int = defaults.TOP_K,
     min_score: float | None = defaults.MIN_RELEVANCE,
-    provider: Callable[[], embedding.Provider] = embedding.hashing_provider,
+    provider: Callable[[], embedding.Provider] | None = None,
 ) -> DataFrame:
     """The best chunks per question, with text and metadata.
 
     ``questions`` has (question_id, question). The index may be cut down before, by
     forum and date, which prune its scan, or by metadata.
     """
-    asked = questions.select(
-        "question_id", embedding.embed_column(F.col("question"), provider).alias("embedding")
-    )
+    asked = embedding.embed_chunks(questions.select("question_id", "question"), provider, "question")
     hits = similarity.top_k(index, asked, k, min_score)
     texts = index.select(F.col("chunk_id").alias("match_id"), "chunk_text", "metadata")
     if questions.count() * k <= MAX_BROADCAST_HITS:

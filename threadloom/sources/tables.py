@@ -18,3 +18,12 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 def read_query(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     """A SQL query over catalog tables, views and the frames named in ``{braces}``."""
     return spark.sql(query, **frames)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """The rows of a scan dealt to all cores where its files make fewer tasks than there are cores.
+
+    For expensive work on each row of small files; a larger scan stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
