@@ -29,7 +29,8 @@ from threadloom.llm.common import steps
 EXAMPLES_PER_CLASS = 2000
 VOCABULARY = 1024
 MIN_LIFT = 4.0
-MIN_CHI2 = 6.6
+#: About one in twenty million by chance, as there are very many words to choose from.
+MIN_CHI2 = 30.0
 NEIGHBOURS = 15
 BLOCK = 32
 EVIDENCE = 3
