@@ -143,7 +143,7 @@ def vectors(rng):
     return rows
 
 
-@pytest.mark.parametrize("shard,chunk", [(800, 2000), (60, 90)])
+@pytest.mark.parametrize("shard,chunk", [(1500, 2500), (80, 60)])
 def test_embedding_links_equal_brute_force(spark, monkeypatch, shard, chunk):
     """Once in single shards, once in many overlapping shards with crowded ones dealt to chunk pairs."""
     monkeypatch.setattr(embedding_graph, "SHARD", shard)

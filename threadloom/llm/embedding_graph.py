@@ -22,18 +22,18 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import components, plus, stored, unite
 
 THRESHOLD = 0.93
-#: Nodes per shard aimed at, and the most of a chunk; a task holds two chunks at most.
-SHARD, CHUNK = 800, 2000
+#: Nodes per shard aimed at, overlap included, and the most of a chunk; a task holds two chunks at most.
+SHARD, CHUNK = 1500, 2500
 MAX_CENTRES = 4096
 #: Nodes that the centres are fitted on: this many per centre, at most this many in all.
 SAMPLE_PER_CENTRE, MAX_SAMPLE = 20, 40_000
-OVERLAPS = (4, 8, 16)
+OVERLAPS = (2, 4, 8)
 DEGREE, CANDIDATES, ALPHA = 20, 40, 1.2
 #: Further candidates drawn from the whole chunk, for edges that lead out of dense groups.
 FAR_CANDIDATES, MEDOIDS = 16, 8
-BEAM, WIDTH = 24, 4
+BEAM, WIDTH = 16, 4
 #: Nodes this much below the threshold are walked through in the range search.
-SLACK = 0.06
+SLACK = 0.04
 AUDITED, MIN_RECALL = 256, 0.99
 
 
@@ -56,8 +56,8 @@ def _units(column) -> np.ndarray:
 def fit_centres(nodes: DataFrame) -> dict[int, np.ndarray]:
     """Unit centres by vector length, from nodes of smallest hash (a bounded sample) by spherical k-means."""
     largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    k = min(MAX_CENTRES, -(-largest // SHARD))
-    if k < 2:
+    k = min(MAX_CENTRES, -(-largest * OVERLAPS[0] // SHARD))
+    if k <= OVERLAPS[0]:
         return {}
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(min(MAX_SAMPLE, SAMPLE_PER_CENTRE * k)).select("dim", "v").toArrow()
     out = {}
