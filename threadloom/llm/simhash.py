@@ -9,8 +9,8 @@ below the other in one dimension. So every fingerprint goes to its own cell of e
 and to the cells one step below, and whatever meets in a cell is compared bit by bit.
 
 Rows with equal fingerprints are one node. Cells with very many fingerprints are dealt to
-pairs of chunks, so no task holds more than two chunks; each task returns a spanning
-forest of its links, not all pairs.
+pairs of chunks, so no task holds more than two chunks; each task returns a shortest
+spanning forest of its links, not all pairs.
 """
 
 from __future__ import annotations
@@ -105,24 +105,50 @@ def _cells(nodes: DataFrame) -> DataFrame:
     return rows
 
 
+def _shortest(n: int, i: np.ndarray, j: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a shortest spanning forest, nearest pairs first."""
+    labels, out = np.arange(n), [(i[:0], j[:0])]
+    for level in np.unique(bits):
+        a, b = i[bits == level], j[bits == level]
+        while True:
+            x, y = labels[a], labels[b]
+            apart = x != y
+            if not apart.any():
+                break
+            a, b = a[apart], b[apart]
+            # One pair for every class that joins a smaller one, so none closes a circle.
+            _, first = np.unique(np.maximum(x, y)[apart], return_index=True)
+            out.append((a[first], b[first]))
+            labels = unite(labels, a[first], b[first])
+    return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+
+
 def _forest(fps: np.ndarray, runs: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest within every run of equal run numbers."""
-    labels = np.arange(len(fps))
+    """Links of a shortest spanning forest within every run of equal run numbers."""
     starts = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]]) if len(runs) else np.zeros(0, dtype=np.int64)
     sizes = np.diff(np.r_[starts, len(fps)])
     short = np.repeat(sizes <= SHORT_RUN, sizes)
+    pairs, edges = [], []
     for step in range(1, min(SHORT_RUN, int(sizes.max(initial=0)))):
         i = np.flatnonzero(short[:-step] & (runs[:-step] == runs[step:]))
-        i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= max_bits]
-        labels = unite(labels, i, i + step)
+        bits = np.bitwise_count(fps[i] ^ fps[i + step])
+        near = bits <= max_bits
+        pairs.append((i[near], i[near] + step, bits[near]))
+    if pairs:
+        edges.append(_shortest(len(fps), *(np.concatenate(c) for c in zip(*pairs, strict=True))))
     for start, size in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True):
-        own = fps[start : start + size]
+        own, pairs = fps[start : start + size], []
         for row in range(0, size, 256):
-            near = np.bitwise_count(own[row : row + 256, None] ^ own[None, :]) <= max_bits
-            i, j = np.nonzero(near)
-            labels = unite(labels, start + row + i, start + j)
-    child = np.flatnonzero(labels != np.arange(len(fps)))
-    return fps[child], fps[labels[child]]
+            bits = np.bitwise_count(own[row : row + 256, None] ^ own[None, :])
+            i, j = np.nonzero(bits <= max_bits)
+            later = j > i + row
+            i, j = i[later], j[later]
+            pairs.append(((i + row).astype(np.int32), j.astype(np.int32), bits[i, j]))
+        a, b = _shortest(size, *(np.concatenate(c) for c in zip(*pairs, strict=True)))
+        edges.append((start + a, start + b))
+    if not edges:
+        return fps[:0], fps[:0]
+    return fps[np.concatenate([a for a, _ in edges])], fps[np.concatenate([b for _, b in edges])]
 
 
 def _links(max_bits: int):
@@ -202,82 +228,65 @@ def hex_of(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def _similar(words: int):
+def _lane_links(nodes: DataFrame, name: str, max_bits: int) -> DataFrame:
+    """Rows (a, b) of nodes linked in one of their fingerprints, each known by the smallest node that has it."""
+    known = nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first"))
+    found = links(known.select("fp"), max_bits)
+    first = known.select(F.col("fp").alias("a"), F.col("first").alias("x"))
+    second = known.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    far = found.join(first, "a").join(second, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = nodes.join(known, nodes[name] == known["fp"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
+    return stored(far.unionByName(equal.where("a <> b")), "links")
+
+
+def _similar(words: int, min_similarity: float):
+    """Arrow function that keeps the pairs (a, b) whose texts' shingle sets are similar enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, shingles = None, frozenset()
         for batch in batches:
-            out = []
-            for mine, other in zip(texts_of(batch, "text"), texts_of(batch, "lead"), strict=True):
-                if mine == other:
-                    out.append(1.0)
-                    continue
+            keep = []
+            for mine, other in zip(texts_of(batch, "text_a"), texts_of(batch, "text_b"), strict=True):
                 if other != last:
                     last, shingles = other, frozenset(_shingle_hashes(other, words))
                 own = frozenset(_shingle_hashes(mine, words))
                 both = len(own & shingles)
-                out.append(both / (len(own) + len(shingles) - both) if own or shingles else 1.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], names=["component", "id", "text", "of", "similarity"])
+                keep.append(both >= min_similarity * (len(own) + len(shingles) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def wide_groups(docs: DataFrame, words: int, lanes: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, component) of groups linked in any of several independent fingerprints; ids not null.
-
-    One fingerprint misses many near copies of short texts; each further one is another chance.
-    """
-    names = [f"fp{k}" for k in range(lanes)]
-    prints = stored(fingerprints(docs, words, lanes, id_col, text_col), "fingerprints")
-    nodes = stored(prints.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
-    edges = None
-    for name in names:
-        # Each fingerprint is known by the smallest node that has it.
-        known = nodes.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first"))
-        found = links(known.select("fp"), max_bits)
-        first = known.select(F.col("fp").alias("a"), F.col("first").alias("x"))
-        second = known.select(F.col("fp").alias("b"), F.col("first").alias("y"))
-        far = found.join(first, "a").join(second, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        equal = nodes.join(known, nodes[name] == known["fp"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
-        own = stored(far.unionByName(equal.where("a <> b")), "links")
-        edges = own if edges is None else edges.unionByName(own)
-    named = nodes.join(components(edges), "node", "left").select(*names, F.coalesce("root", "node").alias("component"))
-    return prints.join(stored(named, "classes"), names).select("id", "component")
-
-
 def near_copies(
     docs: DataFrame,
     words: int = 5,
     lanes: int = 4,
-    max_bits: int = 7,
+    max_bits: int = 9,
     min_similarity: float = 0.8,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Rows (id, of): documents that are near copies of one with a smaller id, which stays.
-
-    Groups are linked in any of several fingerprints (lanes) of at most max_bits differing bits.
-    Within a group the smallest id leads; members whose shingle sets have
-    a Jaccard similarity of min_similarity or more with the leader's are its copies. The others
-    are judged again among themselves until none is left. Rows that share an id are one document,
-    of which some one text is compared; rows with a null id are never copies.
+    """Rows (id, of): documents in a group of near copies whose smallest id is another, the one that stays.
+
+    Two documents link if in one of several independent fingerprints (lanes) they differ in at most
+    three bits, or in at most max_bits and lie within a step in one block, and their shingle sets have a Jaccard similarity of min_similarity or
+    more, which is computed exactly; one fingerprint misses many near copies of short texts, and
+    each further one is another chance. Documents equal in all fingerprints are one node. What is
+    compared are the links of a shortest spanning forest per grid cell. Rows that share an id are one
+    document, of which some one text is compared; rows with a null id are never copies.
     """
-    groups = wide_groups(docs.where(F.col(id_col).isNotNull()), words, lanes, max_bits, id_col, text_col)
-    several = groups.where("id <> component").select("component").distinct()
-    members = groups.join(several, "component", "left_semi").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    open_ = stored(members.join(texts, "id").dropDuplicates(["id"]).select("component", "id", "text"), "members")
-    copies = None
-    while copies is None or not open_.isEmpty():
-        first = open_.groupBy("component").agg(F.min("id").alias("of"))
-        leaders = first.join(open_.select(F.col("id").alias("of"), F.col("text").alias("lead")), "of")
-        judged = (
-            open_.join(leaders, "component")
-            .where("id <> of")
-            .select("component", "id", "text", "of", "lead")
-            .mapInArrow(_similar(words), "component long, id long, text string, of long, similarity double")
-        )
-        judged = stored(judged, "judged")
-        near = judged.where(F.col("similarity") >= min_similarity).select("id", "of")
-        copies = near if copies is None else copies.unionByName(near)
-        open_ = judged.where(F.col("similarity") < min_similarity).select("component", "id", "text")
-    return copies
+    names = [f"fp{k}" for k in range(lanes)]
+    rows = docs.where(F.col(id_col).isNotNull())
+    prints = stored(fingerprints(rows, words, lanes, id_col, text_col), "fingerprints")
+    nodes = stored(prints.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
+    edges = _lane_links(nodes, names[0], max_bits)
+    for name in names[1:]:
+        edges = edges.unionByName(_lane_links(nodes, name, max_bits))
+    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    linked = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+    texts = rows.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = stored(texts.join(linked, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    alike = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_similar(words, min_similarity), "a long, b long")
+    named = nodes.join(components(alike), "node", "left").select(*names, F.coalesce("root", "node").alias("of"))
+    return prints.join(stored(named, "classes"), names).where("id <> of").select("id", "of").distinct()
