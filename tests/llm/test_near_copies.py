@@ -90,6 +90,16 @@ def test_near_copies_are_verified_by_shingles(spark):
     assert got == {(9, 4), (12, 4), (8, 7), (31, 30)}
 
 
+def test_a_repeated_passage_makes_no_copies(spark):
+    """Equal fingerprints are no proof: these texts share one passage and nothing else."""
+    rng = random.Random(11)
+    passage = words(rng, 5) * 100
+    rows = [(k, " ".join(passage + words(rng, 40, 10**6))) for k in range(20)]
+    rows += [(100 + k, " ".join(passage * (k + 1))) for k in range(2)]
+    got = {(r["id"], r["of"]) for r in simhash.near_copies(frame(spark, rows)).collect()}
+    assert got == {(101, 100)}
+
+
 def test_null_ids_and_empty_tables(spark):
     rows = simhash.near_groups(frame(spark, [(None, "a b c d"), (5, "a b c d"), (None, "z")]), 3).collect()
     assert sorted((r["id"] or -1, r["component"]) for r in rows if r["component"]) == [(-1, 5), (5, 5)]

@@ -46,6 +46,11 @@ def _shingle_hashes(text: bytes, words: int) -> list[int]:
     return [digest(joined[a : b - 1], 42) for a, b in zip(starts, starts[words:], strict=False)]
 
 
+def _shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted."""
+    return np.unique(np.array(_shingle_hashes(text, words), dtype=np.uint64))
+
+
 def _majority(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """One fingerprint per run of counts hashes: bit set where over half of them have it."""
     ones = np.zeros((len(counts), 64), dtype=np.int64)
@@ -64,21 +69,28 @@ def _majority(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
 
 
-def fingerprints(docs: DataFrame, words: int, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, words: int, lanes: int = 1, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False
+) -> DataFrame:
     """Rows (id, fp0, fp1, ...): SimHashes of the lower-cased (A-Z) shingles of every whole text.
 
     Each is a 64-bit fingerprint as a signed long, the first from the XXH64 (seed 42) of the
     shingles, further ones from hashes derived from it. A text with fewer words than a shingle
     is one shingle; null, empty and blank texts have fingerprint zero. Ids may be null or repeat.
+    With distinct, every shingle of a text counts once, so none that repeats outvotes the others,
+    and columns set0 and set1 are a 128-bit hash of the text's set of shingles.
     """
-    names = [f"fp{k}" for k in range(lanes)]
+    names = [f"fp{k}" for k in range(lanes)] + (["set0", "set1"] if distinct else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            hashes = [_shingle_hashes(x, words) for x in texts_of(batch, "text")]
+            hashes = [(_shingle_set if distinct else _shingle_hashes)(x, words) for x in texts_of(batch, "text")]
             counts = np.fromiter(map(len, hashes), dtype=np.int64, count=len(hashes))
             flat = np.fromiter((h for some in hashes for h in some), dtype=np.uint64, count=int(counts.sum()))
             prints = [_majority(flat if k == 0 else mix(flat + np.uint64(k)), counts) for k in range(lanes)]
+            if distinct:
+                marks = b"".join(xxhash.xxh3_128_digest(h.tobytes()) for h in hashes)
+                prints.extend(np.frombuffer(marks, dtype=np.int64).reshape(-1, 2).T)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, prints)], names=["id", *names])
 
     cut = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -271,14 +283,15 @@ def near_copies(
     Two documents link if in one of several independent fingerprints (lanes) they differ in at most
     three bits, or in at most max_bits and lie within a step in one block, and their shingle sets have a Jaccard similarity of min_similarity or
     more, which is computed exactly; one fingerprint misses many near copies of short texts, and
-    each further one is another chance. Documents equal in all fingerprints are one node. What is
-    compared are the links of a shortest spanning forest per grid cell. Rows that share an id are one
+    each further one is another chance. Fingerprints are of the distinct shingles, and documents of
+    equal shingle sets are one node; equal fingerprints are a link like others. What is compared are
+    the links of a shortest spanning forest per grid cell. Rows that share an id are one
     document, of which some one text is compared; rows with a null id are never copies.
     """
     names = [f"fp{k}" for k in range(lanes)]
     rows = docs.where(F.col(id_col).isNotNull())
-    prints = stored(fingerprints(rows, words, lanes, id_col, text_col), "fingerprints")
-    nodes = stored(prints.groupBy(*names).agg(F.min("id").alias("node")), "nodes")
+    prints = stored(fingerprints(rows, words, lanes, id_col, text_col, distinct=True), "fingerprints")
+    nodes = stored(prints.groupBy("set0", "set1", *names).agg(F.min("id").alias("node")), "nodes")
     edges = _lane_links(nodes, names[0], max_bits)
     for name in names[1:]:
         edges = edges.unionByName(_lane_links(nodes, name, max_bits))
@@ -288,5 +301,5 @@ def near_copies(
     texts = stored(texts.join(linked, "id", "left_semi").dropDuplicates(["id"]), "texts")
     pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     alike = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_similar(words, min_similarity), "a long, b long")
-    named = nodes.join(components(alike), "node", "left").select(*names, F.coalesce("root", "node").alias("of"))
-    return prints.join(stored(named, "classes"), names).where("id <> of").select("id", "of").distinct()
+    named = nodes.join(components(alike), "node", "left").select("set0", "set1", F.coalesce("root", "node").alias("of"))
+    return prints.join(stored(named, "classes"), ["set0", "set1"]).where("id <> of").select("id", "of").distinct()
