@@ -100,6 +100,42 @@ def test_a_repeated_passage_makes_no_copies(spark):
     assert got == {(101, 100)}
 
 
+@pytest.mark.parametrize("chunk", [2048, 300])
+def test_near_copies_hang_on_no_failed_link(spark, monkeypatch, chunk):
+    """Documents of one template, each with a copy: every pair that is near and similar ends in one group."""
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    monkeypatch.setattr(simhash, "SETS", chunk)
+    rng = random.Random(7)
+    template, rows = words(rng, 300), []
+    for k in range(400):
+        own = list(template)
+        for at in rng.sample(range(300), 8):
+            own[at] = f"own{rng.randrange(10**6)}"
+        rows.append((2 * k, " ".join(own)))
+        for at in rng.sample(range(300), 6):
+            own[at] = f"own{rng.randrange(10**6)}"
+        rows.append((2 * k + 1, " ".join(own)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(296)} for i, t in rows}
+    made = simhash.fingerprints(frame(spark, rows), 5, 4, distinct=True).collect()
+    prints = {r["id"]: [r[f"fp{k}"] % 2**64 for k in range(4)] for r in made}
+
+    def near(a, b):
+        """Bits are few in a lane, and the points of a block at most one apart."""
+        for x, y in zip(prints[a], prints[b], strict=True):
+            if (x ^ y).bit_count() <= 9:
+                for block in (0, 32):
+                    steps = [(x >> s & 3).bit_count() - (y >> s & 3).bit_count() for s in range(block, block + 32, 2)]
+                    if sum(map(abs, steps)) <= 1 or sorted(s for s in steps if s) == [-1, 1]:
+                        return True
+        return False
+
+    alike = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and near(i, j)]
+    roots = classes(list(sets), alike)
+    got = {(r["id"], r["of"]) for r in simhash.near_copies(frame(spark, rows)).collect()}
+    assert len(alike) > 50
+    assert got == {(i, roots[i]) for i in roots if i != roots[i]}
+
+
 def test_null_ids_and_empty_tables(spark):
     rows = simhash.near_groups(frame(spark, [(None, "a b c d"), (5, "a b c d"), (None, "z")]), 3).collect()
     assert sorted((r["id"] or -1, r["component"]) for r in rows if r["component"]) == [(-1, 5), (5, 5)]

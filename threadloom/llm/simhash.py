@@ -32,6 +32,8 @@ BLOCK_MASK = (1 << BLOCK_BITS) - 1
 MAX_BITS = 3
 #: Most fingerprints of one cell that one chunk takes; a task compares two chunks.
 CHUNK = 2048
+#: Most rows of one cell whose shingle sets one chunk takes.
+SETS = 512
 SHORT_RUN = 48
 LANES = np.uint64(0x0101010101010101)
 
@@ -97,8 +99,8 @@ def fingerprints(
     return cut.mapInArrow(run, ", ".join(["id long", *(f"{n} long" for n in names)]))
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
-    """Rows (cell, fp): the own cell of both blocks and the cells one step below it."""
+def _cells(nodes: DataFrame, *more: str) -> DataFrame:
+    """Rows (cell, fp, more): the own cell of both blocks and the cells one step below it."""
     part = lambda shift: F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(BLOCK_MASK))
     rows = None
     for block in range(2):
@@ -108,11 +110,12 @@ def _cells(nodes: DataFrame) -> DataFrame:
         below = F.expr(
             "transform(filter(sequence(0, 30, 2), s -> (shiftright(point, s) & 3) > 0), s -> point - shiftleft(1L, s))"
         )
-        one = nodes.select("fp", counts.alias("point")).select(
+        one = nodes.select("fp", *more, counts.alias("point")).select(
             "fp",
+            *more,
             F.explode(F.concat(F.array("point"), below)).alias("cell"),
         )
-        one = one.select((F.col("cell") + F.lit(block << BLOCK_BITS)).alias("cell"), "fp")
+        one = one.select((F.col("cell") + F.lit(block << BLOCK_BITS)).alias("cell"), "fp", *more)
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
@@ -269,6 +272,120 @@ def _similar(words: int, min_similarity: float):
     return run
 
 
+def _sets(words: int):
+    """Arrow function from (node, text) to the sorted distinct shingle hashes, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            sets = [_shingle_set(x, words).tobytes() for x in texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return run
+
+
+def _open_pairs(table: pa.Table, max_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one cell that are near and of different roots, and their differing bits.
+
+    Pairs within a chunk are taken where only that chunk is, and pairs of equal points, which
+    meet in many cells, in their own cell.
+    """
+    of = lambda name: table.column(name).to_numpy()
+    fps, roots, own, cell = of("fp").view(np.uint64), of("root"), of("own"), int(table.column("cell")[0].as_py())
+    within = table.column("x")[0].as_py() == table.column("y")[0].as_py()
+    half = (fps >> np.uint64(BLOCK_BITS * (cell >> BLOCK_BITS & 1))) & np.uint64(BLOCK_MASK)
+    points = half - ((half >> np.uint64(1)) & np.uint64(0x55555555))
+    below = points != np.uint64(cell & BLOCK_MASK)
+    found = []
+    for row in range(0, len(fps), 256):
+        part = slice(row, row + 256)
+        bits = np.bitwise_count(fps[part, None] ^ fps[None, :])
+        near = (bits <= max_bits) & (roots[part, None] != roots[None, :])
+        near &= ~(below[part, None] & (points[part, None] == points[None, :]))
+        if not within:
+            near &= own[part, None] != own[None, :]
+        i, j = np.nonzero(near)
+        later = j > i + row
+        i, j = i[later], j[later]
+        found.append((i + row, j, bits[i, j]))
+    i, j, bits = (np.concatenate(c) for c in zip(*found, strict=True))
+    return i, j, bits
+
+
+def _involved(max_bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        i, j, _ = _open_pairs(table, max_bits)
+        return table.take(pa.array(np.unique(np.r_[i, j])))
+
+    return run
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles any two sets have in common, by blocks of the shingles that several have."""
+    sizes = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, code, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = counts[code] > 1
+    owner, code = owner[several], (np.cumsum(counts > 1) - 1)[code[several]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    both = np.zeros((len(sets), len(sets)))
+    for start in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        a, b = np.searchsorted(code, [start, start + 4096])
+        has = np.zeros((len(sets), 4096), dtype=np.float32)
+        has[owner[a:b], code[a:b] - start] = 1
+        both += has @ has.T
+    return both
+
+
+def _joined(max_bits: int, min_similarity: float):
+    """Function of one cell's rows with shingle sets: a spanning forest of its similar enough pairs, as roots."""
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j, bits = _open_pairs(table, max_bits)
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("shingles").to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        both = _shared(sets)[i, j].astype(np.int64)
+        alike = both >= min_similarity * (sizes[i] + sizes[j] - both)
+        a, b = _shortest(len(sets), i[alike], j[alike], bits[alike])
+        roots = table.column("root")
+        return pa.table({"a": roots.take(pa.array(a)), "b": roots.take(pa.array(b))})
+
+    return run
+
+
+def _passed_over(classes: DataFrame, texts: DataFrame, names: list[str], words: int, max_bits: int, min_similarity: float) -> DataFrame:
+    """Rows (a, b) of roots joined by a similar pair of their nodes that was in no forest.
+
+    classes has (node, root) and the fingerprints of nodes, texts their (id, text). In every cell
+    all near pairs of different roots are found, and the shingle sets of the nodes in them are sent
+    there and compared; rows stay linear in nodes and cells, pairs never leave a task.
+    """
+    rows = None
+    for k, name in enumerate(names):
+        one = _cells(classes.select(F.col(name).alias("fp"), "node", "root"), "node", "root")
+        one = one.withColumn("cell", F.col("cell") + F.lit(k << (BLOCK_BITS + 1)))
+        rows = one if rows is None else rows.unionByName(one)
+    rows = stored(rows, "cells")
+
+    def dealt(rows: DataFrame, chunk: int) -> DataFrame:
+        cells = rows.groupBy("cell").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+        cells = cells.where("r < s").select("cell", F.ceil(F.col("n") / chunk).cast("int").alias("k"))
+        return (
+            rows.join(cells, "cell")
+            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+            .withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
+            .select("cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "root", "fp")
+        )
+
+    schema = "cell long, x int, y int, own int, node long, root long, fp long"
+    found = dealt(rows, CHUNK).groupBy("cell", "x", "y").applyInArrow(_involved(max_bits), schema)
+    found = stored(found.select("cell", "node", "root", "fp").distinct(), "involved")
+    sets = texts.select(F.col("id").alias("node"), "text").join(found.select("node").distinct(), "node", "left_semi")
+    sets = stored(sets.mapInArrow(_sets(words), "node long, shingles binary"), "sets")
+    met = dealt(found, SETS).join(sets, "node").groupBy("cell", "x", "y")
+    return met.applyInArrow(_joined(max_bits, min_similarity), "a long, b long").distinct()
+
+
 def near_copies(
     docs: DataFrame,
     words: int = 5,
@@ -284,9 +401,10 @@ def near_copies(
     three bits, or in at most max_bits and lie within a step in one block, and their shingle sets have a Jaccard similarity of min_similarity or
     more, which is computed exactly; one fingerprint misses many near copies of short texts, and
     each further one is another chance. Fingerprints are of the distinct shingles, and documents of
-    equal shingle sets are one node; equal fingerprints are a link like others. What is compared are
-    the links of a shortest spanning forest per grid cell. Rows that share an id are one
-    document, of which some one text is compared; rows with a null id are never copies.
+    equal shingle sets are one node; equal fingerprints are a link like others. First the links of
+    a shortest spanning forest per grid cell are compared; where some fail, so that what they joined
+    falls apart, all other near pairs between the parts are compared, too. Rows that share an id are
+    one document, of which some one text is compared; rows with a null id are never copies.
     """
     names = [f"fp{k}" for k in range(lanes)]
     rows = docs.where(F.col(id_col).isNotNull())
@@ -301,5 +419,15 @@ def near_copies(
     texts = stored(texts.join(linked, "id", "left_semi").dropDuplicates(["id"]), "texts")
     pairs = edges.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     alike = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_similar(words, min_similarity), "a long, b long")
-    named = nodes.join(components(alike), "node", "left").select("set0", "set1", F.coalesce("root", "node").alias("of"))
-    return prints.join(stored(named, "classes"), ["set0", "set1"]).where("id <> of").select("id", "of").distinct()
+    classes = nodes.join(components(alike), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = stored(classes, "classes")
+    # Near pairs that no forest has are within a root, or both their roots have a failed link to another.
+    root_of = classes.select("node", "root").distinct()
+    ends = edges.join(root_of.toDF("a", "x"), "a").join(root_of.toDF("b", "y"), "b").where("x <> y")
+    apart = stored(ends.select(F.explode(F.array("x", "y")).alias("root")).distinct(), "apart")
+    if not apart.isEmpty():
+        parts = classes.join(apart, "root", "left_semi")
+        more = components(_passed_over(parts, texts, names, words, max_bits, min_similarity))
+        classes = classes.join(more.toDF("root", "least"), "root", "left").withColumn("root", F.coalesce("least", "root"))
+    named = stored(classes.select("set0", "set1", F.col("root").alias("of")), "named")
+    return prints.join(named, ["set0", "set1"]).where("id <> of").select("id", "of").distinct()
