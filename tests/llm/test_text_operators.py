@@ -243,6 +243,25 @@ def test_leaks_with_other_values(spark):
     assert decontamination.leaks(df, items.limit(0)).count() == 0
 
 
+def test_leaks_of_items_with_few_words(spark):
+    """Arithmetic, series, capitals and titles have too few literal words for a template, not for a copy."""
+    items = [
+        (60, "Compute 12 + 7 - 3 then 45 / 9 and 81 * 2 - 17 + 4 / 8 - 5 + 6"),
+        (61, "3 1 4 1 5 9 2 6 5 3 5 8 9 7 9 3"),
+        (62, "WHICH OF THE FOLLOWING GASES MAKES UP MOST OF THE AIR THAT WE BREATHE TODAY?"),
+        (63, "The Winter's Tale"),
+        (64, "now add all of these numbers up as fast as you can please 7 8 9 10 11 12 13 14 15 16 17 18 19 20"),
+        (65, "?!"),
+    ]
+    prose = " ".join(f"filler{k}" for k in range(40))
+    docs = [(i, f"{prose} Hello {t.lower() if i == 62 else t} Bye {prose}") for i, t in items]
+    docs += [(70, f"{prose} 7 8 9 10 11 12 13 14 15 16 17 18 19 20"), (71, items[0][1].replace("+", "*").replace("9 and", "8 and")), (72, prose), (73, "winter's tale the"), (74, "")]
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["id"], r["item"]): r for r in found.collect()}
+    assert set(got) == {(60, 60), (61, 61), (62, 62), (63, 63), (64, 64), (70, 64)}
+    assert got[63, 63]["first_word"] == 41 and not any(r["changed"] for r in got.values())
+
+
 def test_leaks_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")

@@ -7,6 +7,10 @@ hashes, keeps documents' windows that cannot match at home; the others meet the
 in a hash join and must agree in every template token. Within a window, a placeholder value of the
 item must always stand for the same value in the document; over all windows of one alignment,
 most of them must.
+
+Where an item has too few template tokens, or a window of it too few words among them, a template
+says too little; there the words themselves are searched, lower-cased, in windows of 13 words or
+the whole of what is shorter. Only copies with the same values are found by these.
 """
 
 from __future__ import annotations
@@ -23,9 +27,9 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import Rolling, mix, steps, stored
 
 WINDOW = 13
-#: Items of fewer template tokens are one window of their own; shorter ones than this are not searched.
+#: Items of fewer template tokens are one window of their own; shorter ones than this are searched word by word.
 SHORTEST = 5
-#: Share of a window's tokens that must be words.
+#: Share of a window's tokens that must be words; the others are searched word by word.
 MIN_WORDS = 0.5
 #: An alignment counts while fewer than this share of its placeholder values are contradicted.
 MAX_CONTRADICTED = 0.5
@@ -67,12 +71,19 @@ def _kind(word: str) -> tuple[int, str]:
     return (UNIT if bare.lower() in UNITS else LITERAL), bare.lower()
 
 
+def _exact(word: str) -> str:
+    """The word lower-cased without outer punctuation, or as it is if nothing else is in it."""
+    bare = _OUTER.sub("", word)
+    return (bare if any(c.isalnum() for c in bare) else word).lower()
+
+
 class Templates:
     """Template tokens of texts, and windows over them."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
         self.kinds, self.hashes = np.zeros(1024, dtype=np.uint8), np.zeros(1024, dtype=np.uint64)
+        self.exact: dict[str, int] = {}
         self.rolling = Rolling(0x5851F42D4C957F2D)
         slots = {k: xxhash.xxh64_intdigest(v.encode()) for k, v in PLACEHOLDER.items()}
         self.slots = np.array([slots.get(k, 0) for k in range(5)], dtype=np.uint64)
@@ -115,6 +126,33 @@ class Templates:
         return starts, mix(self.rolling(hashes, starts, starts + length) + np.uint64(length))
 
 
+    def word_hashes(self, words: list[str]) -> np.ndarray:
+        if len(self.exact) > WORDS_KEPT:
+            self.exact.clear()
+        for w in words:
+            if w not in self.exact:
+                self.exact[w] = xxhash.xxh64_intdigest(_exact(w).encode())
+        return np.fromiter(map(self.exact.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def word_windows(self, hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the windows of length words; they differ from those of templates."""
+        return mix(self.rolling(hashes, starts, starts + length) - np.uint64(length))
+
+
+def _spans(kinds: np.ndarray, firsts, ends, starts, length: int) -> dict[int, np.ndarray]:
+    """Starts, by length, of the word windows of an item where no window of template tokens is searched."""
+    found: dict[int, set[int]] = {}
+    if length:
+        missed = np.setdiff1d(np.arange(len(kinds) - length + 1), starts)
+        spans = zip(firsts[missed], ends[missed + length - 1], strict=True)
+    else:
+        spans = [(firsts[0], ends[-1])] if len(kinds) else []
+    for a, b in spans:
+        size = min(WINDOW, int(b - a))
+        found.setdefault(size, set()).update(range(int(a), int(b) - size + 1))
+    return {size: np.array(sorted(at)) for size, at in found.items()}
+
+
 def _described(words: list[str], kinds, firsts, ends, start: int, length: int) -> tuple[str, list[str]]:
     """The template of a window and the values of its placeholders, in order."""
     template, values = [], []
@@ -140,7 +178,7 @@ def _rows(found: list[tuple]) -> pa.RecordBatch:
 
 
 def _find(keep, lengths, shortened: bool):
-    """Arrow function from (id, text) to windows; keep tells which hashes stay."""
+    """Arrow function from (id, text) to windows; keep tells which hashes stay. Lengths below zero are of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
@@ -149,14 +187,23 @@ def _find(keep, lengths, shortened: bool):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = (text or "").split()
                 kinds, hashes, firsts, ends = templates.tokens(words)
-                own = lengths
+                own, exact = [n for n in lengths if n > 0], {-n: np.arange(len(words) + n + 1) for n in lengths if n < 0}
                 if shortened:
                     own = [min(WINDOW, len(kinds))] if len(kinds) >= SHORTEST else []
+                    starts = templates.windows(kinds, hashes, own[0])[0] if own else ()
+                    exact = _spans(kinds, firsts, ends, starts, own[0] if own else 0)
                 for length in own:
                     starts, h = templates.windows(kinds, hashes, length)
                     for at in np.flatnonzero(keep(h)) if len(h) else ():
                         template, values = _described(words, kinds, firsts, ends, starts[at], length)
                         found.append((int(h[at].view(np.int64)), key, int(starts[at]), int(firsts[starts[at]]), length, template, values))
+                plain = templates.word_hashes(words) if exact else ()
+                for length, starts in exact.items():
+                    h = templates.word_windows(plain, starts, length) if len(starts) else ()
+                    for at in np.flatnonzero(keep(h)) if len(h) else ():
+                        start = int(starts[at])
+                        form = " ".join(map(_exact, words[start : start + length]))
+                        found.append((int(h[at].view(np.int64)), key, start, start, -length, form, []))
             yield _rows(found)
 
     return run
@@ -190,12 +237,13 @@ def leaks(
     n_windows counts distinct windows of the document; first_word is where the first begins;
     changed tells that no alignment kept all placeholder values as in the benchmark. Null and
     empty texts and rows with null ids match nothing; rows that share an id are one document.
-    Items of fewer than five template tokens are not searched.
+    Items of fewer than five template tokens, and windows with too few words among theirs, are
+    searched by their lower-cased words, so with other values they are not found.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text"))
     items = items.where("id is not null and text is not null")
     windows = stored(items.mapInArrow(_find(lambda h: np.ones(len(h), dtype=bool), [], True), SCHEMA), "benchmark")
-    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # at most WINDOW values
+    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # at most 2 * WINDOW values
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(windows))
 
     def may_match(h: np.ndarray) -> np.ndarray:
@@ -210,13 +258,14 @@ def leaks(
         F.col("b.id").alias("item"),
         F.col("d.word").alias("word"),
         (F.col("d.start") - F.col("b.start")).alias("shift"),
+        (F.col("length") < 0).alias("exact"),
         F.arrays_zip(F.col("b.vals").alias("b"), F.col("d.vals").alias("d")).alias("slots"),
     )
     unique = lambda slots: F.size(F.array_distinct(F.transform(slots, lambda s: s["b"])))
     pairs = pairs.where(F.size(F.array_distinct("slots")) == unique(F.col("slots")))
     # The placeholder values of an alignment, once each; an alignment has as many as the item has.
-    slots = pairs.select("id", "item", "shift", "word", F.explode_outer("slots").alias("slot"))
-    aligned = slots.groupBy("id", "item", "shift").agg(
+    slots = pairs.select("id", "item", "shift", "exact", "word", F.explode_outer("slots").alias("slot"))
+    aligned = slots.groupBy("id", "item", "shift", "exact").agg(
         F.collect_set("slot").alias("slots"), F.collect_set("word").alias("words")
     )
     # Values that stand for several values of the document are in several of the pairs.
