@@ -14,7 +14,9 @@ from threadloom.llm import (
     language,
     line_dedup,
     pieces,
+    pii,
     simhash,
+    source_audit,
     substring,
     toxicity,
     url_filter,
@@ -100,6 +102,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = source_audit.audit(table(spark, sf_dir, "documents"))
+    pairs = made.pairs.select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value", "rank")
+    terms = made.terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
+    return pairs.unionByName(terms)
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), into="pii")
+    base = F.filter("pii", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("pii")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -113,6 +134,8 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_simhash_near_dedup,
         op10_substring_dedup,
+        op11_source_divergence_audit,
+        op13_pii,
     )
 }
 
@@ -138,5 +161,52 @@ select d.doc_id, coalesce(n_lines, 0) as n_lines,
        case when left_chars < {1 - line_dedup.MAX_SHARE} * all_chars then 0 else coalesce(n_gone, 0) end as n_removed,
        case when left_chars < {1 - line_dedup.MAX_SHARE} * all_chars or d.text is null then d.text else coalesce(left_text, '') end as text
 from documents d left join cut c on d.doc_id = c.doc_id
+""",
+    "op11_source_divergence_audit": f"""
+with docs as (
+    select row_number() over () as k, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text
+    from documents
+),
+words as (
+    select k, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+    from docs
+),
+terms as (
+    select lang, term, count(*)::hugeint as total from words group by all having count(distinct k) >= {source_audit.MIN_DOCS}
+),
+cells as (select lang, source, term, count(*)::hugeint as n from words join terms using (lang, term) group by all),
+langs as (select lang, count(*)::hugeint as v, sum(total)::hugeint as n_lang from terms group by lang),
+groups as (
+    select g.lang, g.source, coalesce(v, 0)::hugeint as v, coalesce(n_lang, 0)::hugeint as n_lang,
+           coalesce((select sum(n) from cells c where c.lang = g.lang and c.source = g.source), 0)::hugeint as n_group
+    from (select distinct lang, source from docs) g left join langs l on g.lang = l.lang
+),
+shares as (
+    select g.lang, g.source, t.term, coalesce(c.n, 0) as n,
+           1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (n_group + 2 * v) as p,
+           1 + 1000000000::hugeint * (t.total + 2) // (n_lang + 2 * v) as q
+    from groups g join terms t on g.lang = t.lang
+    left join cells c on c.lang = g.lang and c.source = g.source and c.term = t.term
+),
+distances as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+pairs as (
+    select a.lang, a.source, b.source as item, coalesce(d.value, 0) as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join distances d on d.lang = a.lang and d.source = a.source and d.item = b.source
+),
+told as (select lang, source, term as item, (p - q) * (p - q) // (p + q) as value from shares where n > 0 and p > q),
+ranked as (
+    select lang, source, 'pair' as part, item, value from pairs union all select lang, source, 'term', item, value from told
+),
+numbered as (
+    select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from ranked
+)
+select lang, source, part, item, value::bigint as value, rank::int as rank from numbered
+where part = 'pair' or rank <= {source_audit.TOP_TERMS}
 """,
 }
