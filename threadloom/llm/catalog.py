@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from threadloom.llm import (
     decontamination,
     embedding_graph,
+    hard_negatives,
     html_text,
     language,
     line_dedup,
@@ -35,6 +36,7 @@ URL_RULES = (
 )
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 4, 2
+ANCHOR_EVERY = 50
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +111,13 @@ def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.unionByName(terms)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", "embedding", turned.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
 def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), into="pii")
     base = F.filter("pii", lambda s: s["base"])
@@ -135,6 +144,7 @@ QUERIES: dict[str, Query] = {
         op9_simhash_near_dedup,
         op10_substring_dedup,
         op11_source_divergence_audit,
+        op12_hard_negatives,
         op13_pii,
     )
 }
@@ -208,5 +218,28 @@ numbered as (
 )
 select lang, source, part, item, value::bigint as value, rank::int as rank from numbered
 where part = 'pair' or rank <= {source_audit.TOP_TERMS}
+""",
+    "op12_hard_negatives": f"""
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::double)::bigint::double) as v
+    from embeddings
+    where label is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scores as (
+    select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+    from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % {ANCHOR_EVERY} = 0
+),
+positives as (
+    select anchor_id, other_id as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= {hard_negatives.POSITIVES}
+)
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, other_id)::int as rank,
+       other_id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and {hard_negatives.LOW} * positive_score <= 100 * score and 100 * score <= {hard_negatives.HIGH} * positive_score
+qualify rank <= {hard_negatives.NEGATIVES}
 """,
 }
