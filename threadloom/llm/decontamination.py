@@ -16,7 +16,9 @@ the whole of what is shorter. Only copies with the same values are found by thes
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,9 @@ MIN_WORDS = 0.5
 MAX_CONTRADICTED = 0.5
 #: The bitmap has 2**25 bits, 4 MB, however large the benchmark is.
 BITMAP_BITS = 25
-WORDS_KEPT = 200_000
+WORDS_KEPT = 300_000
+#: Text bytes whose windows one step in Python finds together.
+STEP = 1 << 20
 
 LITERAL, NUMBER, NAME, UNIT, NOTHING = range(5)
 PLACEHOLDER = {NUMBER: "<number>", NAME: "<name>", UNIT: "<unit>"}
@@ -56,92 +60,120 @@ _GLUED = re.compile(r"([+-]?[$€£¥]?\d[\d.,]*)([a-zA-Z]+)")
 _OUTER = re.compile(r"^[^\w$€£¥+-]+|[^\w%°]+$")
 
 
+def _bare(word: str) -> str:
+    """The word without outer punctuation."""
+    if word.isalpha():
+        return word
+    if word[-1] in ".,;:!?" and word[:-1].isalpha():
+        return word[:-1]
+    return _OUTER.sub("", word)
+
+
 def _kind(word: str) -> tuple[int, str]:
     """Kind of a word by itself and its template form; UNIT is a unit only after a number."""
-    bare = _OUTER.sub("", word)
-    if not any(c.isalnum() for c in bare):
-        return NOTHING, ""
-    if _NUMBER.fullmatch(bare):
-        return NUMBER, bare
-    glued = _GLUED.fullmatch(bare)
-    if glued and glued[2].lower() in UNITS:
-        return NUMBER, bare
+    bare = _bare(word)
+    if not bare.isalpha():
+        if not any(c.isalnum() for c in bare):
+            return NOTHING, ""
+        if _NUMBER.fullmatch(bare):
+            return NUMBER, bare
+        glued = _GLUED.fullmatch(bare)
+        if glued and glued[2].lower() in UNITS:
+            return NUMBER, bare
+    low = bare if bare.islower() else bare.lower()
     if bare[0].isupper():
         return NAME, bare
-    return (UNIT if bare.lower() in UNITS else LITERAL), bare.lower()
+    return (UNIT if low in UNITS else LITERAL), low
 
 
 def _exact(word: str) -> str:
     """The word lower-cased without outer punctuation, or as it is if nothing else is in it."""
-    bare = _OUTER.sub("", word)
+    bare = _bare(word)
     return (bare if any(c.isalnum() for c in bare) else word).lower()
 
 
+class Known(dict):
+    """Words numbered as they are met, with kind, hash of the template form and, if asked for, hash of the word itself."""
+
+    def __init__(self, exact: bool):
+        self.kinds, self.hashes, self.exact = bytearray(), array("Q"), array("Q") if exact else None
+
+    def __missing__(self, word: str) -> int:
+        kind, form = _kind(word)
+        # Names and numbers become placeholders whatever they say.
+        fixed = kind == LITERAL or kind == UNIT
+        self.kinds.append(kind)
+        self.hashes.append(h := xxhash.xxh64_intdigest(form.encode()) if fixed else 0)
+        if self.exact is not None:
+            self.exact.append(h if fixed else xxhash.xxh64_intdigest(_exact(word).encode()))
+        self[word] = at = len(self)
+        return at
+
+
+class Tokens(NamedTuple):
+    """Template tokens of texts one after another: kind, hash, first word and the one after the last, text."""
+
+    kinds: np.ndarray
+    hashes: np.ndarray
+    firsts: np.ndarray
+    ends: np.ndarray
+    owner: np.ndarray
+
+
 class Templates:
-    """Template tokens of texts, and windows over them."""
+    """Template tokens of texts, and windows over them; no token and no window crosses texts."""
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
-        self.kinds, self.hashes = np.zeros(1024, dtype=np.uint8), np.zeros(1024, dtype=np.uint64)
-        self.exact: dict[str, int] = {}
+    def __init__(self, exact: bool):
+        self.exact = exact
+        self.known = Known(exact)
         self.rolling = Rolling(0x5851F42D4C957F2D)
         slots = {k: xxhash.xxh64_intdigest(v.encode()) for k, v in PLACEHOLDER.items()}
         self.slots = np.array([slots.get(k, 0) for k in range(5)], dtype=np.uint64)
 
-    def _number(self, word: str) -> int:
-        at = len(self.known)
-        if at == len(self.kinds):
-            self.kinds, self.hashes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.kinds, self.hashes))
-        kind, form = _kind(word)
-        self.kinds[at], self.hashes[at] = kind, xxhash.xxh64_intdigest(form.encode())
-        self.known[word] = at
-        return at
-
-    def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per template token: kind, hash, and its first word and the one after its last."""
+    def codes(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words in known, good until the next call."""
         if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        get, number = self.known.get, self._number
-        codes = np.fromiter((c if (c := get(w)) is not None else number(w) for w in words), dtype=np.int64, count=len(words))
-        kinds, hashes = self.kinds[codes], self.hashes[codes]
+            self.known = Known(self.exact)
+        return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def word_hashes(self, codes: np.ndarray) -> np.ndarray:
+        return np.array(self.known.exact, dtype=np.uint64)[codes]
+
+    def tokens(self, codes: np.ndarray, owner: np.ndarray) -> Tokens:
+        kinds = np.array(self.known.kinds, dtype=np.uint8)[codes]
         at = np.flatnonzero(kinds != NOTHING)
-        kinds, hashes = kinds[at], hashes[at]
+        kinds, owner = kinds[at], owner[at]
+        hashes = np.array(self.known.hashes, dtype=np.uint64)[codes[at]]
         if not len(at):
-            return kinds, hashes, at, at
+            return Tokens(kinds, hashes, at, at, owner)
         before = np.r_[np.uint8(LITERAL), kinds[:-1]]
+        before[np.r_[True, owner[1:] != owner[:-1]]] = LITERAL
         kinds = np.where((kinds == UNIT) & (before != NUMBER), np.uint8(LITERAL), kinds)
         # A run of names is one name.
         start = ~((kinds == NAME) & (before == NAME))
         first = np.flatnonzero(start)
         ends = np.r_[at[first[1:] - 1] + 1, at[-1] + 1]
         kinds = kinds[first]
-        return kinds, np.where(kinds == LITERAL, hashes[first], self.slots[kinds]), at[first], ends
+        return Tokens(kinds, np.where(kinds == LITERAL, hashes[first], self.slots[kinds]), at[first], ends, owner[first])
 
-    def windows(self, kinds: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, tokens: Tokens, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Start token and hash of the windows with enough words."""
-        if len(kinds) < length:
+        if len(tokens.kinds) < length:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-        literal = np.r_[0, np.cumsum(kinds == LITERAL)]
-        starts = np.flatnonzero(literal[length:] - literal[:-length] >= MIN_WORDS * length)
-        return starts, mix(self.rolling(hashes, starts, starts + length) + np.uint64(length))
-
-
-    def word_hashes(self, words: list[str]) -> np.ndarray:
-        if len(self.exact) > WORDS_KEPT:
-            self.exact.clear()
-        for w in words:
-            if w not in self.exact:
-                self.exact[w] = xxhash.xxh64_intdigest(_exact(w).encode())
-        return np.fromiter(map(self.exact.__getitem__, words), dtype=np.uint64, count=len(words))
+        literal = np.r_[0, np.cumsum(tokens.kinds == LITERAL)]
+        enough = literal[length:] - literal[:-length] >= MIN_WORDS * length
+        starts = np.flatnonzero(enough & (tokens.owner[length - 1 :] == tokens.owner[: len(tokens.owner) - length + 1]))
+        return starts, mix(self.rolling(tokens.hashes, starts, starts + length) + np.uint64(length))
 
     def word_windows(self, hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
         """Hashes of the windows of length words; they differ from those of templates."""
         return mix(self.rolling(hashes, starts, starts + length) - np.uint64(length))
 
 
-def _spans(kinds: np.ndarray, firsts, ends, starts, length: int) -> dict[int, np.ndarray]:
+def _spans(tokens: Tokens, starts, length: int) -> dict[int, np.ndarray]:
     """Starts, by length, of the word windows of an item where no window of template tokens is searched."""
     found: dict[int, set[int]] = {}
+    kinds, firsts, ends = tokens.kinds, tokens.firsts, tokens.ends
     if length:
         missed = np.setdiff1d(np.arange(len(kinds) - length + 1), starts)
         spans = zip(firsts[missed], ends[missed + length - 1], strict=True)
@@ -153,9 +185,10 @@ def _spans(kinds: np.ndarray, firsts, ends, starts, length: int) -> dict[int, np
     return {size: np.array(sorted(at)) for size, at in found.items()}
 
 
-def _described(words: list[str], kinds, firsts, ends, start: int, length: int) -> tuple[str, list[str]]:
+def _described(words: list[str], tokens: Tokens, start: int, length: int) -> tuple[str, list[str]]:
     """The template of a window and the values of its placeholders, in order."""
     template, values = [], []
+    kinds, firsts, ends = tokens.kinds, tokens.firsts, tokens.ends
     for k in range(start, start + length):
         if kinds[k] == LITERAL:
             template.append(_OUTER.sub("", words[firsts[k]]).lower())
@@ -177,33 +210,65 @@ def _rows(found: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _find(keep, lengths, shortened: bool):
-    """Arrow function from (id, text) to windows; keep tells which hashes stay. Lengths below zero are of words."""
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From items (id, text) to the windows that stand for them; lengths below zero are of words."""
+    templates = Templates(True)
+    for batch in steps(batches, "text"):
+        found = []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            words = text.split()
+            codes = templates.codes(words)
+            tokens = templates.tokens(codes, np.zeros(len(words), dtype=np.int64))
+            length = min(WINDOW, len(tokens.kinds)) if len(tokens.kinds) >= SHORTEST else 0
+            starts, hashes = templates.windows(tokens, length) if length else ((), ())
+            for start, h in zip(starts, hashes, strict=True):
+                template, values = _described(words, tokens, start, length)
+                found.append((int(h.view(np.int64)), key, int(start), int(tokens.firsts[start]), length, template, values))
+            for size, places in _spans(tokens, starts, length).items():
+                hashes = templates.word_windows(templates.word_hashes(codes), places, size)
+                for start, h in zip(places.tolist(), hashes, strict=True):
+                    form = " ".join(map(_exact, words[start : start + size]))
+                    found.append((int(h.view(np.int64)), key, start, start, -size, form, []))
+        yield _rows(found)
+
+
+def _find(keep, lengths: list[int]):
+    """Arrow function from (id, text) to windows; keep tells which hashes stay. The texts of a step go together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates()
-        for batch in steps(batches, "text"):
-            found = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = (text or "").split()
-                kinds, hashes, firsts, ends = templates.tokens(words)
-                own, exact = [n for n in lengths if n > 0], {-n: np.arange(len(words) + n + 1) for n in lengths if n < 0}
-                if shortened:
-                    own = [min(WINDOW, len(kinds))] if len(kinds) >= SHORTEST else []
-                    starts = templates.windows(kinds, hashes, own[0])[0] if own else ()
-                    exact = _spans(kinds, firsts, ends, starts, own[0] if own else 0)
-                for length in own:
-                    starts, h = templates.windows(kinds, hashes, length)
-                    for at in np.flatnonzero(keep(h)) if len(h) else ():
-                        template, values = _described(words, kinds, firsts, ends, starts[at], length)
-                        found.append((int(h[at].view(np.int64)), key, int(starts[at]), int(firsts[starts[at]]), length, template, values))
-                plain = templates.word_hashes(words) if exact else ()
-                for length, starts in exact.items():
-                    h = templates.word_windows(plain, starts, length) if len(starts) else ()
-                    for at in np.flatnonzero(keep(h)) if len(h) else ():
+        templates = Templates(min(lengths, default=0) < 0)
+        for batch in steps(batches, "text", STEP):
+            keys, words, counts, found = batch.column(0).to_pylist(), [], [], []
+            for text in batch.column(1).to_pylist():
+                own = text.split()
+                counts.append(len(own))
+                words += own
+            begins = np.cumsum(counts) - counts
+            owner = np.repeat(np.arange(len(counts)), counts)
+            codes = templates.codes(words)
+            tokens = templates.tokens(codes, owner)
+            exact = templates.word_hashes(codes) if templates.exact else None
+            token_begins = np.searchsorted(tokens.owner, np.arange(len(counts)))
+            for length in lengths:
+                if length > 0:
+                    starts, hashes = templates.windows(tokens, length)
+                    for at in np.flatnonzero(keep(hashes)):
                         start = int(starts[at])
-                        form = " ".join(map(_exact, words[start : start + length]))
-                        found.append((int(h[at].view(np.int64)), key, start, start, -length, form, []))
+                        k = int(tokens.owner[start])
+                        template, values = _described(words, tokens, start, length)
+                        place, word = start - int(token_begins[k]), int(tokens.firsts[start] - begins[k])
+                        found.append((int(hashes[at].view(np.int64)), keys[k], place, word, length, template, values))
+                    continue
+                size = -length
+                if len(words) < size:
+                    continue
+                starts = np.flatnonzero(owner[size - 1 :] == owner[: len(owner) - size + 1])
+                hashes = templates.word_windows(exact, starts, size)
+                for at in np.flatnonzero(keep(hashes)):
+                    start = int(starts[at])
+                    k = int(owner[start])
+                    form, place = " ".join(map(_exact, words[start : start + size])), start - int(begins[k])
+                    found.append((int(hashes[at].view(np.int64)), keys[k], place, place, length, form, []))
             yield _rows(found)
 
     return run
@@ -242,7 +307,7 @@ def leaks(
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text"))
     items = items.where("id is not null and text is not null")
-    windows = stored(items.mapInArrow(_find(lambda h: np.ones(len(h), dtype=bool), [], True), SCHEMA), "benchmark")
+    windows = stored(items.mapInArrow(_items, SCHEMA), "benchmark")
     lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # at most 2 * WINDOW values
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(windows))
 
@@ -252,7 +317,7 @@ def leaks(
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.where("id is not null and text is not null")
-    own = texts.mapInArrow(_find(may_match, lengths, False), SCHEMA).alias("d")
+    own = texts.mapInArrow(_find(may_match, lengths), SCHEMA).alias("d")
     pairs = own.join(windows.alias("b"), ["h", "length", "template"]).select(
         F.col("d.id").alias("id"),
         F.col("b.id").alias("item"),
