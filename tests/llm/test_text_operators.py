@@ -72,6 +72,17 @@ def test_long_and_short_words_give_the_same_pieces(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(together, encoder(TEXTS, keys), strict=True))
 
 
+def test_long_texts_give_the_same_pieces_in_parts(monkeypatch):
+    encoder = pieces.Encoder(pieces.Pieces(open(pieces.MODEL, "rb").read()), seed=9, dropout=0.3)
+    texts = [*TEXTS, "a  bc   d " * 60, " " * 500, "no_space" * 50, " x" * 300]
+    keys = np.arange(len(texts))
+    whole = encoder(texts, keys)
+    for step in (1, 7, 64):
+        monkeypatch.setattr(pieces, "STEP", step)
+        ids, bounds = pieces._segment(encoder, texts, keys)
+        assert ids.tolist() == whole[0].tolist() and bounds.tolist() == whole[1].tolist()
+
+
 def test_pieces_round_trip_and_vary_with_the_seed(spark):
     texts = [*TEXTS, "a ▁ b", "▁", None, "hello wonderful world " * 50]
     df = spark.createDataFrame([(k, t, "k", 7) for k, t in enumerate(texts)] + [(None, "hello", "k", 7)], "doc_id long, text string, KEY string, decoded int")

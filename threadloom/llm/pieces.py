@@ -30,7 +30,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 42
 LONG_WORD = 96
-STEP = 1 << 20
+#: Characters that one array step takes; longer texts are cut where words begin.
+STEP = 1 << 18
 SPACE = "▁"
 NONE = np.int32(np.iinfo(np.int32).max)
 TABLE_BITS = 20
@@ -63,16 +64,16 @@ class Pieces:
         self.symbol[0x20], self.symbol[ord(SPACE)] = self.space, -1
         scores = np.array([model.get_score(i) for i in range(n)])
         self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
-        self.pairs = {
+        pairs = {
             (ids[name[:k]], ids[name[k:]]): i
             for name, i in ids.items()
             for k in range(1, len(name))
             if name[:k] in ids and name[k:] in ids
         }
-        keys = np.array([a * n + b for a, b in self.pairs], dtype=np.int64)
+        keys = np.array([a * n + b for a, b in pairs], dtype=np.int64)
         self.size, self.keys = n, np.full(1 << TABLE_BITS, -1, dtype=np.int64)
         self.made = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
-        merged = np.fromiter(self.pairs.values(), dtype=np.int32, count=len(keys))
+        merged = np.fromiter(pairs.values(), dtype=np.int32, count=len(keys))
         place = self._place(keys)
         while len(keys):  # linear probing, one step for all keys that found their place taken
             free = self.keys[place] < 0
@@ -155,12 +156,16 @@ class Encoder:
 
     def __call__(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's begin and end; keys are 64-bit ids."""
+        return self.parts([" " + t if t else "" for t in texts], keys, np.zeros(len(texts), dtype=np.int64))
+
+    def parts(self, texts: list[str], keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As for whole texts, for parts of them as cut by _cut, which begin at the given places of their texts."""
         p = self.pieces
-        lengths = np.fromiter((len(t) + bool(t) for t in texts), dtype=np.int64, count=len(texts))
-        codes = np.frombuffer("".join(" " + t for t in texts if t).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         owner = np.repeat(np.arange(len(texts)), lengths)
         begins = np.cumsum(lengths) - lengths
-        inner = np.arange(len(codes)) - begins[owner]
+        inner = np.arange(len(codes)) - (begins - places)[owner]
         place_of = mix(mix(keys.view(np.uint64) ^ self.seed)[owner] + inner.astype(np.uint64))
         symbols = p.symbol[codes]
         final = np.full(len(codes), -1, dtype=np.int32)
@@ -234,6 +239,50 @@ class Encoder:
         return ids, np.r_[0, np.cumsum(per_text)]
 
 
+def _cut(text: str, limit: int) -> list[tuple[int, str]]:
+    """A text behind a space in parts of about limit characters that begin where words begin, each with its place."""
+    text, parts, at = " " + text if text else "", [], 0
+    while len(text) - at > limit:
+        to = at + limit
+        while (to := text.find(" ", to)) > 0 and text[to - 1] == " ":
+            to += 1
+        if to < 0:
+            break
+        parts.append((at, text[at:to]))
+        at = to
+    return [*parts, (at, text[at:])]
+
+
+def _joined_steps(parts: list[tuple[int, int, str]], limit: int) -> Iterator[list[tuple[int, int, str]]]:
+    """Parts (text, place, part) in lists of about limit characters."""
+    some, size = [], 0
+    for part in parts:
+        if some and size + len(part[2]) > limit:
+            yield some
+            some, size = [], 0
+        some.append(part)
+        size += len(part[2])
+    if some:
+        yield some
+
+
+def _segment(encoder: Encoder, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and bounds of whole texts, however long, in steps of about STEP characters."""
+    parts = [(k, place, part) for k, text in enumerate(texts) for place, part in _cut(text, STEP)]
+    ids, counts = [], np.zeros(len(texts), dtype=np.int64)
+    for some in _joined_steps(parts, STEP):
+        owner = np.array([k for k, _, _ in some])
+        made, bounds = encoder.parts([part for _, _, part in some], keys[owner], np.array([place for _, place, _ in some]))
+        ids.append(made)
+        np.add.at(counts, owner, np.diff(bounds))
+    return np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32), np.r_[0, np.cumsum(counts)]
+
+
+def _text(known: list[bytes], ids: np.ndarray) -> str:
+    """The text of piece ids; the first piece begins with the space that encoding put before the text."""
+    return b"".join([known[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
+
+
 def _proto(model_file: str) -> bytes:
     with open(model_file, "rb") as file:
         return file.read()
@@ -246,29 +295,37 @@ def encode(
     dropout: float = DROPOUT,
     id_col: str = "doc_id",
     text_col: str = "text",
+    verify_into: str | None = None,
 ) -> DataFrame:
     """docs with piece_ids array<int>: null for null text, empty for empty text.
 
-    The model file is read on the driver only. A column piece_ids of docs is replaced. Rows that
-    share id and text get the same pieces; a null id is an id of its own.
+    With verify_into, a boolean column of that name tells whether the pieces decode to the text; it is
+    made in the same step as the pieces. The model file is read on the driver only, and its tables are
+    made there and broadcast. Columns of docs named as the new ones are replaced. Rows that share id and
+    text get the same pieces; a null id is an id of its own. A text takes memory in proportion to its
+    longest word, beside the text itself.
     """
-    rest = docs.drop("piece_ids")
+    new = ("piece_ids", *([verify_into] if verify_into else []))
+    rest = docs.drop(*new)
     (key,) = fresh(rest, "key")
     rows = rest.withColumn(key, F.xxhash64(F.col(id_col)))
-    proto = rest.sparkSession.sparkContext.broadcast(_proto(model_file))
+    tables = rest.sparkSession.sparkContext.broadcast(Pieces(_proto(model_file)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Pieces(proto.value), seed, dropout)
-        for batch in steps(batches, text_col, STEP):
-            where = batch.schema.get_field_index(text_col)
-            column = batch.column(where)
-            ids, bounds = encoder([t or "" for t in column.to_pylist()], batch.column(batch.num_columns - 1).to_numpy())
-            made = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids), mask=pc.is_null(column))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], made], names=[*batch.schema.names[:-1], "piece_ids"]
-            )
-
-    return rows.mapInArrow(run, plus(rest, "piece_ids array<int>"))
+        pieces = tables.value
+        encoder = Encoder(pieces, seed, dropout)
+        for batch in steps(batches, text_col, 4 * STEP):
+            column = batch.column(batch.schema.get_field_index(text_col))
+            texts, none = column.to_pylist(), pc.is_null(column)
+            ids, bounds = _segment(encoder, [t or "" for t in texts], batch.column(batch.num_columns - 1).to_numpy())
+            out = [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids), mask=none)]
+            if verify_into:
+                spans = zip(texts, bounds[:-1], bounds[1:], strict=True)
+                out.append(pa.array([t is None or _text(pieces.bytes_of, ids[a:b]) == t for t, a, b in spans], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[*batch.schema.names[:-1], *new])
+
+    types = ["piece_ids array<int>", *([f"`{verify_into}` boolean"] if verify_into else [])]
+    return rows.mapInArrow(run, plus(rest, ", ".join(types)))
 
 
 def decode(rows: DataFrame, model_file: str = MODEL, ids_col: str = "piece_ids", into: str = "decoded") -> DataFrame:
@@ -283,8 +340,7 @@ def decode(rows: DataFrame, model_file: str = MODEL, ids_col: str = "piece_ids",
             values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
             texts = []
             for a, b, valid in zip(offsets[:-1], offsets[1:], column.is_valid().to_pylist(), strict=True):
-                # The first piece begins with the space that encoding put before the text.
-                texts.append(b"".join([known[i] for i in values[a:b].tolist()])[1:].decode("utf-8", "replace") if valid else None)
+                texts.append(_text(known, values[a:b]) if valid else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
     return rest.mapInArrow(run, plus(rest, f"`{into}` string"))

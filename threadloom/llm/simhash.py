@@ -217,6 +217,19 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Dat
     )
 
 
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (fp, component) of all fingerprints of prints (id, fp)."""
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"two blocks find all pairs of up to {MAX_BITS} differing bits")
+    nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
+    roots = components(links(nodes.select("fp"), max_bits))
+    classes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    least = classes.groupBy("root").agg(F.min("first").alias("component"))
+    return stored(classes.join(least, "root").select("fp", "component"), "classes")
+
+
 def near_groups(
     docs: DataFrame, words: int = 5, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -225,17 +238,18 @@ def near_groups(
     Rows with equal fingerprints link, fingerprint zero (no words) among them. A null id never
     names a component unless all ids of the component are null.
     """
-    if not 0 <= max_bits <= MAX_BITS:
-        raise ValueError(f"two blocks find all pairs of up to {MAX_BITS} differing bits")
     prints = stored(fingerprints(docs, words, 1, id_col, text_col).withColumnRenamed("fp0", "fp"), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
-    roots = components(links(nodes.select("fp"), max_bits))
-    classes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    least = classes.groupBy("root").agg(F.min("first").alias("component"))
-    named = stored(classes.join(least, "root").select("fp", "component"), "classes")
-    return prints.join(named, "fp").select("id", "fp", "component")
+    return prints.join(_classes(prints, max_bits), "fp").select("id", "fp", "component")
+
+
+def repeats(docs: DataFrame, words: int = 5, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id): the documents to drop so that one of each group of near_groups stays, the smallest id.
+
+    Rows that share an id are one document: it goes only if each of its rows is in a group of a smaller
+    id. Rows with a null id are never dropped.
+    """
+    groups = near_groups(docs, words, max_bits, id_col, text_col).where("id is not null")
+    return groups.groupBy("id").agg(F.bool_and(F.col("id") != F.col("component")).alias("gone")).where("gone").select("id")
 
 
 def hex_of(fp):
