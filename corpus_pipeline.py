@@ -33,7 +33,7 @@ def remove_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of every group of near copies; documents without an id stay."""
-    copies = stored(simhash.near_copies(docs, words=5, min_similarity=0.8).select(F.col("id").alias("doc_id")), "copies")
+    copies = stored(simhash.repeats(docs, words=3, max_bits=3).withColumnRenamed("id", "doc_id"), "copies")
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 
@@ -46,10 +46,8 @@ def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether they decode to it."""
-    both = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text")))
-    return both.select(
-        "doc_id", "lang", "source", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"), "piece_ids"
-    )
+    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), verify_into="lossless")
+    return encoded.select("doc_id", "lang", "source", "lossless", "piece_ids")
 
 
 STAGES = [
