@@ -9,7 +9,7 @@ from threadloom.catalog.models import TOP_COMMENTS_CTE, mart
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import STAGED_CTES, sql_clean, sql_strip
 from threadloom.functions.vectors import cosine
-from threadloom.operators import chunking, context, embedding, similarity
+from threadloom.operators import chunking, context, embedding, ivf, similarity
 from threadloom.operators.cleaning import with_clean_text
 from threadloom.plans.index import read_index, retrieve, update_index
 from threadloom.session import stored, work_dir
@@ -306,6 +306,46 @@ def similarity_topk_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+IVF_CTES = """pairs as (
+  select q.vec_id as question_id, c.vec_id as match_id,
+    round(list_cosine_similarity(cast(q.embedding as double[]), cast(c.embedding as double[])), 6) as score
+  from embeddings q, embeddings c where q.vec_id % 50 = 0),
+hits as (
+  select *, row_number() over (partition by question_id order by score desc, match_id) as rank
+  from pairs where score >= 0.3 qualify rank <= 5)"""
+
+
+def ivf_index(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """An index of all vectors, and the questions: those whose id is divisible by 50."""
+    path = work_dir(spark, "ivf")
+    vectors = table(spark, sf_dir, "embeddings")
+    ivf.build_index(vectors, path, "vec_id")
+    asked = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("question_id"), "embedding")
+    return path, asked
+
+
+@query(f"with {IVF_CTES} select * from hits")
+def topk_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest cells first, then those cells that could hold a better row: exact."""
+    path, asked = ivf_index(spark, sf_dir)
+    return ivf.search(spark, path, asked, min_score=0.3, complete=True).hits
+
+
+@query(
+    f"""with {IVF_CTES}
+    select count(distinct question_id) as questions, count(*) as wanted, true as enough from hits"""
+)
+def topk_ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probed cells only, as many as the audit asks for; the recall of all questions is at least 0.95."""
+    path, asked = ivf_index(spark, sf_dir)
+    audit = asked.where(F.pmod(F.xxhash64("question_id"), F.lit(2)) == 0)
+    found, _ = ivf.audited_search(spark, path, asked, audit, min_score=0.3)
+    exact = ivf.search(spark, path, asked, min_score=0.3, complete=True)
+    return ivf.recall(found.hits, exact.hits).agg(
+        F.count("*").alias("questions"), F.sum("wanted").alias("wanted"), (F.avg("recall") >= 0.95).alias("enough")
+    )
+
+
 @query(
     f"""with {TOPIC_HITS_CTES}
     select question_id, string_agg({sql_clean("text")}, chr(10) || chr(10) order by rank)

@@ -73,15 +73,17 @@ class _Best:
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.waiting = 0
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Take in a block of unrounded scores, questions x rows."""
+    def add(self, scores: np.ndarray, ids: np.ndarray, asking: np.ndarray | None = None) -> None:
+        """Take in a block of unrounded scores, questions x rows; of some questions only if told which."""
         enough = self.k * len(self.floor)
-        near = scores >= (self.floor - ROUNDING_MARGIN)[:, None]
+        floor = self.floor if asking is None else self.floor[asking]
+        near = scores >= (floor - ROUNDING_MARGIN)[:, None]
         if scores.shape[1] > self.k and np.count_nonzero(near) > 4 * enough:
             kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
             near &= scores >= (kth - ROUNDING_MARGIN)[:, None]
         question, row = np.nonzero(near)
         score = np.round(scores[question, row], SCORE_DECIMALS) + 0.0
+        question = question if asking is None else asking[question]
         above = score >= self.floor[question]
         self.parts.append((question[above], score[above], ids[row[above]]))
         self.waiting += np.count_nonzero(above)
@@ -107,11 +109,14 @@ class _Best:
         return question, score, ids.tolist()
 
 
-def _score(best: _Best, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
+def _score(
+    best: _Best, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray, asking: np.ndarray | None = None
+) -> None:
     vectors, ids = _first_copies(vectors, ids, best.k)
-    step = max(1, SCORES_AT_ONCE // max(1, len(questions)))
+    asked = questions if asking is None else questions[asking]
+    step = max(1, SCORES_AT_ONCE // max(1, len(asked)))
     for at in range(0, len(vectors), step):
-        best.add(questions @ vectors[at : at + step].T, ids[at : at + step])
+        best.add(asked @ vectors[at : at + step].T, ids[at : at + step], asking)
 
 
 def _result_schema(questions: T.StructField, corpus: T.StructField) -> T.StructType:
