@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from threadloom import defaults
 from threadloom.operators import chunking, context, embedding, filters, similarity
+from threadloom.plans import manifest
 from threadloom.session import stored
 from threadloom.sinks import tables as sinks
 from threadloom.sources import paths
 
 MAX_BROADCAST_HITS = 200_000
+MAX_LISTED = 1000
 
 
 def chunks_to_index(
@@ -41,12 +43,6 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
-def _versions(rows: DataFrame) -> DataFrame:
-    """One row per document and place: a hash of the ids of its chunks."""
-    ids = F.array_sort(F.collect_set("chunk_id"))
-    return rows.groupBy("doc", *PLACE).agg(F.xxhash64(ids).alias("version"))
-
-
 def _same_place(a: str, b: str) -> list[Column]:
     return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in PLACE]
 
@@ -61,6 +57,44 @@ def _drop(folders: DataFrame) -> None:
         paths.delete(folders.sparkSession, row["d"])
 
 
+def in_places(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows that lie in some places, as partition filters unless there are more than a filter should list."""
+    listed = places.select(*PLACE).limit(MAX_LISTED + 1).collect()
+    if len(listed) > MAX_LISTED:
+        return rows.alias("h").join(places.alias("t"), _same_place("h", "t"), "left_semi")
+    days: dict[str | None, list] = {}
+    for subreddit, date in listed:
+        days.setdefault(subreddit, []).append(date)
+    any_of = F.lit(False)
+    for subreddit, dates in days.items():
+        day = F.col("date").isin([d for d in dates if d is not None])
+        day = day | F.col("date").isNull() if None in dates else day
+        any_of = any_of | (F.col("subreddit").eqNullSafe(F.lit(subreddit)) & day)
+    return rows.where(any_of)
+
+
+def _as_indexed(chunks: DataFrame, oldest: datetime | None) -> DataFrame:
+    doc = F.concat_ws("\x1f", F.col("metadata")["type"], "doc_id")
+    incoming = chunks.withColumn("doc", doc).withColumn("date", F.to_date("created_at"))
+    if oldest is not None:
+        incoming = incoming.where(F.col("created_at").isNull() | (F.col("created_at") >= F.lit(oldest)))
+    return incoming
+
+
+def changed_documents(incoming: DataFrame, known: DataFrame, run: str, oldest: datetime | None = None) -> DataFrame:
+    """(doc, places, moved_from) of incoming documents whose chunks or places are not those the manifest tells.
+
+    One join on the document, of which the manifest's side keeps its buckets.
+    """
+    here = manifest.states(incoming, F.lit(run)).select("doc", "places", F.col("version").alias("wanted"))
+    there = known.select(F.col("doc").alias("_doc"), F.col("places").alias("moved_from"), "version", F.col("run").alias("_run"), "oldest")
+    same = (F.col("version") == F.col("wanted")) & (F.col("_run") != run)
+    if oldest is not None:
+        same = same & (F.col("oldest").isNull() | (F.col("oldest") >= F.lit(oldest)))
+    joined = here.join(there, F.col("doc") == F.col("_doc"), "left")
+    return joined.where(~F.coalesce(same, F.lit(False))).select("doc", "places", "moved_from")
+
+
 def update_index(
     spark: SparkSession,
     chunks: DataFrame,
@@ -68,51 +102,53 @@ def update_index(
     run: str,
     provider: Callable[[], embedding.Provider] | None = None,
     oldest: datetime | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Bring the documents of ``chunks`` up to date in an index partitioned by forum and day.
 
     A document that is new or whose chunks differ replaces all it had, wherever that was;
-    only its chunks are embedded, and only the partitions it touches are rewritten. With
-    ``oldest``, rows created before it leave. ``run`` names what this call embeds;
-    repeating a run embeds that again.
+    only its chunks are embedded, and only the partitions it touches are read and rewritten: a manifest
+    tells what the index holds. With ``oldest``, rows created before it leave. ``run`` names what
+    this call embeds; repeating a run embeds that again.
     """
-    doc = F.concat_ws("\x1f", F.col("metadata")["type"], "doc_id")
-    incoming = chunks.withColumn("doc", doc).withColumn("date", F.to_date("created_at"))
-    if oldest is not None:
-        incoming = incoming.where(F.col("created_at").isNull() | (F.col("created_at") >= F.lit(oldest)))
+    incoming = _as_indexed(chunks, oldest)
+    held = manifest.Manifest(spark, path, buckets)
     if not paths.exists(spark, f"{path}/subreddit=*"):
+        held.begin()
         made = embedding.embed_chunks(incoming, provider).withColumn("run", F.lit(run))
         sinks.write_partitioned(made, path, PLACE)
+        held.create(manifest.states(read_index(spark, path), F.col("run")))
+        held.end()
         return
-    index = read_index(spark, path).withColumn("_file", F.col("_metadata.file_path"))
+    index = read_index(spark, path)
+    if not held.usable():
+        held.create(manifest.states(index, F.col("run")))
+    known = held.current()
+    index = index.withColumn("_file", F.col("_metadata.file_path"))
+    changed = stored(changed_documents(incoming, known, run, oldest), "changed")
+    names = changed.select("doc")
+    leaving = F.col("run") == run
     stale = F.lit(False)
     if oldest is not None:
+        leaving = leaving | F.coalesce(F.col("oldest") < F.lit(oldest), F.lit(False))
         stale = F.coalesce(F.col("created_at") < F.lit(oldest), F.lit(False))
-        _drop(_folders(index.where(F.col("date") < F.lit(oldest.date()))))
-        if not paths.exists(spark, f"{path}/subreddit=*"):
-            return update_index(spark, chunks, path, run, provider, oldest)
-        index = read_index(spark, path).withColumn("_file", F.col("_metadata.file_path"))
-    current = index.where(~stale & (F.col("run") != run))
-    here, there = _versions(incoming).alias("h"), _versions(current).alias("t")
-    same = [F.col("h.doc") == F.col("t.doc"), F.col("h.version") == F.col("t.version"), *_same_place("h", "t")]
-    changed = stored(here.join(there, same, "left_anti"), "changed")
-    names = changed.select("doc").distinct()
-    leaving = index.where(stale | (F.col("run") == run)).select(*PLACE)
-    moved = index.join(names, "doc", "left_semi").select(*PLACE)
-    touched = stored(changed.select(*PLACE).unionByName(moved).unionByName(leaving).distinct(), "touched")
+    left = stored(known.where(leaving).select("doc", "places"), "leaving")
+    places = changed.select(F.explode("places").alias("at")).unionByName(changed.select(F.explode("moved_from").alias("at")))
+    touched = stored(places.unionByName(left.select(F.explode("places").alias("at"))).select("at.*").distinct(), "touched")
+    before = in_places(index, touched)
     fresh = embedding.embed_chunks(incoming.join(names, "doc", "left_semi"), provider)
-    kept = (
-        current.alias("h")
-        .join(touched.alias("t"), _same_place("h", "t"), "left_semi")
-        .join(names, "doc", "left_anti")
-        .drop("_file")
-    )
+    kept = before.where(~stale & (F.col("run") != run)).join(names, "doc", "left_anti").drop("_file")
+    held.begin()
     # Written aside first: the new rows are made from the partitions they replace.
     rows = stored(kept.unionByName(fresh.withColumn("run", F.lit(run))), "rows")
     empty = touched.alias("h").join(rows.select(*PLACE).distinct().alias("t"), _same_place("h", "t"), "left_anti")
-    empty = _folders(index.alias("h").join(empty.alias("t"), _same_place("h", "t"), "left_semi"))
+    empty = _folders(in_places(index, stored(empty, "empty")))
     sinks.write_partitioned(rows, path, PLACE)
     _drop(empty)
+    affected = names.unionByName(left.select("doc")).distinct()
+    now = stored(manifest.states(rows.join(affected, "doc", "left_semi"), F.col("run")), "states")
+    held.append(now, affected.join(now, "doc", "left_anti"))
+    held.end()
 
 
 def retrieve(

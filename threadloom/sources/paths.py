@@ -40,3 +40,15 @@ def complete_versions(spark: SparkSession, path: str) -> list[Version]:
         number, writer = folder.getName().removeprefix("version=").split("-", 1)
         versions.append(Version(int(number), writer, folder.toString()))
     return sorted(versions)
+
+
+def children(spark: SparkSession, pattern: str, parent: bool = False) -> list[str]:
+    """The names of what a pattern with wildcards matches, or of the folders these lie in."""
+    fs, hadoop_path = _resolve(spark, pattern)
+    found = [s.getPath() for s in fs.globStatus(hadoop_path) or []]
+    return [(p.getParent() if parent else p).getName() for p in found]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.create(hadoop_path, True).close()
