@@ -90,7 +90,7 @@ def test_a_broken_run_is_mended_by_any_later_one(spark, tmp_path, monkeypatch, s
     index.update_index(spark, chunks(spark, rows), path, "a")
     rows[0] = ("d0", ["moved"], DAYS[4], "b")
     with monkeypatch.context() as broken:
-        owner = index.sinks if step == "write_partitioned" else manifest.Manifest
+        owner = manifest.sinks if step == "write_partitioned" else manifest.Manifest
         original = getattr(owner, step)
 
         def fail(*args, **options):
@@ -117,3 +117,36 @@ def test_generations_are_compacted(spark, tmp_path):
         assert kept == made and len(kept) == 6
         assert manifest.Manifest(spark, path).all_rows().count() <= manifest.STALE_SHARE * 6
     assert len(glob.glob(f"{path}/_manifest/gen=*")) == 1
+
+
+def fold(spark, path, rows):
+    frame = spark.createDataFrame(rows, "id string, v int, t double, subreddit string, date date")
+    return sorted((str(r["subreddit"]), str(r["date"])) for r in manifest.fold(frame, path, "id", [F.col("t").desc()]).collect())
+
+
+def test_fold_rewrites_only_where_keys_lie_or_come(spark, tmp_path):
+    path = str(tmp_path / "table")
+    days = [datetime.date(2024, 1, 1 + k) for k in range(5)]
+    rows = [(f"k{k}", k, 1.0, "fg"[k % 2], days[k % 5]) for k in range(40)]
+    fold(spark, path, rows)
+    untouched = set(glob.glob(f"{path}/subreddit=*/date=*/*.parquet"))
+    assert fold(spark, path, rows) == []  # a repeated run writes nothing
+    assert set(glob.glob(f"{path}/subreddit=*/date=*/*.parquet")) == untouched
+    # A later copy, one that moves, a new one, an older one that loses, one without a place.
+    changes = [("k0", 90, 2.0, "f", days[0]), ("k1", 91, 2.0, "f", days[3]), ("new", 92, 1.0, "g", days[2]), ("k3", 93, 0.5, "g", days[3]), ("odd", 94, 1.0, None, None)]
+    assert fold(spark, path, changes) == sorted([("f", "2024-01-01"), ("f", "2024-01-04"), ("g", "2024-01-02"), ("g", "2024-01-03"), ("g", "2024-01-04"), ("None", "None")])
+    assert fold(spark, path, changes[:3] + changes[4:]) == []
+    want = {k: (k, v, t, f, d) for k, v, t, f, d in rows} | {c[0]: c for c in changes if c[0] != "k3"}
+    got = spark.read.schema("id string, v int, t double, subreddit string, date date").parquet(path).collect()
+    assert len(got) == 42 and {r["id"]: tuple(r) for r in got} == want
+
+
+def test_fold_after_a_broken_run(spark, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "table"), datetime.date(2024, 1, 1)
+    fold(spark, path, [("a", 1, 1.0, "f", day), ("b", 1, 1.0, "g", day)])
+    with monkeypatch.context() as broken:
+        broken.setattr(manifest.Manifest, "append", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            fold(spark, path, [("a", 2, 2.0, "g", day)])
+    fold(spark, path, [("a", 3, 3.0, "f", day), ("c", 1, 1.0, "f", day)])
+    assert {(r["id"], r["v"], r["subreddit"]) for r in spark.read.parquet(path).collect()} == {("a", 3, "f"), ("b", 1, "g"), ("c", 1, "f")}

@@ -249,32 +249,44 @@ def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, path)
 
 
-def land_arrays(raw: DataFrame, path: str, size: int) -> None:
-    """One JSON array per forum and range of ids, a file each."""
-    block = F.floor(F.xxhash64("id") % F.lit(1 << 20) / F.lit(1 << 20) * F.lit(size))
-    arrays = raw.groupBy(F.col("subreddit").alias("forum"), block.alias("block")).agg(
-        F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value")
+def land_arrays(raw: DataFrame, path: str, rows: int = 200) -> None:
+    """JSON arrays of about so many records, a file each, below a folder per forum."""
+    counts = raw.groupBy(F.col("subreddit").alias("forum")).agg(F.ceil(F.count("*") / rows).alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = raw.join(counts, F.col("subreddit").eqNullSafe(F.col("forum"))).select(
+        "forum", block.alias("block"), F.struct(*raw.columns).alias("record")
     )
-    arrays.repartition("forum", "block").write.partitionBy("forum", "block").text(path)
+    arrays = dealt.groupBy("forum", "block").agg(F.to_json(F.collect_list("record")).alias("value"))
+    arrays.write.partitionBy("forum", "block").text(path)
 
 
-@query(
-    f"""with {STAGED_CTES} select {", ".join(schemas.PROCESSED_POST.names)} from clean_posts
-    where subreddit <> 'src7'"""
-)
+@query(f"with {STAGED_CTES} select {', '.join(schemas.PROCESSED_POST.names)} from clean_posts")
 def transform_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON arrays of two runs folded in one after the other, the second twice.
 
-    The first run holds older copies of some posts; one forum has landed in neither.
+    The first run holds older copies of some posts, of all forums but one.
     """
     root = work_dir(spark, "transform")
-    landed = posts(spark, sf_dir).where("subreddit <> 'src7'")
-    older = landed.where("num_comments % 2 = 0").withColumn("title", F.lit("old"))
-    land_arrays(older.withColumn("created_utc", F.col("created_utc") - 10), f"{root}/raw/posts/run=a", 1)
-    land_arrays(landed, f"{root}/raw/posts/run=b", 2)
+    landed = posts(spark, sf_dir)
+    older = landed.where("num_comments % 2 = 0 and not (subreddit <=> 'src7')").withColumn("title", F.lit("old"))
+    land_arrays(older.withColumn("created_utc", F.col("created_utc") - 10), f"{root}/raw/posts/run=a")
+    land_arrays(landed, f"{root}/raw/posts/run=b")
     for run in ("a", "b", "b"):
         transform.transform_runs(spark, f"{root}/raw", f"{root}/processed", [run], multiline=True)
-    return files.read_parquet(spark, f"{root}/processed/posts")
+    return files.read_parquet(spark, f"{root}/processed/posts").select(*schemas.PROCESSED_POST.names)
+
+
+@query(f"with {STAGED_CTES} select {', '.join(schemas.PROCESSED_COMMENT.names)} from clean_comments")
+def transform_comment_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments as JSON arrays: older copies of some, then all, then a run without input."""
+    root = work_dir(spark, "transform")
+    landed = comments(spark, sf_dir)
+    older = landed.where("score % 3 = 0").withColumn("body", F.lit("old"))
+    land_arrays(older.withColumn("created_utc", F.col("created_utc") - 86400), f"{root}/raw/comments/run=a")
+    land_arrays(landed, f"{root}/raw/comments/run=b", 2000)
+    for runs in (["a"], ["b"], ["none"]):
+        transform.transform_runs(spark, f"{root}/raw", f"{root}/processed", runs, multiline=True)
+    return files.read_parquet(spark, f"{root}/processed/comments").select(*schemas.PROCESSED_COMMENT.names)
 
 
 @query(

@@ -8,17 +8,22 @@ from threadloom.session import work_dir
 from threadloom.streaming import dedupe, files, watermarks
 
 
+#: Rows of one landed file.
+FILE_ROWS = 200_000
+
+
 def land_out_of_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The events in three files, the newest third of the time first, with their day."""
+    """The events in three parts, the newest third of the time first, with their day; those without a time come first of all."""
     events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     bounds = ("2024-01-11", "2024-01-21")
     thirds = (
-        F.col("day") >= bounds[1],
+        F.col("day").isNull() | (F.col("day") >= bounds[1]),
         F.col("day") < bounds[0],
         (F.col("day") >= bounds[0]) & (F.col("day") < bounds[1]),
     )
     for third in thirds:
-        events.where(third).repartition(1).write.mode("append").parquet(folder)
+        some = events.where(third)
+        some.repartition(max(1, -(-some.count() // FILE_ROWS))).write.mode("append").parquet(folder)
     return events
 
 

@@ -14,7 +14,6 @@ from threadloom.sinks import tables as sinks
 from threadloom.sources import paths
 
 MAX_BROADCAST_HITS = 200_000
-MAX_LISTED = 1000
 
 
 def chunks_to_index(
@@ -28,7 +27,7 @@ def chunks_to_index(
     return chunking.with_chunk_id(chunking.corpus(mart))
 
 
-PLACE = ["subreddit", "date"]
+PLACE = manifest.PLACE
 INDEX_SCHEMA = (
     "doc_id string, chunk_no int, chunk_text string, metadata map<string, string>, "
     "created_at timestamp_ntz, chunk_id string, doc string, embedding array<float>, run string, "
@@ -43,36 +42,6 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
-def _same_place(a: str, b: str) -> list[Column]:
-    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in PLACE]
-
-
-def _folders(rows: DataFrame) -> DataFrame:
-    """The partition folders that rows of an index come from, listed before any is rewritten."""
-    return stored(rows.select(F.regexp_replace("_file", "/[^/]*$", "").alias("d")).distinct(), "folders")
-
-
-def _drop(folders: DataFrame) -> None:
-    for row in folders.toLocalIterator():  # partitions that are left without a row
-        paths.delete(folders.sparkSession, row["d"])
-
-
-def in_places(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """The rows that lie in some places, as partition filters unless there are more than a filter should list."""
-    listed = places.select(*PLACE).limit(MAX_LISTED + 1).collect()
-    if len(listed) > MAX_LISTED:
-        return rows.alias("h").join(places.alias("t"), _same_place("h", "t"), "left_semi")
-    days: dict[str | None, list] = {}
-    for subreddit, date in listed:
-        days.setdefault(subreddit, []).append(date)
-    any_of = F.lit(False)
-    for subreddit, dates in days.items():
-        day = F.col("date").isin([d for d in dates if d is not None])
-        day = day | F.col("date").isNull() if None in dates else day
-        any_of = any_of | (F.col("subreddit").eqNullSafe(F.lit(subreddit)) & day)
-    return rows.where(any_of)
-
-
 def _as_indexed(chunks: DataFrame, oldest: datetime | None) -> DataFrame:
     doc = F.concat_ws("\x1f", F.col("metadata")["type"], "doc_id")
     incoming = chunks.withColumn("doc", doc).withColumn("date", F.to_date("created_at"))
@@ -124,7 +93,6 @@ def update_index(
     if not held.usable():
         held.create(manifest.states(index, F.col("run")))
     known = held.current()
-    index = index.withColumn("_file", F.col("_metadata.file_path"))
     changed = stored(changed_documents(incoming, known, run, oldest), "changed")
     names = changed.select("doc")
     leaving = F.col("run") == run
@@ -135,16 +103,13 @@ def update_index(
     left = stored(known.where(leaving).select("doc", "places"), "leaving")
     places = changed.select(F.explode("places").alias("at")).unionByName(changed.select(F.explode("moved_from").alias("at")))
     touched = stored(places.unionByName(left.select(F.explode("places").alias("at"))).select("at.*").distinct(), "touched")
-    before = in_places(index, touched)
+    before = manifest.in_places(index, touched)
     fresh = embedding.embed_chunks(incoming.join(names, "doc", "left_semi"), provider)
-    kept = before.where(~stale & (F.col("run") != run)).join(names, "doc", "left_anti").drop("_file")
+    kept = before.where(~stale & (F.col("run") != run)).join(names, "doc", "left_anti")
     held.begin()
     # Written aside first: the new rows are made from the partitions they replace.
     rows = stored(kept.unionByName(fresh.withColumn("run", F.lit(run))), "rows")
-    empty = touched.alias("h").join(rows.select(*PLACE).distinct().alias("t"), _same_place("h", "t"), "left_anti")
-    empty = _folders(in_places(index, stored(empty, "empty")))
-    sinks.write_partitioned(rows, path, PLACE)
-    _drop(empty)
+    manifest.replace_places(index, rows, touched, path)
     affected = names.unionByName(left.select("doc")).distinct()
     now = stored(manifest.states(rows.join(affected, "doc", "left_semi"), F.col("run")), "states")
     held.append(now, affected.join(now, "doc", "left_anti"))

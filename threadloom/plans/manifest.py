@@ -1,7 +1,7 @@
-"""What an index holds, one row per document, so that an update need not read the index.
+"""What a table partitioned by forum and day holds, one row per document, so that an update need not read it.
 
-The manifest is a bucketed table beside the index: the document, where its rows lie, a hash of its
-chunks, the run that embedded it and the times of its rows. A run appends the rows of the
+The manifest is a bucketed table beside the other: the document, where its rows lie, a hash of its
+rows, the run that made them and their times. A run appends the rows of the
 documents it changed; the row of the greatest ``seq`` counts. Window and joins on the document
 keep the buckets, so the stored side is never shuffled. When appended rows outnumber the documents,
 the rows that count are written as a new generation.
@@ -15,8 +15,15 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from threadloom.operators.dedupe import latest_by_key
+from threadloom.session import stored
+from threadloom.sinks import tables as sinks
 from threadloom.sources import paths
 
+PLACE = ["subreddit", "date"]
+#: Most places that a filter lists.
+MAX_LISTED = 1000
+
 #: A generation is rewritten when it has this many times the rows that count.
 STALE_SHARE = 2
 COLUMNS = (
@@ -38,8 +45,86 @@ def states(rows: DataFrame, run: Column) -> DataFrame:
     )
 
 
+def _same_place(a: str, b: str) -> list[Column]:
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in PLACE]
+
+
+def in_places(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows that lie in some places, as partition filters unless there are more than a filter should list."""
+    listed = places.select(*PLACE).limit(MAX_LISTED + 1).collect()
+    if len(listed) > MAX_LISTED:
+        return rows.alias("h").join(places.alias("t"), _same_place("h", "t"), "left_semi")
+    days: dict[str | None, list] = {}
+    for subreddit, date in listed:
+        days.setdefault(subreddit, []).append(date)
+    any_of = F.lit(False)
+    for subreddit, dates in days.items():
+        day = F.col("date").isin([d for d in dates if d is not None])
+        day = day | F.col("date").isNull() if None in dates else day
+        any_of = any_of | (F.col("subreddit").eqNullSafe(F.lit(subreddit)) & day)
+    return rows.where(any_of)
+
+
+def replace_places(table: DataFrame, rows: DataFrame, touched: DataFrame, path: str) -> None:
+    """Write rows, which are stored elsewhere, in the place of all that the touched partitions of a table hold."""
+    left = touched.alias("h").join(rows.select(*PLACE).distinct().alias("t"), _same_place("h", "t"), "left_anti")
+    files = in_places(table, stored(left, "left")).select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("d"))
+    folders = stored(files.distinct(), "folders")  # listed before any is rewritten
+    sinks.write_partitioned(rows, path, PLACE)
+    for row in folders.toLocalIterator():  # partitions that are left without a row
+        paths.delete(table.sparkSession, row["d"])
+
+
+def fold(incoming: DataFrame, path: str, key: str, order_by: list[Column], buckets: int | None = None) -> DataFrame:
+    """Fold rows into a table partitioned by forum and day, one row per key; returns the places rewritten.
+
+    The manifest tells which keys are new or differ and where they lie now, so only those partitions are
+    read and written, also if a key moves to another one, and a repeated run writes nothing. Of an
+    incoming and a stored row of a key the first in order_by stays, the remaining columns break ties.
+    """
+    spark = incoming.sparkSession
+    held = Manifest(spark, path, buckets)
+    columns = sorted(c for c in incoming.columns if c not in PLACE)
+    names = [F.col(key).cast("string").alias("doc")]
+    none = F.lit(None).cast("timestamp_ntz")
+
+    def told(rows: DataFrame) -> DataFrame:
+        place = F.array(F.struct(F.col("subreddit"), F.col("date")))
+        return rows.select(
+            *names, place.alias("places"), F.xxhash64(F.to_json(F.struct(*columns, *PLACE))).alias("version"),
+            F.lit("").alias("run"), none.alias("oldest"), none.alias("newest"),
+        )
+
+    fresh = stored(latest_by_key(incoming, [key], order_by), "incoming")
+    if not paths.exists(spark, f"{path}/{PLACE[0]}=*"):
+        held.begin()
+        sinks.write_partitioned(fresh, path, PLACE)
+        held.create(told(fresh))
+        held.end()
+        return fresh.select(*PLACE).distinct()
+    table = spark.read.schema(fresh.schema).parquet(path)
+    if not held.usable():
+        held.create(told(latest_by_key(table, [key], order_by)))
+    known = held.current().select(F.col("doc").alias("_doc"), F.col("places").alias("moved_from"), F.col("version").alias("_version"))
+    # A null key is no document's name; such rows never meet and are always folded in anew.
+    joined = told(fresh).join(known, F.col("doc") == F.col("_doc"), "left")
+    changed = stored(joined.where(~F.col("version").eqNullSafe(F.col("_version"))).select("doc", "places", "moved_from"), "changed")
+    places = changed.select(F.explode("places").alias("at")).unionByName(changed.select(F.explode("moved_from").alias("at")))
+    touched = stored(places.select("at.*").distinct(), "touched")
+    if touched.isEmpty():
+        return touched
+    before = in_places(table, touched)
+    merged = stored(latest_by_key(before.unionByName(fresh.join(changed, F.col(key).cast("string").eqNullSafe(F.col("doc")), "left_semi")), [key], order_by), "merged")
+    held.begin()
+    replace_places(table, merged, touched, path)
+    now = told(merged).join(changed.select("doc"), "doc", "left_semi")
+    held.append(now, changed.select("doc").limit(0))
+    held.end()
+    return touched
+
+
 class Manifest:
-    """The manifest of the index in a folder."""
+    """The manifest of the table in a folder."""
 
     def __init__(self, spark: SparkSession, index: str, buckets: int | None = None):
         """Without a number of buckets, a new generation gets as many as a shuffle has partitions."""

@@ -12,6 +12,7 @@ from threadloom.operators import filters
 from threadloom.operators.cleaning import with_clean_text
 from threadloom.operators.dedupe import dedupe_records
 from threadloom.operators.joins import HOT_ROWS, left_join_one_to_many
+from threadloom.plans import manifest
 from threadloom.sinks import tables as sinks
 from threadloom.sources import files
 
@@ -137,11 +138,16 @@ def build_models(
     return models
 
 
+def _dated(processed: DataFrame) -> DataFrame:
+    return sinks.with_forum_date(processed.withColumn("_at", epoch_to_ntz(F.col("created_utc"))), "_at").drop("_at")
+
+
 def run_transform(
     spark: SparkSession, raw: str, processed: str, multiline: bool = False
 ) -> None:
     """Raw JSON below ``raw``/posts and ``raw``/comments, every forum and run, to Parquet
-    partitioned by forum. A forum without input is left as it is."""
+    partitioned by forum. A forum without input is left as it is. For tables that grow run by
+    run, by forum and day, see :func:`transform_runs`."""
     posts = files.read_posts(spark, f"{raw}/posts/*", multiline)
     comments = files.read_comments(spark, f"{raw}/comments/*", multiline)
     sinks.write_partitioned(transform_posts(posts), f"{processed}/posts", ["subreddit"])
@@ -151,12 +157,12 @@ def run_transform(
 def transform_runs(
     spark: SparkSession, raw: str, processed: str, runs: list[str], multiline: bool = False
 ) -> None:
-    """Fold the raw JSON of new runs into the processed tables.
+    """Fold the raw JSON of new runs into the processed tables, partitioned by forum and day.
 
     Reads only ``raw``/posts/run=R and ``raw``/comments/run=R of the runs named, and
-    of the tables only the forums that occur in them. The newest record of an id
-    survives, so repeating a run changes nothing. Runs and forums without input are
-    left as they are.
+    of the tables only the days of a forum that hold or get a record that is new or differs, as
+    a manifest beside each table tells. The newest record of an id survives, so repeating a run
+    writes nothing. Runs and forums without input are left as they are.
     """
     for kind, read, clean, text in (
         ("posts", files.read_posts, transform_posts, "clean_selftext"),
@@ -165,6 +171,4 @@ def transform_runs(
         landed = [read(spark, f"{raw}/{kind}/run={run}", multiline) for run in runs]
         if landed:
             fresh = clean(reduce(DataFrame.unionByName, landed))
-            sinks.merge_partitions(
-                fresh, f"{processed}/{kind}", ["id"], ["subreddit"], [F.col("created_utc").desc()]
-            )
+            manifest.fold(_dated(fresh), f"{processed}/{kind}", "id", [F.col("created_utc").desc()])
