@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from threadloom.sources import state
-from threadloom.streaming import dedupe, files, watermarks
+from threadloom.streaming import dedupe, files, watermarks, keyed
 
 SCHEMA = "id string, subreddit string, created_utc double"
 
@@ -135,3 +135,31 @@ def test_dedupe_within_the_delay(spark, tmp_path):
     land(spark, landing, [("b", "f", 120.0), ("c", "f", 180.0)])
     run()
     assert ids(spark, table) == ["a", "b", "c"]
+
+
+def test_keyed_state_expires_and_late_records_go_aside(spark, tmp_path):
+    """Days arrive in order but for one that comes last: nothing is lost, and state holds the last days only."""
+    keyed.use_rocksdb(spark)
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    rows = [(f"e{d}-{k}", f"2024-01-{d:02d} 10:{k:02d}:00") for d in range(1, 11) for k in range(20)]
+    frame = spark.createDataFrame([*rows, ("none", None)], "id string, t string")
+    frame = frame.select("id", F.col("t").cast("timestamp_ntz").alias("t"), F.to_date("t").alias("day")).cache()
+    for d in (1, 2, 3, 5, 6, 7, 8, 9, 10):
+        frame.where(f"day(day) = {d}").coalesce(1).write.mode("append").parquet(landing)
+    for late in ("day(day) = 4", "day(day) in (1, 10)", "t is null", "t is null"):
+        frame.where(late).coalesce(1).write.mode("append").parquet(landing)
+    stream = files.stream_files(spark, landing, frame.schema, "parquet", files_per_batch=1)
+    first = keyed.first_of_key(stream, "id", "t", "36 hours")
+    seen = []
+
+    def write(batch, name):
+        seen.append({r["kind"]: r["n"] for r in batch.groupBy("kind").agg(F.count("*").alias("n")).collect()})
+        keyed.append_first(table, "id", "day")(batch, name)
+
+    query = files.run_available(first, str(tmp_path / "checkpoint"), write)
+    got = spark.read.schema(frame.schema).parquet(table).select(*frame.columns).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, (tuple(r) for r in frame.collect())))
+    assert sum(s.get("first", 0) for s in seen) == 180 and sum(s.get("late", 0) for s in seen) == 20 + 20 + 2
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    # A value and a timer for each key of the last two or three days, of ten.
+    assert held[-1] == 80 and max(held) <= 120

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from threadloom.catalog.registry import query, table
 from threadloom.session import work_dir
-from threadloom.streaming import dedupe, files, watermarks
+from threadloom.streaming import dedupe, files, keyed, watermarks
 
 
 #: Rows of one landed file.
@@ -64,6 +64,19 @@ def stream_dedupe_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("select * from events")
+def stream_dedupe_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files and copies with keyed state that expires after two days, far less than their disorder."""
+    root = work_dir(spark, "stream-state")
+    schema = land_out_of_order(spark, sf_dir, f"{root}/landing").schema
+    keyed.use_rocksdb(spark)
+    rows = event_stream(spark, f"{root}/landing", schema)
+    doubled = rows.unionAll(event_stream(spark, f"{root}/landing", schema))
+    first = keyed.first_of_key(doubled, "event_id", "ts", "2 days")
+    files.run_available(first, f"{root}/checkpoint", keyed.append_first(f"{root}/table", "event_id", "day"))
+    return spark.read.schema(schema).parquet(f"{root}/table").select(*[f.name for f in schema if f.name != "day"])
+
+
 @query(
     """with first as (
       select *, 'first' as run from events where ts < timestamp '2024-01-15 00:00:00'),
