@@ -132,6 +132,10 @@ def test_shared_lines_go_and_copies_stay(spark):
     assert got[200]["text"] is None and got[200]["n_lines"] == 0 and got[201]["text"] == ""
     assert got[202]["text"] == "own words, quite a lot of them" and got[None]["text"] == "and some other words here"
     assert got[5]["gone"] == "x"
+    # However much of it is shared, a document with a line of its own loses the rest; rows without an id are no group.
+    most = [(300, "\n".join(["copied text one"] * 50 + [" mine", "  "]), "site1", "x"), (None, f"{footer}\n", "site1", "x"), (None, "one more", None, "x")]
+    more = [(r["doc_id"], r["text"], r["n_removed"]) for r in line_dedup.strip_shared_lines(df.union(spark.createDataFrame(most, df.schema))).collect() if r["doc_id"] in (300, None)]
+    assert sorted(more, key=str) == [(300, " mine\n  ", 50), (None, f"{footer}\n", 0), (None, "and some other words here", 1), (None, "one more", 0)]
     assert line_dedup.strip_shared_lines(df.limit(0)).count() == 0
 
 

@@ -164,12 +164,12 @@ marked as (select l.doc_id, l.pos, l.line, s.k is not null as gone from lines l
 cut as (
     select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_gone,
            string_agg(line, chr(10) order by pos) filter (where not gone) as left_text,
-           coalesce(sum(length(line)) filter (where not gone), 0) as left_chars, sum(length(line)) as all_chars
+           count(*) filter (where not gone and trim(line) <> '') = 0 as whole
     from marked group by doc_id
 )
 select d.doc_id, coalesce(n_lines, 0) as n_lines,
-       case when left_chars < {1 - line_dedup.MAX_SHARE} * all_chars then 0 else coalesce(n_gone, 0) end as n_removed,
-       case when left_chars < {1 - line_dedup.MAX_SHARE} * all_chars or d.text is null then d.text else coalesce(left_text, '') end as text
+       case when whole then 0 else coalesce(n_gone, 0) end as n_removed,
+       case when whole or d.text is null then d.text else coalesce(left_text, '') end as text
 from documents d left join cut c on d.doc_id = c.doc_id
 """,
     "op11_source_divergence_audit": f"""

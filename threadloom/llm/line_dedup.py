@@ -2,9 +2,9 @@
 
 The spread of a line is the number of distinct sites (sources) whose documents hold it.
 HyperLogLog sketches per line hash, merged by aggregation, estimate it; lines whose estimate
-is near the threshold are counted exactly. A document of which more than a share of the
-characters would go is a copy rather than a page with boilerplate, and stays as it is, for a
-near-duplicate stage to judge. All of it is built-in expressions.
+is near the threshold are counted exactly. A document of which nothing but blank lines would be
+left is a copy rather than a page with boilerplate, and stays as it is, for a near-duplicate
+stage to judge. All of it is built-in expressions.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import fresh, stored
 
 MIN_SITES = 10
-MAX_SHARE = 0.5
 #: Relative error of the sketches: 256 registers, almost exact for counts as small as the threshold.
 ERROR = 0.07
 #: Estimates from MIN_SITES / NEAR to MIN_SITES * NEAR are counted exactly.
@@ -46,7 +45,6 @@ def shared_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def strip_shared_lines(
     docs: DataFrame,
     min_sites: int = MIN_SITES,
-    max_share: float = MAX_SHARE,
     id_col: str = "doc_id",
     text_col: str = "text",
     site_col: str = "source",
@@ -54,28 +52,28 @@ def strip_shared_lines(
 ) -> DataFrame:
     """docs with text replaced and, unless into is None, two counts added; every row stays.
 
-    Lines are separated by newlines. Blank lines are never shared and stay where they are. A null
-    source is no site: its lines count for no one but are removed like others. Null text stays
-    null with no lines; rows that share an id lose the same lines. Columns of docs named as in
-    into are replaced; all others stay.
+    Lines are separated by newlines. Blank lines are never shared and stay where they are. A document
+    whose other lines are all shared is a copy as a whole and keeps them. A null source is no site: its
+    lines count for no one but are removed like others. Null text stays null with no lines; rows that
+    share an id lose the same lines, and rows with a null id those of the same text. Columns of docs
+    named as in into are replaced; all others stay.
     """
+    # Without an id the text stands for it, so that rows with a null id are no group.
+    text, key = F.col(text_col), [F.col(id_col), F.when(F.col(id_col).isNull(), F.xxhash64(text_col))]
     lines = docs.select(
-        F.col(id_col).alias("id"), F.col(site_col).alias("site"), F.explode(F.split(text_col, "\n")).alias("line")
-    ).select("id", "site", "line", line_key(F.col("line")).alias("key"))
+        key[0].alias("id"), key[1].alias("alt"), F.col(site_col).alias("site"), F.explode(F.split(text_col, "\n")).alias("line")
+    ).select("id", "alt", "site", "line", line_key(F.col("line")).alias("key"))
     shared = shared_lines(lines.where("key is not null and site is not null").select("key", "site"), min_sites)
-    hits = lines.join(stored(shared.select("key"), "shared"), "key", "left_semi").groupBy("id").agg(F.collect_set("line").alias("gone"))
+    hits = lines.join(stored(shared.select("key"), "shared"), "key", "left_semi").groupBy("id", "alt").agg(F.collect_set("line").alias("gone"))
     rest = docs.drop(*into) if into else docs
-    gone, own, kept, left, size = fresh(rest, "gone", "own", "kept", "left", "size")
-    hits = hits.select(F.col("id").alias(own), F.col("gone").alias(gone))
-    joined = rest.join(hits, rest[id_col].eqNullSafe(hits[own]), "left")
-    text, lines_of = F.col(text_col), F.split(F.col(text_col), "\n")
-    cut = joined.withColumn(
-        kept, F.when(F.col(gone).isNull(), lines_of).otherwise(F.filter(lines_of, lambda x: ~F.array_contains(gone, x)))
-    )
-    cut = cut.withColumn(left, F.array_join(kept, "\n")).withColumn(size, F.coalesce(F.size(lines_of), F.lit(0)))
-    chars = lambda x: F.length(F.replace(x, F.lit("\n"), F.lit("")))
-    much = chars(F.col(left)) < chars(text) * (1 - max_share)
+    gone, own, other, kept = fresh(rest, "gone", "own", "other", "kept")
+    hits = hits.select(F.col("id").alias(own), F.col("alt").alias(other), F.col("gone").alias(gone))
+    joined = rest.join(hits, rest[id_col].eqNullSafe(F.col(own)) & key[1].eqNullSafe(F.col(other)), "left")
+    lines_of = F.split(text, "\n")
+    left = F.filter(lines_of, lambda x: ~F.array_contains(gone, x))
+    cut = F.col(gone).isNotNull() & F.exists(left, lambda x: F.trim(x) != "")
+    out = joined.withColumn(kept, F.when(cut, left).otherwise(lines_of))
     if into:
-        removed = F.when(text.isNull() | much, 0).otherwise(F.col(size) - F.size(kept))
-        cut = cut.withColumn(into[0], F.when(text.isNull(), 0).otherwise(F.col(size))).withColumn(into[1], removed)
-    return cut.withColumn(text_col, F.when(much, text).otherwise(F.col(left))).select(*rest.columns, *(into or ()))
+        count = F.when(text.isNull(), 0).otherwise(F.size(lines_of))
+        out = out.withColumn(into[0], count).withColumn(into[1], F.when(text.isNull(), 0).otherwise(count - F.size(kept)))
+    return out.withColumn(text_col, F.array_join(kept, "\n")).select(*rest.columns, *(into or ()))
