@@ -184,7 +184,7 @@ def test_urls_without_rules_or_rows(spark):
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = random.Random(5)
-    plain, bad = [f"word{k}" for k in range(200)], ["vile", "rotten", "nasty", "filthy"]
+    plain, bad = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)], ["vile", "rotten", "nasty", "filthy"]
     rows = []
     for k in range(600):
         toxic = k % 6 == 0
@@ -210,24 +210,69 @@ def test_toxicity_on_held_out_texts(spark, labelled):
     assert all(got[k]["evidence"] for k in range(0, 600, 6))
 
 
-def test_nearest_examples_equal_brute_force(labelled):
+def full_vectors(texts, index, idf_of):
+    """TF-IDF vectors of texts over all their words, by dictionaries."""
+    out = []
+    for text in texts:
+        counts = {}
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            counts[w] = counts.get(w, 0) + 1
+        v = {w: (1 + np.log(n)) * idf_of(w) for w, n in counts.items()}
+        length = sum(x * x for x in v.values()) ** 0.5
+        out.append({w: x / length for w, x in v.items()})
+    return out
+
+
+def test_nearest_examples_equal_brute_force(labelled, monkeypatch):
+    """Over whole vectors of all words, with few blocks scored before bounds decide."""
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 1)
     docs, labels = labelled
     index = toxicity.fit(docs, labels, F.lit(True))
-    dense = np.zeros((len(index.ids), len(index.terms)))
-    for t in range(len(index.terms)):
-        at = slice(index.starts[t], index.starts[t + 1])
-        dense[index.examples[at], t] = index.weights[at]
-    rng = np.random.default_rng(0)
-    for _ in range(50):
-        counts = tuple((int(t), int(rng.integers(1, 4))) for t in sorted(rng.choice(len(index.terms), rng.integers(1, min(4, len(index.terms)) + 1), replace=False)))
-        terms, weights = toxicity._vector(counts, index.idf)
-        cosines = dense[:, terms] @ weights
+    by_id = {r["doc_id"]: r["text"] for r in docs.where("doc_id is not null").collect()}
+    n = 603
+    words_of = {i: set(re.findall(r"[^\W\d_]+", (t or "").lower())) for i, t in by_id.items()}
+    held = {w: sum(w in x for x in words_of.values()) + (w in ("vile", "rotten")) for w in index.terms}
+    toxic = {int(i): y for i, y in zip(index.ids, index.toxic, strict=True)}
+
+    def weight(w):
+        if w not in index.terms:
+            return (np.log((1 + n) / 2) + 1) * toxicity.PLAIN
+        a = sum(w in words_of[i] for i, y in toxic.items() if y)
+        b = sum(w in words_of[i] for i, y in toxic.items() if not y)
+        m, pos = len(toxic), sum(toxic.values())
+        c, d = pos - a, m - pos - b
+        chi2 = m * (a * d - b * c) ** 2 / (pos * (m - pos) * (a + b) * (c + d) + 1e-9)
+        return (np.log((1 + n) / (1 + held[w])) + 1) * (toxicity.PLAIN + (1 - toxicity.PLAIN) * chi2**2 / (chi2**2 + toxicity.HALF_CHI2**2))
+
+    weights = {w: weight(w) for w in index.terms}
+    idf_of = lambda w: weights.get(w) or weight(w)
+    examples = full_vectors([by_id[int(i)] for i in index.ids], index, idf_of)
+    rng = random.Random(0)
+    asked = [" ".join(rng.choices([*index.terms, "unknown", "neither"], k=rng.randrange(1, 40))) for _ in range(40)]
+    for text, v in zip(asked, full_vectors(asked, index, idf_of), strict=True):
+        cosines = np.array([sum(x * e.get(w, 0) for w, x in v.items()) for e in examples])
         want = [k for k in np.lexsort((index.ids, -cosines.round(12)))[:7] if cosines[k] > 0]
-        found, values = toxicity.nearest(index, terms, weights, 7)
+        found, values = toxicity.nearest(index, *toxicity._vector(toxicity._counts(text), index), 7)
         assert np.allclose(values, cosines[want])
         assert sorted(index.ids[found][values > values[-1] + 1e-9]) == sorted(index.ids[want][cosines[want] > cosines[want][-1] + 1e-9])
 
 
+def test_every_example_finds_itself(spark, labelled):
+    """Also of a kind that only three toxic examples are of, whose copies are toxic."""
+    docs, labels = labelled
+    rng = random.Random(3)
+    rare = [(700 + k, " ".join(["grumbleton", "snark", *(f"w{chr(97 + rng.randrange(26))}a" for _ in range(60))]), "x") for k in range(3)]
+    docs = docs.union(spark.createDataFrame(rare + [(800 + k, t, "x") for k, (_, t, _) in enumerate(rare)], docs.schema))
+    labels = labels.union(spark.createDataFrame([(700 + k, 0, 1) for k in range(3)], labels.schema))
+    index = toxicity.fit(docs, labels, F.lit(True))
+    scored = {r["id"]: r for r in toxicity.score(docs, index).collect()}
+    for i in index.ids:
+        assert scored[int(i)]["cosines"][0] == 1.0
+    assert all(scored[k]["predicted"] == 1 for k in (*range(700, 703), *range(800, 803)))
+    assert [scored[800 + k]["evidence"][0] for k in range(3)] == [700, 701, 702]
+
+
 def test_toxicity_without_labels_or_rows(spark, labelled):
     docs, labels = labelled
     for some in (labels.limit(0), labels.where("toxic = 0")):

@@ -1,14 +1,16 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled texts gives the examples and the vocabulary: words that toxic
-examples hold far more often than others. Document frequencies count over all documents. The
-examples form an inverted index whose postings are cut into blocks of neighbouring examples;
-per term and block the largest weight is known, so the sum of these over a text's terms bounds
-every cosine in the block, and blocks are visited in falling order of the bound until no bound
-reaches the k-th best cosine. The neighbours' votes, weighted by cosine and by how many
-labelled texts an example stands for, are mapped to a probability that is fitted on the
-examples, each scored without itself. Texts without a word of the vocabulary get the rate of
-such examples.
+A bounded sample of labelled texts gives the examples; all their words are the vocabulary. Document
+frequencies count over all documents. A word's weight is its inverse document frequency times
+a class weight, which rises smoothly with how unevenly toxic and other examples hold it and is never
+zero, so every text that shares a word with an example is compared with it. The examples form an
+inverted index whose postings are cut into blocks of neighbouring examples; per term and block the
+largest weight is known, so the sum of these over a text's terms bounds every cosine in the
+block. The blocks of highest bound are scored first, then all those whose bound reaches the k-th
+best cosine; the others cannot hold a nearer example. The neighbours' votes, weighted by cosine
+and by how many labelled texts an example stands for, are mapped to a probability that is
+fitted on the examples, each scored without itself. Texts without a word of any example get the
+rate of toxic texts.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +30,14 @@ from threadloom.llm.common import steps
 
 #: Labelled texts per class that become examples.
 EXAMPLES_PER_CLASS = 2000
-VOCABULARY = 1024
-MIN_LIFT = 4.0
-#: About one in twenty million by chance, as there are very many words to choose from.
-MIN_CHI2 = 30.0
+#: The class weight of a word that tells nothing, and the chi-squared at which half of the rest is reached.
+PLAIN, HALF_CHI2 = 0.005, 30.0
+#: An example of cosine 1 weighs 1 / COPY.
+COPY = 0.02
 NEIGHBOURS = 15
 BLOCK = 32
+#: Blocks of highest bound that are scored first.
+FIRST_BLOCKS = 4
 EVIDENCE = 3
 THRESHOLD = 0.3
 CACHE = 20_000
@@ -41,61 +46,83 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Index(NamedTuple):
-    """Examples with a vocabulary word, ordered so that similar ones share blocks."""
+    """Examples, ordered so that similar ones share blocks, and their postings by term and block."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    #: Weight of each term, and of a word that no example holds.
+    term_weights: np.ndarray
+    other_weight: float
     ids: np.ndarray
     toxic: np.ndarray
     stands_for: np.ndarray
-    #: Postings of term t: starts[t] to starts[t + 1] of examples (ascending) and weights.
-    starts: np.ndarray
+    #: Entries of term t: term_starts[t] to term_starts[t + 1], one per block that holds it.
+    term_starts: np.ndarray
+    blocks: np.ndarray
+    highest: np.ndarray
+    #: Postings of entry e: entry_starts[e] to entry_starts[e + 1].
+    entry_starts: np.ndarray
     examples: np.ndarray
     weights: np.ndarray
-    #: Largest weight of a term in a block of examples.
-    highest: np.ndarray
     base: float
     slope: float
     offset: float
 
 
-def _counts(text: str | None, terms: dict[str, int]) -> tuple[tuple[int, int], ...]:
-    """Term numbers of a text with their counts, in order."""
-    return tuple(sorted(Counter(terms[w] for w in _WORD.findall((text or "").lower()) if w in terms).items()))
+def _counts(text: str | None) -> Counter[str]:
+    return Counter(_WORD.findall((text or "").lower()))
+
 
+def _vector(counts: Counter[str], index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of the index and their weights in a vector of length one, to which other words belong too."""
+    get = index.terms.get
+    terms = np.fromiter((get(w, -1) for w in counts), dtype=np.int64, count=len(counts))
+    damped = 1 + np.log(np.fromiter(counts.values(), dtype=float, count=len(counts)))
+    known = terms >= 0
+    weights = damped * np.where(known, index.term_weights[terms] if len(index.term_weights) else 0.0, index.other_weight)
+    # In the order of terms, so that equal counts give equal sums.
+    order = np.argsort(terms[known], kind="stable")
+    return terms[known][order], (weights[known] / np.sqrt(np.sort(weights * weights).sum()))[order]
 
-def _vector(counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and weights of length one."""
-    terms = np.fromiter((t for t, _ in counts), dtype=np.int64, count=len(counts))
-    weights = (1 + np.log(np.fromiter((n for _, n in counts), dtype=float, count=len(counts)))) * idf[terms]
-    return terms, weights / np.sqrt((weights * weights).sum())
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers from each start to before its end, one after another."""
+    sizes = ends - starts
+    return np.repeat(ends - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
 
 
 def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
     """The k examples of highest positive cosine, ties by id, exactly; without is one to leave out."""
-    bounds = weights @ index.highest[terms]
-    best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0)
-    slices = [(index.examples[a:b], index.weights[a:b]) for a, b in zip(index.starts[terms], index.starts[terms + 1], strict=True)]
-    for block in np.argsort(-bounds, kind="stable"):
-        bound = bounds[block]
-        if bound <= 0 or (len(best) == k and bound < best[-1] - 1e-12):
-            break
-        low = block * BLOCK
-        scores = np.zeros(BLOCK)
-        for weight, (examples, values) in zip(weights, slices, strict=True):
-            a, b = np.searchsorted(examples, (low, low + BLOCK))
-            scores[examples[a:b] - low] += weight * values[a:b]
-        if low <= without < low + BLOCK:
-            scores[without - low] = 0
+    first, last = index.term_starts[terms], index.term_starts[terms + 1]
+    entries, own = _ranges(first, last), np.repeat(weights, last - first)
+    blocks = index.blocks[entries]
+    bounds = np.bincount(blocks, own * index.highest[entries], minlength=-(-len(index.ids) // BLOCK))
+
+    def scored(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        on = chosen[blocks]
+        begins, ends = index.entry_starts[entries[on]], index.entry_starts[entries[on] + 1]
+        at = _ranges(begins, ends)
+        scores = np.bincount(index.examples[at], np.repeat(own[on], ends - begins) * index.weights[at], minlength=len(index.ids))
+        if without >= 0:
+            scores[without] = 0
         found = np.flatnonzero(scores > 0)
-        best_ids, best = np.r_[best_ids, found + low], np.r_[best, scores[found]]
-        order = np.lexsort((index.ids[best_ids], -best))[:k]
-        best_ids, best = best_ids[order], best[order]
-    return best_ids, best
+        return found, scores[found]
+
+    chosen = np.zeros(len(bounds), dtype=bool)
+    chosen[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+    found, scores = scored(chosen)
+    kth = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
+    more, further = scored(~chosen & (bounds >= kth - 1e-9) & (bounds > 0))
+    found, scores = np.r_[found, more], np.r_[scores, further]
+    if len(scores) > k:
+        near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        found, scores = found[near], scores[near]
+    order = np.lexsort((index.ids[found], -scores))[:k]
+    return found[order], scores[order]
 
 
 def _vote(index: Index, found: np.ndarray, cosines: np.ndarray) -> float:
-    weights = index.stands_for[found] * cosines**2
+    # A copy of an example, however rare its kind, outweighs many that are merely alike.
+    weights = index.stands_for[found] * cosines**2 / (1 + COPY - cosines**2)
     # One example's worth of the rate without any word keeps lone weak neighbours from deciding.
     return float((weights @ index.toxic[found] + 0.1 * index.base) / (weights.sum() + 0.1))
 
@@ -130,53 +157,38 @@ def _examples(docs: DataFrame, labels: DataFrame, train: Column, per_class: int)
     return rows, {k: max(1.0, n / per_class) for k, n in sizes.items()}
 
 
-def _vocabulary(rows: DataFrame, size: int) -> list[str]:
-    """The words most tied to toxic examples by chi-squared, among those of enough lift."""
-    totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}  # two rows
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic or not clean:
-        return []
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            pairs = [(w, t) for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for w in set(_WORD.findall(x.lower()))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in pairs], pa.string()), pa.array([t for _, t in pairs], pa.int32())], names=["word", "toxic"]
-            )
-
-    held = rows.select("text", F.col("toxic").cast("int")).mapInArrow(words, "word string, toxic int")
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    c, d, n = toxic - a, clean - b, toxic + clean
-    chi2 = F.lit(float(n)) * (a * d - b * c) * (a * d - b * c) / (F.lit(float(toxic * clean)) * (a + b) * (n - a - b) + 1e-9)
-    best = (
-        held.groupBy("word")
-        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-        .where((F.col("a") >= 2) & (a / toxic >= MIN_LIFT * b / clean))
-        .withColumn("chi2", chi2)
-        .where(F.col("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "word")
-        .limit(size)
-    )
-    return sorted(r["word"] for r in best.select("word").collect())
-
-
 def _frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and the number of documents."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = Counter(), 0
+        terms, held, n = shared.value, np.zeros(len(shared.value), dtype=np.int64), 0
         for batch in steps(batches, "text"):
             n += batch.num_rows
             for x in batch.column(0).to_pylist():
                 if x:
-                    held.update({w for w in _WORD.findall(x.lower()) if w in shared.value})
-        held[""] = n
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-
-    counts = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    by_word = {r["word"]: r["n"] for r in counts.collect()}  # one row per vocabulary word
-    return np.array([by_word.get(w, 0) for w in terms], dtype=float), by_word.get("", 0)
+                    own = [terms[w] for w in set(_WORD.findall(x.lower())) if w in terms]
+                    held[own] += 1
+        on = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[on, -1].astype(np.int32)), pa.array(np.r_[held[on], n])], names=["term", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    by_term = np.zeros(len(terms) + 1, dtype=np.int64)
+    table = counts.toArrow()  # one row per term of the examples
+    by_term[table["term"].to_numpy()] = table["n"].to_numpy()
+    return by_term[:-1].astype(float), int(by_term[-1])
+
+
+def _class_weights(held: list[Counter[str]], toxic: np.ndarray, terms: dict[str, int]) -> np.ndarray:
+    """From PLAIN for words that toxic and other examples hold alike, rising with chi-squared."""
+    counts = np.zeros((2, len(terms)))
+    for words, y in zip(held, toxic, strict=True):
+        counts[int(y), [terms[w] for w in words]] += 1
+    (b, a), n = counts, len(toxic)
+    positives = toxic.sum()
+    c, d = positives - a, n - positives - b
+    chi2 = n * (a * d - b * c) ** 2 / (max(positives * (n - positives), 1) * (a + b) * (c + d) + 1e-9)
+    return PLAIN + (1 - PLAIN) * chi2**2 / (chi2**2 + HALF_CHI2**2)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, per_class: int = EXAMPLES_PER_CLASS) -> Index:
@@ -185,61 +197,54 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, per_class: int = EXAM
     labels has doc_id and toxic (0 or 1, others ignored); an id labelled twice is toxic if once so.
     """
     rows, stands_for = _examples(docs, labels, train, per_class)
-    terms = {w: k for k, w in enumerate(_vocabulary(rows, VOCABULARY))}
+    # At most 2 * per_class texts; only their counts are kept.
+    sample = rows.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int"), "text").toLocalIterator()
+    got = [(r["id"], r["toxic"], c) for r in sample if (c := _counts(r["text"]))]
+    got.sort(key=lambda x: (x[0], x[1], sorted(x[2].items())))
+    terms = {w: k for k, w in enumerate(sorted({w for _, _, c in got for w in c}))}
     counted, n = _frequencies(docs, terms)
-    idf = np.log((1 + n) / (1 + counted)) + 1
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
-            counts = [_counts(x, shared.value) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[t for t, _ in c] for c in counts], pa.list_(pa.int32())), pa.array([[k for _, k in c] for c in counts], pa.list_(pa.int32()))],
-                names=["id", "toxic", "terms", "counts"],
-            )
-
-    made = rows.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int"), "text").mapInArrow(
-        vectors, "id long, toxic int, terms array<int>, counts array<int>"
-    )
-    got = [(tuple(zip(r["terms"], r["counts"], strict=True)), r["id"], r["toxic"]) for r in made.toLocalIterator()]
-    weight = np.array([stands_for[t] for _, _, t in got])
-    toxic = np.array([t for _, _, t in got], dtype=float)
-    bare = np.array([not c for c, _, _ in got], dtype=bool)
-    known = weight[bare].sum() if len(got) else 0
-    base = float((weight[bare] @ toxic[bare] + 0.5) / (known + 10)) if known else 0.05
-    # Sorting by the rarest terms puts similar examples into the same blocks.
-    held = sorted((sorted((-idf[t], t) for t, _ in c), i, c, y) for c, i, y in got if c)
-    held = [(c, i, y) for _, i, c, y in held]
-    postings = [[] for _ in terms]
-    for k, (c, _, _) in enumerate(held):
-        for t, w in zip(*_vector(c, idf), strict=True):
-            postings[t].append((k, w))
-    starts = np.r_[0, np.cumsum([len(p) for p in postings])].astype(np.int64)
-    flat = [x for p in postings for x in p]
-    examples = np.array([k for k, _ in flat], dtype=np.int64)
-    weights = np.array([w for _, w in flat])
-    highest = np.zeros((len(terms), max(1, -(-len(held) // BLOCK))))
-    np.maximum.at(highest, (np.repeat(np.arange(len(terms)), np.diff(starts)), examples // BLOCK), weights)
+    toxic = np.array([y for _, y, _ in got], dtype=float)
+    term_weights = (np.log((1 + n) / (1 + counted)) + 1) * _class_weights([c for _, _, c in got], toxic, terms) if got else np.zeros(0)
+    # Sorting by the words of greatest weight puts similar examples into the same blocks.
+    leading = [sorted(sorted((-term_weights[terms[w]], terms[w]) for w in c)[:8]) for _, _, c in got]
+    got = [got[k] for k in sorted(range(len(got)), key=lambda k: (leading[k], k))]
+    toxic = np.array([y for _, y, _ in got], dtype=float)
+    weight = np.array([stands_for[y] for _, y, _ in got])
+    base = float((weight @ toxic + 0.5) / (weight.sum() + 10)) if got else 0.05
     index = Index(
-        terms, idf, np.array([i for _, i, _ in held], dtype=np.int64), np.array([y for _, _, y in held], dtype=float),
-        np.array([stands_for[y] for _, _, y in held]), starts, examples, weights, highest, base, 0.0, 0.0,
+        terms, term_weights, (np.log((1 + n) / 2) + 1) * PLAIN, np.array([i for i, _, _ in got], dtype=np.int64), toxic, weight,
+        *[np.zeros(0, dtype=np.int64)] * 6, base, 0.0, 0.0,
     )
-    if not held:
+    if not got:
         return index
-    votes = []
-    for k, (c, _, _) in enumerate(held):
-        votes.append(_vote(index, *nearest(index, *_vector(c, idf), NEIGHBOURS, without=k)))
+    vectors = [_vector(c, index) for _, _, c in got]
+    term = np.concatenate([t for t, _ in vectors])
+    example = np.repeat(np.arange(len(got)), [len(t) for t, _ in vectors])
+    values = np.concatenate([w for _, w in vectors])
+    order = np.lexsort((example, term))
+    term, example, values = term[order], example[order], values[order]
+    block = example // BLOCK
+    first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])])
+    index = index._replace(
+        term_starts=np.searchsorted(term[first], np.arange(len(terms) + 1)),
+        blocks=block[first],
+        highest=np.maximum.reduceat(values, first),
+        entry_starts=np.r_[first, len(term)],
+        examples=example,
+        weights=values,
+    )
+    votes = [_vote(index, *nearest(index, *vector, NEIGHBOURS, without=k)) for k, vector in enumerate(vectors)]
     slope, offset = _logistic(np.array(votes), index.toxic, index.stands_for)
     return index._replace(slope=slope, offset=offset)
 
 
-def judge(index: Index, counts) -> tuple[float, list[int], list[float]]:
-    """Score, and the nearest examples with their cosines, of a text's term counts."""
-    if not counts:
-        return index.base, [], []
-    found, cosines = nearest(index, *_vector(counts, index.idf), NEIGHBOURS)
-    if not len(found):
+def judge(index: Index, text: str | None) -> tuple[float, list[int], list[float]]:
+    """Score of a text, and the nearest examples with their cosines."""
+    counts = _counts(text)
+    terms, weights = _vector(counts, index) if counts and len(index.ids) else ((), ())
+    if not len(terms):
         return index.base, [], []
+    found, cosines = nearest(index, terms, weights, NEIGHBOURS)
     p = 1 / (1 + np.exp(-(index.slope * _vote(index, found, cosines) + index.offset)))
     return float(p), index.ids[found[:EVIDENCE]].tolist(), cosines[:EVIDENCE].round(6).tolist()
 
@@ -256,12 +261,12 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
         for batch in steps(batches, "text"):
             out = []
             for x in batch.column(1).to_pylist():
-                counts = _counts(x, index.terms)
-                if counts not in seen:
+                mark = xxhash.xxh3_128_digest((x or "").encode("utf-8", "surrogatepass"))
+                if mark not in seen:
                     if len(seen) >= CACHE:
                         seen.clear()
-                    seen[counts] = judge(index, counts)
-                out.append(seen[counts])
+                    seen[mark] = judge(index, x)
+                out.append(seen[mark])
             scores = [s for s, _, _ in out]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()), pa.array([e for _, e, _ in out], pa.list_(pa.int64())), pa.array([c for _, _, c in out], pa.list_(pa.float64()))],
