@@ -175,6 +175,51 @@ def test_url_rules_and_model(spark):
     assert sum((r["score"] >= cut) == (r["verdict"] == "block") for r in ruled) >= 0.85 * len(ruled)
 
 
+def test_models_tell_urls_they_have_not_counted(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    fold = F.pmod(F.xxhash64(F.expr("substring(url, instr(url, '://') + 3)")), F.lit(url_filter.CALIBRATION_FOLDS))
+    uncounted = {r["page_id"] for r in pages.where(fold == 0).collect()}
+    ruled = [r for r in url_filter.judge(pages, catalog.URL_RULES).collect() if r["rule"] and r["id"] in uncounted]
+    cut = sorted(r["score"] for r in ruled)[sum(r["verdict"] == "allow" for r in ruled)]
+    assert len(ruled) > 150
+    assert sum((r["score"] >= cut) == (r["verdict"] == "block") for r in ruled) >= 0.95 * len(ruled)
+
+
+@pytest.mark.parametrize("rows,size", [(4096, 1 << 19), (7, 200)])
+def test_url_scores_equal_brute_force(spark, monkeypatch, rows, size):
+    """Back-off over dictionaries of contexts; also with chunks so small that there are many."""
+    monkeypatch.setattr(url_filter, "CHUNK_ROWS", rows)
+    monkeypatch.setattr(url_filter, "CHUNK_BYTES", size)
+    rng = random.Random(6)
+    known = [("".join(rng.choices("ab/.é" if k % 3 else "abz-", k=rng.randrange(30))), k % 3 == 0) for k in range(200)]
+    asked = [*(t for t, _ in known[:40]), "", None, "x" * 5000, "ünknown", "a.b/zz-", known[3][0], known[3][0]]
+    seen = [{}, {}]
+    for text, blocked in known:
+        data = b"\x02" * 5 + text.encode()
+        for at in range(5, len(data)):
+            for k in range(6):
+                for key in ((k, data[at - k : at]), (k, data[at - k : at], data[at])):
+                    seen[blocked][key] = seen[blocked].get(key, 0) + 1
+
+    def score(text):
+        data, total = b"\x02" * 5 + (text or "").encode(), 0.0
+        for at in range(5, len(data)):
+            for side, sign in ((0, -1), (1, 1)):
+                p = 1 / 256
+                for k in range(6):
+                    c = data[at - k : at]
+                    p = (seen[side].get((k, c, data[at]), 0) + 4 * p) / (seen[side].get((k, c), 0) + 4)
+                total += sign * np.log(p)
+        return total / max(1, len(data) - 5)
+
+    counts = url_filter.train(spark.createDataFrame(known, "text string, blocked boolean"))
+    assert counts.count() == len({*seen[0], *seen[1]})
+    got = url_filter.score(spark.createDataFrame(list(enumerate(asked)), "id int, text string"), counts).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        assert abs(r["score"] - score(asked[r["id"]])) < 1e-9
+
+
 def test_urls_without_rules_or_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (2, None)], "page_id long, url string")
     assert {r["verdict"] for r in url_filter.judge(pages, catalog.URL_RULES).collect()} == {"allow"}

@@ -1,11 +1,12 @@
 """URL verdicts: host and path rules, else two character language models.
 
 The models are variable-order Markov chains over bytes with Dirichlet back-off from order 5
-to 0, one counted on URLs that the rules allow and one on those they block. Counts cover all
-such URLs outside a calibration fold and are summed on the executors into a table of fixed
-size (hashed contexts), whose bound makes it safe to send to every task. The threshold on
-the difference of log-likelihoods per byte is the one of least balanced error on the
-calibration fold.
+to 0, one counted on URLs that the rules allow and one on those they block. A context of up to
+five bytes, its order and the byte behind it fit a long, so the counts are exact, and a table
+that grows with the URLs. URLs are dealt to chunks; every chunk asks for the counts of its
+distinct contexts in a join, and its URLs are scored beside what comes back. The threshold on the
+difference of log-likelihoods per byte is the one of least balanced error on a calibration
+fold that is not counted.
 """
 
 from __future__ import annotations
@@ -15,18 +16,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import mix, plus, steps, texts_of
+from threadloom.llm.common import plus, steps, stored, texts_of
 
 ORDER = 5
-#: Cells per table: two classes, each with counts of contexts and of contexts with the next byte.
-CELL_BITS = 19
 STRENGTH = 4.0
 PAD = b"\x02" * ORDER
 CALIBRATION_FOLDS = 5
 BINS = 2000
+#: URLs and bytes of URLs that a chunk takes; a longer URL is a chunk of its own.
+CHUNK_ROWS, CHUNK_BYTES = 4096, 1 << 19
+#: In the place of the byte behind a context, for the count of the context itself.
+ANY = 256
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -54,66 +59,98 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return name, verdict
 
 
-def _codes(urls: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """URL index of every byte, and per order the cells of its context and of context and byte."""
-    data = np.frombuffer(b"".join(PAD + u for u in urls), dtype=np.uint8).astype(np.uint64)
+def _keys(urls: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """URL index of every byte, and per order the keys of its context and of context and byte."""
+    data = np.frombuffer(b"".join(PAD + u for u in urls), dtype=np.uint8).astype(np.int64)
     lengths = np.fromiter(map(len, urls), dtype=np.int64, count=len(urls))
     owner = np.repeat(np.arange(len(urls)), lengths)
     at = np.arange(len(owner)) + ORDER * (owner + 1)
-    cells = []
-    context = np.zeros(len(at), dtype=np.uint64)
+    keys = []
+    context = np.zeros(len(at), dtype=np.int64)
     for k in range(ORDER + 1):
         if k:
-            context |= data[at - k] << np.uint64(8 * (k - 1))
-        tagged = (context << np.uint64(3)) | np.uint64(k)
-        both = (tagged << np.uint64(8)) | data[at]
-        cut = np.uint64(64 - CELL_BITS)
-        cells.append(((mix(tagged + np.uint64(1)) >> cut).astype(np.int64), (mix(~both) >> cut).astype(np.int64)))
-    return owner, cells
+            context |= data[at - k] << (8 * (k - 1))
+        tagged = (context << 3 | k) << 9
+        keys.append((tagged | ANY, tagged | data[at]))
+    return owner, keys
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches, "text", 1 << 20):
-        blocked = batch.column("blocked").to_numpy(zero_copy_only=False).astype(np.int64)
-        owner, cells = _codes(texts_of(batch, "text"))
-        side = blocked[owner] << 1
-        flat = [((side + kind) << CELL_BITS) + cell for pair in cells for kind, cell in enumerate(pair)]
-        cell, n = np.unique(np.concatenate(flat), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n.astype(np.int64))], names=["cell", "n"])
-
-
-def train(known: DataFrame) -> np.ndarray:
-    """Counts of URLs (text, blocked), as an array [class, kind, cell]; its size is fixed."""
-    sums = known.mapInArrow(_counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    table = np.zeros(4 << CELL_BITS, dtype=np.float32)
-    got = sums.toArrow()  # at most 4 << CELL_BITS rows
-    table[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    return table.reshape(2, 2, -1)
-
-
-def _difference(table: np.ndarray, urls: list[bytes]) -> np.ndarray:
-    """Log-likelihood per byte, rejected minus accepted; 0 for an empty text."""
-    owner, cells = _codes(urls)
-    logs = []
-    for context, both in table:
-        p = np.full(len(owner), 1 / 256)
-        for seen, cell in cells:
-            p = (both[cell] + STRENGTH * p) / (np.maximum(context[seen], both[cell]) + STRENGTH)
-        logs.append(np.log(p))
-    sums = np.bincount(owner, weights=logs[1] - logs[0], minlength=len(urls))
-    return sums / np.maximum(np.fromiter(map(len, urls), dtype=np.int64, count=len(urls)), 1)
+        blocked = batch.column("blocked").to_numpy(zero_copy_only=False)
+        owner, keys = _keys(texts_of(batch, "text"))
+        flat = np.concatenate([k for pair in keys for k in pair])
+        side = np.tile(blocked[owner], 2 * len(keys))
+        key, place = np.unique(flat, return_inverse=True)
+        counts = [np.bincount(place[side == kind], minlength=len(key)) for kind in (False, True)]
+        yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, counts)], names=["key", "accepted", "rejected"])
+
 
+def train(known: DataFrame) -> DataFrame:
+    """Exact counts (key, accepted, rejected) of URLs (text, blocked)."""
+    counts = known.mapInArrow(_counted, "key long, accepted long, rejected long")
+    return stored(counts.groupBy("key").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), "counts")
 
-def score(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """rows with a column score for their column text."""
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+def _chunked(text: str):
+    """Adds the number of a chunk, unlike all others of any task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", 1 << 20):
-            scores = _difference(shared.value, texts_of(batch, "text"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
+        chunk, rows, size = (TaskContext.get().partitionId() << 33), 0, 0
+        for batch in batches:
+            chunks = np.empty(batch.num_rows, dtype=np.int64)
+            lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text)).cast(pa.binary())), 0).to_pylist()
+            for k, length in enumerate(lengths):
+                if rows and (rows == CHUNK_ROWS or size + length > CHUNK_BYTES):
+                    chunk, rows, size = chunk + 1, 0, 0
+                chunks[k], rows, size = chunk, rows + 1, size + length
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks)], names=[*batch.schema.names, "chunk"])
+
+    return run
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (chunk, text) to the distinct (chunk, key); a chunk in several batches may ask twice."""
+    for batch in batches:
+        chunks = batch.column(0).to_numpy()
+        urls = texts_of(batch, "text")
+        for chunk in np.unique(chunks):
+            _, keys = _keys([urls[k] for k in np.flatnonzero(chunks == chunk)])
+            key = np.unique(np.concatenate([k for pair in keys for k in pair]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), chunk)), pa.array(key)], names=["chunk", "key"])
+
+
+def _difference(urls: list[bytes], key: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Log-likelihood per byte, rejected minus accepted, from counts by ascending key; 0 for an empty text."""
+    owner, keys = _keys(urls)
+    p = [np.full(len(owner), 1 / 256), np.full(len(owner), 1 / 256)]
+    for pair in keys:
+        places = []
+        for wanted in pair:
+            at = np.minimum(np.searchsorted(key, wanted), max(len(key) - 1, 0))
+            places.append((at, (key[at] == wanted) if len(key) else np.zeros(len(wanted), dtype=bool)))
+        for side, count in enumerate(counts):
+            seen, both = (np.where(hit, count[at], 0) if len(key) else np.zeros(len(hit)) for at, hit in places)
+            p[side] = (both + STRENGTH * p[side]) / (seen + STRENGTH)
+    sums = np.bincount(owner, weights=np.log(p[1]) - np.log(p[0]), minlength=len(urls))
+    return sums / np.maximum(np.fromiter(map(len, urls), dtype=np.int64, count=len(urls)), 1)
+
+
+def _scored(rows: pa.Table, counts: pa.Table) -> pa.Table:
+    key = counts.column("key").to_numpy()
+    order = np.argsort(key, kind="stable")
+    sides = tuple(counts.column(c).to_numpy()[order].astype(float) for c in ("accepted", "rejected"))
+    urls = [x or b"" for x in rows.column("text").cast(pa.binary()).to_pylist()]
+    scores = _difference(urls, key[order], sides)
+    return rows.drop_columns(["chunk"]).append_column("score", pa.array(scores))
+
 
-    return rows.mapInArrow(run, plus(rows, "score double"))
+def score(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """rows with a column score for their column text; they have no columns chunk, key or score."""
+    dealt = stored(rows.mapInArrow(_chunked("text"), plus(rows, "chunk long")), "chunks")
+    asked = dealt.select("chunk", "text").mapInArrow(_asked, "chunk long, key long").distinct()
+    answers = asked.join(counts, "key").groupBy("chunk")
+    return dealt.groupBy("chunk").cogroup(answers).applyInArrow(_scored, plus(rows, "score double"))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -146,10 +183,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     rows = rows.select("id", "host", "path", rule.alias("rule"), kind.alias("kind"), after.alias("text"))
     known = rows.where("rule is not null").select("text", (F.col("kind") == BLOCK).alias("blocked"))
     held_out = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_FOLDS)) == 0
-    table = train(known.where(~held_out))
-    cut = threshold(score(known.where(held_out), table))
+    scored = stored(score(rows.withColumn("held_out", held_out), train(known.where(~held_out))), "scored")
+    fold = scored.where(F.col("rule").isNotNull() & F.col("held_out")).select((F.col("kind") == BLOCK).alias("blocked"), "score")
+    cut = threshold(fold)
     asked = F.when(F.col("text") == "", ALLOW).when(F.col("score") > cut, BLOCK).otherwise(ALLOW)
-    return score(rows, table).select(
+    return scored.select(
         "id",
         "host",
         "path",
