@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -40,6 +41,21 @@ def test_main_text(body, text):
     assert html_text.main_text(page(body)) == text
 
 
+@pytest.mark.parametrize(
+    "page", ["<div>x " * 200_000, "<b>" * 100_000 + "</i>" * 100_000, "<b>" * 50_000 + "<li>y" * 50_000, "<p>" * 100_000, "<b>" * 50_000 + "<p>z</h1>" * 50_000, "<option>" * 100_000 + "<p>" * 50_000]
+)
+def test_deep_pages_take_linear_time(page):
+    begun = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begun < 10
+
+
+@pytest.mark.parametrize("sentence", ["日本の川は古く、町の人々は長くその岸に住んでいた。", "Река была старой, и люди города жили у неё много лет. ", "Ο ποταμός ήταν παλιός και οι άνθρωποι ζούσαν εκεί. "])
+def test_scripts_without_stop_words(sentence):
+    body = f"<div><a href=x>{sentence * 4}</a></div><div><p>{sentence * 20}</p><p>{sentence}</p></div><div class=footer>{sentence * 9}</div>"
+    assert html_text.main_text(page(body)) == f"{(sentence * 20).strip()} {sentence.strip()}"
+
+
 def test_extraction_of_odd_pages(spark):
     rows = [(1, None, None, "a"), (2, "u", "", "b"), (2, "u", "<p", "c"), (None, "v", "<<<>>> a < b", "d"), (5, "w", page(f"<p>{ARTICLE}</p>" * 3000), "e")]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()

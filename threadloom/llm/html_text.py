@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -86,6 +87,7 @@ _TAG = re.compile(
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
+_FOREIGN = re.compile(r"[^\W\d_\x00-\u024f\u1e00-\u1eff]")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
 
@@ -102,10 +104,14 @@ class _Open(NamedTuple):
     name: str
     dropped: bool
     inside: bool
-    key: int
+    #: Keys of the innermost block element from here outwards, and of the next one around it; 0 if there is none.
+    inner: int
+    outer: int
+    #: Where in the stack the innermost element lies that ends, or keeps from ending, what is open; -1 if none does.
+    wall: int
 
 
-_PAGE = _Open("", False, False, 0)
+_PAGE = _Open("", False, False, 0, 0, -1)
 
 
 def _marks(name: str, attrs: str, inside: bool) -> bool:
@@ -139,6 +145,8 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order, white space collapsed, references decoded."""
     out: list[Block] = []
     stack: list[_Open] = []
+    # How many elements of each name are open, so that a stray end tag costs nothing.
+    names: Counter[str] = Counter()
     held: list[str] = []
     linked = 0
     in_link = heading = False
@@ -150,11 +158,15 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
                 top = stack[-1] if stack else _PAGE
-                around = [x.key for x in stack if x.name in BLOCKS]
-                out.append(Block(text, linked, heading, top.inside, top.dropped, around[-2] if len(around) > 1 else 0))
+                out.append(Block(text, linked, heading, top.inside, top.dropped, top.outer))
             held.clear()
         linked, in_link = 0, False
 
+    def close(depth: int) -> None:
+        """Close all from a place in the stack on; every element is closed once."""
+        while len(stack) > depth:
+            names[stack.pop().name] -= 1
+
     at, n = 0, len(page)
     while at < n:
         tag = _TAG.search(page, at)
@@ -178,11 +190,11 @@ def blocks(page: str) -> list[Block]:
                 heading = heading and name not in HEADINGS
             elif name == "a":
                 in_link = False
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
-            if depth is not None:
+            if names[name]:
+                depth = next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name)
                 if name not in BLOCKS and stack[-1].dropped != (stack[depth - 1].dropped if depth else False):
                     flush()
-                del stack[depth:]
+                close(depth)
             continue
         attrs = tag["attrs"] or tag["attrs2"] or ""
         top = stack[-1] if stack else _PAGE
@@ -191,12 +203,11 @@ def blocks(page: str) -> list[Block]:
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or name in HEADINGS:
                 # These end an open paragraph; items also end the item before them.
                 same = {"p"} if name == "p" or name in HEADINGS else {"p", name} | ({"td", "th"} if name in ("td", "th", "tr") else set())
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].name in same:
-                        del stack[k:]
-                        break
-                    if stack[k].name in BLOCKS:
-                        break
+                k = top.wall
+                while k >= 0 and stack[k].name not in same and stack[k].name not in BLOCKS:
+                    k = stack[k - 1].wall if k else -1
+                if k >= 0 and stack[k].name in same:
+                    close(k)
                 top = stack[-1] if stack else _PAGE
             heading = name in HEADINGS
         elif name == "a":
@@ -217,11 +228,20 @@ def blocks(page: str) -> list[Block]:
         if own and name not in BLOCKS and not top.dropped:
             flush()
         opened += 1
-        stack.append(_Open(name, top.dropped or own, inside, opened))
+        inner, outer = (opened, top.inner) if name in BLOCKS else (top.inner, top.outer)
+        wall = len(stack) if name in BLOCKS or name == "option" else top.wall
+        stack.append(_Open(name, top.dropped or own, inside, inner, outer, wall))
+        names[name] += 1
     flush()
     return out
 
 
+def _foreign(text: str) -> bool:
+    """Whether most letters are of scripts whose languages have no stop words here."""
+    letters = sum(map(len, _WORD.findall(text)))
+    return 2 * len(_FOREIGN.findall(text)) > letters
+
+
 def _first_pass(block: Block, rooted: bool) -> str:
     """good, bad, near (prose of few function words) or short."""
     if block.dropped or (rooted and not block.inside):
@@ -235,6 +255,9 @@ def _first_pass(block: Block, rooted: bool) -> str:
         return "short"
     if length < SHORT:
         return "bad" if block.linked and not block.inside else "short"
+    if _foreign(block.text):
+        # No stop words are known; length and links have to do.
+        return "good" if length > LONG else "near"
     words = _WORD.findall(block.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if density >= HIGH_STOPS:
