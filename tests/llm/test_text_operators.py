@@ -284,8 +284,10 @@ def full_vectors(texts, index, idf_of):
     return out
 
 
-def test_nearest_examples_equal_brute_force(labelled, monkeypatch):
+@pytest.mark.parametrize("frequent", [0, 9, 512])
+def test_nearest_examples_equal_brute_force(labelled, monkeypatch, frequent):
     """Over whole vectors of all words, with few blocks scored before bounds decide."""
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
     monkeypatch.setattr(toxicity, "BLOCK", 8)
     monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 1)
     docs, labels = labelled

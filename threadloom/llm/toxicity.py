@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.common import steps
+from threadloom.llm.common import steps, texts_of
 
 #: Labelled texts per class that become examples.
 EXAMPLES_PER_CLASS = 2000
@@ -38,6 +38,10 @@ NEIGHBOURS = 15
 BLOCK = 32
 #: Blocks of highest bound that are scored first.
 FIRST_BLOCKS = 4
+#: So many of the terms that most examples hold are kept as rows of a matrix.
+FREQUENT = 512
+#: Texts whose frequent terms are multiplied at once.
+TOGETHER = 64
 EVIDENCE = 3
 THRESHOLD = 0.3
 CACHE = 20_000
@@ -55,6 +59,9 @@ class Index(NamedTuple):
     ids: np.ndarray
     toxic: np.ndarray
     stands_for: np.ndarray
+    #: Row of each term in the matrix of frequent terms by examples, -1 for the others, which have postings.
+    row: np.ndarray
+    frequent: np.ndarray
     #: Entries of term t: term_starts[t] to term_starts[t + 1], one per block that holds it.
     term_starts: np.ndarray
     blocks: np.ndarray
@@ -90,33 +97,56 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.repeat(ends - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
 
 
-def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """The k examples of highest positive cosine, ties by id, exactly; without is one to leave out."""
-    first, last = index.term_starts[terms], index.term_starts[terms + 1]
-    entries, own = _ranges(first, last), np.repeat(weights, last - first)
+def common(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The part of the frequent terms in the cosines of texts (rows) with all examples."""
+    wide = np.zeros((len(vectors), len(index.frequent)))
+    for k, (terms, weights) in enumerate(vectors):
+        row = index.row[terms]
+        on = row >= 0
+        wide[k, row[on]] = weights[on]
+    return wide @ index.frequent
+
+
+def nearest(
+    index: Index, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, part: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The k examples of highest positive cosine, ties by id, exactly; without is one to leave out.
+
+    part is the text's row of common(), if that is known.
+    """
+    n = len(index.ids)
+    if part is None:
+        part = common(index, [(terms, weights)])[0]
+    rare = index.row[terms] < 0
+    first, last = index.term_starts[terms[rare]], index.term_starts[terms[rare] + 1]
+    entries, own = _ranges(first, last), np.repeat(weights[rare], last - first)
     blocks = index.blocks[entries]
-    bounds = np.bincount(blocks, own * index.highest[entries], minlength=-(-len(index.ids) // BLOCK))
+    n_blocks = -(-n // BLOCK)
+    bounds = np.bincount(blocks, own * index.highest[entries], minlength=n_blocks)
+    bounds = bounds + np.r_[part, np.zeros(n_blocks * BLOCK - n)].reshape(-1, BLOCK).max(axis=1)
 
     def scored(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         on = chosen[blocks]
         begins, ends = index.entry_starts[entries[on]], index.entry_starts[entries[on] + 1]
         at = _ranges(begins, ends)
-        scores = np.bincount(index.examples[at], np.repeat(own[on], ends - begins) * index.weights[at], minlength=len(index.ids))
+        scores = part + np.bincount(index.examples[at], np.repeat(own[on], ends - begins) * index.weights[at], minlength=n)
         if without >= 0:
             scores[without] = 0
-        found = np.flatnonzero(scores > 0)
+        found = np.flatnonzero((scores > 0) & np.repeat(chosen, BLOCK)[:n])
         return found, scores[found]
 
-    chosen = np.zeros(len(bounds), dtype=bool)
+    chosen = np.zeros(n_blocks, dtype=bool)
     chosen[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
     found, scores = scored(chosen)
     kth = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
-    more, further = scored(~chosen & (bounds >= kth - 1e-9) & (bounds > 0))
-    found, scores = np.r_[found, more], np.r_[scores, further]
+    rest = ~chosen & (bounds >= kth - 1e-9) & (bounds > 0)
+    if rest.any():
+        more, further = scored(rest)
+        found, scores = np.r_[found, more], np.r_[scores, further]
     if len(scores) > k:
         near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
         found, scores = found[near], scores[near]
-    order = np.lexsort((index.ids[found], -scores))[:k]
+    order = np.lexsort((index.ids[found], -scores.round(12)))[:k]
     return found[order], scores[order]
 
 
@@ -213,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, per_class: int = EXAM
     base = float((weight @ toxic + 0.5) / (weight.sum() + 10)) if got else 0.05
     index = Index(
         terms, term_weights, (np.log((1 + n) / 2) + 1) * PLAIN, np.array([i for i, _, _ in got], dtype=np.int64), toxic, weight,
-        *[np.zeros(0, dtype=np.int64)] * 6, base, 0.0, 0.0,
+        *[np.zeros(0, dtype=np.int64)] * 8, base, 0.0, 0.0,
     )
     if not got:
         return index
@@ -223,30 +253,51 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, per_class: int = EXAM
     values = np.concatenate([w for _, w in vectors])
     order = np.lexsort((example, term))
     term, example, values = term[order], example[order], values[order]
+    held = np.bincount(term, minlength=len(terms))
+    often = np.argsort(-held, kind="stable")[:FREQUENT]
+    row = np.full(len(terms), -1, dtype=np.int64)
+    row[often] = np.arange(len(often))
+    matrix = np.zeros((len(often), len(got)))
+    in_matrix = row[term] >= 0
+    matrix[row[term[in_matrix]], example[in_matrix]] = values[in_matrix]
+    term, example, values = term[~in_matrix], example[~in_matrix], values[~in_matrix]
     block = example // BLOCK
-    first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])])
+    first = np.flatnonzero(np.r_[len(term) > 0, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][: len(term)])
     index = index._replace(
+        row=row,
+        frequent=matrix,
         term_starts=np.searchsorted(term[first], np.arange(len(terms) + 1)),
         blocks=block[first],
-        highest=np.maximum.reduceat(values, first),
+        highest=np.maximum.reduceat(values, first) if len(first) else np.zeros(0),
         entry_starts=np.r_[first, len(term)],
         examples=example,
         weights=values,
     )
-    votes = [_vote(index, *nearest(index, *vector, NEIGHBOURS, without=k)) for k, vector in enumerate(vectors)]
+    votes = []
+    for at in range(0, len(vectors), TOGETHER):
+        parts = common(index, vectors[at : at + TOGETHER])
+        for k, part in enumerate(parts, at):
+            votes.append(_vote(index, *nearest(index, *vectors[k], NEIGHBOURS, without=k, part=part)))
     slope, offset = _logistic(np.array(votes), index.toxic, index.stands_for)
     return index._replace(slope=slope, offset=offset)
 
 
-def judge(index: Index, text: str | None) -> tuple[float, list[int], list[float]]:
-    """Score of a text, and the nearest examples with their cosines."""
-    counts = _counts(text)
-    terms, weights = _vector(counts, index) if counts and len(index.ids) else ((), ())
-    if not len(terms):
-        return index.base, [], []
-    found, cosines = nearest(index, terms, weights, NEIGHBOURS)
-    p = 1 / (1 + np.exp(-(index.slope * _vote(index, found, cosines) + index.offset)))
-    return float(p), index.ids[found[:EVIDENCE]].tolist(), cosines[:EVIDENCE].round(6).tolist()
+def judge(index: Index, texts: list[str | None]) -> list[tuple[float, list[int], list[float]]]:
+    """Scores of texts, and the nearest examples with their cosines."""
+    none = (np.zeros(0, dtype=np.int64), np.zeros(0))
+    out = []
+    for at in range(0, len(texts), TOGETHER):
+        counts = [_counts(text) for text in texts[at : at + TOGETHER]]
+        vectors = [_vector(c, index) if c and len(index.ids) else none for c in counts]
+        parts = common(index, vectors) if len(index.ids) else [None] * len(vectors)
+        for (terms, weights), part in zip(vectors, parts, strict=True):
+            if not len(terms):
+                out.append((index.base, [], []))
+                continue
+            found, cosines = nearest(index, terms, weights, NEIGHBOURS, part=part)
+            p = 1 / (1 + np.exp(-(index.slope * _vote(index, found, cosines) + index.offset)))
+            out.append((float(p), index.ids[found[:EVIDENCE]].tolist(), cosines[:EVIDENCE].round(6).tolist()))
+    return out
 
 
 def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,14 +310,13 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, seen = shared.value, {}
         for batch in steps(batches, "text"):
-            out = []
-            for x in batch.column(1).to_pylist():
-                mark = xxhash.xxh3_128_digest((x or "").encode("utf-8", "surrogatepass"))
-                if mark not in seen:
-                    if len(seen) >= CACHE:
-                        seen.clear()
-                    seen[mark] = judge(index, x)
-                out.append(seen[mark])
+            texts = batch.column(1).to_pylist()
+            marks = [xxhash.xxh3_128_digest(x or b"") for x in texts_of(batch, "text")]
+            if len(seen) > CACHE:
+                seen.clear()
+            unseen = {m: x for m, x in zip(marks, texts, strict=True) if m not in seen}
+            seen.update(zip(unseen, judge(index, list(unseen.values())), strict=True))
+            out = [seen[m] for m in marks]
             scores = [s for s, _, _ in out]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()), pa.array([e for _, e, _ in out], pa.list_(pa.int64())), pa.array([c for _, _, c in out], pa.list_(pa.float64()))],
