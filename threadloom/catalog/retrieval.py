@@ -9,7 +9,7 @@ from threadloom.catalog.models import TOP_COMMENTS_CTE, mart
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import STAGED_CTES, sql_clean, sql_strip
 from threadloom.functions.vectors import cosine
-from threadloom.operators import chunking, context, embedding, ivf, similarity
+from threadloom.operators import chunking, context, embedding, ivf, keyword, similarity
 from threadloom.operators.cleaning import with_clean_text
 from threadloom.plans.index import read_index, retrieve, update_index
 from threadloom.session import stored, work_dir
@@ -412,3 +412,31 @@ def vector_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = topics.withColumnRenamed("embedding", "centre")
     score = F.round(cosine(F.col("embedding"), F.col("centre")), 6)
     return vectors.join(topics, "label").select("vec_id", score.alias("own_score"))
+
+
+@query(
+    """with words as (
+      select doc_id, unnest(list_filter(string_split_regex(lower(text), '[ \n\t\r]+'), lambda x: x <> '')) as term
+      from documents),
+    tfs as (select doc_id, term, count(*) as tf from words group by all),
+    dfs as (select term, count(*) as df from tfs group by term),
+    lengths as (select doc_id, count(term) as length from documents left join words using (doc_id) group by doc_id),
+    size as (select count(*) as n, sum(length) / count(*) as mean from lengths),
+    asked as (
+      select distinct item_id as question_id,
+        unnest(list_filter(string_split_regex(lower(text), '[ \n\t\r]+'), lambda x: x <> '')) as term
+      from benchmark),
+    scores as (
+      select question_id, doc_id as match_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+        / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) as score
+      from asked join tfs using (term) join dfs using (term) join lengths using (doc_id), size
+      group by question_id, doc_id)
+    select *, row_number() over (partition by question_id order by score desc, match_id) as rank
+    from scores qualify rank <= 5"""
+)
+def keyword_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item asks an inverted index of all documents for its best ones."""
+    path = work_dir(spark, "keywords")
+    keyword.build_index(table(spark, sf_dir, "documents"), path, "doc_id", "text", buckets=16)
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
+    return keyword.search(spark, path, items)
