@@ -2,8 +2,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from threadloom import schemas
 from threadloom.sources import state
-from threadloom.streaming import dedupe, files, watermarks, keyed
+from threadloom.streaming import dedupe, files, keyed, mart, watermarks
 
 SCHEMA = "id string, subreddit string, created_utc double"
 
@@ -161,5 +162,38 @@ def test_keyed_state_expires_and_late_records_go_aside(spark, tmp_path):
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, (tuple(r) for r in frame.collect())))
     assert sum(s.get("first", 0) for s in seen) == 180 and sum(s.get("late", 0) for s in seen) == 20 + 20 + 2
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
-    # A value and a timer for each key of the last two or three days, of ten.
-    assert held[-1] == 80 and max(held) <= 120
+    # A value and a timer for each shard of the last two or three days, of ten.
+    assert 0 < held[-1] <= 2 * 8 * 2 and max(held) <= 3 * 8 * 2
+
+
+def test_stream_mart_joins_within_bounds_and_releases_orphans(spark, tmp_path):
+    hour = 3600.0
+
+    def post(n, at):
+        return {"id": f"p{n}", "title": "t", "selftext": f"text {n}", "created_utc": at, "subreddit": "f"}
+
+    def comment(n, of, at, depth=0):
+        return {"id": f"c{n}", "body": f"answer {n}", "created_utc": at, "depth": depth, "parent_post_id": f"p{of}"}
+
+    base = 1_700_000_000.0
+    arrivals = [
+        ([post(1, base), post(2, base)], [comment(1, 1, base + 60), comment(2, 1, base + 60, depth=1)]),
+        ([post(1, base), post(3, base + 4 * hour)], [comment(1, 1, base + 60), comment(3, 2, base + 3 * hour)]),
+        ([post(4, base + 50 * hour)], [comment(4, 3, base + 4 * hour - 30), comment(5, 4, base + 50 * hour)]),
+        ([post(9, base + 500 * hour)], [comment(9, 9, base + 500 * hour)]),
+    ]
+    seen = []
+    for posts, comments in arrivals:
+        for kind, rows, schema in (("posts", posts, schemas.POST), ("comments", comments, schemas.COMMENT)):
+            spark.createDataFrame([{f.name: r.get(f.name) for f in schema} for r in rows], schema).coalesce(1).write.mode("append").json(str(tmp_path / kind))
+        streams = [files.stream_files(spark, str(tmp_path / k), s) for k, s in (("posts", schemas.POST), ("comments", schemas.COMMENT))]
+        joined = mart.stream_mart(*streams, delay="5 hours", before="1 minute", after="2 hours")
+        query = joined.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint")).option("path", str(tmp_path / "table")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        seen.append({(r.post_id, r.comment_id) for r in spark.read.schema(joined.schema).parquet(str(tmp_path / "table")).collect()})
+    assert seen[0] == {("p1", "c1")} and ("p2", None) not in seen[1]
+    # The third comes too late for its post, the fourth within the minute before its own.
+    assert seen[2] >= {("p1", "c1"), ("p3", "c4"), ("p4", "c5")}
+    assert seen[3] - {("p9", "c9")} == {("p1", "c1"), ("p2", None), ("p3", "c4"), ("p4", "c5")}
+    joins = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"] if "Join" in o["operatorName"]]
+    assert joins[-1] <= 4

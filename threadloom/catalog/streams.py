@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom import schemas
 from threadloom.catalog.registry import query, table
+from threadloom.catalog.roles import STAGED_CTES, comments, posts
 from threadloom.session import work_dir
-from threadloom.streaming import dedupe, files, keyed, watermarks
+from threadloom.streaming import dedupe, files, keyed, mart, watermarks
 
 
 #: Rows of one landed file.
@@ -103,3 +105,54 @@ def stream_watermark_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = files.stream_files(spark, f"{root}/landing", landed, "parquet")
         files.run_available(stream, f"{root}/checkpoint", write)
     return spark.read.parquet(f"{root}/table").drop("batch")
+
+
+#: A record of each stream that comes last and lies far behind all others, so that what waits is released.
+LAST, LAST_UTC = "last", 2_000_000_000.0
+
+
+def land_by_time(raw: DataFrame, folder: str, parts: int) -> None:
+    """Records in files by ranges of their time, each under a folder of its own, and a last one."""
+    low, high = raw.agg(F.min("created_utc"), F.max("created_utc")).first()
+    width = max(((high or 0) - (low or 0)) / parts, 1e-6)
+    part = F.least(F.floor((F.col("created_utc") - (low or 0)) / width), F.lit(parts - 1)).cast("int")
+    for k in range(parts):
+        raw.where(F.coalesce(part, F.lit(0)) == k).write.mode("append").json(folder)
+    text = next(c for c in ("selftext", "body") if c in raw.columns)
+    told = {"id": LAST, "parent_post_id": "none", text: LAST, "depth": 0, "created_utc": LAST_UTC}
+    names = [f"{v!r} as {c}" if c in told else f"null as {c}" for c in raw.columns for v in [told.get(c)]]
+    last = raw.sparkSession.sql(f"select {', '.join(names)}")
+    last.select(*[F.col(f.name).cast(f.dataType) for f in raw.schema]).write.mode("append").json(folder)
+
+
+@query(
+    f"""with {STAGED_CTES}
+    select p.id as post_id, p.title as post_title, p.body as post_body,
+      p.author as post_author, p.score as post_score, p.upvote_ratio, p.num_comments,
+      p.created_at as post_created_at, p.url as post_url, p.permalink as post_permalink,
+      p.subreddit, p.subreddit_subscribers, p.over_18, p.link_flair_text,
+      c.id as comment_id, c.body as comment_body, c.author as comment_author,
+      c.score as comment_score, c.created_at as comment_created_at,
+      c.permalink as comment_permalink, c.parent_id as comment_parent_id
+    from stg_posts p left join stg_comments c on p.id = c.parent_post_id
+      and c.created_at >= p.created_at - interval 5 minutes and c.created_at <= p.created_at + interval 2 hours"""
+)
+def fct_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts and comments arrive in files by time; comments count from five minutes before their post to two hours after."""
+    root = work_dir(spark, "stream-mart")
+    land_by_time(posts(spark, sf_dir), f"{root}/posts", 3)
+    land_by_time(comments(spark, sf_dir), f"{root}/comments", 3)
+    arriving = [
+        files.stream_files(spark, f"{root}/{name}", schema, files_per_batch=50)
+        for name, schema in (("posts", schemas.POST), ("comments", schemas.COMMENT))
+    ]
+    joined = mart.stream_mart(*arriving, delay="1 hour", before="5 minutes", after="2 hours")
+    stream = (
+        joined.writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .option("path", f"{root}/table")
+        .trigger(availableNow=True)
+        .start()
+    )
+    stream.awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{root}/table").where(F.col("post_id") != LAST)

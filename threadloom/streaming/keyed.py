@@ -1,10 +1,11 @@
 """Dedupe with keyed state that expires, and a side output for what comes too late for it.
 
-A key is held from its first record until the watermark has passed that record's time; the state
-is as large as the disorder of the stream, not as its history. A record behind the
-watermark may be a copy of a key that is no longer held, so it is neither taken nor dropped: it
-goes to the side output, which compares it with the table itself. A delay shorter than the
-disorder costs lookups, never records.
+Keys are held from their first record until the watermark has passed it; the state is as large as the
+disorder of the stream, not as its history. The keys of a shard and a stretch of event time share a
+state and a timer, so a batch costs a call per stretch it touches and not one per key. A record
+behind the watermark may be a copy of a key that is no longer held, so it is neither taken nor
+dropped: it goes to the side output, which compares it with the table itself. A delay shorter than
+the disorder costs lookups, never records.
 """
 
 from collections.abc import Callable, Iterator
@@ -23,31 +24,34 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class FirstOfKey(StatefulProcessor):
-    """Passes on the first record of a key, and every one behind the watermark with a mark."""
+    """Passes on the first record of each key of a shard and stretch, and all behind the watermark with a mark."""
 
-    def __init__(self, millis: str, kind: str):
-        self.millis, self.kind = millis, kind
+    def __init__(self, key: str, millis: str, kind: str, stretch: int):
+        self.key, self.millis, self.kind, self.stretch = key, millis, kind, stretch
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("until", T.LongType())]))
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("keys", T.ArrayType(T.StringType()))]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        held = self.seen.exists()
+        now = max(timerValues.getCurrentWatermarkInMs(), 0)
+        held = set(self.seen.get()[0]) if self.seen.exists() else set()
+        before = len(held)
         for frame in rows:
-            # The earliest first, so that the choice does not hang on the order of arrival in a batch.
-            frame = frame.sort_values(self.millis, kind="stable")
-            late = frame[self.millis] < max(now, 0)
+            late = frame[self.millis] < now
             if late.any():
                 yield frame[late].assign(**{self.kind: LATE})
             some = frame[~late]
-            if len(some) and not held:
-                held = True
-                until = int(some[self.millis].iloc[0])
-                self.seen.update((until,))
-                self.handle.registerTimer(max(until, now) + 1)
-                yield some.head(1).assign(**{self.kind: FIRST})
+            names = some[self.key].astype(str)
+            # Which copy is the first of a batch does not hang on the order of arrival only where copies are equal.
+            first = some[~names.isin(held) & ~names.duplicated()]
+            if len(first):
+                held.update(names[first.index])
+                yield first.assign(**{self.kind: FIRST})
+        if len(held) > before:
+            self.seen.update((sorted(held),))
+            if not before:
+                self.handle.registerTimer((key[1] + 1) * self.stretch)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
@@ -57,24 +61,28 @@ class FirstOfKey(StatefulProcessor):
         pass
 
 
-def first_of_key(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+def first_of_key(
+    stream: DataFrame, key: str, event_time: str, delay: str, stretch_seconds: int = 3600, shards: int = 8
+) -> DataFrame:
     """The stream's rows with a column ``kind``: first records of their key, and late ones.
 
     All copies of a record share its event time. Rows without one count as late, since no watermark ever
-    passes them. Column names must not begin with an underscore. The session must keep streaming state in
-    RocksDB (see :func:`use_rocksdb`). Each key of a batch is a call in Python, some thousands a second and
-    core; where late records may be dropped, ``dedupe_within`` does the same without Python.
+    passes them. Column names must not begin with an underscore. Take as many shards as keep the keys of one
+    in a stretch to some thousands. The session must keep streaming state in RocksDB (see :func:`use_rocksdb`).
     """
     time = F.col(event_time).cast("timestamp")
     marked = stream.withColumn("_time", F.coalesce(time, F.timestamp_seconds(F.lit(0)))).withWatermark("_time", delay)
     # In milliseconds, and no longer marked as the event time, so that late rows are not dropped before they are seen.
     millis = F.when(time.isNull(), -1).otherwise(F.unix_millis("_time"))
+    stretch = 1000 * stretch_seconds
     rows = marked.withColumn("event_millis", millis).drop("_time")
+    rows = rows.withColumn("key_shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("time_stretch", F.floor(F.col("event_millis") / stretch).cast("long"))
     schema = T.StructType([*rows.schema.fields, T.StructField("kind", T.StringType())])
-    processed = rows.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FirstOfKey("event_millis", "kind"), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    processed = rows.groupBy("key_shard", "time_stretch").transformWithStateInPandas(
+        statefulProcessor=FirstOfKey(key, "event_millis", "kind", stretch), outputStructType=schema, outputMode="Append", timeMode="EventTime"
     )
-    return processed.drop("event_millis")
+    return processed.drop("event_millis", "key_shard", "time_stretch")
 
 
 def use_rocksdb(spark) -> None:
