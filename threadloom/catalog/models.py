@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom import schemas
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import COMMENTS_SQL, POSTS_SQL, STAGED_CTES, comments, posts
-from threadloom.operators import context, quality, ranking
+from threadloom.operators import context, known, quality, ranking
 from threadloom.operators.dedupe import latest_by_key
 from threadloom.operators.joins import left_join_one_to_many, not_known
 from threadloom.plans import transform
@@ -159,6 +159,17 @@ def anti_known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return not_known(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query("select * from documents where doc_id not in (select doc_id from labels)")
+def known_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by bitmaps that two runs have added to, merged, with few slots, so that hashes meet."""
+    path = work_dir(spark, "known")
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    for run, part in (("a", "doc_id % 2 = 0"), ("b", "doc_id % 2 = 1"), ("b", "doc_id % 2 = 1")):
+        known.add_known(labels.where(part), path, "doc_id", run, 18)
+    known.compact(spark, path, "all")
+    return known.not_known(docs, known.read_bitmaps(spark, path), labels, "doc_id", 18)
+
+
 @query(
     """select l_orderkey as unique_field, count(*) as n_records from lineitem
     where l_orderkey is not null group by l_orderkey having count(*) > 1"""
