@@ -13,6 +13,7 @@ from threadloom.operators.dedupe import latest_by_key
 from threadloom.operators.joins import left_join_one_to_many, not_known
 from threadloom.plans import transform
 from threadloom.session import stored, work_dir
+from threadloom.sinks import clustered
 from threadloom.sinks import tables as sinks
 from threadloom.sources import files, tables
 
@@ -367,6 +368,18 @@ def memory_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.last_turns(table(spark, sf_dir, "conversations"))
 
 
+@query(
+    """select * from events where user_id between 20 and 60 and event_type = 'click'
+      and ts >= timestamp '2024-01-05 00:00:00'"""
+)
+def clustered_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written along a curve over user, type and time, then filtered by all three."""
+    path = work_dir(spark, "clustered")
+    clustered.write_clustered(table(spark, sf_dir, "events"), path, ["user_id", "event_type", "ts"])
+    late = F.col("ts") >= F.expr("timestamp_ntz'2024-01-05 00:00:00'")
+    return files.read_parquet(spark, path).where(F.col("user_id").between(20, 60) & (F.col("event_type") == "click") & late)
+
+
 @query("select event_id, ts, event_type, value, cast(ts as date) as date from events")
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written by type and day, then every partition read back."""
