@@ -169,3 +169,19 @@ def test_post_context(spark):
     assert bag(context.post_context(mart, 2)) == Counter(
         [("p", "T\nB\nhigh\nmiddle"), ("q", "U\nC")]
     )
+
+
+def test_tests_made_by_the_write(spark, tmp_path):
+    rows = [(f"k{n}", n) for n in range(3000)] + [("k1", None), ("k1", 1), ("k2", None), (None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    for frame, want in (
+        (df, {"not_null_t_k": 2, "not_null_t_v": 2, "unique_t_k": 2}),
+        (df.limit(0), {"not_null_t_k": 0, "not_null_t_v": 0, "unique_t_k": 0}),
+        (spark.createDataFrame([("a", 1)] * 50, df.schema), {"not_null_t_k": 0, "not_null_t_v": 0, "unique_t_k": 1}),
+    ):
+        written, tests = quality.write_tested(frame, str(tmp_path / "t"), "t", ["k", "v"], "k")
+        assert {r["test"]: r["failures"] for r in tests.collect()} == want
+        assert all(r["should_warn"] == r["should_error"] == (r["failures"] > 0) for r in tests.collect())
+        assert written.exceptAll(frame).count() == 0 == frame.exceptAll(written).count()
+    few = quality.suspects(df.select("k"), "k", 3005)
+    assert {"k1", "k2"} <= {r["k"] for r in few.collect()} and few.count() < 200

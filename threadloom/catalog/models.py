@@ -212,8 +212,7 @@ def _dq_sql(test: str, failing: str) -> str:
     return f"select '{test}' as test, (select count(*) from ({failing})) as failures"
 
 
-@query(
-    f"""with {STAGED_CTES}, f as (
+DQ_SQL = f"""with {STAGED_CTES}, f as (
       {_dq_sql("unique_stg_posts_id", "select id from stg_posts group by id having count(*) > 1")}
       union all
       {_dq_sql("not_null_stg_posts_id", "select id from stg_posts where id is null")}
@@ -231,11 +230,27 @@ def _dq_sql(test: str, failing: str) -> str:
         "select post_title from fct_posts where post_title is null",
     )})
     select test, failures, failures <> 0 as should_warn, failures <> 0 as should_error from f"""
-)
+
+
+@query(DQ_SQL)
 def dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.model_tests(*stored_models(spark, sf_dir))
 
 
+@query(DQ_SQL)
+def dq_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tests, made by the writes of the models."""
+    root = work_dir(spark, "tested")
+    written = {}
+    tests = []
+    for name, frame in (("stg_posts", staged_posts(spark, sf_dir)), ("stg_comments", staged_comments(spark, sf_dir))):
+        written[name], verdicts = quality.write_tested(frame, f"{root}/{name}", name, ["id"], "id")
+        tests.append(verdicts)
+    joined = transform.build_mart(written["stg_posts"], written["stg_comments"])
+    tests.append(quality.write_tested(joined, f"{root}/fct_posts", "fct_posts", ["post_id", "post_title"])[1])
+    return tests[0].unionAll(tests[1]).unionAll(tests[2])
+
+
 @query(
     f"""with {STAGED_CTES}
     select 'stg_posts' as name, (select count(*) from stg_posts) as n_rows

@@ -1,6 +1,6 @@
 """Data-quality tests: each gives a count of failing records and the verdicts on it."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -70,6 +70,47 @@ def model_tests(stg_posts: DataFrame, stg_comments: DataFrame, mart: DataFrame)
     )
 
 
+def write_tested(
+    df: DataFrame, path: str, name: str, not_null_columns: list[str], unique_key: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Write a model and test it in doing so: the model as written, and its verdict rows.
+
+    Nulls are counted by the write itself, so the model is computed and scanned once. Of a key that must be
+    unique, an estimate of its distinct values is taken along: where it is far below the number of rows,
+    the key repeats and its column alone, as written, is grouped; else the same is done for the rows
+    whose hash slot is shared, so that nearly all of a sound key is cleared by counting slots.
+    """
+    told = Observation()
+    metrics = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null_columns]
+    metrics += [F.count("*").alias("rows")]
+    if unique_key:
+        metrics += [F.count(unique_key).alias("keys"), F.approx_count_distinct(unique_key, 0.02).alias("distinct")]
+    df.observe(told, *metrics).write.mode("overwrite").parquet(path)
+    got, spark = told.get, df.sparkSession
+    written = spark.read.schema(df.schema).parquet(path)
+    rows = [(f"not_null_{name}_{c}", int(got[f"null_{c}"])) for c in not_null_columns]
+    if unique_key:
+        keys = written.select(unique_key)
+        if got["distinct"] > 0.9 * got["keys"]:
+            keys = suspects(keys, unique_key, got["keys"])
+        rows.append((f"unique_{name}_{unique_key}", duplicate_keys(keys, unique_key).count()))
+    tests = spark.createDataFrame(rows, "test string, n bigint")
+    return written, tests.select(*_verdicts(F.col("test"), F.col("n")))
+
+
+def suspects(keys: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows whose key shares a hash slot with another row; no key of the others repeats.
+
+    There are about 64 slots for a row, as 64-bit numbers without the keys themselves, so what is counted is
+    small however long the keys are.
+    """
+    bits = min(63, max(1, rows).bit_length() + 6)
+    slot = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
+    shared = keys.where(F.col(key).isNotNull()).groupBy(slot.alias("_slot")).agg(F.count("*").alias("_n"))
+    shared = shared.where("_n > 1").select("_slot")
+    return keys.withColumn("_slot", slot).join(shared, "_slot", "left_semi").drop("_slot")
+
+
 def row_counts(**frames: DataFrame) -> DataFrame:
     """One row per named frame with its number of rows."""
     counts = [
