@@ -220,6 +220,23 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch, shard, chunk):
     assert all(got[i][2] == (got[i][1] == i) for i in roots)
 
 
+def test_where_no_graph_is_good_enough_all_pairs_are_compared(spark, monkeypatch):
+    """Exactly the links of brute force, over several chunks of a label."""
+    monkeypatch.setattr(embedding_graph, "MIN_RECALL", 1.1)
+    monkeypatch.setattr(embedding_graph, "CHUNK", 16)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(9, 10))
+    rows = [(k, (centres[k % 9] + 0.12 * rng.normal(size=10)).tolist(), k % 2) for k in range(240)] + [(300 + k, [1.0] * 10, 0) for k in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    x = np.array([np.array(v, dtype=np.float32) for _, v, _ in rows], dtype=np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i) if rows[i][2] == rows[j][2] and unit[i] @ unit[j] >= 0.93]
+    roots = classes([r[0] for r in rows], near)
+    counts = {r[0]: sum(r[0] in pair for pair in near) for r in rows}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_graph.near_vectors(df).collect()}
+    assert got == {k: (counts[k], roots[k]) for k in counts} and len(near) > 200
+
+
 def test_embedding_edge_cases(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert embedding_graph.near_vectors(spark.createDataFrame([], schema)).count() == 0

@@ -290,8 +290,57 @@ def _links(found: DataFrame) -> DataFrame:
     return each.unionByName(within).groupBy("node").agg(F.sum("n").alias("n"))
 
 
+def _compared(threshold: float):
+    """Function of two chunks of a label: counts of all their linked pairs, and edges of a spanning forest."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, size, own = (group.column(c).to_numpy() for c in ("node", "size", "own"))
+        within = group.column("x")[0].as_py() == group.column("y")[0].as_py()
+        exact = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
+        norms = np.sqrt(np.einsum("ij,ij->i", exact, exact))
+        units = exact / norms[:, None]
+        counts, labels = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+        for row in range(0, len(ids), 256):
+            i, j = np.nonzero(units[row : row + 256] @ units.T >= threshold - 1e-9)
+            i += row
+            on = (j > i) if within else (j > i) & (own[i] != own[j])
+            i, j = i[on], j[on]
+            near = np.einsum("ij,ij->i", exact[i], exact[j]) / (norms[i] * norms[j]) >= threshold
+            i, j = i[near], j[near]
+            np.add.at(counts, i, size[j])
+            np.add.at(counts, j, size[i])
+            labels = unite(labels, i, j)
+        counted, child = np.flatnonzero(counts), np.flatnonzero(labels != np.arange(len(ids)))
+        zero = np.zeros(len(child), dtype=np.int64)
+        return pa.table(
+            {
+                "kind": np.r_[np.full(len(counted), COUNT), np.full(len(child), EDGE)].astype(np.int32),
+                "a": np.r_[ids[counted], ids[child]],
+                "b": np.r_[ids[counted], ids[labels[child]]],
+                "wa": np.r_[counts[counted], zero],
+                "wb": np.zeros(len(counted) + len(child), dtype=np.int64),
+            }
+        )
+
+    return run
+
+
+def _every_pair(nodes: DataFrame, threshold: float) -> DataFrame:
+    """What _found returns, from comparing all nodes of a label, in pairs of chunks of bounded size."""
+    chunks = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k"))
+    dealt = (
+        nodes.join(chunks, ["label", "dim"])
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
+        .select("label", "dim", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "size", "v")
+    )
+    compared = dealt.groupBy("label", "dim", "x", "y").applyInArrow(_compared(threshold), "kind int, a long, b long, wa long, wb long")
+    return stored(compared, "found")
+
+
 def recall(nodes: DataFrame, links: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the true links of a few nodes (chosen by hash, compared with all) that were found."""
+    """Of the true links of a few nodes (chosen by hash, compared with all) what was found: the lesser of the
+    share of all their links and the mean share per node, so that neither hubs nor lone pairs go unseen."""
     chosen = nodes.orderBy(F.xxhash64(F.col("node") + 1), "node").limit(audited).select("label", "dim", "node", "size", "v")
     some = chosen.toArrow()
     asked = {}
@@ -300,7 +349,7 @@ def recall(nodes: DataFrame, links: DataFrame, threshold: float, audited: int =
     shared = nodes.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches):
-        total = 0
+        totals = {}
         for batch in batches:
             ids, size = batch.column("node").to_numpy(), batch.column("size").to_numpy()
             label, dim = np.array(batch.column("label").to_pylist()), batch.column("dim").to_numpy()
@@ -311,13 +360,18 @@ def recall(nodes: DataFrame, links: DataFrame, threshold: float, audited: int =
                 x = batch.column("v").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), -1)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 for node, v in queries:
-                    total += int(size[at[(x @ (v / np.linalg.norm(v)) >= threshold) & (ids[at] != node)]].sum())
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["n"])
+                    near = (x @ (v / np.linalg.norm(v)) >= threshold) & (ids[at] != node)
+                    totals[node] = totals.get(node, 0) + int(size[at[near]].sum())
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], names=["node", "n"])
 
-    true = nodes.select("node", "size", "label", "dim", "v").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    true = nodes.select("node", "size", "label", "dim", "v").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
     ids = nodes.sparkSession.createDataFrame([(n,) for n in some["node"].to_pylist()], "node long")
-    got = links.join(F.broadcast(ids), "node", "left_semi").agg(F.sum("n")).first()[0] or 0
-    return got / true if true else 1.0
+    got = {r["node"]: r["n"] for r in links.join(F.broadcast(ids), "node", "left_semi").collect()}
+    wanted = {r["node"]: r["n"] for r in true.where("n > 0").collect()}  # as many rows as are audited, at most
+    if not wanted:
+        return 1.0
+    shares = [min(got.get(node, 0), n) / n for node, n in wanted.items()]
+    return min(sum(min(got.get(node, 0), n) for node, n in wanted.items()) / sum(wanted.values()), sum(shares) / len(shares))
 
 
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -327,7 +381,8 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     other ids linked directly, component_id is the smallest id reachable, kept tells whether it is
     the row's own. Null ids, null labels and null, zero or non-finite vectors link with nothing; a
     null id has a null component and is kept. If rows share an id, the smallest (label, vector)
-    among them speaks for it.
+    among them speaks for it. The recall of the search is audited; where no overlap of the shards
+    reaches MIN_RECALL, all vectors of a label are compared, in pairs of chunks.
     """
     cut = rows.select("vec_id", "embedding", "label")
     fine = usable(cut)
@@ -338,11 +393,14 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         members.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("size")).withColumn("dim", F.size("v")), "nodes"
     )
     centres = fit_centres(nodes)
-    for overlap in OVERLAPS:
+    for overlap in OVERLAPS if centres else OVERLAPS[:1]:
         found = _found(nodes, centres, threshold, overlap)
         links = stored(_links(found), "links")
-        if recall(nodes, links, threshold) >= MIN_RECALL or not centres:
+        if recall(nodes, links, threshold) >= MIN_RECALL:
             break
+    else:  # no graph was good enough
+        found = _every_pair(nodes, threshold)
+        links = stored(_links(found), "links")
     roots = components(found.where(F.col("kind") != COUNT).select("a", "b"))
     classes = (
         nodes.join(links, "node", "left")
