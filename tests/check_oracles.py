@@ -22,6 +22,8 @@ def _plain(value):
         return "nan" if math.isnan(value) else round(value, 9) + 0.0
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
+    if isinstance(value, list):
+        return tuple(map(_plain, value))
     return value
 
 
