@@ -1,5 +1,6 @@
 """Staging, mart, join, dedupe, ranking, quality and sink queries."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,15 +95,17 @@ def models_as_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stg_posts": transform.transform_posts(posts(spark, sf_dir)),
         "stg_comments": transform.transform_comments(comments(spark, sf_dir)),
     }
+    # A name of its own, as the warehouse may hold the files of another session's table.
+    saved = f"threadloom_fct_posts_{uuid.uuid4().hex}"
     transform.build_models(
         {k: sinks.with_ingested_at(v, datetime(2024, 1, 1)) for k, v in loaded.items()},
-        mart_table="threadloom_fct_posts",
+        mart_table=saved,
     )
     return spark.sql(
-        """select 'stg_posts' as model, id, body, subreddit, ingested_at from stg_posts
+        f"""select 'stg_posts' as model, id, body, subreddit, ingested_at from stg_posts
         union all select 'stg_comments', id, body, subreddit, ingested_at from stg_comments
         union all select 'fct_posts', post_id, comment_body, subreddit, null
-          from threadloom_fct_posts"""
+          from {saved}"""
     )
 
 
