@@ -35,9 +35,13 @@ def run_available(
     a new checkpoint, and must replace what it wrote under that name.
     """
 
+    ids: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        metadata = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
-        write_batch(batch, f"{json.loads(metadata[0])['id']}-{batch_id}")
+        if not ids:  # the same for all batches of a checkpoint
+            metadata = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
+            ids.append(json.loads(metadata[0])["id"])
+        write_batch(batch, f"{ids[0]}-{batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(write)
