@@ -1,8 +1,12 @@
 from datetime import datetime
+from types import SimpleNamespace
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from threadloom import schemas
+from threadloom.catalog import streams
 from threadloom.sources import state
 from threadloom.streaming import dedupe, files, keyed, mart, watermarks
 
@@ -166,6 +170,34 @@ def test_keyed_state_expires_and_late_records_go_aside(spark, tmp_path):
     assert 0 < held[-1] <= 2 * 8 * 2 and max(held) <= 3 * 8 * 2
 
 
+def test_stretches_behind_the_watermark_ask_no_state():
+    asked = []
+    processor = keyed.FirstOfKey("id", "millis", "kind", 1000)
+    processor.seen = SimpleNamespace(get=lambda: asked.append("get"), exists=lambda: bool(asked.append("exists")), update=lambda v: None)
+    processor.handle = SimpleNamespace(registerTimer=lambda t: None)
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 2000)
+    for stretch, kind, calls in ((1, "late", []), (2, "first", ["get"])):
+        rows = pd.DataFrame({"id": [1, 2], "millis": [1000 * stretch, 1000 * stretch + 999]})
+        got = pd.concat(processor.handleInputRows((0, stretch), iter([rows]), now))
+        assert list(got["kind"]) == [kind] * 2 and asked == calls
+
+
+@pytest.mark.parametrize("name", ["stream_dedupe_state"])
+def test_batches_take_many_files(spark, tmp_path, monkeypatch, name):
+    """Forty files in three parts, eight at most in a batch: the batches are far fewer than the files."""
+    monkeypatch.setattr(streams, "FILE_ROWS", 5)
+    monkeypatch.setattr(streams, "BATCH_FILES", 8, raising=False)
+    monkeypatch.setattr(streams, "work_dir", lambda *_: str(tmp_path / "work"))
+    sql = "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 30 as int), 0, 0, 0)"
+    events = spark.range(200).select(F.col("id").alias("event_id"), F.expr(sql).alias("ts"), F.lit("a").alias("event_type"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = getattr(streams, name)(spark, str(tmp_path)).select(*events.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, events.collect()))
+    checkpoint = "checkpoint-first" if name == "stream_dedupe" else "checkpoint"
+    taken = [f for f in (tmp_path / "work" / checkpoint / "commits").iterdir() if f.name.isdigit()]
+    assert len(list((tmp_path / "work" / "landing").glob("*.parquet"))) > 35 and 3 <= len(taken) <= 8
+
+
 def test_stream_mart_joins_within_bounds_and_releases_orphans(spark, tmp_path):
     hour = 3600.0
 

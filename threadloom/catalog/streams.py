@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom import schemas
 from threadloom.catalog.registry import query, table
@@ -10,12 +11,15 @@ from threadloom.session import work_dir
 from threadloom.streaming import dedupe, files, keyed, mart, watermarks
 
 
-#: Rows of one landed file.
-FILE_ROWS = 200_000
+#: Rows of one landed file, and the most files a batch takes: a batch has its cost whatever it holds.
+FILE_ROWS, BATCH_FILES = 200_000, 20
 
 
-def land_out_of_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The events in three parts, the newest third of the time first, with their day; those without a time come first of all."""
+def land_out_of_order(spark: SparkSession, sf_dir: str, folder: str) -> tuple[T.StructType, int]:
+    """The events in three parts, the newest third of the time first, with their day; those without a time come first of all.
+
+    Returns their schema and the files of the largest part.
+    """
     events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     bounds = ("2024-01-11", "2024-01-21")
     thirds = (
@@ -23,24 +27,28 @@ def land_out_of_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFram
         F.col("day") < bounds[0],
         (F.col("day") >= bounds[0]) & (F.col("day") < bounds[1]),
     )
+    most = 1
     for third in thirds:
         some = events.where(third)
-        some.repartition(max(1, -(-some.count() // FILE_ROWS))).write.mode("append").parquet(folder)
-    return events
+        parts = max(1, -(-some.count() // FILE_ROWS))
+        some.repartition(parts).write.mode("append").parquet(folder)
+        most = max(most, parts)
+    return events.schema, most
 
 
-def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    return files.stream_files(spark, folder, schema, "parquet", files_per_batch=1)
+def doubled_stream(spark: SparkSession, folder: str, schema: T.StructType, most: int) -> DataFrame:
+    """The landed files, each twice in its batch. A batch takes about a part of them, up to BATCH_FILES."""
+    rows = [files.stream_files(spark, folder, schema, "parquet", min(most, BATCH_FILES)) for _ in range(2)]
+    return rows[0].unionAll(rows[1])
 
 
 @query("select * from events")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files out of time order, streamed twice in each of two runs, give one copy."""
     root = work_dir(spark, "stream-dedupe")
-    schema = land_out_of_order(spark, sf_dir, f"{root}/landing").schema
+    schema, most = land_out_of_order(spark, sf_dir, f"{root}/landing")
     for attempt in ("first", "replay"):
-        rows = event_stream(spark, f"{root}/landing", schema)
-        doubled = rows.unionAll(event_stream(spark, f"{root}/landing", schema))
+        doubled = doubled_stream(spark, f"{root}/landing", schema, most)
         write = dedupe.append_unseen(f"{root}/table", "event_id", "day")
         files.run_available(doubled, f"{root}/checkpoint-{attempt}", write)
     return spark.read.parquet(f"{root}/table").drop("batch", "day")
@@ -50,9 +58,8 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedupe_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files and copies with bounded state; the delay covers their disorder."""
     root = work_dir(spark, "stream-within")
-    schema = land_out_of_order(spark, sf_dir, f"{root}/landing").schema
-    rows = event_stream(spark, f"{root}/landing", schema)
-    doubled = rows.unionAll(event_stream(spark, f"{root}/landing", schema))
+    schema, most = land_out_of_order(spark, sf_dir, f"{root}/landing")
+    doubled = doubled_stream(spark, f"{root}/landing", schema, most)
     unique = dedupe.dedupe_within(doubled, "event_id", "ts", "3650 days")
     stream = (
         unique.writeStream.format("parquet")
@@ -70,11 +77,11 @@ def stream_dedupe_within(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedupe_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files and copies with keyed state that expires after two days, far less than their disorder."""
     root = work_dir(spark, "stream-state")
-    schema = land_out_of_order(spark, sf_dir, f"{root}/landing").schema
+    schema, most = land_out_of_order(spark, sf_dir, f"{root}/landing")
     keyed.use_rocksdb(spark)
-    rows = event_stream(spark, f"{root}/landing", schema)
-    doubled = rows.unionAll(event_stream(spark, f"{root}/landing", schema))
-    first = keyed.first_of_key(doubled, "event_id", "ts", "2 days")
+    doubled = doubled_stream(spark, f"{root}/landing", schema, most)
+    shards = max(8, 2 * most)  # a hundred thousand rows of a part each, over its days
+    first = keyed.first_of_key(doubled, "event_id", "ts", "2 days", 86_400, shards)
     files.run_available(first, f"{root}/checkpoint", keyed.append_first(f"{root}/table", "event_id", "day"))
     return spark.read.schema(schema).parquet(f"{root}/table").select(*[f.name for f in schema if f.name != "day"])
 
