@@ -182,7 +182,7 @@ def test_stretches_behind_the_watermark_ask_no_state():
         assert list(got["kind"]) == [kind] * 2 and asked == calls
 
 
-@pytest.mark.parametrize("name", ["stream_dedupe_state", "stream_dedupe"])
+@pytest.mark.parametrize("name", ["stream_dedupe_state", "stream_dedupe", "stream_dedupe_within"])
 def test_batches_take_many_files(spark, tmp_path, monkeypatch, name):
     """Forty files in three parts, eight at most in a batch: the batches are far fewer than the files."""
     monkeypatch.setattr(streams, "FILE_ROWS", 5)
