@@ -120,6 +120,24 @@ def test_every_text_is_embedded_once(spark, options):
     assert calls.value == 38
 
 
+def test_questions_in_blocks_stay_off_the_driver(spark, monkeypatch):
+    """More blocks of questions make neither more jobs nor a frame that the driver collects."""
+    monkeypatch.setattr(similarity, "CELL_FLOATS", 60, raising=False)
+    rng = np.random.default_rng(6)
+    rows = [(n, v) for n, v in enumerate(vectors(rng, 60, 4))]
+    frame = spark.createDataFrame(rows, "chunk_id long, embedding array<double>")
+    asked = frame.withColumnRenamed("chunk_id", "question_id")
+    monkeypatch.setattr(type(frame), "toArrow", lambda self: pytest.fail("collected"))
+    jobs = []
+    for floats in (120, 4):
+        spark.sparkContext.setJobGroup(f"blocks-{floats}", "")
+        got = {tuple(r) for r in similarity.top_k(frame, asked, k=3, min_score=0.4, max_broadcast_floats=floats).collect()}
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"blocks-{floats}")))
+        assert got == brute_force(rows, rows, 3, 0.4)
+    assert jobs[1] <= jobs[0] + 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_hashing_provider():
     embed = embedding.hashing_provider(16)
     a, b, empty = embed(["One two two", "two  one TWO", " "])

@@ -1,9 +1,10 @@
 """Exact top-k similarity search: for every question, its most similar chunks.
 
-The questions are sent to the corpus, which stays in place: each task scans its part of it
-once per block of questions and keeps k rows per question. A block is broadcast and holds
-a bounded number of floats, so a question set of any size takes more scans, never more
-memory. k rows per question and task leave a task, never all pairs.
+Questions that fit one block are sent to the corpus, which stays in place: each task scans its part
+of it and keeps k rows per question. The block is broadcast and holds a bounded number of floats. More
+questions never pass the driver: they and the corpus are dealt to parts of a bounded number of floats, and
+each pair of parts meets in a task, which takes the questions block by block. k rows per question and task
+leave a task, never all pairs.
 
 Scores are cosines rounded to six decimals, ties go to the smaller id, so the
 result does not depend on the order of summation.
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -25,6 +26,8 @@ from threadloom.session import stored
 
 SCORE_DECIMALS = 6
 MAX_BROADCAST_FLOATS = 8_000_000  # 64 MB as doubles
+#: Floats of each side that meet in a task, and the least rows of the corpus that are worth one.
+CELL_FLOATS, CELL_ROWS = 2_000_000, 2000
 ROUNDING_MARGIN = 2 * 10.0**-SCORE_DECIMALS
 SCORES_AT_ONCE = 8_000_000
 
@@ -112,7 +115,12 @@ class _Best:
 def _score(
     best: _Best, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray, asking: np.ndarray | None = None
 ) -> None:
-    vectors, ids = _first_copies(vectors, ids, best.k)
+    _score_distinct(best, questions, *_first_copies(vectors, ids, best.k), asking)
+
+
+def _score_distinct(
+    best: _Best, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray, asking: np.ndarray | None = None
+) -> None:
     asked = questions if asking is None else questions[asking]
     step = max(1, SCORES_AT_ONCE // max(1, len(asked)))
     for at in range(0, len(vectors), step):
@@ -166,6 +174,40 @@ def scan_top_k(
     return corpus.mapInArrow(scan, schema)
 
 
+def grid_top_k(
+    corpus: DataFrame, questions: DataFrame, schema: T.StructType, k: int, min_score: float | None, dims: int, block_floats: int
+) -> DataFrame:
+    """Partial top-k where parts of the questions meet parts of the corpus; columns are (id, vec), both stored."""
+    arrow = _arrow_schema(schema)
+    block = max(1, block_floats // max(dims, 1))
+    n_questions, n_corpus = questions.count(), corpus.count()
+    tall = max(1, -(-n_questions * dims // CELL_FLOATS))
+    busy = min(-(-3 * corpus.sparkSession.sparkContext.defaultParallelism // tall), -(-n_corpus // CELL_ROWS))
+    wide = max(1, -(-n_corpus * dims // CELL_FLOATS), busy)
+
+    def meet(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        if not (asked.num_rows and rows.num_rows):
+            return arrow.empty_table()
+        vectors, ids = _first_copies(_unit_rows(rows["vec"]), _ids(rows["id"]), k)
+        found = []
+        for at in range(0, asked.num_rows, block):
+            some = asked.slice(at, block)
+            best = _Best(some.num_rows, k, min_score)
+            _score_distinct(best, _unit_rows(some["vec"]), vectors, ids)
+            own_ids = some["id"].combine_chunks().cast(arrow.field("question_id").type)
+            found.append(_to_batch(best, own_ids, arrow))
+        return pa.Table.from_batches(found, arrow)
+
+    def dealt(rows: DataFrame, parts: int, others: int, cell: Column) -> DataFrame:
+        part = F.pmod(F.xxhash64("id", "vec"), F.lit(parts)).alias("part")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("other")
+        return rows.select("id", "vec", part, copies).select("id", "vec", cell.alias("cell")).repartition(tall * wide, "cell").groupBy("cell")
+
+    left = dealt(questions, tall, wide, F.col("part") * wide + F.col("other"))
+    right = dealt(_sized(corpus, dims), wide, tall, F.col("other") * wide + F.col("part"))
+    return left.cogroup(right).applyInArrow(meet, schema)
+
+
 def _sized(rows: DataFrame, dims: int) -> DataFrame:
     """Rows (id, vec) whose vectors must have dims elements; another size fails, naming the id."""
     message = F.concat(
@@ -188,8 +230,8 @@ def top_k(
 ) -> DataFrame:
     """(question_id, match_id, score, rank) of the k most similar chunks per question.
 
-    The questions are stored before the search, and the corpus too if it is scanned more
-    than once, so that a vector that a provider computes is computed once. Rows without an
+    The questions are stored before the search, and the corpus too if it is dealt to parts,
+    so that a vector that a provider computes is computed once. Rows without an
     id or a vector take no part; vectors of different size are an error.
     """
     spark = corpus.sparkSession
@@ -202,21 +244,13 @@ def top_k(
     n, least, dims = asked.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec"))).first()
     if n and least != dims:
         raise ValueError(f"the questions' vectors have {least} to {dims} elements")
-    blocks = -(-n * dims // max_broadcast_floats) if n else 0
-    if blocks > 1:
-        rows = stored(rows, "corpus")
-    partial = None
-    for block in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block) if blocks > 1 else asked
-        batch = own.toArrow()
-        if not batch.num_rows:
-            continue
-        found = scan_top_k(_sized(rows, dims), batch, schema, k, min_score)
-        if blocks > 1:  # written, so that one block's questions are held at a time
-            found = stored(found, f"hits-{block}")
-        partial = found if partial is None else partial.unionByName(found)
-    if partial is None:
+    if not n:
         partial = spark.createDataFrame([], schema)
+    elif n * dims <= max_broadcast_floats:
+        partial = scan_top_k(_sized(rows, dims), asked.toArrow(), schema, k, min_score)
+    else:
+        found = grid_top_k(stored(rows, "corpus"), asked, schema, k, min_score, dims, max_broadcast_floats)
+        partial = stored(found, "hits")
 
     order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "match_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
