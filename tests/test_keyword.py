@@ -54,3 +54,28 @@ def test_empty_tables(spark, tmp_path):
     keyword.build_index(docs.union(spark.createDataFrame([(1, "cat"), (1, "cat dog")], docs.schema)), str(tmp_path), "doc_id", "text")
     assert [(r["match_id"], r["rank"]) for r in keyword.search(spark, str(tmp_path), questions).collect()] == [(1, 1)]
     assert keyword.search(spark, str(tmp_path), questions.limit(0)).count() == 0
+
+
+def test_shared_ids_are_one_document_and_no_pair_is_shuffled(spark, tmp_path):
+    """Two rows of an id count together; what a search shuffles does not grow with the questions."""
+    docs = [(n % 30, f"word{n % 7} word{n % 5} word{n % 3} all") for n in range(40)]
+    folder = str(tmp_path / "keywords")
+    keyword.build_index(spark.createDataFrame(docs, "doc_id long, text string"), folder, "doc_id", "text", buckets=4)
+    texts = {i: " ".join(t for j, t in docs if j == i).split() for i in range(30)}
+    mean = sum(map(len, texts.values())) / 30
+    questions = [(q, f"all word{q % 8} word{q % 4}") for q in range(50)]
+    hits = keyword.search(spark, folder, spark.createDataFrame(questions, "question_id long, question string"), k=4)
+    want = set()
+    for q, text in questions:
+        scores = {}
+        for term in set(text.split()):
+            df = sum(term in words for words in texts.values())
+            for i, words in texts.items():
+                tf = words.count(term)
+                part = math.log(1 + (30 - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
+                if tf:
+                    scores[i] = scores.get(i, 0) + part
+        best = sorted((-round(s, 6), i) for i, s in scores.items())[:4]
+        want |= {(q, i, -s, rank) for rank, (s, i) in enumerate(best, 1)}
+    assert {tuple(r) for r in hits.collect()} == want
+    assert "HashAggregate(keys=[question_id" not in hits._jdf.queryExecution().executedPlan().toString()
