@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom import schemas
+from threadloom.catalog import ingest as ingest_queries
 from threadloom.operators import chunking, quality
 from threadloom.plans import index, ingest, transform
 from threadloom.sinks import state as state_sinks
@@ -366,6 +367,20 @@ def test_resume_from_progress_files(spark, tmp_path):
     assert done.count() == 0 and fetched.count() == 0
 
 
+def test_progress_files_are_few(spark, tmp_path, monkeypatch):
+    """A file per so many rows, not per page; a page of many comments, or none known, loses nothing."""
+    monkeypatch.setattr(ingest_queries, "PROGRESS_ROWS", 50, raising=False)
+    monkeypatch.setattr(ingest_queries, "work_dir", lambda *_: str(tmp_path / "progress"))
+    spark.range(300).selectExpr("if(id = 7, null, id * 50) as doc_id").write.parquet(str(tmp_path / "labels.parquet"))
+    turns = "case when id < 250 then id when id < 450 then 3 end as conv_id, cast(id as int) as turn, 'user' as role, 'text' as text"
+    spark.range(460).selectExpr(*turns.split(", ")).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = sorted((r.kind, str(r.id)) for r in ingest_queries.progress_files(spark, str(tmp_path)).collect())
+    want = [("done", str(n * 50)) for n in range(300) if n != 7]
+    want += [("comment", f"{n if n < 250 else 3}_{n}" if n < 450 else "None") for n in range(460)]
+    assert got == sorted(want)
+    assert len(list((tmp_path / "progress").rglob("part-*"))) <= 16
+
+
 def test_watermark_state(spark, tmp_path):
     path = str(tmp_path / "marks")
     assert state.read_watermarks(spark, path).count() == 0

@@ -228,6 +228,28 @@ def progress_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.read_completed_ids(spark, path)
 
 
+#: Ids and comments of one landed progress file, about.
+PROGRESS_ROWS = 2000
+
+
+def land_progress(done: DataFrame, fetched: DataFrame, path: str) -> None:
+    """Files that hold a JSON array of progress records each: a page's finished ids and comments.
+
+    A page of very many comments comes in several records. Files are as many as the rows ask for, not the pages.
+    """
+    number = max(1, -(-(done.count() + fetched.count()) // PROGRESS_ROWS))
+    sizes = fetched.groupBy(F.col("page").alias("_page")).agg(F.ceil(F.count("*") / PROGRESS_ROWS).alias("_shares"))
+    dealt = fetched.join(sizes, F.col("page").eqNullSafe(F.col("_page"))).withColumn("share", F.pmod(F.xxhash64("id"), F.col("_shares")))
+    fields = [c for c in fetched.columns if c != "page"]
+    dealt = dealt.groupBy("page", "share").agg(F.collect_list(F.struct(*fields)).alias("comments"))
+    ids = done.groupBy("page").agg(F.collect_set("id").alias("completed_post_ids")).withColumn("share", F.lit(0).cast("long"))
+    both = ids.join(dealt, ["page", "share"], "full").withColumn("status", F.lit("in_progress"))
+    file = F.pmod(F.xxhash64("page", "share"), F.lit(number)).alias("file")
+    record = F.struct("completed_post_ids", "comments", "status").alias("record")
+    arrays = both.select(file, record).groupBy("file").agg(F.to_json(F.collect_list("record")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 @query(
     """select cast(doc_id as varchar) as id, 'done' as kind from labels where doc_id is not null
       group by doc_id
@@ -236,18 +258,12 @@ def progress_state(spark: SparkSession, sf_dir: str) -> DataFrame:
       from conversations"""
 )
 def progress_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress files of an interrupted download, one per forum page: ids and comments."""
+    """Progress files of an interrupted download, each with the ids and comments of some forum pages."""
     path = work_dir(spark, "progress")
     done = table(spark, sf_dir, "labels").where("doc_id is not null")
-    done = done.groupBy(F.floor(F.col("doc_id") / PAGE_SIZE).alias("page")).agg(
-        F.collect_set(F.col("doc_id").cast("string")).alias("completed_post_ids")
-    )
+    done = done.select(F.floor(F.col("doc_id") / PAGE_SIZE).alias("page"), F.col("doc_id").cast("string").alias("id"))
     fetched = comments(spark, sf_dir)
-    fetched = fetched.groupBy(F.col("parent_post_id").cast("bigint").alias("page")).agg(
-        F.collect_list(F.struct(*fetched.columns)).alias("comments")
-    )
-    both = done.join(fetched, "page", "full").withColumn("status", F.lit("in_progress"))
-    both.repartition("page").write.partitionBy("page").json(path)
+    land_progress(done, fetched.withColumn("page", F.col("parent_post_id").cast("bigint")), path)
     ids, rows = state.read_progress(spark, path)
     return ids.select("id", F.lit("done").alias("kind")).unionByName(
         rows.select("id", F.lit("comment").alias("kind"))
