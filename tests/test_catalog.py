@@ -3,7 +3,8 @@
 import pytest
 from check_oracles import connect, differences
 
-from threadloom.catalog import ORACLES, QUERIES
+from threadloom.catalog import ORACLES, QUERIES, models
+from threadloom.plans import manifest
 
 SF_DIR = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -24,3 +25,16 @@ def test_query_gives_the_rows_of_its_sql(spark, database, name):
 
 def test_every_query_has_sql():
     assert sorted(QUERIES) == sorted(ORACLES)
+
+
+def test_a_landed_run_shuffles_its_texts_only_to_be_written(spark, tmp_path, monkeypatch):
+    """Arrays are grouped in one shuffle; a run is not stored beside the table and a repeated one not shuffled."""
+    kept = []
+    monkeypatch.setattr(manifest, "stored", lambda df, name, store=manifest.stored: kept.append(df.columns) or store(df, name))
+    rows = [(k, f"text {k}", "de", f"src{k % 3}", k) for k in range(30)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    result = models.transform_runs(spark, str(tmp_path)).collect()
+    assert sorted(r["clean_selftext"] for r in result) == sorted(r[1] for r in rows)
+    assert {r["title"] for r in result} == {f"src{k} de" for k in range(3)}
+    assert kept and not any("clean_selftext" in columns for columns in kept)

@@ -150,3 +150,25 @@ def test_fold_after_a_broken_run(spark, tmp_path, monkeypatch):
             fold(spark, path, [("a", 2, 2.0, "g", day)])
     fold(spark, path, [("a", 3, 3.0, "f", day), ("c", 1, 1.0, "f", day)])
     assert {(r["id"], r["v"], r["subreddit"]) for r in spark.read.parquet(path).collect()} == {("a", 3, "f"), ("b", 1, "g"), ("c", 1, "f")}
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_fold_of_unique_rows_stores_no_texts(spark, tmp_path, monkeypatch, listed):
+    path, kept = str(tmp_path / "table"), []
+    monkeypatch.setattr(manifest, "MAX_LISTED", listed)
+    monkeypatch.setattr(manifest, "stored", lambda df, name, store=manifest.stored: kept.append(df.columns) or store(df, name))
+    days = [datetime.date(2024, 1, 1 + k) for k in range(3)]
+
+    def run(rows):
+        frame = spark.createDataFrame(rows, "id string, v int, t double, subreddit string, date date")
+        return manifest.fold(frame, path, "id", [F.col("t").desc()], unique=True).count()
+
+    rows = [("a", 1, 1.0, "f", days[0]), ("b", 1, 1.0, "f", days[0]), ("c", 1, 1.0, "", days[1]), ("d", 1, 1.0, None, days[1]), ("e", 1, 1.0, "g x", days[1])]
+    run(rows)
+    assert run(rows) == 0
+    # One moves and empties its folder, one differs beside one that does not come, one loses.
+    assert run([("e", 2, 2.0, "f", days[2]), ("c", 2, 2.0, "", days[1]), ("a", 2, 0.5, "f", days[0]), ("b", 1, 1.0, "f", days[0])]) == 4
+    got = {r["id"]: (r["v"], r["subreddit"], r["date"]) for r in spark.read.parquet(path).collect()}
+    assert got == {"a": (1, "f", days[0]), "b": (1, "f", days[0]), "c": (2, None, days[1]), "d": (1, None, days[1]), "e": (2, "f", days[2])}
+    assert spark.read.parquet(path).count() == 5
+    assert kept and not any("v" in columns for columns in kept)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators import context, incremental, joins, quality, ranking
-from threadloom.operators.dedupe import dedupe_records, latest_by_key, merge_by_key
+from threadloom.operators.dedupe import dedupe_records, latest_by_key, latest_of_repeated, merge_by_key
 from threadloom.operators.joins import hot_keys, left_join_one_to_many, not_known
 
 
@@ -185,3 +185,14 @@ def test_tests_made_by_the_write(spark, tmp_path):
         assert written.exceptAll(frame).count() == 0 == frame.exceptAll(written).count()
     few = quality.suspects(df.select("k"), "k", 3005)
     assert {"k1", "k2"} <= {r["k"] for r in few.collect()} and few.count() < 200
+
+
+def test_few_repeated_keys_are_deduped_alone(spark):
+    rows = [(None, 1, "x"), (None, 2, "y"), ("a", 1, "x"), ("a", 1, "z"), ("b", 1, "x"), ("c", 3, "q")]
+    frame = spark.createDataFrame(rows, "id string, t int, text string")
+    order = [F.col("t").desc()]
+    want = sorted(map(str, latest_by_key(frame, ["id"], order).collect()))
+    for most in (100, 0):
+        assert sorted(map(str, latest_of_repeated(frame, "id", order, most).collect())) == want
+    once = latest_of_repeated(frame.where("id in ('b', 'c')"), "id", order)
+    assert once.count() == 2 and "Exchange" not in once._jdf.queryExecution().executedPlan().toString()

@@ -10,7 +10,7 @@ from threadloom import schemas
 from threadloom.catalog.registry import query, table
 from threadloom.catalog.roles import COMMENTS_SQL, POSTS_SQL, STAGED_CTES, comments, posts
 from threadloom.operators import context, known, quality, ranking
-from threadloom.operators.dedupe import latest_by_key
+from threadloom.operators.dedupe import MAX_LISTED_KEYS, latest_by_key
 from threadloom.operators.joins import left_join_one_to_many, not_known
 from threadloom.plans import transform
 from threadloom.session import stored, work_dir
@@ -280,14 +280,16 @@ def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_arrays(raw: DataFrame, path: str, rows: int = 200) -> None:
-    """JSON arrays of about so many records, a file each, below a folder per forum."""
-    counts = raw.groupBy(F.col("subreddit").alias("forum")).agg(F.ceil(F.count("*") / rows).alias("blocks"))
+    """JSON arrays of about so many records, a compressed file each, below a folder per forum."""
+    counts = stored(raw.groupBy(F.col("subreddit").alias("forum")).agg(F.ceil(F.count("*") / rows).alias("blocks")), "forums")
+    if counts.count() <= MAX_LISTED_KEYS:
+        counts = F.broadcast(counts)  # spares the shuffle of the texts
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = raw.join(counts, F.col("subreddit").eqNullSafe(F.col("forum"))).select(
         "forum", block.alias("block"), F.struct(*raw.columns).alias("record")
     )
     arrays = dealt.groupBy("forum", "block").agg(F.to_json(F.collect_list("record")).alias("value"))
-    arrays.write.partitionBy("forum", "block").text(path)
+    arrays.write.partitionBy("forum", "block").text(path, compression="gzip")  # one task reads a file in any case
 
 
 @query(f"with {STAGED_CTES} select {', '.join(schemas.PROCESSED_POST.names)} from clean_posts")

@@ -5,6 +5,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.session import stored
+
+#: Most keys that are broadcast.
+MAX_LISTED_KEYS = 200_000
+
 
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
@@ -21,11 +26,36 @@ def latest_by_key(
     return df.withColumn("_rn", F.row_number().over(ranked)).where("_rn = 1").drop("_rn")
 
 
+def latest_of_repeated(
+    df: DataFrame, key: str, order_by: Sequence[Column], max_listed: int = MAX_LISTED_KEYS
+) -> DataFrame:
+    """:func:`latest_by_key` of a frame that can be read again, where few keys occur twice.
+
+    A job that reads the key only finds those; their rows are shuffled and all others stay in
+    place. With more of them than are broadcast, the whole frame is, and its result is stored.
+    """
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))
+    repeated = stored(counts.where("_rows > 1").select("_key"), "repeated")
+    n = repeated.count()
+    if n > max_listed:
+        return stored(latest_by_key(df, [key], order_by), "latest")
+    if not n:
+        return df
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    once = df.join(F.broadcast(repeated), same, "left_anti")
+    return once.unionByName(latest_by_key(df.join(F.broadcast(repeated), same, "left_semi"), [key], order_by))
+
+
 def dedupe_records(df: DataFrame) -> DataFrame:
     """Posts or comments by id; the most recently created record survives."""
     return latest_by_key(df, ["id"], [F.col("created_utc").desc()])
 
 
+def dedupe_landed(df: DataFrame) -> DataFrame:
+    """The same for landed records, of which few occur twice in a run."""
+    return latest_of_repeated(df, "id", [F.col("created_utc").desc()])
+
+
 def merge_by_key(
     current: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 ) -> DataFrame:

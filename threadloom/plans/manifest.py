@@ -65,24 +65,36 @@ def in_places(rows: DataFrame, places: DataFrame) -> DataFrame:
     return rows.where(any_of)
 
 
+def _folder_of(file: Column) -> Column:
+    """The folder of a file whose path is told in the form of a URL."""
+    return F.url_decode(F.replace(F.regexp_replace(file, "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))
+
+
 def replace_places(table: DataFrame, rows: DataFrame, touched: DataFrame, path: str) -> None:
     """Write rows, which are stored elsewhere, in the place of all that the touched partitions of a table hold."""
     left = touched.alias("h").join(rows.select(*PLACE).distinct().alias("t"), _same_place("h", "t"), "left_anti")
-    files = in_places(table, stored(left, "left")).select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("d"))
+    files = in_places(table, stored(left, "left")).select(_folder_of(F.col("_metadata.file_path")).alias("d"))
     folders = stored(files.distinct(), "folders")  # listed before any is rewritten
     sinks.write_partitioned(rows, path, PLACE)
     for row in folders.toLocalIterator():  # partitions that are left without a row
         paths.delete(table.sparkSession, row["d"])
 
 
-def fold(incoming: DataFrame, path: str, key: str, order_by: list[Column], buckets: int | None = None) -> DataFrame:
+def fold(
+    incoming: DataFrame, path: str, key: str, order_by: list[Column], buckets: int | None = None, unique: bool = False
+) -> DataFrame:
     """Fold rows into a table partitioned by forum and day, one row per key; returns the places rewritten.
 
     The manifest tells which keys are new or differ and where they lie now, so only those partitions are
     read and written, also if a key moves to another one, and a repeated run writes nothing. Of an
     incoming and a stored row of a key the first in order_by stays, the remaining columns break ties.
+
+    ``unique`` tells that the incoming rows have one row per key already and can be computed again, so they
+    are neither shuffled by key nor stored: what is joined with the manifest has no texts.
     """
     spark = incoming.sparkSession
+    # A folder's name cannot be empty; such rows lie in the one of null.
+    incoming = incoming.withColumn("subreddit", F.when(F.col("subreddit") != "", F.col("subreddit")))
     held = Manifest(spark, path, buckets)
     columns = sorted(c for c in incoming.columns if c not in PLACE)
     names = [F.col(key).cast("string").alias("doc")]
@@ -95,14 +107,17 @@ def fold(incoming: DataFrame, path: str, key: str, order_by: list[Column], bucke
             F.lit("").alias("run"), none.alias("oldest"), none.alias("newest"),
         )
 
-    fresh = stored(latest_by_key(incoming, [key], order_by), "incoming")
+    def held_rows() -> DataFrame:
+        return spark.read.schema(fresh.schema).parquet(path)
+
+    fresh = incoming if unique else stored(latest_by_key(incoming, [key], order_by), "incoming")
     if not paths.exists(spark, f"{path}/{PLACE[0]}=*"):
         held.begin()
         sinks.write_partitioned(fresh, path, PLACE)
-        held.create(told(fresh))
+        held.create(told(held_rows()))
         held.end()
         return fresh.select(*PLACE).distinct()
-    table = spark.read.schema(fresh.schema).parquet(path)
+    table = held_rows()
     if not held.usable():
         held.create(told(latest_by_key(table, [key], order_by)))
     known = held.current().select(F.col("doc").alias("_doc"), F.col("places").alias("moved_from"), F.col("version").alias("_version"))
@@ -113,11 +128,21 @@ def fold(incoming: DataFrame, path: str, key: str, order_by: list[Column], bucke
     touched = stored(places.select("at.*").distinct(), "touched")
     if touched.isEmpty():
         return touched
-    before = in_places(table, touched)
-    merged = stored(latest_by_key(before.unionByName(fresh.join(changed, F.col(key).cast("string").eqNullSafe(F.col("doc")), "left_semi")), [key], order_by), "merged")
+    # An incoming row that does not differ lies where the stored one does, so the place tells all that are needed.
+    merged = latest_by_key(in_places(table, touched).unionByName(in_places(fresh, touched)), [key], order_by)
+
+    def files() -> DataFrame:
+        named = held_rows().select(*PLACE, F.col("_metadata.file_path").alias("f"))
+        return in_places(named, touched).select("f").distinct()
+
+    old = stored(files(), "files")
     held.begin()
-    replace_places(table, merged, touched, path)
-    now = told(merged).join(changed.select("doc"), "doc", "left_semi")
+    # Spark writes a dynamic overwrite aside and moves it when all tasks are done, so it may read what it replaces.
+    sinks.write_partitioned(merged, path, PLACE)
+    emptied = stored(files().join(old, "f", "left_semi").select(_folder_of(F.col("f")).alias("d")).distinct(), "emptied")
+    for row in emptied.toLocalIterator():  # partitions that are left without a row
+        paths.delete(spark, row["d"])
+    now = told(in_places(held_rows(), touched)).join(changed.select("doc"), "doc", "left_semi")
     held.append(now, changed.select("doc").limit(0))
     held.end()
     return touched

@@ -1,6 +1,6 @@
 """Raw records -> processed records -> staging models -> mart."""
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,26 +10,29 @@ from threadloom import schemas
 from threadloom.functions.times import epoch_to_ntz
 from threadloom.operators import filters
 from threadloom.operators.cleaning import with_clean_text
-from threadloom.operators.dedupe import dedupe_records
+from threadloom.operators.dedupe import dedupe_landed, dedupe_records
 from threadloom.operators.joins import HOT_ROWS, left_join_one_to_many
 from threadloom.plans import manifest
 from threadloom.sinks import tables as sinks
 from threadloom.sources import files
 
 
-def transform_posts(raw: DataFrame) -> DataFrame:
+Dedupe = Callable[[DataFrame], DataFrame]
+
+
+def transform_posts(raw: DataFrame, dedupe: Dedupe = dedupe_records) -> DataFrame:
     """One row per post, its text cleaned."""
-    posts = dedupe_records(raw.select(*schemas.POST.names))
+    posts = dedupe(raw.select(*schemas.POST.names))
     cleaned = with_clean_text(posts, "selftext", "clean_selftext")
     return cleaned.select(*schemas.PROCESSED_POST.names)
 
 
-def transform_comments(raw: DataFrame) -> DataFrame:
+def transform_comments(raw: DataFrame, dedupe: Dedupe = dedupe_records) -> DataFrame:
     """One row per top-level comment, its text cleaned.
 
     Copies are resolved before the depth filter, as the surviving copy decides.
     """
-    comments = filters.top_level_only(dedupe_records(raw.select(*schemas.COMMENT.names)))
+    comments = filters.top_level_only(dedupe(raw.select(*schemas.COMMENT.names)))
     cleaned = with_clean_text(comments, "body", "clean_body")
     return cleaned.select(*schemas.PROCESSED_COMMENT.names)
 
@@ -170,5 +173,5 @@ def transform_runs(
     ):
         landed = [read(spark, f"{raw}/{kind}/run={run}", multiline) for run in runs]
         if landed:
-            fresh = clean(reduce(DataFrame.unionByName, landed))
-            manifest.fold(_dated(fresh), f"{processed}/{kind}", "id", [F.col("created_utc").desc()])
+            fresh = clean(reduce(DataFrame.unionByName, landed), dedupe_landed)
+            manifest.fold(_dated(fresh), f"{processed}/{kind}", "id", [F.col("created_utc").desc()], unique=True)
