@@ -131,18 +131,21 @@ def fold(
     # An incoming row that does not differ lies where the stored one does, so the place tells all that are needed.
     merged = latest_by_key(in_places(table, touched).unionByName(in_places(fresh, touched)), [key], order_by)
 
-    def files() -> DataFrame:
-        named = held_rows().select(*PLACE, F.col("_metadata.file_path").alias("f"))
+    def files(rows: DataFrame) -> DataFrame:
+        named = rows.select(*PLACE, F.col("_metadata.file_path").alias("f"))
         return in_places(named, touched).select("f").distinct()
 
-    old = stored(files(), "files")
+    old = stored(files(table), "files")
     held.begin()
     # Spark writes a dynamic overwrite aside and moves it when all tasks are done, so it may read what it replaces.
     sinks.write_partitioned(merged, path, PLACE)
-    emptied = stored(files().join(old, "f", "left_semi").select(_folder_of(F.col("f")).alias("d")).distinct(), "emptied")
-    for row in emptied.toLocalIterator():  # partitions that are left without a row
-        paths.delete(spark, row["d"])
-    now = told(in_places(held_rows(), touched)).join(changed.select("doc"), "doc", "left_semi")
+    after = held_rows()
+    emptied = stored(files(after).join(old, "f", "left_semi").select(_folder_of(F.col("f")).alias("d")).distinct(), "emptied")
+    if not emptied.isEmpty():
+        for row in emptied.toLocalIterator():  # partitions that are left without a row
+            paths.delete(spark, row["d"])
+        after = held_rows()
+    now = told(in_places(after, touched)).join(changed.select("doc"), "doc", "left_semi")
     held.append(now, changed.select("doc").limit(0))
     held.end()
     return touched
