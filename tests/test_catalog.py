@@ -2,8 +2,9 @@
 
 import pytest
 from check_oracles import connect, differences
+from pyspark.sql import functions as F
 
-from threadloom.catalog import ORACLES, QUERIES, models
+from threadloom.catalog import ORACLES, QUERIES, models, retrieval
 from threadloom.plans import manifest
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -38,3 +39,19 @@ def test_a_landed_run_shuffles_its_texts_only_to_be_written(spark, tmp_path, mon
     assert sorted(r["clean_selftext"] for r in result) == sorted(r[1] for r in rows)
     assert {r["title"] for r in result} == {f"src{k} de" for k in range(3)}
     assert kept and not any("clean_selftext" in columns for columns in kept)
+
+
+def test_retrieve_filtered_counts_all_hits_however_many(spark, tmp_path):
+    """More than 100,000 chunks of a forum answer one item."""
+    n = 100_100
+    words = F.concat(F.lit("the same few words in every post here "), F.col("id").cast("string"))
+    posts = spark.range(n).select(
+        F.col("id").alias("doc_id"), words.alias("text"), F.lit("de").alias("lang"), F.lit("src1").alias("source"), F.lit(40).cast("long").alias("n_chars")
+    )
+    posts.write.parquet(str(tmp_path / "documents.parquet"))
+    talk = spark.createDataFrame([(1, 1, "user", "a comment of someone")], "conv_id long, turn long, role string, text string")
+    talk.write.parquet(str(tmp_path / "conversations.parquet"))
+    items = spark.createDataFrame([(1, "the same few words in every post here")], "item_id long, text string")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = retrieval.retrieve_filtered(spark, str(tmp_path)).collect()
+    assert [(r.question_id, r.n_hits) for r in found] == [(1, n)]

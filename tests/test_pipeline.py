@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from threadloom import schemas
 from threadloom.catalog import ingest as ingest_queries
-from threadloom.operators import chunking, quality
+from threadloom.operators import chunking, embedding, quality
 from threadloom.plans import index, ingest, transform
 from threadloom.sinks import state as state_sinks
 from threadloom.sinks import tables as sinks
@@ -465,6 +465,20 @@ def test_index_and_retrieval(spark, tmp_path):
     assert [(r.question_id, r.context) for r in context] == [("q1", "dogs like bones")]
 
 
+def test_retrieval_of_all_hits(spark):
+    """Without a limit the rows and columns of a limit that is never reached; a smaller one cuts them."""
+    texts = [(f"c{n}", f"dogs like {n % 7} bones", {"n": str(n)}) for n in range(40)] + [("x", "cars need fuel", {})]
+    chunks = spark.createDataFrame(texts, "chunk_id string, chunk_text string, metadata map<string, string>")
+    held = embedding.embed_chunks(chunks)
+    asked = [("q1", "do dogs like bones"), ("q2", "fuel"), ("q3", "nothing alike"), ("q4", None)]
+    questions = spark.createDataFrame(asked, "question_id string, question string")
+    every = index.retrieve(held, questions, k=None, min_score=0.4)
+    best = index.retrieve(held, questions, k=1000, min_score=0.4)
+    assert every.dtypes == best.dtypes
+    assert sorted(map(str, every.collect())) == sorted(map(str, best.collect()))
+    assert every.count() == 41 and index.retrieve(held, questions, k=39, min_score=0.4).count() == 40
+
+
 def hits_with_doc(hits):
     return hits.withColumn("doc_id", F.col("metadata")["COMMENT_ID"])
 

@@ -51,6 +51,53 @@ def test_top_k_equals_brute_force(spark, options, min_score):
     assert rows == brute_force(corpus, questions, 3, min_score)
 
 
+@pytest.mark.parametrize("cell_floats", [2_000_000, 16])
+@pytest.mark.parametrize("options", PATHS[:2])
+@pytest.mark.parametrize("min_score", [None, 0.0, 0.4])
+def test_every_hit_equals_brute_force(spark, monkeypatch, options, min_score, cell_floats):
+    """No limit: also a row that many questions ask for and a question that many copies answer; the rows keep their columns."""
+    monkeypatch.setattr(similarity, "CELL_FLOATS", cell_floats)
+    rng = np.random.default_rng(7)
+    corpus = [(f"c{n:03d}", v, {"n": str(n)}) for n, v in enumerate(vectors(rng, 60, 4))]
+    questions = [(n, v) for n, v in enumerate(vectors(rng, 15, 4))]
+    none = [("x", None, None), (None, [1.0, 1.0, 1.0, 1.0], None)]
+    got = similarity.every_hit(
+        spark.createDataFrame(corpus + none, "match_id string, embedding array<float>, metadata map<string, string>").repartition(5),
+        spark.createDataFrame([*questions, (99, None), (None, [1.0] * 4)], "question_id long, embedding array<double>"),
+        min_score,
+        **options,
+    )
+    assert got.columns == ["match_id", "metadata", "question_id", "score"]
+    rows = sorted((r.question_id, r.match_id, r.score, int(r.metadata["n"])) for r in got.collect())
+    want = brute_force([c[:2] for c in corpus], questions, 1000, min_score)
+    assert rows == sorted((q, c, score, int(c[1:])) for q, c, score, _ in want)
+
+
+def test_every_hit_of_many_questions_in_parts_of_a_batch(spark):
+    """A batch of rows makes more scores than are made at once."""
+    angle = F.col("id") * 0.01
+    rows = spark.range(0, 2500, 1, 1).select(F.col("id").alias("match_id"), F.array(F.cos(angle), F.sin(angle)).alias("embedding"))
+    asked = rows.where("match_id < 700").withColumnRenamed("match_id", "question_id")
+    assert 2000 * 700 > similarity.HITS_AT_ONCE
+    got = similarity.every_hit(rows, asked, 0.9).groupBy().agg(F.count("*"), F.sum(F.col("match_id") * F.col("question_id"))).first()
+    angles = np.arange(2500) * 0.01
+    question, match = np.nonzero(np.round(np.cos(angles[:700, None] - angles[None]), 6) >= 0.9)
+    assert tuple(got) == (len(match), int((question * match).sum()))
+
+
+@pytest.mark.parametrize("options", PATHS[:2])
+def test_every_hit_of_empty_sides_and_other_sizes(spark, options):
+    one = spark.createDataFrame([(1, [1.0])], "question_id long, embedding array<double>")
+    chunks = one.select(F.col("question_id").alias("match_id"), "embedding")
+    assert similarity.every_hit(chunks.where("match_id < 0"), one, **options).count() == 0
+    assert similarity.every_hit(chunks, one.where("question_id < 0"), **options).count() == 0
+    assert [tuple(r) for r in similarity.every_hit(chunks, one, **options).collect()] == [(1, 1, 1.0)]
+    mixed = spark.createDataFrame([(7, [1.0] * 8), (8, [1.0])], "match_id long, embedding array<double>")
+    asked = one.select("question_id", F.array_repeat(F.lit(1.0), 8).alias("embedding"))
+    with pytest.raises(Exception, match="the vector of 8 has not 8 elements"):
+        similarity.every_hit(mixed, asked, **options).collect()
+
+
 @pytest.mark.parametrize("options", PATHS[:2])
 def test_copies_and_unusable_vectors(spark, options):
     copies = [(n, [1.0, 1.0]) for n in range(40)]

@@ -242,7 +242,7 @@ def retrieve_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     update_index(spark, chunking.with_chunk_id(chunking.chunk_posts(mart(spark, sf_dir))), path, "first")
     items = with_clean_text(table(spark, sf_dir, "benchmark"), "text", "question")
     index = read_index(spark, path).where(F.col("subreddit").isin("src1", "src2"))
-    hits = retrieve(index, items.select(F.col("item_id").alias("question_id"), "question"), k=100_000, min_score=0.4)
+    hits = retrieve(index, items.select(F.col("item_id").alias("question_id"), "question"), k=None, min_score=0.4)
     return hits.groupBy("question_id").agg(F.max("score").alias("best"), F.count("*").alias("n_hits"))
 
 

@@ -6,10 +6,14 @@ questions never pass the driver: they and the corpus are dealt to parts of a bou
 each pair of parts meets in a task, which takes the questions block by block. k rows per question and task
 leave a task, never all pairs.
 
+Without a limit, every row of the corpus lists the questions it answers where it lies, some rows at a time:
+no task keeps hits, and no hit is shuffled.
+
 Scores are cosines rounded to six decimals, ties go to the smaller id, so the
 result does not depend on the order of summation.
 """
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,8 @@ MAX_BROADCAST_FLOATS = 8_000_000  # 64 MB as doubles
 CELL_FLOATS, CELL_ROWS = 2_000_000, 2000
 ROUNDING_MARGIN = 2 * 10.0**-SCORE_DECIMALS
 SCORES_AT_ONCE = 8_000_000
+#: The same where all hits are wanted, as each of these scores may be one.
+HITS_AT_ONCE = 1_000_000
 
 
 def _unit_rows(vectors: pa.Array) -> np.ndarray:
@@ -208,13 +214,31 @@ def grid_top_k(
     return left.cogroup(right).applyInArrow(meet, schema)
 
 
-def _sized(rows: DataFrame, dims: int) -> DataFrame:
-    """Rows (id, vec) whose vectors must have dims elements; another size fails, naming the id."""
+def _sized_vector(id_: str, vector: str, dims: int) -> Column:
     message = F.concat(
-        F.lit("the vector of "), F.col("id").cast("string"), F.lit(f" has not {dims} elements")
+        F.lit("the vector of "), F.col(id_).cast("string"), F.lit(f" has not {dims} elements")
     )
-    checked = F.when(F.size("vec") == dims, F.col("vec")).otherwise(F.raise_error(message))
-    return rows.select("id", checked.alias("vec"))
+    return F.when(F.size(vector) == dims, F.col(vector)).otherwise(F.raise_error(message))
+
+
+def _sized(rows: DataFrame, dims: int) -> DataFrame:
+    """Rows (id, vec) whose vectors must have dims elements; another size fails, naming the id."""
+    return rows.select("id", _sized_vector("id", "vec", dims).alias("vec"))
+
+
+def _asked(questions: DataFrame, question_id: str, question_vector: str) -> tuple[DataFrame, int, int]:
+    """The questions (id, vec), stored, how many they are and the elements of a vector."""
+    asked = questions.select(F.col(question_id).alias("id"), F.col(question_vector).alias("vec"))
+    asked = stored(asked.where(F.col("vec").isNotNull() & F.col("id").isNotNull()), "questions")
+    n, least, dims = asked.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec"))).first()
+    if n and least != dims:
+        raise ValueError(f"the questions' vectors have {least} to {dims} elements")
+    return asked, n, dims
+
+
+def best_first() -> Column:
+    """The rank of a hit among those of its question."""
+    return F.row_number().over(Window.partitionBy("question_id").orderBy(F.col("score").desc(), "match_id"))
 
 
 def top_k(
@@ -237,13 +261,8 @@ def top_k(
     spark = corpus.sparkSession
     rows = corpus.select(F.col(corpus_id).alias("id"), F.col(corpus_vector).alias("vec"))
     rows = rows.where(F.col("vec").isNotNull() & F.col("id").isNotNull())
-    asked = questions.select(F.col(question_id).alias("id"), F.col(question_vector).alias("vec"))
-    asked = stored(asked.where(F.col("vec").isNotNull() & F.col("id").isNotNull()), "questions")
+    asked, n, dims = _asked(questions, question_id, question_vector)
     schema = _result_schema(asked.schema["id"], rows.schema["id"])
-
-    n, least, dims = asked.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec"))).first()
-    if n and least != dims:
-        raise ValueError(f"the questions' vectors have {least} to {dims} elements")
     if not n:
         partial = spark.createDataFrame([], schema)
     elif n * dims <= max_broadcast_floats:
@@ -252,8 +271,129 @@ def top_k(
         found = grid_top_k(stored(rows, "corpus"), asked, schema, k, min_score, dims, max_broadcast_floats)
         partial = stored(found, "hits")
 
-    order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "match_id")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return partial.withColumn("rank", best_first()).where(F.col("rank") <= k)
+
+
+def _hits_per_row(
+    units: np.ndarray, ids: pa.Array, vectors: pa.Array, least: float, kind: pa.ListType
+) -> Iterator[pa.Array]:
+    """For every vector the list of its hits (question_id, score), of some vectors at a time."""
+    step = max(1, HITS_AT_ONCE // max(1, len(units)))
+    for at in range(0, len(vectors), step):
+        scores = _unit_rows(vectors.slice(at, step)) @ units.T
+        row, question = np.nonzero(scores >= least - ROUNDING_MARGIN)
+        score = np.round(scores[row, question], SCORE_DECIMALS) + 0.0
+        above = score >= least
+        row, question, score = row[above], question[above], score[above]
+        hits = [ids.take(pa.array(question)), pa.array(score)]
+        ends = np.searchsorted(row, np.arange(len(scores) + 1))
+        yield pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.StructArray.from_arrays(hits, fields=list(kind.value_type))
+        )
+
+
+def scan_every_hit(corpus: DataFrame, questions: pa.Table, hits: T.ArrayType, least: float, vector: str) -> DataFrame:
+    """The corpus with the hits of every row against a broadcast question set in place of its vector."""
+    kind = to_arrow_type(hits)
+    ids = questions["id"].combine_chunks().cast(kind.value_type.field("question_id").type)
+    payload = corpus.sparkSession.sparkContext.broadcast((ids, _unit_rows(questions["vec"])))
+
+    @F.arrow_udf(hits)
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ids, units = payload.value
+        for vectors in batches:
+            yield from _hits_per_row(units, ids, vectors, least, kind)
+
+    # Nondeterministic, so that a filter on the hits does not score twice.
+    found = scan.asNondeterministic()(F.col(vector)).alias("_hits")
+    return corpus.select(*[c for c in corpus.columns if c != vector], found)
+
+
+def grid_every_hit(
+    corpus: DataFrame, questions: DataFrame, n_questions: int, hits: T.ArrayType, least: float, id_: str, vector: str, dims: int
+) -> DataFrame:
+    """The same where parts of the questions (id, vec) meet parts of the corpus; both are stored.
+
+    A row comes back once per part of the questions. A task holds one part of them, and the corpus passes it by.
+    """
+    kind = to_arrow_type(hits)
+    others = [c for c in corpus.columns if c != vector]
+    n_corpus = corpus.count()
+    tall = max(1, -(-n_questions * dims // CELL_FLOATS))
+    busy = min(-(-3 * corpus.sparkSession.sparkContext.defaultParallelism // tall), -(-n_corpus // CELL_ROWS))
+    wide = max(1, -(-n_corpus * dims // CELL_FLOATS), busy)
+
+    def dealt(rows: DataFrame, part: Column, copies: int, cell: Column) -> DataFrame:
+        spread = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_other")
+        return rows.select("*", part.alias("_part"), spread).withColumn("_cell", cell).drop("_part", "_other")
+
+    left = questions.select(F.col("id").alias("_id"), F.col("vec").alias("_vec"))
+    left = dealt(left, F.pmod(F.xxhash64("_id", "_vec"), F.lit(tall)), wide, F.col("_part") * wide + F.col("_other"))
+    right = corpus.select(*others, F.col(vector).alias("_vec"))
+    right = dealt(right, F.pmod(F.xxhash64(id_, "_vec"), F.lit(wide)), tall, F.col("_other") * wide + F.col("_part"))
+    both = left.withColumn("_row", F.lit(0)).unionByName(right.withColumn("_row", F.lit(1)), allowMissingColumns=True)
+    # The questions of a cell come first.
+    met = both.repartition(tall * wide, "_cell").sortWithinPartitions("_cell", "_row")
+    schema = T.StructType([*[corpus.schema[c] for c in others], T.StructField("_hits", hits)])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, asked, ready = None, [], None
+        for batch in batches:
+            keys = list(zip(batch["_cell"].to_pylist(), batch["_row"].to_pylist()))
+            at = 0
+            while at < len(keys):
+                to = bisect_right(keys, keys[at], at)
+                some, at = batch.slice(at, to - at), to
+                if keys[to - 1][0] != cell:
+                    cell, asked, ready = keys[to - 1][0], [], None
+                if keys[to - 1][1] == 0:
+                    asked.append(some.select(["_id", "_vec"]))
+                    continue
+                if not asked:
+                    continue
+                if ready is None:
+                    table = pa.Table.from_batches(asked)
+                    ready = _unit_rows(table["_vec"]), table["_id"].combine_chunks().cast(kind.value_type.field("question_id").type)
+                done = 0
+                for listed in _hits_per_row(*ready, some["_vec"], least, kind):
+                    rows = some.slice(done, len(listed))
+                    done += len(listed)
+                    yield pa.RecordBatch.from_arrays([*[rows[c] for c in others], listed], names=[*others, "_hits"])
+
+    return met.mapInArrow(meet, schema)
+
+
+def every_hit(
+    corpus: DataFrame,
+    questions: DataFrame,
+    min_score: float | None = defaults.MIN_RELEVANCE,
+    corpus_id: str = "match_id",
+    corpus_vector: str = "embedding",
+    question_id: str = "question_id",
+    question_vector: str = "embedding",
+    max_broadcast_floats: int = MAX_BROADCAST_FLOATS,
+) -> DataFrame:
+    """The rows of ``corpus`` without their vectors, once per question they answer, with question_id and score.
+
+    The hits of :func:`top_k` without a limit. The rows keep their other columns, so no join is needed;
+    columns that are not used are not read while the questions fit a broadcast.
+    """
+    rows = corpus.where(F.col(corpus_vector).isNotNull() & F.col(corpus_id).isNotNull())
+    others = [c for c in corpus.columns if c != corpus_vector]
+    asked, n, dims = _asked(questions, question_id, question_vector)
+    hit = _result_schema(asked.schema["id"], corpus.schema[corpus_id])
+    hits = T.ArrayType(T.StructType([hit["question_id"], hit["score"]]))
+    least = -np.inf if min_score is None else min_score
+    if not n:
+        listed = rows.select(*others, F.lit(None).cast(hits).alias("_hits"))
+    elif n * dims <= max_broadcast_floats:
+        sized = rows.withColumn(corpus_vector, _sized_vector(corpus_id, corpus_vector, dims))
+        listed = scan_every_hit(sized, asked.toArrow(), hits, least, corpus_vector)
+    else:
+        kept = stored(rows, "corpus")
+        sized = kept.withColumn(corpus_vector, _sized_vector(corpus_id, corpus_vector, dims))
+        listed = grid_every_hit(sized, asked, n, hits, least, corpus_id, corpus_vector, dims)
+    return listed.select(*others, F.inline("_hits"))
 
 
 def label_centroids(vectors: DataFrame, label: str, vector: str) -> DataFrame:

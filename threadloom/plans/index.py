@@ -119,16 +119,21 @@ def update_index(
 def retrieve(
     index: DataFrame,
     questions: DataFrame,
-    k: int = defaults.TOP_K,
+    k: int | None = defaults.TOP_K,
     min_score: float | None = defaults.MIN_RELEVANCE,
     provider: Callable[[], embedding.Provider] | None = None,
 ) -> DataFrame:
-    """The best chunks per question, with text and metadata.
+    """The best chunks per question, with text and metadata; with ``k=None`` all that reach ``min_score``.
 
     ``questions`` has (question_id, question). The index may be cut down before, by
     forum and date, which prune its scan, or by metadata.
     """
     asked = embedding.embed_chunks(questions.select("question_id", "question"), provider, "question")
+    if k is None:
+        chunks = index.select(F.col("chunk_id").alias("match_id"), "chunk_text", "metadata", "embedding")
+        # Catalyst drops the rank, which sorts all hits of a question in one task, where it is not used.
+        every = similarity.every_hit(chunks, asked, min_score).withColumn("rank", similarity.best_first())
+        return every.select("match_id", "question_id", "score", "rank", "chunk_text", "metadata")
     hits = similarity.top_k(index, asked, k, min_score)
     texts = index.select(F.col("chunk_id").alias("match_id"), "chunk_text", "metadata")
     if questions.count() * k <= MAX_BROADCAST_HITS:
